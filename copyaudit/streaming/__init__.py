@@ -1,0 +1,6 @@
+"""No streaming operators.
+
+The audits are nightly batch jobs over finished partitions; nothing in their
+semantics (no watermark, no state carried between runs) calls for Structured
+Streaming, so this package stays empty on purpose.
+"""
