@@ -78,11 +78,19 @@ def three_way_verdict(items: DataFrame, plain_rule: str = "source_target") -> Da
         for m in ("records", "files", "bytes"):
             df = df.withColumn(f"{role}_{m}_out",
                                F.when(keep, _sentinel(F.col(f"{role}_{m}"))).otherwise(F.lit(SENTINEL)))
+    return df.withColumn("Status", three_way_status(plain_rule))
+
+
+def three_way_status(plain_rule: str = "source_target") -> Column:
+    """Status of a three-way item from its sentinel-filled counters."""
+    if plain_rule not in PLAIN_RULES:
+        raise ValueError(f"plain_rule must be one of {PLAIN_RULES}")
+    compared = F.col("state") == F.lit(COMPARED)
+    tokenized = F.col("table_type") == F.lit(TYPE_TOKENIZED)
     src, stg, tgt = (F.col(f"{r}_records_out") for r in ("source", "staging", "target"))
     token_ok = (src == stg) & (stg == tgt) & (F.col("source_files_out") == F.col("staging_files_out"))
     plain_ok = (src == tgt) if plain_rule == "source_target" else ((src == stg) & (src == tgt))
     ok = F.when(tokenized, token_ok).when(F.col("table_type") == F.lit(TYPE_PLAIN), plain_ok)
-    status = (F.when(F.col("state") == F.lit(SOURCE_MISSING), F.lit(STATUS_DONE))
-              .when(compared & ok, F.lit(STATUS_DONE))
-              .when(compared, F.lit(STATUS_FAILED)))
-    return df.withColumn("Status", status)
+    return (F.when(F.col("state") == F.lit(SOURCE_MISSING), F.lit(STATUS_DONE))
+            .when(compared & ok, F.lit(STATUS_DONE))
+            .when(compared, F.lit(STATUS_FAILED)))

@@ -89,7 +89,8 @@ def _lit(x) -> Column:
     return F.lit(x)
 
 
-def two_way_work_list(spark: SparkSession, p: TwoWayParams, partitions) -> WorkList:
+def two_way_work_list(spark: SparkSession, p: TwoWayParams, partitions,
+                      partition_join: str = "inner") -> WorkList:
     """Items of the two-way audit."""
     pairs = table_db_pairs(spark, p.databases, p.tables).withColumnRenamed("table_spec", "table")
     lookup, bad_pairs = partition_map_frame(spark, p.partition_map)
@@ -111,7 +112,7 @@ def two_way_work_list(spark: SparkSession, p: TwoWayParams, partitions) -> WorkL
     found = F.col("partition_col").isNotNull()
     source_path = paths.source_partition_path(_lit(p.source_parent), "db", "table", "partition_col",
                                               "partition_date")
-    items = (attach_partitions(tables, partitions)
+    items = (attach_partitions(tables, partitions, partition_join)
              .withColumn("source_path", F.when(found, source_path))
              .withColumn("target_path",
                          F.when(found, paths.target_partition_path(_lit(p.target_prefix), source_path))))
@@ -121,7 +122,8 @@ def two_way_work_list(spark: SparkSession, p: TwoWayParams, partitions) -> WorkL
     return WorkList(tables=tables, items=items, problems=problems)
 
 
-def three_way_work_list(spark: SparkSession, p: ThreeWayParams, partitions) -> WorkList:
+def three_way_work_list(spark: SparkSession, p: ThreeWayParams, partitions,
+                        partition_join: str = "inner") -> WorkList:
     """Items of the three-way audit (database outer)."""
     pairs = table_db_pairs(spark, p.databases, p.tables.replace('"', ""), db_outer=True)
     spec = F.col("table_spec")
@@ -152,7 +154,7 @@ def three_way_work_list(spark: SparkSession, p: ThreeWayParams, partitions) -> W
         paths.three_way_control_dir(_lit(p.ctrl_path)).alias("control_dir"),
         routing.valid_table_type("table_type").alias("valid_type"))
     part = paths.partition_dir("partition_col", "partition_date")
-    items = (attach_partitions(tables, partitions)
+    items = (attach_partitions(tables, partitions, partition_join)
              .withColumn("source_path", F.concat_ws("/", "source_root", part))
              .withColumn("staging_path", paths.staging_partition_path("staging_dir", "table",
                                                                       "partition_col", "partition_date"))

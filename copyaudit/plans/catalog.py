@@ -111,3 +111,240 @@ def q27_multi_table_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("staging_records_out").alias("StagingPartRecordCount"),
         F.col("target_records_out").alias("TargetPartRecordCount"),
         F.when(F.col("state") == "compared", F.col("Status")).otherwise(F.col("state")).alias("outcome"))
+
+
+# ---------------------------------------------------------------- physical copies
+
+def _physical_two_way(spark: SparkSession, sf_dir: str, name: str, only_roles=None):
+    from copyaudit.plans import physical
+    rs = [recipes.ORDERS, recipes.EVENTS]
+    parts = recipes.work_items(spark, sf_dir, rs)
+    layout = physical.two_way_layout(spark, name, two_way_params())
+    physical.write_copies(spark, sf_dir, layout, parts, rs, only_roles)
+    return layout, parts
+
+
+def _physical_three_way(spark: SparkSession, sf_dir: str, name: str, only_roles=None, tables=None):
+    from copyaudit.plans import physical
+    rs = tables or [recipes.ORDERS, recipes.LINEITEM, recipes.EVENTS]
+    parts = recipes.work_items(spark, sf_dir, rs)
+    layout = physical.three_way_layout(spark, name, three_way_params())
+    physical.write_copies(spark, sf_dir, layout, parts, rs, only_roles)
+    return layout, parts
+
+
+@query("q01_partition_record_count", """
+SELECT 'sri_open' AS db, 'orders' AS "table", 'source' AS role,
+       strftime(o_orderdate, '%Y-%m') AS partition_date, count(*) AS records
+FROM orders GROUP BY 4""")
+def q01_partition_record_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders written as ORC by month, read back from its root, counted."""
+    from copyaudit.operators.worklist import copy_locations, two_way_work_list
+    from copyaudit.sources.copies import copy_counts, scan_copies
+    layout, parts = _physical_two_way(spark, sf_dir, "q01", only_roles=["source"])
+    work = two_way_work_list(spark, layout.two_way, parts)
+    locs = [loc for loc in copy_locations(work.tables, ["source"]) if loc.table == "orders"]
+    rows, _ = scan_copies(spark, locs)
+    return copy_counts(rows).select("db", "table", "role", "partition_date", "records")
+
+
+@query("q02_avro_partition_count", """
+SELECT 'storage' AS db, 'events' AS "table", 'avro' AS data_format,
+       strftime(ts, '%Y-%m-%d') AS partition_date, count(*) AS records
+FROM events GROUP BY 4""")
+def q02_avro_partition_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events routed to Avro by its database, written by day, counted."""
+    from copyaudit.operators.worklist import copy_locations, three_way_work_list
+    from copyaudit.sources.copies import copy_counts, scan_copies
+    layout, parts = _physical_three_way(spark, sf_dir, "q02", only_roles=["source"], tables=[recipes.EVENTS])
+    work = three_way_work_list(spark, layout.three_way, parts)
+    locs = [loc for loc in copy_locations(work.tables, ["source"]) if loc.table == "events"]
+    rows, _ = scan_copies(spark, locs)
+    fmt = F.lit(locs[0].fmt) if locs else F.lit(None).cast("string")
+    return copy_counts(rows).select("db", "table", fmt.alias("data_format"), "partition_date", "records")
+
+
+@query("q03_file_listing", """
+SELECT parse_filename(filename) AS file_name, size AS bytes
+FROM read_blob('/root/testdata/sf0.01/*.parquet')""")
+def q03_file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flat listing of the table files (names and sizes, contents unread)."""
+    from copyaudit.sources.inventory import file_listing
+    return file_listing(spark, sf_dir, glob="*.parquet").select("file_name", F.col("length").alias("bytes"))
+
+
+@query("q04_folder_totals", """
+SELECT regexp_extract(filename, '([^/]+)/[^/]+$', 1) AS folder_name, count(*) AS files,
+       CAST(sum(size) AS BIGINT) AS bytes
+FROM read_blob('/root/testdata/sf0.01/*') GROUP BY 1""")
+def q04_folder_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recursive listing, files and bytes per folder."""
+    from copyaudit.functions.paths import file_name
+    from copyaudit.sources.inventory import file_listing, folder_totals
+    totals = folder_totals(file_listing(spark, sf_dir, recursive=True))
+    return totals.select(file_name("folder").alias("folder_name"), "files", "bytes")
+
+
+@query("q12_two_way_verdict", O.with_two_way("""
+SELECT db AS SchemaName, tbl AS TableName, pd AS partition_date,
+       src_rec AS SourcePartRecordCount, tgt_rec AS TargetPartRecordCount,
+       CASE WHEN state = 'source_missing' OR (state = 'compared' AND src_rec = tgt_rec) THEN 'Done'
+            WHEN state = 'compared' THEN 'Failed' END AS Status,
+       state
+FROM two_rows"""))
+def q12_two_way_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written ORC copies, counted from their paths, aligned, judged."""
+    layout, parts = _physical_two_way(spark, sf_dir, "q12")
+    v = audit_two_way(spark, layout.two_way, parts).verdicts
+    return v.select(F.col("db").alias("SchemaName"), F.col("table").alias("TableName"), "partition_date",
+                    F.col("source_records_out").alias("SourcePartRecordCount"),
+                    F.col("target_records_out").alias("TargetPartRecordCount"), "Status", "state")
+
+
+@query("q13_missing_source", O.with_both("""
+SELECT 'two_way' AS audit, db AS SchemaName, tbl AS TableName, pd AS partition_date,
+       src_rec AS SourcePartRecordCount, tgt_rec AS TargetPartRecordCount, src_files AS SourcePartFileCount,
+       tgt_bytes AS TargetPartSize, source_path AS SourcePath, '' AS TargetPath, 'Done' AS Status
+FROM two_rows WHERE state = 'source_missing'
+UNION ALL
+SELECT 'three_way', db, tbl, pd, src_rec, tgt_rec, src_files, tgt_bytes, source_path, target_path, status
+FROM three_verdict WHERE state = 'source_missing'"""))
+def q13_missing_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Absent source partitions give -1 counters and Done."""
+    cols = ["SchemaName", "TableName", "partition_date", "SourcePartRecordCount", "TargetPartRecordCount",
+            "SourcePartFileCount", "TargetPartSize", "SourcePath", "TargetPath", "Status"]
+    two = derived_two_way(spark, sf_dir).verdicts.where(F.col("state") == "source_missing")
+    three = derived_three_way(spark, sf_dir).verdicts.where(F.col("state") == "source_missing")
+    two_rows = R_two(two).select(F.lit("two_way").alias("audit"), *cols)
+    three_rows = R_three(three).select(F.lit("three_way").alias("audit"), *cols)
+    return two_rows.unionByName(three_rows)
+
+
+def R_two(verdicts):
+    from copyaudit.operators.results import two_way_results
+    return two_way_results(verdicts)
+
+
+def R_three(verdicts):
+    from copyaudit.operators.results import three_way_results
+    return three_way_results(verdicts)
+
+
+@query("q14_three_way_verdict", O.with_three_way("""
+SELECT db AS SchemaName, tbl AS TableName, pd AS partition_date,
+       src_rec AS SourcePartRecordCount, stg_rec AS StagingPartRecordCount, tgt_rec AS TargetPartRecordCount,
+       state
+FROM three_rows"""))
+def q14_three_way_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ORC and Avro copies incl. staging, counted from paths, aligned."""
+    layout, parts = _physical_three_way(spark, sf_dir, "q14")
+    v = audit_three_way(spark, layout.three_way, parts).verdicts
+    return v.select(F.col("db").alias("SchemaName"), F.col("table").alias("TableName"), "partition_date",
+                    F.col("source_records_out").alias("SourcePartRecordCount"),
+                    F.col("staging_records_out").alias("StagingPartRecordCount"),
+                    F.col("target_records_out").alias("TargetPartRecordCount"), "state")
+
+
+@query("q15_plain_verdict", O.with_three_way("""
+SELECT db AS SchemaName, tbl AS TableName, pd AS partition_date,
+       status AS status_source_target, literal_status AS status_literal
+FROM three_verdict WHERE ttype = 'p' AND state IN ('compared', 'source_missing')"""))
+def q15_plain_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """plain tables under both rules (source = target, and the literal one)."""
+    from copyaudit.operators.verdict import three_way_status
+    v = derived_three_way(spark, sf_dir).verdicts
+    return (v.where((F.col("table_type") == "p") & F.col("state").isin("compared", "source_missing"))
+            .select(F.col("db").alias("SchemaName"), F.col("table").alias("TableName"), "partition_date",
+                    three_way_status("source_target").alias("status_source_target"),
+                    three_way_status("literal").alias("status_literal")))
+
+
+# ---------------------------------------------------------------- work lists, routing, paths
+
+def fixture_three_way_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = three_way_params()
+    p.databases, p.tables = O.FIXTURE_DATABASES, O.FIXTURE_TABLE_SPECS
+    from copyaudit.operators.worklist import three_way_work_list
+    return three_way_work_list(spark, p, recipes.source_partitions(spark, sf_dir), partition_join="left").items
+
+
+def fixture_two_way_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from copyaudit.operators.worklist import two_way_work_list
+    p = two_way_params(tables=O.FIXTURE_TWO_WAY_TABLES, databases=O.FIXTURE_DATABASES)
+    p.partition_map = O.FIXTURE_MAP
+    return two_way_work_list(spark, p, recipes.source_partitions(spark, sf_dir)).items
+
+
+@query("q05_work_list", "WITH" + O.FIXTURE_THREE_ITEMS + """
+SELECT db, table_spec, tbl AS "table", pd AS partition_date FROM items""")
+def q05_work_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Argument lists -> db x table pairs -> one item per data partition."""
+    return fixture_three_way_items(spark, sf_dir).select("db", "table_spec", "table", "partition_date")
+
+
+@query("q06_partition_col_lookup", "WITH" + O.FIXTURE_TWO_ITEMS + """
+SELECT db, tbl AS "table", pd AS partition_date, pcol AS partition_col, pcol IS NOT NULL AS found
+FROM items2""")
+def q06_partition_col_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Db -> partition column map joined to the work list."""
+    items = fixture_two_way_items(spark, sf_dir)
+    return items.select("db", "table", "partition_date", "partition_col",
+                        F.col("partition_col").isNotNull().alias("found"))
+
+
+@query("q07_partition_col_case", "WITH" + O.FIXTURE_THREE_ITEMS + f"""
+SELECT db, table_spec, pd AS partition_date, pcol AS partition_col,
+       concat_ws('/', '{O.CONTAINER}' || '{O.SOURCE_PARENT}' || '/' || db || '/' || tbl, pcol || '=' || pd)
+         AS source_path,
+       concat_ws('/', '{O.SOURCE_PARENT}' || '/' || db || '/' || tbl, pcol || '=' || pd) AS target_path
+FROM items""")
+def q07_partition_col_case(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fixed partition-column CASE and the three-way partition paths."""
+    return fixture_three_way_items(spark, sf_dir).select(
+        "db", "table_spec", "partition_date", "partition_col", "source_path", "target_path")
+
+
+@query("q08_table_spec", "WITH" + O.FIXTURE_THREE_ITEMS + """
+SELECT db, table_spec, tbl AS "table", ttype AS table_type, ttype IN ('t', 'p') AS valid_type,
+       pd AS partition_date
+FROM items""")
+def q08_table_spec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quotes stripped, ``name|type`` split, type checked."""
+    return fixture_three_way_items(spark, sf_dir).select(
+        "db", "table_spec", "table", "table_type", "valid_type", "partition_date")
+
+
+@query("q09_staging_route", "WITH" + O.FIXTURE_THREE_ITEMS + """
+SELECT db, table_spec, pd AS partition_date, sdir AS staging_dir,
+       CASE WHEN sdir = 'Plain' THEN 'Plain' ELSE concat_ws('/', sdir, tbl, pcol || '=' || pd) END
+         AS staging_path
+FROM items""")
+def q09_staging_route(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staging root by (type, db) and the staging partition path."""
+    return fixture_three_way_items(spark, sf_dir).select(
+        "db", "table_spec", "partition_date", "staging_dir", "staging_path")
+
+
+@query("q10_format_route", "WITH" + O.FIXTURE_THREE_ITEMS + """
+SELECT db, table_spec, pd AS partition_date,
+       CASE WHEN lower(db) LIKE '%storage%' THEN 'avro' ELSE 'orc' END AS data_format
+FROM items""")
+def q10_format_route(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P10: Avro for databases named like storage, ORC otherwise."""
+    return fixture_three_way_items(spark, sf_dir).select("db", "table_spec", "partition_date", "data_format")
+
+
+@query("q11_paths", "WITH" + O.FIXTURE_TWO_ITEMS + f"""
+SELECT db, tbl AS "table", pd AS partition_date, source_path,
+       {O.target_path_sql(O.PREFIX_VARIANTS[0])} AS target_path_slash,
+       {O.target_path_sql(O.PREFIX_VARIANTS[1])} AS target_path_plain,
+       {O.target_path_sql(O.PREFIX_VARIANTS[2])} AS target_path_double
+FROM items2""")
+def q11_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Source partition path and target path for three prefix spellings."""
+    from copyaudit.functions.paths import target_partition_path
+    items = fixture_two_way_items(spark, sf_dir)
+    names = ["target_path_slash", "target_path_plain", "target_path_double"]
+    return items.select("db", "table", "partition_date", "source_path",
+                        *[target_partition_path(F.lit(p), "source_path").alias(n)
+                          for p, n in zip(O.PREFIX_VARIANTS, names)])

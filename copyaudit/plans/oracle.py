@@ -148,3 +148,60 @@ three_verdict AS (
 
 def with_three_way(tail: str) -> str:
     return "WITH" + WEIGHTS + "," + COUNTS + "," + THREE_ITEMS + "\n" + tail
+
+
+def with_both(tail: str) -> str:
+    return "WITH" + WEIGHTS + "," + COUNTS + "," + _two_way_items() + "," + THREE_ITEMS + "\n" + tail
+
+
+# Argument lists of the work-list fixtures.
+FIXTURE_DATABASES = "sri_open,sri_non_open,storage,other"
+FIXTURE_TABLE_SPECS = '"orders|t,lineitem|p,events|t,bad|x,nosuffix"'
+FIXTURE_TWO_WAY_TABLES = "orders,lineitem,events"
+FIXTURE_MAP = " sri_open:ods,sri_non_open:nds,storage:vds"
+PREFIX_VARIANTS = ("abfs://c@a.example/data/", "abfs://c@a.example/data", "abfs://c@a.example/data//")
+
+PARTS = """
+parts AS (
+  SELECT DISTINCT 'orders' AS tbl, strftime(o_orderdate, '%Y-%m') AS pd FROM orders
+  UNION ALL SELECT DISTINCT 'lineitem', strftime(l_shipdate, '%Y-%m') FROM lineitem
+  UNION ALL SELECT DISTINCT 'events', strftime(ts, '%Y-%m-%d') FROM events)"""
+
+FIXTURE_THREE_ITEMS = PARTS + f""",
+d AS (SELECT unnest(string_split('{FIXTURE_DATABASES}', ',')) AS db),
+t AS (SELECT unnest(string_split(replace('{FIXTURE_TABLE_SPECS}', '"', ''), ',')) AS table_spec),
+pairs AS (
+  SELECT db, table_spec, split_part(table_spec, '|', 1) AS tbl,
+         lower(string_split(table_spec, '|')[-1]) AS ttype
+  FROM d CROSS JOIN t),
+items AS (
+  SELECT pairs.*, parts.pd,
+         CASE lower(db) WHEN 'sri_open' THEN 'ods' WHEN 'sri_non_open' THEN 'nds'
+                        WHEN 'storage' THEN 'vds' ELSE 'None' END AS pcol,
+         CASE WHEN ttype = 't' THEN
+                CASE lower(db) WHEN 'sri_open' THEN '{STAGING_DIRS[0]}' WHEN 'sri_non_open' THEN '{STAGING_DIRS[1]}'
+                               WHEN 'storage' THEN '{STAGING_DIRS[2]}' ELSE '' END
+              WHEN ttype = 'p' THEN 'Plain' ELSE '' END AS sdir
+  FROM pairs LEFT JOIN parts ON parts.tbl = pairs.tbl)"""
+
+FIXTURE_TWO_ITEMS = PARTS + f""",
+m_raw AS (
+  SELECT unnest(string_split('{FIXTURE_MAP}', ',')) AS pair,
+         unnest(generate_series(0, len(string_split('{FIXTURE_MAP}', ',')) - 1)) AS pos),
+m AS (
+  SELECT db_key, arg_max(pcol, pos) AS pcol FROM (
+    SELECT lower(trim(split_part(pair, ':', 1))) AS db_key, split_part(pair, ':', 2) AS pcol, pos
+    FROM m_raw WHERE len(string_split(pair, ':')) = 2) GROUP BY db_key),
+d AS (SELECT unnest(string_split('{FIXTURE_DATABASES}', ',')) AS db),
+t AS (SELECT unnest(string_split('{FIXTURE_TWO_WAY_TABLES}', ',')) AS tbl),
+items2 AS (
+  SELECT d.db, t.tbl, parts.pd, m.pcol,
+         CASE WHEN m.pcol IS NOT NULL
+              THEN '{SOURCE_PARENT}' || '/' || d.db || '/' || t.tbl || '/' || m.pcol || '=' || parts.pd END
+           AS source_path
+  FROM d CROSS JOIN t JOIN parts ON parts.tbl = t.tbl LEFT JOIN m ON m.db_key = lower(d.db))"""
+
+
+def target_path_sql(prefix: str, source_path: str = "source_path") -> str:
+    return (f"regexp_replace('{prefix}', '/$', '') || "
+            f"regexp_replace({source_path}, '^[A-Za-z][A-Za-z0-9+.-]*://[^/]*', '')")

@@ -137,3 +137,31 @@ def work_partitions(spark: SparkSession, stats: DataFrame, recipes: list[Recipe]
     if not absent:
         return present
     return present.unionByName(spark.createDataFrame(absent, "db string, table string, partition_date string"))
+
+
+def source_partitions(spark: SparkSession, sf_dir: str, tables: list[Recipe] | None = None) -> DataFrame:
+    """Distinct source partition values per table name: ``table``, ``partition_date``."""
+    frames = [base_table(spark, sf_dir, r.name)
+              .select(F.lit(r.name).alias("table"), r.partition().alias("partition_date")).distinct()
+              for r in (tables or list(RECIPES.values()))]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def work_items(spark: SparkSession, sf_dir: str, tables: list[Recipe], by_db: bool = True) -> DataFrame:
+    """Source partitions of the tables plus their absent items.
+
+    ``by_db``: keyed by (db, table); otherwise by table name only, so every
+    database paired with the table gets the same partitions.
+    """
+    names = {r.name for r in tables}
+    present = source_partitions(spark, sf_dir, tables)
+    absent = spark.createDataFrame([a for a in ABSENT_ITEMS if a[1] in names],
+                                   "db string, table string, partition_date string")
+    if by_db:
+        dbs = spark.createDataFrame([(r.name, r.db) for r in tables], "table string, db string")
+        present = present.join(dbs, "table")
+        return present.select("db", "table", "partition_date").unionByName(absent)
+    return present.unionByName(absent.select("table", "partition_date"))
