@@ -27,8 +27,13 @@ def split_batch(batch) -> Column:
 
 
 def normalise_statement(raw) -> Column:
-    """Drop ``[``, ``]``, newlines, ``;`` and ``,``; trim the ends."""
-    return F.trim(F.regexp_replace(_c(raw), r"[\[\]\n;,]", ""))
+    """Drop ``[``, ``]``, newlines and ``;``, then a trailing ``,``; trim.
+
+    Separator commas were consumed by the split, so a comma left inside a
+    statement belongs to it (``PARTITION (a='1', b='2')``) and is kept.
+    """
+    cleaned = F.regexp_replace(_c(raw), r"[\[\]\n;]", "")
+    return F.trim(F.regexp_replace(cleaned, r",\s*$", ""))
 
 
 def statement_table(statement) -> Column:

@@ -25,6 +25,7 @@ from copyaudit.operators.worklist import (ThreeWayParams, TwoWayParams, WorkList
                                           copy_locations, three_way_work_list,
                                           two_way_work_list)
 from copyaudit.schemas import ROLE_SOURCE, ROLE_STAGING, ROLE_TARGET
+from copyaudit.session import checkpoint_root
 from copyaudit.sources.copies import ROOT_ERROR, scan_copies
 
 TWO_WAY_ROLES = [ROLE_SOURCE, ROLE_TARGET]
@@ -33,6 +34,7 @@ THREE_WAY_ROLES = [ROLE_SOURCE, ROLE_STAGING, ROLE_TARGET]
 
 @dataclass
 class Audit:
+    kind: str              # "two_way" or "three_way"
     work: WorkList
     stats_rows: DataFrame
     verdicts: DataFrame
@@ -41,6 +43,23 @@ class Audit:
     failures: DataFrame
     summary: DataFrame
 
+    def materialized(self) -> "Audit":
+        """Cut the lineage after the scans: every sink then reads the small
+        checkpointed verdict frame from the shared checkpoint folder, and a
+        lost executor never sends the job back to the copies."""
+        checkpoint_root(self.verdicts.sparkSession)
+        return _project(self.kind, self.work, self.stats_rows, self.verdicts.checkpoint(eager=True))
+
+
+def _project(kind: str, work: WorkList, stats_rows: DataFrame, verdicts: DataFrame) -> Audit:
+    if kind == "two_way":
+        return Audit(kind, work, stats_rows, verdicts,
+                     R.two_way_results(verdicts), R.two_way_controls(verdicts),
+                     R.two_way_failures(verdicts, work.problems), R.run_summary(verdicts, work.problems))
+    return Audit(kind, work, stats_rows, verdicts,
+                 R.three_way_results(verdicts), R.three_way_controls(verdicts),
+                 R.three_way_failures(verdicts, work.problems), R.run_summary(verdicts, work.problems))
+
 
 def _partition_values(partitions):
     if isinstance(partitions, str):
@@ -66,10 +85,7 @@ def audit_two_way(spark: SparkSession, params: TwoWayParams, partitions,
     stats_rows, root_errors = _copies(spark, work, TWO_WAY_ROLES, partitions, stats_rows, root_errors)
     items = attach_copies(work.items, align_copies(stats_rows, TWO_WAY_ROLES),
                           root_errors_wide(root_errors, TWO_WAY_ROLES), TWO_WAY_ROLES)
-    verdicts = two_way_verdict(items)
-    return Audit(work, stats_rows, verdicts,
-                 R.two_way_results(verdicts), R.two_way_controls(verdicts),
-                 R.two_way_failures(verdicts, work.problems), R.run_summary(verdicts, work.problems))
+    return _project("two_way", work, stats_rows, two_way_verdict(items))
 
 
 def audit_three_way(spark: SparkSession, params: ThreeWayParams, partitions,
@@ -79,7 +95,4 @@ def audit_three_way(spark: SparkSession, params: ThreeWayParams, partitions,
     stats_rows, root_errors = _copies(spark, work, THREE_WAY_ROLES, partitions, stats_rows, root_errors)
     items = attach_copies(work.items, align_copies(stats_rows, THREE_WAY_ROLES),
                           root_errors_wide(root_errors, THREE_WAY_ROLES), THREE_WAY_ROLES)
-    verdicts = three_way_verdict(items, params.plain_rule)
-    return Audit(work, stats_rows, verdicts,
-                 R.three_way_results(verdicts), R.three_way_controls(verdicts),
-                 R.three_way_failures(verdicts, work.problems), R.run_summary(verdicts, work.problems))
+    return _project("three_way", work, stats_rows, three_way_verdict(items, params.plain_rule))

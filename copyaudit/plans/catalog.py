@@ -348,3 +348,240 @@ def q11_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return items.select("db", "table", "partition_date", "source_path",
                         *[target_partition_path(F.lit(p), "source_path").alias(n)
                           for p, n in zip(O.PREFIX_VARIANTS, names)])
+
+
+# ---------------------------------------------------------------- failures, sinks, registration
+
+def wide_two_way(spark: SparkSession, sf_dir: str) -> Audit:
+    """Two-way audit of orders and events against sri_open, storage and other."""
+    rs = [recipes.ORDERS, recipes.EVENTS]
+    stats = recipes.recipe_stats(spark, sf_dir, rs)
+    parts = recipes.work_items(spark, sf_dir, rs, by_db=False)
+    return audit_two_way(spark, two_way_params(databases="sri_open,storage,other"), parts, stats_rows=stats)
+
+
+@query("q26_failure_quarantine", O.with_wide("""
+SELECT db, tbl AS "table", pd AS partition_date,
+       CASE WHEN state IN ('compared', 'source_missing') THEN 'result'
+            WHEN state = 'lookup_missing' THEN 'PartitionColumn' ELSE 'TargetListing' END AS disposition
+FROM wide_state"""))
+def q26_failure_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items with a failure row are kept out of the results."""
+    from copyaudit.operators.results import quarantine
+    audit = wide_two_way(spark, sf_dir)
+    kept = quarantine(audit.verdicts, audit.failures).select(
+        "db", "table", "partition_date", F.lit("result").alias("disposition"))
+    held = audit.failures.where(F.col("db").isNotNull()).select(
+        "db", "table", "partition_date", F.col("stage").alias("disposition"))
+    return kept.unionByName(held)
+
+
+@query("q23_failure_rows", O.with_wide_and_three("""
+SELECT 'two_way' AS audit, stage, db, tbl AS "table", pd AS partition_date, message, exception
+FROM wide_failures
+UNION ALL
+SELECT 'three_way', 'ComputeStats', db, tbl, pd,
+       'ComputeStats failed for table ' || db || '.' || tbl || ' due to target path not found: ' || target_path,
+       'target path not found: ' || target_path
+FROM three_rows WHERE state = 'target_missing'"""))
+def q23_failure_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Failure rows of both audits, written as CSV and read back."""
+    from copyaudit.session import scratch_path
+    from copyaudit.sinks.files import read_failures, write_failures
+    base = scratch_path(spark, "q23")
+    out = None
+    for name, audit in (("two_way", wide_two_way(spark, sf_dir)), ("three_way", derived_three_way(spark, sf_dir))):
+        write_failures(audit.failures, f"{base}/{name}")
+        back = read_failures(spark, f"{base}/{name}").select(
+            F.lit(name).alias("audit"), "stage", "db", "table", "partition_date", "message", "exception")
+        out = back if out is None else out.unionByName(back)
+    return out
+
+
+# The run date of the summary fixture (P21 formats it).
+RUN_DATE = "2022-03-01"
+
+
+@query("q24_run_summary", O.with_wide_and_three(f"""
+SELECT 'two_way' AS audit, count(*) AS items,
+       count(*) FILTER (WHERE state = 'compared' AND s_rec = t_rec) AS done,
+       count(*) FILTER (WHERE state = 'compared' AND s_rec <> t_rec) AS failed,
+       count(*) FILTER (WHERE state = 'source_missing') AS source_missing,
+       count(*) FILTER (WHERE state NOT IN ('compared', 'source_missing')) AS errors,
+       CASE WHEN count(*) FILTER (WHERE state NOT IN ('compared', 'source_missing')) > 0 THEN 1 ELSE 0 END
+         AS exit_code,
+       strftime(DATE '{RUN_DATE}', '%Y%m%d') AS run_date
+FROM wide_state
+UNION ALL
+SELECT 'three_way', count(*),
+       count(*) FILTER (WHERE state = 'compared' AND status = 'Done'),
+       count(*) FILTER (WHERE status = 'Failed'),
+       count(*) FILTER (WHERE state = 'source_missing'),
+       count(*) FILTER (WHERE state NOT IN ('compared', 'source_missing')),
+       CASE WHEN count(*) FILTER (WHERE state NOT IN ('compared', 'source_missing')) > 0 THEN 1 ELSE 0 END,
+       strftime(DATE '{RUN_DATE}', '%Y%m%d')
+FROM three_verdict"""))
+def q24_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcome counts and exit code per audit run."""
+    run_date = F.date_format(F.to_date(F.lit(RUN_DATE)), "yyyyMMdd").alias("run_date")
+    two = wide_two_way(spark, sf_dir).summary.select(F.lit("two_way").alias("audit"), "*", run_date)
+    three = derived_three_way(spark, sf_dir).summary.select(F.lit("three_way").alias("audit"), "*", run_date)
+    return two.unionByName(three)
+
+
+@query("q19_control_records", O.with_both(f"""
+SELECT 'two_way' AS audit,
+       regexp_replace('{O.TARGET_PREFIX}', '/$', '') || '/{O.SRC_SYSTEM}/{O.COUNTRY}/' || db AS control_dir,
+       db || '_' || tbl || '_' || pd || '.' || CASE WHEN src_rec = tgt_rec THEN 'match' ELSE 'nonmatch' END
+         AS control_name,
+       CASE WHEN src_rec = tgt_rec THEN 'match' ELSE 'nonmatch' END AS outcome,
+       pd AS partition_date
+FROM two_rows WHERE state IN ('compared', 'source_missing')
+UNION ALL
+SELECT 'three_way', '{O.CTRL_PATH}/global',
+       db || '_' || tbl || '_' || pd || '.' || CASE WHEN status = 'Done' THEN 'match' ELSE 'nonmatch' END,
+       CASE WHEN status = 'Done' THEN 'match' ELSE 'nonmatch' END, pd
+FROM three_verdict WHERE state = 'compared'"""))
+def q19_control_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Control records written per partition_date and read back."""
+    from copyaudit.session import scratch_path
+    from copyaudit.sinks.files import read_controls, write_controls
+    base = scratch_path(spark, "q19")
+    out = None
+    for name, audit in (("two_way", derived_two_way(spark, sf_dir)), ("three_way", derived_three_way(spark, sf_dir))):
+        write_controls(audit.controls, f"{base}/{name}")
+        back = read_controls(spark, f"{base}/{name}").select(
+            F.lit(name).alias("audit"), "control_dir", "control_name", "outcome", "partition_date")
+        out = back if out is None else out.unionByName(back)
+    return out
+
+
+@query("q18_result_append", O.with_both("""
+SELECT 'two_way' AS result_table, CASE WHEN state = 'source_missing' OR src_rec = tgt_rec THEN 'Done'
+       ELSE 'Failed' END AS Status, 2 * count(*) AS rows
+FROM two_rows WHERE state IN ('compared', 'source_missing') GROUP BY 1, 2
+UNION ALL
+SELECT 'three_way', status, 2 * count(*) FROM three_verdict
+WHERE state IN ('compared', 'source_missing') GROUP BY 1, 2"""))
+def q18_result_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Create the result tables, append a run twice, read back."""
+    import uuid
+    from copyaudit.session import scratch_path
+    from copyaudit.sinks.tables import append_results, create_result_table
+    suffix = uuid.uuid4().hex[:10]
+    base = scratch_path(spark, "q18")
+    out = None
+    for name, audit, three in (("two_way", derived_two_way(spark, sf_dir), False),
+                               ("three_way", derived_three_way(spark, sf_dir), True)):
+        table = create_result_table(spark, "copyaudit_results", f"{name}_{suffix}", three,
+                                    location=f"{base}/{name}")
+        done = audit.materialized()
+        append_results(done.results, table)
+        append_results(done.results, table)
+        back = (spark.table(table).groupBy("Status").agg(F.count(F.lit(1)).alias("rows"))
+                .select(F.lit(name).alias("result_table"), "Status", "rows"))
+        out = back if out is None else out.unionByName(back)
+    return out
+
+
+REG_DB = "copyaudit_reg"
+REG_TABLE = f"{REG_DB}.orders_parts"
+MISSING_TABLE = f"{REG_DB}.missing_table"
+HIST_TABLE = f"{REG_DB}.orders_hist"
+
+
+def _batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One statement batch per orders month, in the shape the jobs receive."""
+    months = recipes.source_partitions(spark, sf_dir, [recipes.ORDERS]).select(
+        F.col("partition_date").alias("batch_id"))
+    m = F.substring("batch_id", 6, 2)
+    first = F.concat(F.lit(f"ALTER TABLE {REG_TABLE} ADD PARTITION (ods='"), F.col("batch_id"), F.lit("')"))
+    second = (F.when(m == "11", first)
+              .when(m == "02", F.concat(F.lit(f"ALTER TABLE {REG_TABLE} ADD PARTITION (bad_col='"),
+                                        F.col("batch_id"), F.lit("')")))
+              .when(m == "07", F.concat(F.lit(f"ALTER TABLE {MISSING_TABLE} ADD PARTITION (ods='"),
+                                        F.col("batch_id"), F.lit("')")))
+              .when(m == "12", F.concat(F.lit(f"ALTER TABLE {HIST_TABLE} ADD IF NOT EXISTS PARTITION (ods='"),
+                                        F.col("batch_id"), F.lit("', src='x')"))))
+    body = F.when(second.isNull(), first).otherwise(F.concat(first, F.lit(",\n"), second))
+    return months.select("batch_id", F.concat(F.lit("["), body, F.lit(";]")).alias("batch"))
+
+
+BATCH_SQL = f"""
+months AS (SELECT DISTINCT strftime(o_orderdate, '%Y-%m') AS batch_id FROM orders),
+stm AS (
+  SELECT batch_id,
+         'ALTER TABLE {REG_TABLE} ADD PARTITION (ods=''' || batch_id || ''')' AS first,
+         CASE substr(batch_id, 6, 2)
+           WHEN '11' THEN 'ALTER TABLE {REG_TABLE} ADD PARTITION (ods=''' || batch_id || ''')'
+           WHEN '02' THEN 'ALTER TABLE {REG_TABLE} ADD PARTITION (bad_col=''' || batch_id || ''')'
+           WHEN '07' THEN 'ALTER TABLE {MISSING_TABLE} ADD PARTITION (ods=''' || batch_id || ''')'
+           WHEN '12' THEN 'ALTER TABLE {HIST_TABLE} ADD IF NOT EXISTS PARTITION (ods=''' || batch_id
+                          || ''', src=''x'')'
+         END AS second
+  FROM months),
+batches AS (
+  SELECT batch_id,
+         '[' || CASE WHEN second IS NULL THEN first ELSE first || ',' || chr(10) || second END || ';]' AS batch
+  FROM stm),
+pieces AS (
+  SELECT batch_id,
+         string_split(regexp_replace(batch, ',\\s*ALTER ', chr(1) || 'ALTER ', 'g'), chr(1)) AS parts
+  FROM batches),
+stmts AS (
+  SELECT batch_id, CAST(unnest(generate_series(0, len(parts) - 1)) AS INTEGER) AS ordinal,
+         trim(regexp_replace(regexp_replace(unnest(parts), '[\\[\\]\\n;]', '', 'g'), ',\\s*$', ''))
+           AS statement
+  FROM pieces),
+named AS (
+  SELECT *, CASE WHEN len(string_split(statement, ' ')) >= 3 THEN split_part(statement, ' ', 3)
+                 ELSE 'unknown' END AS statement_table
+  FROM stmts WHERE statement <> '')"""
+
+
+@query("q20_statement_normalise", "WITH" + BATCH_SQL + """
+SELECT batch_id, ordinal, statement FROM named""")
+def q20_statement_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches split at statement starts (not inside a spec), cleaned."""
+    from copyaudit.plans.registration import split_statements
+    return split_statements(_batches(spark, sf_dir)).select("batch_id", "ordinal", "statement")
+
+
+@query("q21_statement_table", "WITH" + BATCH_SQL + """
+SELECT batch_id, ordinal, statement_table FROM named""")
+def q21_statement_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table each statement targets (third token)."""
+    from copyaudit.plans.registration import split_statements
+    return split_statements(_batches(spark, sf_dir)).select("batch_id", "ordinal", "statement_table")
+
+
+@query("q22_register_partitions", "WITH" + BATCH_SQL + f""",
+outcomes AS (
+  SELECT batch_id, ordinal, statement_table,
+         CASE WHEN ordinal = 0 THEN 'ok'
+              WHEN substr(batch_id, 6, 2) = '12' THEN 'ok'
+              ELSE 'failed' END AS outcome
+  FROM named)
+SELECT batch_id, ordinal, statement_table, outcome,
+       CASE WHEN outcome <> 'ok' THEN 'Partition update failed for {O.SRC_SYSTEM} {O.COUNTRY} '
+            || statement_table || ' due to:' END AS message,
+       CASE WHEN outcome <> 'ok' THEN 'MetaUpdate_{O.SRC_SYSTEM}_{O.COUNTRY}_' || statement_table || '_'
+            || batch_id || '_failure.csv' END AS failure_file
+FROM outcomes""")
+def q22_register_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Apply the batches to a catalog table; one outcome per statement."""
+    from copyaudit.plans.registration import apply_statements, registration_failures, split_statements
+    from copyaudit.session import scratch_path
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {REG_DB}")
+    base = scratch_path(spark, "q22")
+    for table, cols, keys in ((REG_TABLE, "o_orderkey BIGINT, ods STRING", "ods"),
+                              (HIST_TABLE, "o_orderkey BIGINT, ods STRING, src STRING", "ods, src")):
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.sql(f"CREATE TABLE {table} ({cols}) USING orc PARTITIONED BY ({keys}) "
+                  f"LOCATION '{base}/{table.split(chr(46))[1]}'")
+    outcomes = apply_statements(spark, split_statements(_batches(spark, sf_dir)))
+    fails = registration_failures(outcomes, O.SRC_SYSTEM, O.COUNTRY, O.STATUS_DIR).select(
+        "partition_date", "ordinal", "message", "failure_file")
+    return (outcomes.join(fails, (outcomes.batch_id == fails.partition_date) & (outcomes.ordinal == fails.ordinal),
+                          "left")
+            .select(outcomes.batch_id, outcomes.ordinal, "statement_table", "outcome", "message", "failure_file"))

@@ -205,3 +205,46 @@ items2 AS (
 def target_path_sql(prefix: str, source_path: str = "source_path") -> str:
     return (f"regexp_replace('{prefix}', '/$', '') || "
             f"regexp_replace({source_path}, '^[A-Za-z][A-Za-z0-9+.-]*://[^/]*', '')")
+
+
+# The wide two-way audit: orders and events against three databases, one of
+# them without a partition column; partitions are keyed by table only.
+WIDE = f"""
+wide_parts AS (
+  SELECT tbl, pd FROM stats WHERE role = 'source' AND tbl IN ('orders', 'events')
+  UNION ALL SELECT * FROM (VALUES ('orders', '2002-01'), ('events', '2025-01-01')) v(tbl, pd)),
+wide_items AS (
+  SELECT d.db, t.tbl, p.pd, m.pcol
+  FROM (SELECT unnest(['sri_open', 'storage', 'other']) AS db) d
+  CROSS JOIN (SELECT unnest(['orders', 'events']) AS tbl) t
+  JOIN wide_parts p ON p.tbl = t.tbl
+  LEFT JOIN (VALUES ('sri_open', 'ods'), ('sri_non_open', 'nds'), ('storage', 'vds')) m(db_key, pcol)
+    ON m.db_key = lower(d.db)),
+wide_state AS (
+  SELECT w.*, s.records AS s_rec, x.records AS t_rec,
+         CASE WHEN w.pcol IS NULL THEN 'lookup_missing'
+              WHEN s.db IS NULL THEN 'source_missing'
+              WHEN x.db IS NULL THEN 'target_missing'
+              ELSE 'compared' END AS state,
+         '{SOURCE_PARENT}' || '/' || w.db || '/' || w.tbl || '/' || w.pcol || '=' || w.pd AS source_path
+  FROM wide_items w
+  LEFT JOIN stats s ON s.db = w.db AND s.tbl = w.tbl AND s.pd = w.pd AND s.role = 'source'
+  LEFT JOIN stats x ON x.db = w.db AND x.tbl = w.tbl AND x.pd = w.pd AND x.role = 'target'),
+wide_failures AS (
+  SELECT db, tbl, pd,
+         CASE WHEN state = 'lookup_missing' THEN 'PartitionColumn' ELSE 'TargetListing' END AS stage,
+         CASE WHEN state = 'lookup_missing' THEN 'failed to get Column Map for db ' || db
+              ELSE 'path not found' END AS exception,
+         'db: ' || db || ', table: ' || tbl || ', cause: ' ||
+         CASE WHEN state = 'lookup_missing' THEN 'failed to get Column Map for db ' || db
+              ELSE 'Failed to get information for target path: '
+                   || {target_path_sql(TARGET_PREFIX)} || '; path not found' END AS message
+  FROM wide_state WHERE state NOT IN ('compared', 'source_missing'))"""
+
+
+def with_wide(tail: str) -> str:
+    return "WITH" + WEIGHTS + "," + COUNTS + "," + WIDE + "\n" + tail
+
+
+def with_wide_and_three(tail: str) -> str:
+    return "WITH" + WEIGHTS + "," + COUNTS + "," + WIDE + "," + THREE_ITEMS + "\n" + tail
