@@ -64,3 +64,30 @@ def statement_rows(batches: DataFrame, batch_col: str = "batch") -> DataFrame:
     """One row per statement of each batch, with its ordinal in the batch."""
     from copyaudit.functions.statements import split_batch
     return batches.select("*", F.posexplode(split_batch(batch_col)).alias("ordinal", "raw_statement"))
+
+
+# Arguments each job needs, in the original positional order;
+# the two-way job refuses to start when one of the marked ones is missing.
+TWO_WAY_ARGUMENTS = ["src_system", "country", "source_parent", "target_prefix", "tables",
+                     "partition", "databases", "partition_map", "result_db", "result_table"]
+TWO_WAY_REQUIRED = ["databases", "tables", "partition_map", "target_prefix", "result_db", "result_table"]
+
+
+def parameter_problems(params: DataFrame, required: list[str], expected: list[str] | None = None) -> DataFrame:
+    """One row per missing or empty required parameter of each run.
+
+    ``params`` holds one row per parameter set (a ``run_id`` column is kept if
+    present); a column that is absent altogether is reported for every run.
+    """
+    from functools import reduce
+    key = [F.col("run_id")] if "run_id" in params.columns else [F.lit(None).cast("string").alias("run_id")]
+    frames = []
+    for name in (expected or required):
+        if name not in params.columns:
+            frames.append(params.select(*key, F.lit(name).alias("parameter"),
+                                        F.lit("argument not given").alias("problem")))
+        elif name in required:
+            bad = F.col(name).isNull() | (F.trim(F.col(name)) == "")
+            frames.append(params.where(bad).select(*key, F.lit(name).alias("parameter"),
+                                                   F.lit("required argument is null or empty").alias("problem")))
+    return reduce(DataFrame.unionByName, frames)

@@ -11,7 +11,8 @@ Both scans read no data column:
   column (``ReadSchema: struct<>``). No schema inference, hence no footer reads
   while planning, and the partition value stays a string.
 * files/bytes: the ``binaryFile`` source with only ``path``/``length``
-  selected; file contents are never opened.
+  selected; file contents are never opened. Planning of all roots runs on a
+  small thread pool with string-typed partition discovery.
 
 Both produce rows of ``COPY_STATS`` shape (``records``/``files``/``bytes`` as
 per-row increments) that a single ``groupBy`` later sums, with partial
@@ -27,8 +28,7 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (BinaryType, LongType, StringType, StructField,
-                               StructType, TimestampType)
+from pyspark.sql.types import StringType, StructField, StructType
 
 from copyaudit.schemas import COPY_STATS
 
@@ -100,25 +100,28 @@ def record_rows(spark: SparkSession, loc: CopyLocation, partition_values=None) -
     return _tag(_prune(df, loc, partition_values), loc, F.lit(1), F.lit(0), F.lit(0))
 
 
-BINARY_FILE_FIELDS = [
-    StructField("path", StringType(), False),
-    StructField("modificationTime", TimestampType(), False),
-    StructField("length", LongType(), False),
-    StructField("content", BinaryType(), True),
-]
+def file_rows(spark: SparkSession, loc: CopyLocation, partition_values=None) -> DataFrame | None:
+    """One row per data file (hidden ``_``/``.`` files excluded).
 
-
-def file_rows(spark: SparkSession, loc: CopyLocation, partition_values=None) -> DataFrame:
-    """One row per data file (hidden ``_``/``.`` files excluded)."""
-    schema = StructType(BINARY_FILE_FIELDS + [StructField(loc.partition_col, StringType())])
-    df = spark.read.schema(schema).format("binaryFile").load(loc.root)
+    ``binaryFile`` has a fixed data schema, so the partition column comes from
+    discovery (string-typed while the scans are planned). A root with no
+    ``<col>=<value>`` directories has no partitions: ``None`` when it holds no
+    files at all, an error when it holds files in another layout.
+    """
+    df = spark.read.format("binaryFile").load(loc.root)
+    if loc.partition_col not in df.columns:
+        if df.select("path").limit(1).count() == 0:
+            return None
+        raise ValueError(f"no {loc.partition_col}=<value> partition directories under {loc.root}")
     return _tag(_prune(df, loc, partition_values), loc, F.lit(0), F.lit(1), F.col("length"))
 
 
 def _scan_one(spark, loc, partition_values):
     try:
-        frames = [file_rows(spark, loc, partition_values), record_rows(spark, loc, partition_values)]
-        return frames, None
+        files = file_rows(spark, loc, partition_values)
+        if files is None:
+            return [], None
+        return [files, record_rows(spark, loc, partition_values)], None
     except AnalysisException as err:
         if _is_missing(err) or _is_empty(err):
             return [], None
@@ -134,7 +137,8 @@ def scan_copies(spark: SparkSession, locations: list[CopyLocation],
     The stats rows of all roots form one union, so every count of the run is a
     single Spark job whatever the number of tables.
     """
-    with ThreadPoolExecutor(max_workers=PLANNING_THREADS) as pool:
+    from copyaudit.session import string_partition_values
+    with string_partition_values(spark), ThreadPoolExecutor(max_workers=PLANNING_THREADS) as pool:
         outcomes = list(pool.map(lambda loc: _scan_one(spark, loc, partition_values), locations))
     frames = [f for fs, _ in outcomes for f in fs]
     errors = [e for _, e in outcomes if e is not None]
@@ -149,3 +153,40 @@ def copy_counts(stats_rows: DataFrame) -> DataFrame:
             .agg(F.sum("records").alias("records"),
                  F.sum("files").alias("files"),
                  F.sum("bytes").alias("bytes")))
+
+
+def _first_line(err: Exception) -> str:
+    text = str(err)
+    return text.splitlines()[0] if text else repr(err)
+
+
+def scan_copies_checked(spark: SparkSession, locations: list[CopyLocation],
+                        partition_values=None) -> tuple[DataFrame, DataFrame]:
+    """Like :func:`scan_copies`, but a copy that fails *while being read*
+    (a corrupt or foreign file) becomes a root error instead of failing the run.
+
+    Normally this is one job: the aggregated counts of all copies, checkpointed
+    to the shared checkpoint folder (which also cuts the lineage back to the
+    scans). Only if that joint job fails is each copy aggregated on its own,
+    to name the bad ones; the good ones are kept.
+    """
+    from copyaudit.session import checkpoint_root
+    checkpoint_root(spark)
+    rows, errors = scan_copies(spark, locations, partition_values)
+    try:
+        return copy_counts(rows).checkpoint(eager=True), errors
+    except Exception:  # noqa: BLE001 - fall back to per-copy isolation
+        pass
+    good: list[DataFrame] = []
+    bad = [tuple(r) for r in errors.collect()]
+    for loc in locations:
+        one_rows, one_errors = scan_copies(spark, [loc], partition_values)
+        if one_errors.count():
+            continue
+        try:
+            good.append(copy_counts(one_rows).checkpoint(eager=True))
+        except Exception as err:  # noqa: BLE001
+            bad.append((loc.db, loc.table, loc.role, _first_line(err)))
+    empty = spark.createDataFrame([], COPY_STATS)
+    out = reduce(DataFrame.unionByName, good, empty) if good else empty
+    return out, spark.createDataFrame(bad, ROOT_ERROR)
