@@ -39,6 +39,6 @@ def attach_copies(items: DataFrame, aligned: DataFrame, errors_wide: DataFrame,
                   roles: list[str]) -> DataFrame:
     """Left joins: every work item keeps its row, present or not."""
     out = items.join(aligned, on=KEYS, how="left").join(errors_wide, on=["db", "table"], how="left")
-    for role in roles:
-        out = out.withColumn(f"{role}_present", F.coalesce(F.col(f"{role}_present"), F.lit(False)))
-    return out
+    present = {f"{role}_present" for role in roles}
+    return out.select(*[F.coalesce(F.col(c), F.lit(False)).alias(c) if c in present else F.col(c)
+                        for c in out.columns])

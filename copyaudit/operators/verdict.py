@@ -36,16 +36,15 @@ def two_way_state() -> Column:
 
 def two_way_verdict(items: DataFrame) -> DataFrame:
     """records equal -> Done. Files and bytes are reported, not judged."""
-    df = items.withColumn("state", two_way_state())
+    df = items.select("*", two_way_state().alias("state"))
     compared = F.col("state") == F.lit(COMPARED)
-    for role in ("source", "target"):
-        for m in ("records", "files", "bytes"):
-            df = df.withColumn(f"{role}_{m}_out",
-                               F.when(compared, _sentinel(F.col(f"{role}_{m}"))).otherwise(F.lit(SENTINEL)))
+    df = df.select("*", *[F.when(compared, _sentinel(F.col(f"{role}_{m}"))).otherwise(F.lit(SENTINEL))
+                          .alias(f"{role}_{m}_out")
+                          for role in ("source", "target") for m in ("records", "files", "bytes")])
     status = (F.when(F.col("state") == F.lit(SOURCE_MISSING), F.lit(STATUS_DONE))
               .when(compared & (F.col("source_records_out") == F.col("target_records_out")), F.lit(STATUS_DONE))
               .when(compared, F.lit(STATUS_FAILED)))
-    return df.withColumn("Status", status)
+    return df.select("*", status.alias("Status"))
 
 
 def three_way_state() -> Column:
@@ -70,15 +69,15 @@ def three_way_verdict(items: DataFrame, plain_rule: str = "source_target") -> Da
     """
     if plain_rule not in PLAIN_RULES:
         raise ValueError(f"plain_rule must be one of {PLAIN_RULES}")
-    df = items.withColumn("state", three_way_state())
+    df = items.select("*", three_way_state().alias("state"))
     compared = F.col("state") == F.lit(COMPARED)
     tokenized = F.col("table_type") == F.lit(TYPE_TOKENIZED)
+    outs = []
     for role in ("source", "staging", "target"):
         keep = compared & tokenized if role == "staging" else compared
-        for m in ("records", "files", "bytes"):
-            df = df.withColumn(f"{role}_{m}_out",
-                               F.when(keep, _sentinel(F.col(f"{role}_{m}"))).otherwise(F.lit(SENTINEL)))
-    return df.withColumn("Status", three_way_status(plain_rule))
+        outs += [F.when(keep, _sentinel(F.col(f"{role}_{m}"))).otherwise(F.lit(SENTINEL)).alias(f"{role}_{m}_out")
+                 for m in ("records", "files", "bytes")]
+    return df.select("*", *outs).select("*", three_way_status(plain_rule).alias("Status"))
 
 
 def three_way_status(plain_rule: str = "source_target") -> Column:

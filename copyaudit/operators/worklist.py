@@ -112,10 +112,9 @@ def two_way_work_list(spark: SparkSession, p: TwoWayParams, partitions,
     found = F.col("partition_col").isNotNull()
     source_path = paths.source_partition_path(_lit(p.source_parent), "db", "table", "partition_col",
                                               "partition_date")
-    items = (attach_partitions(tables, partitions, partition_join)
-             .withColumn("source_path", F.when(found, source_path))
-             .withColumn("target_path",
-                         F.when(found, paths.target_partition_path(_lit(p.target_prefix), source_path))))
+    items = attach_partitions(tables, partitions, partition_join).select(
+        "*", F.when(found, source_path).alias("source_path"),
+        F.when(found, paths.target_partition_path(_lit(p.target_prefix), source_path)).alias("target_path"))
     problems = bad_pairs.select(
         F.lit("Parameters").alias("stage"),
         F.format_string("malformed db:column pair '%s'", F.col("pair")).alias("message"))
@@ -154,11 +153,10 @@ def three_way_work_list(spark: SparkSession, p: ThreeWayParams, partitions,
         paths.three_way_control_dir(_lit(p.ctrl_path)).alias("control_dir"),
         routing.valid_table_type("table_type").alias("valid_type"))
     part = paths.partition_dir("partition_col", "partition_date")
-    items = (attach_partitions(tables, partitions, partition_join)
-             .withColumn("source_path", F.concat_ws("/", "source_root", part))
-             .withColumn("staging_path", paths.staging_partition_path("staging_dir", "table",
-                                                                      "partition_col", "partition_date"))
-             .withColumn("target_path", F.concat_ws("/", "target_root", part)))
+    items = attach_partitions(tables, partitions, partition_join).select(
+        "*", F.concat_ws("/", "source_root", part).alias("source_path"),
+        paths.staging_partition_path("staging_dir", "table", "partition_col", "partition_date").alias("staging_path"),
+        F.concat_ws("/", "target_root", part).alias("target_path"))
     spark_empty = spark.createDataFrame([], "stage string, message string")
     problems = spark_empty if bad_pairs is None else bad_pairs.select(
         F.lit("Parameters").alias("stage"),

@@ -15,6 +15,7 @@ Plan shape (whatever the number of tables and partitions):
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,14 +35,32 @@ THREE_WAY_ROLES = [ROLE_SOURCE, ROLE_STAGING, ROLE_TARGET]
 
 @dataclass
 class Audit:
+    """One verdict row per work item and its projections (built on first use)."""
+
     kind: str              # "two_way" or "three_way"
     work: WorkList
     stats_rows: DataFrame
     verdicts: DataFrame
-    results: DataFrame
-    controls: DataFrame
-    failures: DataFrame
-    summary: DataFrame
+
+    @cached_property
+    def results(self) -> DataFrame:
+        two = self.kind == "two_way"
+        return R.two_way_results(self.verdicts) if two else R.three_way_results(self.verdicts)
+
+    @cached_property
+    def controls(self) -> DataFrame:
+        two = self.kind == "two_way"
+        return R.two_way_controls(self.verdicts) if two else R.three_way_controls(self.verdicts)
+
+    @cached_property
+    def failures(self) -> DataFrame:
+        two = self.kind == "two_way"
+        fn = R.two_way_failures if two else R.three_way_failures
+        return fn(self.verdicts, self.work.problems)
+
+    @cached_property
+    def summary(self) -> DataFrame:
+        return R.run_summary(self.verdicts, self.work.problems)
 
     def materialized(self) -> "Audit":
         """Cut the lineage after the scans: every sink then reads the small
@@ -52,13 +71,7 @@ class Audit:
 
 
 def _project(kind: str, work: WorkList, stats_rows: DataFrame, verdicts: DataFrame) -> Audit:
-    if kind == "two_way":
-        return Audit(kind, work, stats_rows, verdicts,
-                     R.two_way_results(verdicts), R.two_way_controls(verdicts),
-                     R.two_way_failures(verdicts, work.problems), R.run_summary(verdicts, work.problems))
-    return Audit(kind, work, stats_rows, verdicts,
-                 R.three_way_results(verdicts), R.three_way_controls(verdicts),
-                 R.three_way_failures(verdicts, work.problems), R.run_summary(verdicts, work.problems))
+    return Audit(kind, work, stats_rows, verdicts)
 
 
 def _partition_values(partitions):

@@ -115,9 +115,9 @@ def q27_multi_table_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- physical copies
 
-def _physical_two_way(spark: SparkSession, sf_dir: str, name: str, only_roles=None):
+def _physical_two_way(spark: SparkSession, sf_dir: str, name: str, only_roles=None, tables=None):
     from copyaudit.plans import physical
-    rs = [recipes.ORDERS, recipes.EVENTS]
+    rs = tables or [recipes.ORDERS, recipes.EVENTS]
     parts = recipes.work_items(spark, sf_dir, rs)
     layout = physical.two_way_layout(spark, name, two_way_params())
     physical.write_copies(spark, sf_dir, layout, parts, rs, only_roles)
@@ -141,9 +141,9 @@ def q01_partition_record_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders written as ORC by month, read back from its root, counted."""
     from copyaudit.operators.worklist import copy_locations, two_way_work_list
     from copyaudit.sources.copies import copy_counts, scan_copies
-    layout, parts = _physical_two_way(spark, sf_dir, "q01", only_roles=["source"])
+    layout, parts = _physical_two_way(spark, sf_dir, "q01", only_roles=["source"], tables=[recipes.ORDERS])
     work = two_way_work_list(spark, layout.two_way, parts)
-    locs = [loc for loc in copy_locations(work.tables, ["source"]) if loc.table == "orders"]
+    locs = [loc for loc in copy_locations(work.tables, ["source"]) if (loc.db, loc.table) == ("sri_open", "orders")]
     rows, _ = scan_copies(spark, locs)
     return copy_counts(rows).select("db", "table", "role", "partition_date", "records")
 
@@ -158,7 +158,7 @@ def q02_avro_partition_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     from copyaudit.sources.copies import copy_counts, scan_copies
     layout, parts = _physical_three_way(spark, sf_dir, "q02", only_roles=["source"], tables=[recipes.EVENTS])
     work = three_way_work_list(spark, layout.three_way, parts)
-    locs = [loc for loc in copy_locations(work.tables, ["source"]) if loc.table == "events"]
+    locs = [loc for loc in copy_locations(work.tables, ["source"]) if (loc.db, loc.table) == ("storage", "events")]
     rows, _ = scan_copies(spark, locs)
     fmt = F.lit(locs[0].fmt) if locs else F.lit(None).cast("string")
     return copy_counts(rows).select("db", "table", fmt.alias("data_format"), "partition_date", "records")
