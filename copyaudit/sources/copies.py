@@ -1,15 +1,19 @@
 """Physical copies: record counts and file inventories per partition.
 
-Every copy of a table is read once from its *table root*; the partition column
-comes from the Hive-style directory names and is filtered by Catalyst's
-partition pruning. A missing partition is simply absent from the output, so a
-missing path never fails the job; the absence is seen later in a left join.
+Every copy of a table is read once, below its *table root* (``basePath``); the
+partition column comes from the Hive-style directory names. When the audit
+names its partitions (a nightly date, a backfill range), only those directories
+are listed, through one glob ``root/{col=v1,col=v2}``; otherwise the root is
+listed and Catalyst prunes partitions. A missing partition is simply absent
+from the output, so a missing path never fails the job; the absence is seen
+later in a left join.
 
 Both scans read no data column:
 
-* records: the format reader with a user schema that holds only the partition
-  column (``ReadSchema: struct<>``). No schema inference, hence no footer reads
-  while planning, and the partition value stays a string.
+* records: the format reader, projected to the partition column only
+  (``ReadSchema: struct<>``). When the whole root is read, a user schema that
+  holds only the partition column avoids schema inference (no footer reads
+  while planning).
 * files/bytes: the ``binaryFile`` source with only ``path``/``length``
   selected; file contents are never opened. Planning of all roots runs on a
   small thread pool with string-typed partition discovery.
@@ -93,10 +97,50 @@ def _prune(df: DataFrame, loc: CopyLocation, partition_values) -> DataFrame:
     return df.where(F.col(loc.partition_col).isin(list(partition_values)))
 
 
+# Characters Hive-style partition directory names escape as %XX.
+HIVE_ESCAPED = '"#%\'*/:=?\\\x7f{[]^'
+# Characters that are special in a Hadoop glob.
+GLOB_SPECIAL = "\\{}[]*?,"
+# Above this many values the root is listed once and pruned instead.
+GLOB_MAX_VALUES = 1000
+
+
+def hive_escape(value: str) -> str:
+    """A partition value as it appears in its directory name."""
+    return "".join(f"%{ord(c):02X}" if c in HIVE_ESCAPED or ord(c) < 0x20 else c for c in value)
+
+
+def glob_escape(text: str) -> str:
+    return "".join("\\" + c if c in GLOB_SPECIAL else c for c in text)
+
+
+def partition_glob(loc: CopyLocation, partition_values) -> str | None:
+    """``root/{col=v1,col=v2}``: only the requested partition directories are
+    listed, instead of the whole table root. ``None`` when no values are given
+    or there are too many for one pattern."""
+    if partition_values is None or not 0 < len(partition_values) <= GLOB_MAX_VALUES:
+        return None
+    names = sorted({glob_escape(f"{loc.partition_col}={hive_escape(v)}") for v in partition_values})
+    return f"{loc.root}/{{{','.join(names)}}}"
+
+
+def _reader(spark: SparkSession, loc: CopyLocation, fmt: str, partition_values, user_schema=None):
+    """(reader, path): a glob over the requested partitions below ``basePath``,
+    or the table root (then a user schema, if given, avoids schema inference)."""
+    glob = partition_glob(loc, partition_values)
+    reader = spark.read.format(fmt)
+    if glob is not None:
+        return reader.option("basePath", loc.root), glob
+    if user_schema is not None:
+        reader = reader.schema(user_schema)
+    return reader, loc.root
+
+
 def record_rows(spark: SparkSession, loc: CopyLocation, partition_values=None) -> DataFrame:
     """One row per record, tagged with its copy and partition."""
     schema = StructType([StructField(loc.partition_col, StringType())])
-    df = spark.read.schema(schema).format(reader_format(loc.fmt)).load(loc.root)
+    reader, path = _reader(spark, loc, reader_format(loc.fmt), partition_values, schema)
+    df = reader.load(path)
     return _tag(_prune(df, loc, partition_values), loc, F.lit(1), F.lit(0), F.lit(0))
 
 
@@ -108,7 +152,8 @@ def file_rows(spark: SparkSession, loc: CopyLocation, partition_values=None) ->
     ``<col>=<value>`` directories has no partitions: ``None`` when it holds no
     files at all, an error when it holds files in another layout.
     """
-    df = spark.read.format("binaryFile").load(loc.root)
+    reader, path = _reader(spark, loc, "binaryFile", partition_values)
+    df = reader.load(path)
     if loc.partition_col not in df.columns:
         if df.select("path").limit(1).count() == 0:
             return None

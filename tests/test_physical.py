@@ -165,3 +165,20 @@ def test_dropping_rows_fails_exactly_those_partitions(spark, scratch):
     audit = audit_two_way(spark, two_way(scratch), days)
     failed = {r["partition_date"] for r in audit.results.where(F.col("Status") == "Failed").collect()}
     assert failed == broken
+
+
+def test_named_partitions_list_only_their_directories(spark, scratch):
+    from copyaudit.session import string_partition_values
+    from copyaudit.sources.copies import file_rows, hive_escape, partition_glob, record_rows
+    root = f"{scratch}/src/db1/t1"
+    write(spark, root)
+    loc = CopyLocation("db1", "t1", "source", root, "ods")
+    with string_partition_values(spark):
+        files = file_rows(spark, loc, ["2022-03-02", "2099-01-01"])
+        records = record_rows(spark, loc, ["2022-03-02", "2099-01-01"])
+    listed = files.inputFiles()
+    assert listed and all("ods=2022-03-02" in f for f in listed)
+    assert all("ods=2022-03-02" in f for f in records.inputFiles())
+    assert records.count() == 10
+    assert hive_escape("2022-03-01 10:00") == "2022-03-01 10%3A00"
+    assert partition_glob(loc, ["a,b"]).endswith("/{ods=a\\,b}")
