@@ -6,6 +6,10 @@ item and its projections (result rows, control records, failure rows, run
 summary). Without ``stats_rows`` the copies are scanned from their paths;
 with it, any frame of ``COPY_STATS`` rows stands in for the scans.
 
+``checked=True`` runs the count job eagerly and isolates copies that fail
+while being read (see ``scan_copies_checked``); the counts are then read from
+the shared checkpoint folder.
+
 Plan shape (whatever the number of tables and partitions):
 
     scan roots (union) -> partial agg -> shuffle on (db, table, partition)
@@ -27,7 +31,7 @@ from copyaudit.operators.worklist import (ThreeWayParams, TwoWayParams, WorkList
                                           two_way_work_list)
 from copyaudit.schemas import ROLE_SOURCE, ROLE_STAGING, ROLE_TARGET
 from copyaudit.session import checkpoint_root
-from copyaudit.sources.copies import GLOB_MAX_VALUES, ROOT_ERROR, scan_copies
+from copyaudit.sources.copies import GLOB_MAX_VALUES, ROOT_ERROR, scan_copies, scan_copies_checked
 
 TWO_WAY_ROLES = [ROLE_SOURCE, ROLE_TARGET]
 THREE_WAY_ROLES = [ROLE_SOURCE, ROLE_STAGING, ROLE_TARGET]
@@ -89,10 +93,10 @@ def _partition_values(partitions):
     return values if len(values) < bound else None
 
 
-def _copies(spark, work, roles, partitions, stats_rows, root_errors):
+def _copies(spark, work, roles, partitions, stats_rows, root_errors, checked=False):
     if stats_rows is None:
-        stats_rows, root_errors = scan_copies(spark, copy_locations(work.tables, roles),
-                                              _partition_values(partitions))
+        scan = scan_copies_checked if checked else scan_copies
+        stats_rows, root_errors = scan(spark, copy_locations(work.tables, roles), _partition_values(partitions))
     if root_errors is None:
         root_errors = spark.createDataFrame([], ROOT_ERROR)
     return stats_rows, root_errors
@@ -100,9 +104,11 @@ def _copies(spark, work, roles, partitions, stats_rows, root_errors):
 
 def audit_two_way(spark: SparkSession, params: TwoWayParams, partitions,
                   stats_rows: DataFrame | None = None,
-                  root_errors: DataFrame | None = None) -> Audit:
+                  root_errors: DataFrame | None = None,
+                  checked: bool = False) -> Audit:
     work = two_way_work_list(spark, params, partitions)
-    stats_rows, root_errors = _copies(spark, work, TWO_WAY_ROLES, partitions, stats_rows, root_errors)
+    stats_rows, root_errors = _copies(spark, work, TWO_WAY_ROLES, partitions, stats_rows, root_errors,
+                                      checked)
     items = attach_copies(work.items, align_copies(stats_rows, TWO_WAY_ROLES),
                           root_errors_wide(root_errors, TWO_WAY_ROLES), TWO_WAY_ROLES)
     return _project("two_way", work, stats_rows, two_way_verdict(items))
@@ -110,9 +116,11 @@ def audit_two_way(spark: SparkSession, params: TwoWayParams, partitions,
 
 def audit_three_way(spark: SparkSession, params: ThreeWayParams, partitions,
                     stats_rows: DataFrame | None = None,
-                    root_errors: DataFrame | None = None) -> Audit:
+                    root_errors: DataFrame | None = None,
+                    checked: bool = False) -> Audit:
     work = three_way_work_list(spark, params, partitions)
-    stats_rows, root_errors = _copies(spark, work, THREE_WAY_ROLES, partitions, stats_rows, root_errors)
+    stats_rows, root_errors = _copies(spark, work, THREE_WAY_ROLES, partitions, stats_rows, root_errors,
+                                      checked)
     items = attach_copies(work.items, align_copies(stats_rows, THREE_WAY_ROLES),
                           root_errors_wide(root_errors, THREE_WAY_ROLES), THREE_WAY_ROLES)
     return _project("three_way", work, stats_rows, three_way_verdict(items, params.plain_rule))

@@ -50,16 +50,17 @@ def build_session(master: str | None = None, app_name: str = "copyaudit",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (a laptop or a unit test) do we make one,
-    and we register it so ``DataFrame.checkpoint()`` uses the same place.
+    Only a local session without one (a laptop or a unit test) gets a folder of
+    its own, registered so ``DataFrame.checkpoint()`` uses the same place; on a
+    cluster a missing setting is an error, never a machine-local folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="copyaudit-checkpoint-"))
         root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="copyaudit-checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if not spark.sparkContext.getCheckpointDir():
+    elif not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 

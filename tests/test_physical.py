@@ -182,3 +182,27 @@ def test_named_partitions_list_only_their_directories(spark, scratch):
     assert records.count() == 10
     assert hive_escape("2022-03-01 10:00") == "2022-03-01 10%3A00"
     assert partition_glob(loc, ["a,b"]).endswith("/{ods=a\\,b}")
+
+
+def test_run_two_way_writes_every_sink(spark, scratch):
+    from copyaudit.plans.run import run_two_way
+    from copyaudit.sinks.files import read_controls, read_failures
+    from copyaudit.sinks.tables import create_result_table
+    write(spark, f"{scratch}/src/db1/t1")
+    write(spark, f"{scratch}/src/db1/t2")
+    root = target_root(scratch)
+    write(spark, root)
+    bad = target_root(scratch, table="t2")
+    os.makedirs(f"{bad}/ods=2022-03-01")
+    with open(f"{bad}/ods=2022-03-01/part-0.orc", "w") as fh:
+        fh.write("junk")
+    params = two_way(scratch)
+    params.tables = "t1,t2"
+    table = create_result_table(spark, "run_test", "recon", three_way=False, location=f"{scratch}/recon")
+    summary = run_two_way(spark, params, ["2022-03-01", "2022-03-02"], table, f"{scratch}/ctl",
+                          f"{scratch}/fail").first()
+    assert (summary["done"], summary["errors"], summary["exit_code"]) == (2, 2, 1)
+    assert spark.table(table).count() == 2
+    assert read_controls(spark, f"{scratch}/ctl").count() == 2
+    fails = read_failures(spark, f"{scratch}/fail").collect()
+    assert {(f["table"], f["stage"]) for f in fails} == {("t2", "TargetListing")}
