@@ -167,8 +167,9 @@ def three_way_work_list(spark: SparkSession, p: ThreeWayParams, partitions,
 def copy_locations(tables: DataFrame, roles: list[str]) -> list[CopyLocation]:
     """Distinct physical copies to scan, one per (db, table, role).
 
-    ``tables`` has one row per argument pair, so this small collect is bounded
-    by the arguments, not by the data.
+    ``tables`` is a work list's ``tables`` (every argument pair) or ``items``
+    (only pairs with partitions to audit); either way the distinct roots are
+    bounded by the argument pairs, not by the data, so this collect is small.
     """
     root_col = {ROLE_SOURCE: "source_root", ROLE_STAGING: "staging_root", ROLE_TARGET: "target_root"}
     cols = ["db", "table", "partition_col", "data_format"] + [root_col[r] for r in roles]

@@ -31,7 +31,7 @@ from copyaudit.operators.worklist import (ThreeWayParams, TwoWayParams, WorkList
                                           two_way_work_list)
 from copyaudit.schemas import ROLE_SOURCE, ROLE_STAGING, ROLE_TARGET
 from copyaudit.session import checkpoint_root
-from copyaudit.sources.copies import GLOB_MAX_VALUES, ROOT_ERROR, scan_copies, scan_copies_checked
+from copyaudit.sources.copies import ROOT_ERROR, glob_limit, scan_copies, scan_copies_checked
 
 TWO_WAY_ROLES = [ROLE_SOURCE, ROLE_TARGET]
 THREE_WAY_ROLES = [ROLE_SOURCE, ROLE_STAGING, ROLE_TARGET]
@@ -88,7 +88,7 @@ def _partition_values(partitions):
         return [partitions]
     if isinstance(partitions, (list, tuple)):
         return list(partitions)
-    bound = GLOB_MAX_VALUES + 1
+    bound = glob_limit(partitions.sparkSession) + 1
     values = [r[0] for r in partitions.select("partition_date").distinct().limit(bound).collect()]
     return values if len(values) < bound else None
 
@@ -96,7 +96,7 @@ def _partition_values(partitions):
 def _copies(spark, work, roles, partitions, stats_rows, root_errors, checked=False):
     if stats_rows is None:
         scan = scan_copies_checked if checked else scan_copies
-        stats_rows, root_errors = scan(spark, copy_locations(work.tables, roles), _partition_values(partitions))
+        stats_rows, root_errors = scan(spark, copy_locations(work.items, roles), _partition_values(partitions))
     if root_errors is None:
         root_errors = spark.createDataFrame([], ROOT_ERROR)
     return stats_rows, root_errors

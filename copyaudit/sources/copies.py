@@ -101,8 +101,15 @@ def _prune(df: DataFrame, loc: CopyLocation, partition_values) -> DataFrame:
 HIVE_ESCAPED = '"#%\'*/:=?\\\x7f{[]^'
 # Characters that are special in a Hadoop glob.
 GLOB_SPECIAL = "\\{}[]*?,"
-# Above this many values the root is listed once and pruned instead.
+# A glob expands to one listed path per value; beyond Spark's parallel
+# discovery threshold that becomes a distributed listing job per copy, so from
+# there on the root is listed once (in parallel) and pruned instead.
 GLOB_MAX_VALUES = 1000
+DISCOVERY_THRESHOLD_KEY = "spark.sql.sources.parallelPartitionDiscovery.threshold"
+
+
+def glob_limit(spark: SparkSession) -> int:
+    return min(GLOB_MAX_VALUES, int(spark.conf.get(DISCOVERY_THRESHOLD_KEY, "32")))
 
 
 def hive_escape(value: str) -> str:
@@ -114,11 +121,11 @@ def glob_escape(text: str) -> str:
     return "".join("\\" + c if c in GLOB_SPECIAL else c for c in text)
 
 
-def partition_glob(loc: CopyLocation, partition_values) -> str | None:
+def partition_glob(loc: CopyLocation, partition_values, limit: int = GLOB_MAX_VALUES) -> str | None:
     """``root/{col=v1,col=v2}``: only the requested partition directories are
     listed, instead of the whole table root. ``None`` when no values are given
-    or there are too many for one pattern."""
-    if partition_values is None or not 0 < len(partition_values) <= GLOB_MAX_VALUES:
+    or there are more than ``limit``."""
+    if partition_values is None or not 0 < len(partition_values) <= limit:
         return None
     names = sorted({glob_escape(f"{loc.partition_col}={hive_escape(v)}") for v in partition_values})
     return f"{loc.root}/{{{','.join(names)}}}"
@@ -127,7 +134,7 @@ def partition_glob(loc: CopyLocation, partition_values) -> str | None:
 def _reader(spark: SparkSession, loc: CopyLocation, fmt: str, partition_values, user_schema=None):
     """(reader, path): a glob over the requested partitions below ``basePath``,
     or the table root (then a user schema, if given, avoids schema inference)."""
-    glob = partition_glob(loc, partition_values)
+    glob = partition_glob(loc, partition_values, glob_limit(spark))
     reader = spark.read.format(fmt)
     if glob is not None:
         return reader.option("basePath", loc.root), glob
