@@ -29,3 +29,20 @@ def test_other_statements_are_refused(spark):
     batches = spark.createDataFrame([("b1", "[DROP TABLE reg_test.t;]")], "batch_id string, batch string")
     out = apply_statements(spark, split_statements(batches)).first()
     assert out["outcome"] == "refused"
+
+
+def test_chunked_registration_keeps_exact_outcomes(spark, scratch):
+    spark.sql("CREATE DATABASE IF NOT EXISTS reg_test")
+    spark.sql("DROP TABLE IF EXISTS reg_test.c")
+    spark.sql(f"CREATE TABLE reg_test.c (v BIGINT, d STRING) USING orc PARTITIONED BY (d) LOCATION '{scratch}/c'")
+    stmts = [f"ALTER TABLE reg_test.c ADD PARTITION (d='{i}')" for i in range(7)]
+    stmts.insert(3, "ALTER TABLE reg_test.c ADD PARTITION (d='1')")        # repeat: must fail alone
+    stmts.append("ALTER TABLE reg_test.c ADD PARTITION (zz='9')")          # bad column: fails its chunk
+    stmts.append("ALTER TABLE reg_test.c ADD PARTITION (d='8')")
+    batch = "[" + ",\n".join(stmts) + ";]"
+    batches = spark.createDataFrame([("b1", batch)], "batch_id string, batch string")
+    out = apply_statements(spark, split_statements(batches), chunk_size=3)
+    got = [r["outcome"] for r in out.orderBy("ordinal").collect()]
+    assert got == ["ok", "ok", "ok", "failed", "ok", "ok", "ok", "ok", "failed", "ok"]
+    parts = sorted(r[0] for r in spark.sql("SHOW PARTITIONS reg_test.c").collect())
+    assert parts == [f"d={i}" for i in (0, 1, 2, 3, 4, 5, 6, 8)]
