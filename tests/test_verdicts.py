@@ -55,3 +55,15 @@ def test_tokenized_without_staging_is_a_failure(spark):
     assert audit.results.where("TableName = 'tok'").count() == 0
     msg = audit.failures.where("table = 'tok'").first()["message"]
     assert msg.startswith("ComputeStats failed for table sri_open.tok due to staging path not found")
+
+
+def test_three_way_partition_column_from_map(spark):
+    params = ThreeWayParams("s", "c", "x://c", "/p", "/o", "/n", "/v", "sri_open,other", '"pl|p"', "/ctl",
+                            partition_map="sri_open:log_day", use_partition_map=True)
+    rows = [("sri_open", "pl", "source", "d", 5, 1, 1), ("sri_open", "pl", "target", "d", 5, 1, 1)]
+    res = {r["SchemaName"]: r for r in
+           audit_three_way(spark, params, ["d"], stats_rows=stats(spark, rows)).results.collect()}
+    assert res["sri_open"]["SourcePath"] == "x://c/p/sri_open/pl/log_day=d"
+    assert res["sri_open"]["Status"] == "Done"
+    assert res["other"]["SourcePath"] == "x://c/p/other/pl/None=d"     # unmapped: no such copy -> E8 row
+    assert res["other"]["SourcePartRecordCount"] == -1
