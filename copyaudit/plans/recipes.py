@@ -122,11 +122,8 @@ def with_file_facts(counts: DataFrame) -> DataFrame:
 
 def recipe_stats(spark: SparkSession, sf_dir: str, recipes: list[Recipe]) -> DataFrame:
     """COPY_STATS rows of all copies of the given tables (one scan per table)."""
-    frames = [with_file_facts(recipe_counts(spark, sf_dir, r)) for r in recipes]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    from copyaudit.sources.copies import union_all
+    return union_all([with_file_facts(recipe_counts(spark, sf_dir, r)) for r in recipes])
 
 
 def work_partitions(spark: SparkSession, stats: DataFrame, recipes: list[Recipe]) -> DataFrame:
@@ -144,10 +141,8 @@ def source_partitions(spark: SparkSession, sf_dir: str, tables: list[Recipe] | N
     frames = [base_table(spark, sf_dir, r.name)
               .select(F.lit(r.name).alias("table"), r.partition().alias("partition_date")).distinct()
               for r in (tables or list(RECIPES.values()))]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    from copyaudit.sources.copies import union_all
+    return union_all(frames)
 
 
 def work_items(spark: SparkSession, sf_dir: str, tables: list[Recipe], by_db: bool = True) -> DataFrame:

@@ -27,7 +27,6 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -53,7 +52,7 @@ ROOT_ERROR = StructType([
 
 # Planning many table roots is driver work (one file index each); do it
 # concurrently, the listing of big roots itself runs as Spark jobs.
-PLANNING_THREADS = 8
+PLANNING_THREADS = 16
 
 
 @dataclass(frozen=True)
@@ -194,11 +193,20 @@ def scan_copies(spark: SparkSession, locations: list[CopyLocation],
         outcomes = list(pool.map(lambda loc: _scan_one(spark, loc, partition_values), locations))
     frames = [f for fs, _ in outcomes for f in fs]
     errors = [e for _, e in outcomes if e is not None]
-    empty = spark.createDataFrame([], COPY_STATS)
-    rows = reduce(DataFrame.unionByName, frames, empty) if frames else empty
+    rows = union_all(frames) if frames else spark.createDataFrame([], COPY_STATS)
     return rows, spark.createDataFrame(errors, ROOT_ERROR)
 
 
+def union_all(frames: list[DataFrame]) -> DataFrame:
+    """Union by name as a balanced tree: log-depth plan, and each step analyses
+    a small plan (a left-deep chain re-analyses the growing plan every time)."""
+    frames = list(frames)
+    while len(frames) > 1:
+        frames = [frames[i].unionByName(frames[i + 1]) if i + 1 < len(frames) else frames[i]
+                  for i in range(0, len(frames), 2)]
+    return frames[0]
+
+
 def copy_counts(stats_rows: DataFrame) -> DataFrame:
     """A1-A3: records, files and bytes per (db, table, role, partition)."""
     return (stats_rows.groupBy("db", "table", "role", "partition_date")
@@ -239,6 +247,5 @@ def scan_copies_checked(spark: SparkSession, locations: list[CopyLocation],
             good.append(copy_counts(one_rows).checkpoint(eager=True))
         except Exception as err:  # noqa: BLE001
             bad.append((loc.db, loc.table, loc.role, _first_line(err)))
-    empty = spark.createDataFrame([], COPY_STATS)
-    out = reduce(DataFrame.unionByName, good, empty) if good else empty
+    out = union_all(good) if good else spark.createDataFrame([], COPY_STATS)
     return out, spark.createDataFrame(bad, ROOT_ERROR)

@@ -88,3 +88,10 @@ def test_parameter_problems(spark):
     got = sorted((r["run_id"], r["parameter"]) for r in
                  parameter_problems(params, ["databases", "tables", "partition_map", "result_db"]).collect())
     assert got == [("r1", "result_db"), ("r1", "tables"), ("r2", "databases"), ("r2", "result_db")]
+
+
+def test_union_all_keeps_every_row(spark):
+    from copyaudit.sources.copies import union_all
+    frames = [spark.range(i, i + 1).selectExpr("id", "id * 2 AS twice") for i in range(13)]
+    got = sorted(tuple(r) for r in union_all(frames).collect())
+    assert got == [(i, 2 * i) for i in range(13)]
