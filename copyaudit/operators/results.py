@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from copyaudit.functions import messages, paths
 from copyaudit.operators.verdict import COMPARED, RESULT_STATES, SOURCE_MISSING
-from copyaudit.schemas import (FAILURE, PLAIN_STAGING, STATUS_DONE,
-                               THREE_WAY_RESULT, TWO_WAY_RESULT)
+from copyaudit.schemas import STATUS_DONE, THREE_WAY_RESULT, TWO_WAY_RESULT
+
 
 def _in_results():
     return F.col("state").isin(*RESULT_STATES)
@@ -103,7 +103,7 @@ def two_way_failures(verdicts: DataFrame, problems: DataFrame | None = None) ->
              .otherwise(F.format_string("Failed to get information for target path: %s; %s",
                                         F.col("target_path"), exception)))
     out = _failure_frame(rows, stage, messages.two_way_failure("db", "table", cause), exception)
-    return out.unionByName(_problem_failures(problems, out)) if problems is not None else out
+    return out.unionByName(_problem_failures(problems)) if problems is not None else out
 
 
 def three_way_failures(verdicts: DataFrame, problems: DataFrame | None = None) -> DataFrame:
@@ -119,10 +119,10 @@ def three_way_failures(verdicts: DataFrame, problems: DataFrame | None = None) -
              .when(st == "target_error", F.col("target_error"))
              .otherwise(F.format_string("target path not found: %s", F.col("target_path"))))
     out = _failure_frame(rows, stage, messages.three_way_failure(stage, "db", "table", cause), cause)
-    return out.unionByName(_problem_failures(problems, out)) if problems is not None else out
+    return out.unionByName(_problem_failures(problems)) if problems is not None else out
 
 
-def _problem_failures(problems: DataFrame, like: DataFrame) -> DataFrame:
+def _problem_failures(problems: DataFrame) -> DataFrame:
     return problems.select(
         F.col("stage"), F.lit(None).cast("string").alias("db"), F.lit(None).cast("string").alias("table"),
         F.lit(None).cast("string").alias("partition_date"), F.col("message"),
@@ -149,13 +149,3 @@ def run_summary(verdicts: DataFrame, problems: DataFrame | None = None) -> DataF
         F.count_if(st == SOURCE_MISSING).alias("source_missing"),
         F.count_if(~st.isin(*RESULT_STATES)).alias("errors"))
     return summary.withColumn("exit_code", F.when(F.col("errors") > 0, F.lit(1)).otherwise(F.lit(0)))
-
-
-def failure_schema_check(df: DataFrame) -> DataFrame:
-    return df.select(*[F.col(f.name).cast(f.dataType) for f in FAILURE.fields])
-
-
-__all__ = [
-    "two_way_results", "three_way_results", "two_way_controls", "three_way_controls",
-    "two_way_failures", "three_way_failures", "quarantine", "run_summary", "PLAIN_STAGING",
-]
