@@ -12,15 +12,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from copyaudit.plans.audits import Audit
-from copyaudit.sinks.files import write_controls, write_failures
+from copyaudit.sinks.files import write_controls, write_failures, write_marker_files
 from copyaudit.sinks.tables import append_results
 
 
-def run_audit(audit: Audit, result_table: str, control_path: str, failure_path: str) -> DataFrame:
-    """Write results, controls and failures; return the one-row run summary."""
+def run_audit(audit: Audit, result_table: str, control_path: str, failure_path: str,
+              markers: bool = False) -> DataFrame:
+    """Write results, controls and failures; return the one-row run summary.
+
+    ``markers=True`` also creates the empty ``<name>.match|nonmatch`` files in
+    each control directory, for consumers that wait for them by name.
+    """
     done = audit.materialized()
     append_results(done.results, result_table)
     write_controls(done.controls, control_path)
+    if markers:
+        write_marker_files(done.verdicts.sparkSession, done.controls)
     write_failures(done.failures, failure_path)
     return done.summary
 

@@ -52,3 +52,29 @@ def read_failures(spark: SparkSession, path: str, name_col: str | None = None) -
         schema += f", {name_col} string"
     return spark.read.schema(schema).option("header", "false").csv(path).select(
         *[F.col(c) for c in FAILURE_CSV_COLUMNS + ([name_col] if name_col else [])])
+
+
+def write_marker_files(spark: SparkSession, controls: DataFrame) -> int:
+    """Optional: the control records as empty files ``<control_dir>/<control_name>``.
+
+    For consumers that wait for marker files by name. Spark's writers cannot
+    name files, so the markers are created through Hadoop's FileSystem on the
+    driver, streaming the control rows (one per audited item, bounded by the
+    work list). The marker of the opposite outcome is removed, so a rerun never
+    leaves a stale one behind. Returns the number of markers written.
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    Path = jvm.org.apache.hadoop.fs.Path
+    written = 0
+    for row in controls.select("control_dir", "control_name", "outcome").toLocalIterator():
+        marker = Path(f"{row['control_dir']}/{row['control_name']}")
+        fs = marker.getFileSystem(conf)
+        fs.mkdirs(marker.getParent())
+        fs.create(marker, True).close()
+        other = "nonmatch" if row["outcome"] == "match" else "match"
+        stale = Path(f"{row['control_dir']}/{row['control_name'].rsplit('.', 1)[0]}.{other}")
+        if fs.exists(stale):
+            fs.delete(stale, False)
+        written += 1
+    return written

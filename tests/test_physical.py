@@ -206,3 +206,16 @@ def test_run_two_way_writes_every_sink(spark, scratch):
     assert read_controls(spark, f"{scratch}/ctl").count() == 2
     fails = read_failures(spark, f"{scratch}/fail").collect()
     assert {(f["table"], f["stage"]) for f in fails} == {("t2", "TargetListing")}
+
+
+def test_marker_files_replace_the_opposite_outcome(spark, scratch):
+    from copyaudit.sinks.files import write_marker_files
+    rows = [(f"{scratch}/ctl/s/c/db1", "db1_t1_2022-03-01.nonmatch", "nonmatch", "2022-03-01"),
+            (f"{scratch}/ctl/s/c/db1", "db1_t2_2022-03-01.match", "match", "2022-03-01")]
+    schema = "control_dir string, control_name string, outcome string, partition_date string"
+    assert write_marker_files(spark, spark.createDataFrame(rows, schema)) == 2
+    rerun = [(f"{scratch}/ctl/s/c/db1", "db1_t1_2022-03-01.match", "match", "2022-03-01")]
+    write_marker_files(spark, spark.createDataFrame(rerun, schema))
+    names = sorted(os.listdir(f"{scratch}/ctl/s/c/db1"))
+    assert [n for n in names if not n.startswith(".")] == ["db1_t1_2022-03-01.match", "db1_t2_2022-03-01.match"]
+    assert os.path.getsize(f"{scratch}/ctl/s/c/db1/db1_t1_2022-03-01.match") == 0
