@@ -219,3 +219,23 @@ def test_marker_files_replace_the_opposite_outcome(spark, scratch):
     names = sorted(os.listdir(f"{scratch}/ctl/s/c/db1"))
     assert [n for n in names if not n.startswith(".")] == ["db1_t1_2022-03-01.match", "db1_t2_2022-03-01.match"]
     assert os.path.getsize(f"{scratch}/ctl/s/c/db1/db1_t1_2022-03-01.match") == 0
+
+
+def test_all_copies_share_one_shuffle(spark, scratch):
+    """Plan shape: N copies are one union under one partial aggregate, one exchange."""
+    from copyaudit.operators.align import align_copies
+    locs = []
+    for t in ("t1", "t2", "t3"):
+        for role, base in (("source", f"{scratch}/src"), ("target", f"{scratch}/tgt")):
+            write(spark, f"{base}/db1/{t}")
+            locs.append(CopyLocation("db1", t, role, f"{base}/db1/{t}", "ods"))
+    rows, _ = scan_copies(spark, locs, ["2022-03-01"])
+    aligned = align_copies(rows, ["source", "target"])
+    plan = aligned._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    formatted = aligned._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert formatted.count("ReadSchema: struct<>") == 6                       # record scans: no columns
+    assert formatted.count("ReadSchema: struct<length:bigint>") == 6          # listings: sizes only
+    got = {r["table"]: (r["source_records"], r["target_records"]) for r in aligned.collect()}
+    assert got == {"t1": (10, 10), "t2": (10, 10), "t3": (10, 10)}
