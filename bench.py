@@ -10,6 +10,8 @@ Avro datasets under the shared checkpoint folder. Timed, each run twice
 * two_way_audit / three_way_audit: the path-based audits over those copies
   (listing + record counts of every copy, alignment, verdicts), collected;
 * q16 / q17 / q27: the registered derived-copy queries, collected;
+* wide_two_way_audit: eight tables (16 copies) in one audit, to show the cost
+  per item falling as tables are added (one scan job whatever their number);
 * loop_two_way: the same two-way counts done the way the original jobs do
   them, one count job per copy per item on the driver, for comparison.
 """
@@ -57,19 +59,33 @@ def main() -> None:
     physical.write_copies(spark, sf_dir, two_layout, two_parts, two_tables)
     physical.write_copies(spark, sf_dir, three_layout, three_parts, three_tables)
 
+    # many tables: the same orders copies under eight table names (16 copies)
+    from copyaudit.operators.worklist import copy_locations, two_way_work_list
+    wide_names = [f"orders_{i:02d}" for i in range(8)]
+    wide_layout = physical.two_way_layout(
+        spark, "bench-wide", catalog.two_way_params(tables=",".join(wide_names), databases="sri_open"))
+    wide_parts = recipes.work_items(spark, sf_dir, [recipes.ORDERS]).select(
+        "db", F.explode(F.array(*[F.lit(n) for n in wide_names])).alias("table"), "partition_date"
+    ).checkpoint(eager=True)
+    wide_work = two_way_work_list(spark, wide_layout.two_way, wide_parts)
+    for loc in copy_locations(wide_work.tables, ["source", "target"]):
+        recipes.copy_rows(spark, sf_dir, recipes.ORDERS, loc.role).write.mode("overwrite") \
+            .partitionBy(recipes.ORDERS.partition_col).orc(loc.root)
+
     runs = {
         "two_way_audit": lambda: audit_two_way(spark, two_layout.two_way, two_parts).results.collect(),
         "three_way_audit": lambda: audit_three_way(spark, three_layout.three_way, three_parts).results.collect(),
         "q16_two_way_result": lambda: catalog.q16_two_way_result(spark, sf_dir).collect(),
         "q17_three_way_result": lambda: catalog.q17_three_way_result(spark, sf_dir).collect(),
         "q27_multi_table_audit": lambda: catalog.q27_multi_table_audit(spark, sf_dir).collect(),
+        "wide_two_way_audit": lambda: audit_two_way(spark, wide_layout.two_way, wide_parts).results.collect(),
     }
     cold, warm = {}, {}
     for name, fn in runs.items():
         cold[name] = timed(fn)
         warm[name] = timed(fn)
 
-    extra = {}
+    extra = {"wide_items": wide_parts.count(), "two_way_items": two_parts.count()}
     if do_loop:
         # the original jobs' shape: per item, one count job per copy, sequential
         items = audit_two_way(spark, two_layout.two_way, two_parts).work.items \

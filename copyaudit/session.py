@@ -26,6 +26,12 @@ SESSION_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
+# In local mode a "distributed" listing job runs in the same JVM as the driver:
+# pure overhead, so directories are listed directly. Clusters keep the default.
+LOCAL_CONF = {
+    "spark.sql.sources.parallelPartitionDiscovery.threshold": "4096",
+}
+
 PARTITION_INFERENCE_KEY = "spark.sql.sources.partitionColumnTypeInference.enabled"
 
 
@@ -37,6 +43,8 @@ def build_session(master: str | None = None, app_name: str = "copyaudit",
     if master:
         builder = builder.master(master)
     conf = dict(SESSION_CONF)
+    if master and master.startswith("local"):
+        conf.update(LOCAL_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
