@@ -100,15 +100,14 @@ def _prune(df: DataFrame, loc: CopyLocation, partition_values) -> DataFrame:
 HIVE_ESCAPED = '"#%\'*/:=?\\\x7f{[]^'
 # Characters that are special in a Hadoop glob.
 GLOB_SPECIAL = "\\{}[]*?,"
-# A glob expands to one listed path per value; beyond Spark's parallel
-# discovery threshold that becomes a distributed listing job per copy, so from
-# there on the root is listed once (in parallel) and pruned instead.
-GLOB_MAX_VALUES = 1000
-DISCOVERY_THRESHOLD_KEY = "spark.sql.sources.parallelPartitionDiscovery.threshold"
+# A glob expands to one pattern per value, each looked up on its own; that pays
+# off when a run names a few partitions of a long history (a nightly date), not
+# for a backfill, where listing the root once is fewer calls.
+GLOB_MAX_VALUES = 32
 
 
 def glob_limit(spark: SparkSession) -> int:
-    return min(GLOB_MAX_VALUES, int(spark.conf.get(DISCOVERY_THRESHOLD_KEY, "32")))
+    return GLOB_MAX_VALUES
 
 
 def hive_escape(value: str) -> str:
