@@ -110,7 +110,8 @@ def three_way_failures(verdicts: DataFrame, problems: DataFrame | None = None) -
     """``<stage> failed for table <db>.<table> due to <cause>``."""
     st = F.col("state")
     rows = verdicts.where(~_in_results())
-    stage = F.when(st == "source_error", F.lit("FileCount")).otherwise(F.lit("ComputeStats"))
+    stage = (F.when(st == "source_error", F.lit(messages.STAGE_FILE_COUNT))
+             .otherwise(F.lit(messages.STAGE_COMPUTE)))
     cause = (F.when(st == "source_error", F.col("source_error"))
              .when(st == "invalid_type",
                    F.format_string("table type '%s' is neither t nor p", F.col("table_type")))

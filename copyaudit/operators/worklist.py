@@ -1,6 +1,6 @@
 """Work lists: which (db, table, partition) items to audit, and where they live.
 
-The reference loops over ``table x database`` on the driver and audits one
+The original jobs loop over ``table x database`` on the driver and audit one
 partition per turn. Here the whole work list is one DataFrame:
 
 * the ``db x table`` pairs come from two argument lists through two chained
@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from copyaudit.functions import paths, routing
+from copyaudit.functions import messages, paths, routing
 from copyaudit.schemas import PLAIN_STAGING, ROLE_SOURCE, ROLE_STAGING, ROLE_TARGET
 from copyaudit.sources.arguments import lookup_join_side, partition_map_frame
 from copyaudit.sources.copies import CopyLocation
@@ -107,8 +107,7 @@ def two_way_work_list(spark: SparkSession, p: TwoWayParams, partitions,
                            ).alias("target_root"),
                   paths.two_way_control_dir(_lit(p.target_prefix), _lit(p.src_system), _lit(p.country),
                                             "db").alias("control_dir"),
-                  F.when(F.col("partition_col").isNull(),
-                         F.format_string("failed to get Column Map for db %s", F.col("db"))).alias("problem")))
+                  F.when(F.col("partition_col").isNull(), messages.missing_column_map("db")).alias("problem")))
     found = F.col("partition_col").isNotNull()
     source_path = paths.source_partition_path(_lit(p.source_parent), "db", "table", "partition_col",
                                               "partition_date")

@@ -143,7 +143,7 @@ def apply_statements(spark: SparkSession, stmts: DataFrame, id_col: str = "batch
 
 def registration_failures(outcomes: DataFrame, src_system: str, country: str, status_dir: str,
                           partition: str | None = None) -> DataFrame:
-    """Failure rows with the reference message and failure file name.
+    """Failure rows with the original message and failure file name.
 
     ``partition`` defaults to each statement's batch id.
     """
