@@ -32,16 +32,17 @@ def run_audit(audit: Audit, result_table: str, control_path: str, failure_path:
     return done.summary
 
 
-def run_two_way(spark, params, partitions, result_table: str, control_path: str, failure_path: str) -> DataFrame:
+def run_two_way(spark, params, partitions, result_table: str, control_path: str, failure_path: str,
+                markers: bool = False) -> DataFrame:
     """Two-way audit over paths with read-time errors isolated, all sinks written."""
     from copyaudit.plans.audits import audit_two_way
     return run_audit(audit_two_way(spark, params, partitions, checked=True), result_table, control_path,
-                     failure_path)
+                     failure_path, markers)
 
 
 def run_three_way(spark, params, partitions, result_table: str, control_path: str,
-                  failure_path: str) -> DataFrame:
+                  failure_path: str, markers: bool = False) -> DataFrame:
     """Three-way audit over paths with read-time errors isolated, all sinks written."""
     from copyaudit.plans.audits import audit_three_way
     return run_audit(audit_three_way(spark, params, partitions, checked=True), result_table, control_path,
-                     failure_path)
+                     failure_path, markers)

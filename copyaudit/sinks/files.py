@@ -36,12 +36,14 @@ def write_failures(failures: DataFrame, path: str, name_col: str | None = None)
     """K5: failure rows as CSV without header, overwriting the previous run.
 
     ``name_col`` (e.g. the registration failure file name) becomes a directory
-    level, so each table's failures sit in their own folder.
+    level, so each table's failures sit in their own folder, and only the
+    folders of this run are replaced.
     """
     cols = FAILURE_CSV_COLUMNS + ([name_col] if name_col else [])
     writer = failures.select(*cols).write.mode("overwrite").option("header", "false")
     if name_col:
-        writer = writer.partitionBy(name_col)
+        # replace only the files named in this run, keep the others in the folder
+        writer = writer.partitionBy(name_col).option("partitionOverwriteMode", "dynamic")
     writer.csv(path)
 
 

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -12,8 +13,9 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
+    warehouse = tempfile.mkdtemp(prefix="copyaudit-warehouse-")     # tests only: managed tables
     s = build_session("local[4]", app_name="copyaudit-tests", shuffle_partitions=4,
-                      extra={"spark.ui.showConsoleProgress": "false"})
+                      extra={"spark.ui.showConsoleProgress": "false", "spark.sql.warehouse.dir": warehouse})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
