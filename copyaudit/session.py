@@ -24,6 +24,8 @@ SESSION_CONF = {
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     # result tables are rewritten one partition_date at a time
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # checkpoints of a run are removed from the shared folder once unreferenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 # In local mode a "distributed" listing job runs in the same JVM as the driver:

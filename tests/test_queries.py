@@ -50,3 +50,18 @@ def test_entry_runs(spark):
     df = entry(spark)
     assert len(df.columns) == 14
     assert df.count() > 0
+
+
+# Expected outcomes per table at sf0.001 (FIXTURES.md section 3).
+EXPECTED_OUTCOMES = {
+    ("orders", "Done"): 63, ("orders", "Failed"): 16, ("orders", "target_missing"): 1,
+    ("orders", "source_missing"): 1,
+    ("lineitem", "Done"): 59, ("lineitem", "Failed"): 24,
+    ("events", "Done"): 27, ("events", "Failed"): 3, ("events", "source_missing"): 1,
+}
+
+
+def test_outcomes_match_the_published_fixture_counts(spark):
+    df = queries()["q27_multi_table_audit"](spark, SF_SMALL)
+    got = {(r["TableName"], r["outcome"]): r["count"] for r in df.groupBy("TableName", "outcome").count().collect()}
+    assert got == EXPECTED_OUTCOMES
