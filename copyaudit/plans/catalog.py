@@ -474,7 +474,7 @@ def q18_result_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, audit, three in (("two_way", derived_two_way(spark, sf_dir), False),
                                ("three_way", derived_three_way(spark, sf_dir), True)):
         table = create_result_table(spark, "copyaudit_results", f"{name}_{suffix}", three,
-                                    location=f"{base}/{name}")
+                                    location=f"{base}/{name}", database_location=f"{base}/db")
         done = audit.materialized()
         append_results(done.results, table)
         append_results(done.results, table)
@@ -572,8 +572,8 @@ def q22_register_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the batches to a catalog table; one outcome per statement."""
     from copyaudit.plans.registration import apply_statements, registration_failures, split_statements
     from copyaudit.session import scratch_path
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {REG_DB}")
     base = scratch_path(spark, "q22")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {REG_DB} LOCATION '{base}/db'")
     for table, cols, keys in ((REG_TABLE, "o_orderkey BIGINT, ods STRING", "ods"),
                               (HIST_TABLE, "o_orderkey BIGINT, ods STRING, src STRING", "ods, src")):
         spark.sql(f"DROP TABLE IF EXISTS {table}")

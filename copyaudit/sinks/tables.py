@@ -17,9 +17,11 @@ def _columns_without_partition(ddl: str) -> str:
 
 
 def create_result_table(spark: SparkSession, database: str, table: str, three_way: bool,
-                        location: str | None = None, file_format: str = "orc") -> str:
-    """``CREATE DATABASE/TABLE IF NOT EXISTS``, partitioned, optional LOCATION."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+                        location: str | None = None, file_format: str = "orc",
+                        database_location: str | None = None) -> str:
+    """``CREATE DATABASE/TABLE IF NOT EXISTS``, partitioned, optional LOCATIONs."""
+    db_loc = f" LOCATION '{database_location}'" if database_location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{db_loc}")
     ddl = THREE_WAY_DDL_COLUMNS if three_way else TWO_WAY_DDL_COLUMNS
     loc = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{table} "
