@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from copyaudit.functions import messages, paths, statements
+from copyaudit.session import scratch_path
 from copyaudit.sources.arguments import statement_rows
 
 OUTCOME_SCHEMA = ("batch_id string, ordinal int, statement string, statement_table string, "
@@ -40,6 +41,7 @@ _SPEC = re.compile(r"PARTITION\s*\(([^)]*)\)", re.IGNORECASE)
 _KEY = re.compile(r"([A-Za-z_][A-Za-z0-9_]*)\s*=")
 REFUSED = "only ALTER TABLE ... ADD PARTITION statements are run"
 CHUNK_SIZE = 100
+SPILL_ROWS = 10_000
 
 
 def _first_line(err: Exception) -> str:
@@ -48,7 +50,7 @@ def _first_line(err: Exception) -> str:
 
 
 def apply_statements(spark: SparkSession, stmts: DataFrame, id_col: str = "batch_id",
-                     chunk_size: int = CHUNK_SIZE) -> DataFrame:
+                     chunk_size: int = CHUNK_SIZE, spill_rows: int = SPILL_ROWS) -> DataFrame:
     """Run each allowed statement; one outcome row per statement.
 
     Consecutive statements that add partitions to the same table are sent as
@@ -82,9 +84,22 @@ def apply_statements(spark: SparkSession, stmts: DataFrame, id_col: str = "batch
         return bool(cols) and bool(clauses) and all(
             {k.lower() for k in _KEY.findall(c)} == cols for c in clauses)
 
+    spill_path = scratch_path(spark, "registration-outcomes")
+    spilled = []
+
+    def spill():
+        """Outcomes go to the shared checkpoint folder in chunks; the driver
+        holds at most ``spill_rows`` of them, whatever the batch size."""
+        if outcomes:
+            spark.createDataFrame(outcomes, OUTCOME_SCHEMA).write.mode("append").parquet(spill_path)
+            spilled.append(len(outcomes))
+            outcomes.clear()
+
     def record(row, outcome, exception=None):
         outcomes.append((row[id_col], row["ordinal"], row["statement"], row["statement_table"],
                          outcome, exception))
+        if len(outcomes) >= spill_rows:
+            spill()
 
     def run_one(row):
         try:
@@ -138,6 +153,9 @@ def apply_statements(spark: SparkSession, stmts: DataFrame, id_col: str = "batch
         pending.append((row, table, ine, spec))
         seen.add(key)
     flush()
+    if spilled:
+        spill()
+        return spark.read.schema(OUTCOME_SCHEMA).parquet(spill_path)
     return spark.createDataFrame(outcomes, OUTCOME_SCHEMA)
 
 

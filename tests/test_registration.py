@@ -46,3 +46,13 @@ def test_chunked_registration_keeps_exact_outcomes(spark, scratch):
     assert got == ["ok", "ok", "ok", "failed", "ok", "ok", "ok", "ok", "failed", "ok"]
     parts = sorted(r[0] for r in spark.sql("SHOW PARTITIONS reg_test.c").collect())
     assert parts == [f"d={i}" for i in (0, 1, 2, 3, 4, 5, 6, 8)]
+
+
+def test_outcomes_spill_in_chunks(spark, scratch):
+    spark.sql("CREATE DATABASE IF NOT EXISTS reg_test")
+    spark.sql("DROP TABLE IF EXISTS reg_test.s")
+    spark.sql(f"CREATE TABLE reg_test.s (v BIGINT, d STRING) USING orc PARTITIONED BY (d) LOCATION '{scratch}/s'")
+    batch = "[" + ",\n".join(f"ALTER TABLE reg_test.s ADD PARTITION (d='{i}')" for i in range(7)) + ";]"
+    batches = spark.createDataFrame([("b1", batch)], "batch_id string, batch string")
+    out = apply_statements(spark, split_statements(batches), chunk_size=2, spill_rows=3)
+    assert sorted((r["ordinal"], r["outcome"]) for r in out.collect()) == [(i, "ok") for i in range(7)]
