@@ -239,3 +239,21 @@ def test_all_copies_share_one_shuffle(spark, scratch):
     assert formatted.count("ReadSchema: struct<length:bigint>") == 6          # listings: sizes only
     got = {r["table"]: (r["source_records"], r["target_records"]) for r in aligned.collect()}
     assert got == {"t1": (10, 10), "t2": (10, 10), "t3": (10, 10)}
+
+
+def test_files_in_subfolders_of_a_partition_are_counted(spark, scratch):
+    """Content below a partition directory counts recursively (e.g. base_/delta_ folders)."""
+    import shutil
+    root = f"{scratch}/src/db1/t1"
+    write(spark, root)
+    day = f"{root}/ods=2022-03-01"
+    first = sorted(f for f in os.listdir(day) if f.endswith(".orc"))[0]
+    os.makedirs(f"{day}/base_0001")
+    shutil.copy(f"{day}/{first}", f"{day}/base_0001/{first}")        # same rows again, one folder down
+    rows, errors = scan_copies(spark, [CopyLocation("db1", "t1", "source", root, "ods")])
+    assert errors.count() == 0
+    got = {r["partition_date"]: (r["records"], r["files"]) for r in copy_counts(rows).collect()}
+    files_top = len([f for f in os.listdir(day) if f.endswith(".orc")])
+    extra = spark.read.orc(f"{day}/base_0001").count()
+    assert got["2022-03-01"] == (10 + extra, files_top + 1)
+    assert got["2022-03-02"][0] == 10
