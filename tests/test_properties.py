@@ -73,3 +73,38 @@ def test_batches_split_back_into_their_statements(spark, batches, sep):
         got.setdefault(r["batch_id"], []).append((r["ordinal"], r["statement"], r["statement_table"]))
     want = {f"b{i}": [(j, s, s.split(" ")[2]) for j, s in enumerate(b)] for i, b in enumerate(batches)}
     assert {k: sorted(v) for k, v in got.items()} == want
+
+
+def two_way_model(db, s, t):
+    """Expected (state, Status, source records, target records, TargetPath empty?) of one two-way item."""
+    if db == "other":
+        return "lookup_missing", None, -1, -1
+    if s is None:
+        return "source_missing", "Done", -1, -1
+    if t is None:
+        return "target_missing", None, -1, -1
+    return "compared", "Done" if s == t else "Failed", s, t
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(items=st.lists(st.tuples(st.sampled_from(["db1", "other"]), count, count), min_size=1, max_size=25))
+def test_two_way_matches_model(spark, items):
+    from copyaudit.operators.worklist import TwoWayParams
+    from copyaudit.plans.audits import audit_two_way
+    rows, parts = [], []
+    for i, (db, s, t) in enumerate(items):
+        day = f"d{i:03d}"
+        parts.append((db, "t1", day))
+        for role, n in (("source", s), ("target", t)):
+            if n is not None:
+                rows.append((db, "t1", role, day, n, 1, n))
+    params = TwoWayParams("s", "c", "/src", "x://t/", "t1", "db1,other", "db1:ods")
+    partitions = spark.createDataFrame(parts, "db string, table string, partition_date string")
+    audit = audit_two_way(spark, params, partitions, stats_rows=spark.createDataFrame(rows, COPY_STATS))
+    got = {(r["db"], r["partition_date"]): (r["state"], r["Status"], r["source_records_out"], r["target_records_out"])
+           for r in audit.verdicts.collect()}
+    want = {(db, f"d{i:03d}"): two_way_model(db, s, t) for i, (db, s, t) in enumerate(items)}
+    assert got == want
+    n_results = sum(1 for v in want.values() if v[0] in ("compared", "source_missing"))
+    assert audit.results.count() == n_results
+    assert audit.failures.count() == len(want) - n_results
