@@ -14,11 +14,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from copyaudit.functions import messages, paths, routing
-from copyaudit.schemas import PLAIN_STAGING, ROLE_SOURCE, ROLE_STAGING, ROLE_TARGET
+from copyaudit.schemas import NO_PARTITION_COLUMN, PLAIN_STAGING, ROLE_SOURCE, ROLE_STAGING, ROLE_TARGET
 from copyaudit.sources.arguments import lookup_join_side, partition_map_frame
 from copyaudit.sources.copies import CopyLocation
 
@@ -85,8 +85,10 @@ def attach_partitions(work: DataFrame, partitions, how: str = "inner") -> DataFr
     return work.join(partitions.select(*keys, "partition_date"), on=keys, how=how)
 
 
-def _lit(x) -> Column:
-    return F.lit(x)
+def _map_problems(bad_pairs: DataFrame) -> DataFrame:
+    return bad_pairs.select(
+        F.lit("Parameters").alias("stage"),
+        F.format_string("malformed db:column pair '%s'", F.col("pair")).alias("message"))
 
 
 def two_way_work_list(spark: SparkSession, p: TwoWayParams, partitions,
@@ -98,26 +100,23 @@ def two_way_work_list(spark: SparkSession, p: TwoWayParams, partitions,
     tables = (pairs.join(lookup_join_side(lookup, p.partition_map),
                          F.lower(F.col("db")) == F.col("db_key"), "left")
               .select(
-                  _lit(p.src_system).alias("SrcSystem"), _lit(p.country).alias("Country"),
+                  F.lit(p.src_system).alias("SrcSystem"), F.lit(p.country).alias("Country"),
                   "db", "table", "partition_col",
-                  _lit(p.data_format).alias("data_format"),
-                  paths.table_root(_lit(p.source_parent), "db", "table").alias("source_root"),
-                  F.concat(paths.strip_one_slash(_lit(p.target_prefix)),
-                           paths.path_part(paths.table_root(_lit(p.source_parent), "db", "table"))
+                  F.lit(p.data_format).alias("data_format"),
+                  paths.table_root(F.lit(p.source_parent), "db", "table").alias("source_root"),
+                  F.concat(paths.strip_one_slash(F.lit(p.target_prefix)),
+                           paths.path_part(paths.table_root(F.lit(p.source_parent), "db", "table"))
                            ).alias("target_root"),
-                  paths.two_way_control_dir(_lit(p.target_prefix), _lit(p.src_system), _lit(p.country),
+                  paths.two_way_control_dir(F.lit(p.target_prefix), F.lit(p.src_system), F.lit(p.country),
                                             "db").alias("control_dir"),
                   F.when(F.col("partition_col").isNull(), messages.missing_column_map("db")).alias("problem")))
     found = F.col("partition_col").isNotNull()
-    source_path = paths.source_partition_path(_lit(p.source_parent), "db", "table", "partition_col",
+    source_path = paths.source_partition_path(F.lit(p.source_parent), "db", "table", "partition_col",
                                               "partition_date")
     items = attach_partitions(tables, partitions, partition_join).select(
         "*", F.when(found, source_path).alias("source_path"),
-        F.when(found, paths.target_partition_path(_lit(p.target_prefix), source_path)).alias("target_path"))
-    problems = bad_pairs.select(
-        F.lit("Parameters").alias("stage"),
-        F.format_string("malformed db:column pair '%s'", F.col("pair")).alias("message"))
-    return WorkList(tables=tables, items=items, problems=problems)
+        F.when(found, paths.target_partition_path(F.lit(p.target_prefix), source_path)).alias("target_path"))
+    return WorkList(tables=tables, items=items, problems=_map_problems(bad_pairs))
 
 
 def three_way_work_list(spark: SparkSession, p: ThreeWayParams, partitions,
@@ -133,33 +132,31 @@ def three_way_work_list(spark: SparkSession, p: ThreeWayParams, partitions,
         lookup, bad_pairs = partition_map_frame(spark, p.partition_map)
         tables = (tables.join(lookup_join_side(lookup, p.partition_map),
                               F.lower(F.col("db")) == F.col("db_key"), "left")
-                  .withColumn("partition_col", F.coalesce("partition_col", F.lit("None")))
+                  .withColumn("partition_col", F.coalesce("partition_col", F.lit(NO_PARTITION_COLUMN)))
                   .drop("db_key"))
     else:
         bad_pairs = None
         tables = tables.withColumn("partition_col", routing.partition_column_case("db"))
-    staging = routing.staging_root("table_type", "db", _lit(p.open_staging_dir),
-                                   _lit(p.non_open_staging_dir), _lit(p.storage_staging_dir))
+    staging = routing.staging_root("table_type", "db", F.lit(p.open_staging_dir),
+                                   F.lit(p.non_open_staging_dir), F.lit(p.storage_staging_dir))
     tables = tables.select(
-        _lit(p.src_system).alias("SrcSystem"), _lit(p.country).alias("Country"),
+        F.lit(p.src_system).alias("SrcSystem"), F.lit(p.country).alias("Country"),
         "db", "table_spec", "table", "table_type", "partition_col",
         routing.data_format("db").alias("data_format"),
         staging.alias("staging_dir"),
-        paths.cloud_source_root(_lit(p.container), _lit(p.parent_dir), "db", "table").alias("source_root"),
+        paths.cloud_source_root(F.lit(p.container), F.lit(p.parent_dir), "db", "table").alias("source_root"),
         F.when(staging == F.lit(PLAIN_STAGING), F.lit(PLAIN_STAGING))
          .otherwise(F.concat_ws("/", staging, F.col("table"))).alias("staging_root"),
-        paths.table_root(_lit(p.parent_dir), "db", "table").alias("target_root"),
-        paths.three_way_control_dir(_lit(p.ctrl_path)).alias("control_dir"),
+        paths.table_root(F.lit(p.parent_dir), "db", "table").alias("target_root"),
+        paths.three_way_control_dir(F.lit(p.ctrl_path)).alias("control_dir"),
         routing.valid_table_type("table_type").alias("valid_type"))
     part = paths.partition_dir("partition_col", "partition_date")
     items = attach_partitions(tables, partitions, partition_join).select(
         "*", F.concat_ws("/", "source_root", part).alias("source_path"),
         paths.staging_partition_path("staging_dir", "table", "partition_col", "partition_date").alias("staging_path"),
         F.concat_ws("/", "target_root", part).alias("target_path"))
-    spark_empty = spark.createDataFrame([], "stage string, message string")
-    problems = spark_empty if bad_pairs is None else bad_pairs.select(
-        F.lit("Parameters").alias("stage"),
-        F.format_string("malformed db:column pair '%s'", F.col("pair")).alias("message"))
+    problems = (spark.createDataFrame([], "stage string, message string") if bad_pairs is None
+                else _map_problems(bad_pairs))
     return WorkList(tables=tables, items=items, problems=problems)
 
 
