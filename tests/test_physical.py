@@ -257,3 +257,13 @@ def test_files_in_subfolders_of_a_partition_are_counted(spark, scratch):
     extra = spark.read.orc(f"{day}/base_0001").count()
     assert got["2022-03-01"] == (10 + extra, files_top + 1)
     assert got["2022-03-02"][0] == 10
+
+
+def test_two_way_over_parquet_copies(spark, scratch):
+    write(spark, f"{scratch}/src/db1/t1", fmt="parquet")
+    write(spark, target_root(scratch), [r for r in ROWS if r[0] != 1], fmt="parquet")   # day 2 loses a row
+    params = two_way(scratch)
+    params.data_format = "parquet"
+    res = by_date(audit_two_way(spark, params, ["2022-03-01", "2022-03-02"]).results,
+                  "SourcePartRecordCount", "TargetPartRecordCount", "Status")
+    assert res == {"2022-03-01": (10, 10, "Done"), "2022-03-02": (10, 9, "Failed")}
