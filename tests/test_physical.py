@@ -267,3 +267,14 @@ def test_two_way_over_parquet_copies(spark, scratch):
     res = by_date(audit_two_way(spark, params, ["2022-03-01", "2022-03-02"]).results,
                   "SourcePartRecordCount", "TargetPartRecordCount", "Status")
     assert res == {"2022-03-01": (10, 10, "Done"), "2022-03-02": (10, 9, "Failed")}
+
+
+def test_escaped_partition_values_are_found(spark, scratch):
+    """Values Spark escapes in directory names (':' -> %3A) are matched through the glob."""
+    rows = [(i, "2022-03-01 10:00" if i % 2 else "2022-03-01 22:30") for i in range(10)]
+    write(spark, f"{scratch}/src/db1/t1", rows)
+    write(spark, target_root(scratch), rows[:-1])                 # row 9 ("10:00") is not copied
+    assert any("%3A" in d for d in os.listdir(f"{scratch}/src/db1/t1"))
+    res = by_date(audit_two_way(spark, two_way(scratch), ["2022-03-01 10:00", "2022-03-01 22:30"]).results,
+                  "SourcePartRecordCount", "TargetPartRecordCount", "Status")
+    assert res == {"2022-03-01 10:00": (5, 4, "Failed"), "2022-03-01 22:30": (5, 5, "Done")}
