@@ -278,3 +278,11 @@ def test_escaped_partition_values_are_found(spark, scratch):
     res = by_date(audit_two_way(spark, two_way(scratch), ["2022-03-01 10:00", "2022-03-01 22:30"]).results,
                   "SourcePartRecordCount", "TargetPartRecordCount", "Status")
     assert res == {"2022-03-01 10:00": (5, 4, "Failed"), "2022-03-01 22:30": (5, 5, "Done")}
+
+
+def test_partition_values_with_glob_characters(spark, scratch):
+    rows = [(i, "a,b" if i % 2 else "c}d") for i in range(6)]
+    write(spark, f"{scratch}/src/db1/t1", rows)
+    write(spark, target_root(scratch), rows)
+    res = by_date(audit_two_way(spark, two_way(scratch), ["a,b", "c}d"]).results, "SourcePartRecordCount", "Status")
+    assert res == {"a,b": (3, "Done"), "c}d": (3, "Done")}
