@@ -2,9 +2,9 @@
 
 Every copy of a table is read once, below its *table root* (``basePath``); the
 partition column comes from the Hive-style directory names. When the audit
-names its partitions (a nightly date, a backfill range), only those directories
-are listed, through one glob ``root/{col=v1,col=v2}``; otherwise the root is
-listed and Catalyst prunes partitions. A missing partition is simply absent
+names a few partitions (a nightly date; up to ``GLOB_MAX_VALUES``), only those
+directories are listed, through one glob ``root/{col=v1,col=v2}``; otherwise
+the root is listed once and Catalyst prunes partitions. A missing partition is simply absent
 from the output, so a missing path never fails the job; the absence is seen
 later in a left join.
 
@@ -14,8 +14,8 @@ Both scans read no data column:
   (``ReadSchema: struct<>``). When the whole root is read, a user schema that
   holds only the partition column avoids schema inference (no footer reads
   while planning).
-* files/bytes: the ``binaryFile`` source with only ``path``/``length``
-  selected; file contents are never opened. Planning of all roots runs on a
+* files/bytes: the ``binaryFile`` source; only ``length`` reaches the scan
+  (``ReadSchema: struct<length:bigint>``) and file contents are never opened. Planning of all roots runs on a
   small thread pool with string-typed partition discovery.
 
 Both produce rows of ``COPY_STATS`` shape (``records``/``files``/``bytes`` as
