@@ -286,3 +286,15 @@ def test_partition_values_with_glob_characters(spark, scratch):
     write(spark, target_root(scratch), rows)
     res = by_date(audit_two_way(spark, two_way(scratch), ["a,b", "c}d"]).results, "SourcePartRecordCount", "Status")
     assert res == {"a,b": (3, "Done"), "c}d": (3, "Done")}
+
+
+def test_zero_row_files_are_present_with_zero_records(spark, scratch):
+    write(spark, f"{scratch}/src/db1/t1")
+    spark.createDataFrame([], "id long").write.orc(f"{scratch}/src/db1/t1/ods=2022-03-04")   # schema-only file
+    write(spark, target_root(scratch))
+    rows, _ = scan_copies(spark, [CopyLocation("db1", "t1", "source", f"{scratch}/src/db1/t1", "ods")])
+    got = {r["partition_date"]: (r["records"], r["files"]) for r in copy_counts(rows).collect()}
+    assert got["2022-03-04"][0] == 0 and got["2022-03-04"][1] >= 1
+    audit = audit_two_way(spark, two_way(scratch), ["2022-03-04"])
+    assert audit.results.count() == 0                                 # source present, target missing
+    assert [f["stage"] for f in audit.failures.collect()] == ["TargetListing"]
