@@ -25,6 +25,7 @@ aggregation on the map side, so each task ships one row per partition it saw.
 
 from __future__ import annotations
 
+import re
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -180,6 +181,76 @@ def _scan_one(spark, loc, partition_values):
         return [], (loc.db, loc.table, loc.role, str(err).splitlines()[0] if str(err) else repr(err))
 
 
+# Grouped scans: several copies of one role and format in one relation.
+_PLAIN_NAME = re.compile(r"^[A-Za-z0-9_.\-]+$")
+_PLAIN_BASE = re.compile(r"^[A-Za-z0-9_.\-/:@]+$")
+_SCHEME = "^(?:[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?)?"
+
+
+def _split_root(root: str) -> tuple[str, str] | None:
+    """``base/db/table`` -> (base, ``db/table``) when every part is a plain name."""
+    parts = root.rstrip("/").rsplit("/", 2)
+    if len(parts) != 3 or not all(_PLAIN_NAME.match(x) for x in parts[1:]) or not _PLAIN_BASE.match(parts[0]):
+        return None
+    return parts[0], f"{parts[1]}/{parts[2]}"
+
+
+def _groups(locations: list[CopyLocation], partition_values):
+    """Copies that can share one relation, and the rest.
+
+    Spark reads one table root per relation (partition discovery refuses
+    several roots), so copies are grouped only when the partition value can be
+    read from the file path without unescaping: named, plain partition values
+    (dates and the like) below plain ``base/db/table`` roots.
+    """
+    plain_values = (partition_values is not None and 0 < len(partition_values) <= GLOB_MAX_VALUES
+                    and all(_PLAIN_NAME.match(v) for v in partition_values))
+    groups: dict[tuple, list[tuple[CopyLocation, str]]] = {}
+    single: list[CopyLocation] = []
+    for loc in locations:
+        split = _split_root(loc.root) if plain_values and _PLAIN_NAME.match(loc.partition_col) else None
+        if split is None:
+            single.append(loc)
+            continue
+        groups.setdefault((loc.role, loc.fmt, loc.partition_col, split[0]), []).append((loc, split[1]))
+    grouped = {k: v for k, v in groups.items() if len(v) > 1}
+    single += [loc for k, v in groups.items() if len(v) == 1 for loc, _ in v]
+    return grouped, single
+
+
+def _scan_group(spark: SparkSession, key: tuple, members: list, partition_values):
+    """One relation for many copies: ``base/{db/t/col=v,...}`` read recursively;
+    the copy and the partition value come from each file's path. Returns the
+    frames, or ``None`` when the group must be read copy by copy."""
+    role, fmt, col, base = key
+    alts = sorted({f"{rel}/{col}={v}" for _, rel in members for v in partition_values})
+    path = f"{base}/{{{','.join(alts)}}}"
+    base_path = re.sub(_SCHEME, "", base)
+    pattern = _SCHEME + "\\Q" + base_path + "\\E/([^/]+/[^/]+)/" + col + "=([^/]*)/"
+    by_rel = {rel: loc for loc, rel in members}
+    dbs = F.create_map(*[F.lit(x) for rel, loc in by_rel.items() for x in (rel, loc.db)])
+    tables = F.create_map(*[F.lit(x) for rel, loc in by_rel.items() for x in (rel, loc.table)])
+
+    def tag(df, file_col, records, files, nbytes):
+        rel = F.regexp_extract(file_col, pattern, 1)
+        return df.select(
+            F.element_at(dbs, rel).alias("db"), F.element_at(tables, rel).alias("table"),
+            F.lit(role).alias("role"), F.regexp_extract(file_col, pattern, 2).alias("partition_date"),
+            records.cast("long").alias("records"), files.cast("long").alias("files"),
+            nbytes.cast("long").alias("bytes"))
+    try:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+        recs = spark.read.format(reader_format(fmt)).option("recursiveFileLookup", "true").load(path)
+    except AnalysisException as err:
+        if _is_missing(err) or _is_empty(err):
+            return []
+        return None
+    except Exception:  # noqa: BLE001 - read these copies one by one instead
+        return None
+    return [tag(files, F.col("path"), F.lit(0), F.lit(1), F.col("length")),
+            tag(recs, F.col("_metadata.file_path"), F.lit(1), F.lit(0), F.lit(0))]
+
+
 def scan_copies(spark: SparkSession, locations: list[CopyLocation],
                 partition_values=None) -> tuple[DataFrame, DataFrame]:
     """Plan the scans of all copies; return (stats rows, root errors).
@@ -188,9 +259,13 @@ def scan_copies(spark: SparkSession, locations: list[CopyLocation],
     single Spark job whatever the number of tables.
     """
     from copyaudit.session import string_partition_values
+    grouped, single = _groups(locations, partition_values)
     with string_partition_values(spark), ThreadPoolExecutor(max_workers=PLANNING_THREADS) as pool:
-        outcomes = list(pool.map(lambda loc: _scan_one(spark, loc, partition_values), locations))
-    frames = [f for fs, _ in outcomes for f in fs]
+        group_frames = list(pool.map(lambda kv: (kv, _scan_group(spark, kv[0], kv[1], partition_values)),
+                                     grouped.items()))
+        single += [loc for (_, members), fr in group_frames if fr is None for loc, _ in members]
+        outcomes = list(pool.map(lambda loc: _scan_one(spark, loc, partition_values), single))
+    frames = [f for _, fr in group_frames if fr for f in fr] + [f for fs, _ in outcomes for f in fs]
     errors = [e for _, e in outcomes if e is not None]
     rows = union_all(frames) if frames else spark.createDataFrame([], COPY_STATS)
     return rows, spark.createDataFrame(errors, ROOT_ERROR)

@@ -1,6 +1,7 @@
 """Path-based audits over copies written to a scratch folder."""
 
 import os
+import re
 
 from pyspark.sql import functions as F
 
@@ -222,23 +223,31 @@ def test_marker_files_replace_the_opposite_outcome(spark, scratch):
 
 
 def test_all_copies_share_one_shuffle(spark, scratch):
-    """Plan shape: N copies are one union under one partial aggregate, one exchange."""
+    """Plan shape: N copies are one union under one partial aggregate, one exchange.
+
+    Named plain partitions: the copies of a role share one relation (2 relations
+    for 6 copies). Whole roots: one relation per copy. No scan reads column data.
+    """
     from copyaudit.operators.align import align_copies
     locs = []
     for t in ("t1", "t2", "t3"):
         for role, base in (("source", f"{scratch}/src"), ("target", f"{scratch}/tgt")):
             write(spark, f"{base}/db1/{t}")
             locs.append(CopyLocation("db1", t, role, f"{base}/db1/{t}", "ods"))
-    rows, _ = scan_copies(spark, locs, ["2022-03-01"])
-    aligned = align_copies(rows, ["source", "target"])
-    plan = aligned._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1
-    formatted = aligned._jdf.queryExecution().explainString(
-        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
-    assert formatted.count("ReadSchema: struct<>") == 6                       # record scans: no columns
-    assert formatted.count("ReadSchema: struct<length:bigint>") == 6          # listings: sizes only
-    got = {r["table"]: (r["source_records"], r["target_records"]) for r in aligned.collect()}
-    assert got == {"t1": (10, 10), "t2": (10, 10), "t3": (10, 10)}
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    for values, relations in ((["2022-03-01"], 2), (None, 6)):
+        rows, _ = scan_copies(spark, locs, values)
+        aligned = align_copies(rows, ["source", "target"])
+        plan = aligned._jdf.queryExecution().explainString(mode)
+        assert len(re.findall(r"^\(\d+\) Exchange$", plan, re.M)) == 1
+        assert len(re.findall(r"^\(\d+\) Scan binaryFile", plan, re.M)) == relations
+        assert len(re.findall(r"^\(\d+\) Scan orc", plan, re.M)) == relations
+        assert "ReadSchema: struct<length:bigint>" in plan or "ReadSchema: struct<path:string,length:bigint>" in plan
+        assert plan.count("ReadSchema: struct<>") == relations            # record scans: no columns
+        got = {(r["table"], r["partition_date"]): (r["source_records"], r["target_records"])
+               for r in aligned.collect()}
+        assert got[("t1", "2022-03-01")] == (10, 10) and got[("t3", "2022-03-01")] == (10, 10)
+        assert len(got) == (3 if values else 9)
 
 
 def test_files_in_subfolders_of_a_partition_are_counted(spark, scratch):
