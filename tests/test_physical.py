@@ -307,3 +307,21 @@ def test_zero_row_files_are_present_with_zero_records(spark, scratch):
     audit = audit_two_way(spark, two_way(scratch), ["2022-03-04"])
     assert audit.results.count() == 0                                 # source present, target missing
     assert [f["stage"] for f in audit.failures.collect()] == ["TargetListing"]
+
+
+def test_grouped_scan_keeps_copies_apart(spark, scratch):
+    """Many tables in one relation: each file's counts land on its own copy."""
+    for t, n in (("t1", 30), ("t2", 12), ("t3", 30)):
+        rows = [(i, f"2022-03-0{1 + i % 3}") for i in range(n)]
+        write(spark, f"{scratch}/src/db1/{t}", rows)
+        if t != "t3":                                                  # t3 has no target copy
+            write(spark, target_root(scratch, table=t), rows[1:] if t == "t1" else rows)   # t1 loses row 0
+    params = two_way(scratch)
+    params.tables = "t1,t2,t3"
+    audit = audit_two_way(spark, params, ["2022-03-01", "2022-03-02"])
+    res = {(r["TableName"], r["partition_date"]): (r["SourcePartRecordCount"], r["TargetPartRecordCount"],
+                                                   r["Status"]) for r in audit.results.collect()}
+    assert res == {("t1", "2022-03-01"): (10, 9, "Failed"), ("t1", "2022-03-02"): (10, 10, "Done"),
+                   ("t2", "2022-03-01"): (4, 4, "Done"), ("t2", "2022-03-02"): (4, 4, "Done")}
+    fails = sorted((f["table"], f["partition_date"]) for f in audit.failures.collect())
+    assert fails == [("t3", "2022-03-01"), ("t3", "2022-03-02")]
