@@ -12,6 +12,9 @@ Avro datasets under the shared checkpoint folder. Timed, each run twice
 * q16 / q17 / q27: the registered derived-copy queries, collected;
 * wide_two_way_audit: eight tables (16 copies) in one audit, to show the cost
   per item falling as tables are added (one scan job whatever their number);
+* nightly_audit: one date across 64 tables (the nightly case): each role's
+  copies are read as one relation that lists only that date, compared with
+  the per-item loop on the same items (loop_nightly);
 * loop_two_way: the same two-way counts done the way the original jobs do
   them, one count job per copy per item on the driver, for comparison.
 """
@@ -29,6 +32,11 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from copyaudit.session import build_session  # noqa: E402
 
 
+# One business date across many tables, as a nightly run audits it.
+NIGHTLY_DATE = "1995-03"
+NIGHTLY_TABLES = 64
+
+
 def timed(fn):
     t0 = time.time()
     fn()
@@ -72,6 +80,18 @@ def main() -> None:
         recipes.copy_rows(spark, sf_dir, recipes.ORDERS, loc.role).write.mode("overwrite") \
             .partitionBy(recipes.ORDERS.partition_col).orc(loc.root)
 
+    # nightly: one date across many tables (each copy holds that date's partition)
+    nightly_names = [f"n{i:03d}" for i in range(NIGHTLY_TABLES)]
+    nightly_layout = physical.two_way_layout(
+        spark, "bench-nightly", catalog.two_way_params(tables=",".join(nightly_names), databases="sri_open"))
+    nightly_work = two_way_work_list(spark, nightly_layout.two_way, [NIGHTLY_DATE])
+    month = recipes.ORDERS.partition()
+    for role in ("source", "target"):
+        day_rows = recipes.copy_rows(spark, sf_dir, recipes.ORDERS, role).where(month == NIGHTLY_DATE) \
+            .checkpoint(eager=True)
+        for loc in copy_locations(nightly_work.tables, [role]):
+            day_rows.write.mode("overwrite").partitionBy(recipes.ORDERS.partition_col).orc(loc.root)
+
     runs = {
         "two_way_audit": lambda: audit_two_way(spark, two_layout.two_way, two_parts).results.collect(),
         "three_way_audit": lambda: audit_three_way(spark, three_layout.three_way, three_parts).results.collect(),
@@ -79,6 +99,7 @@ def main() -> None:
         "q17_three_way_result": lambda: catalog.q17_three_way_result(spark, sf_dir).collect(),
         "q27_multi_table_audit": lambda: catalog.q27_multi_table_audit(spark, sf_dir).collect(),
         "wide_two_way_audit": lambda: audit_two_way(spark, wide_layout.two_way, wide_parts).results.collect(),
+        "nightly_audit": lambda: audit_two_way(spark, nightly_layout.two_way, [NIGHTLY_DATE]).results.collect(),
     }
     cold, warm = {}, {}
     for name, fn in runs.items():
@@ -101,6 +122,10 @@ def main() -> None:
         extra["loop_two_way"] = timed(loop)
         extra["loop_items"] = len(items)
         extra["speedup_vs_loop"] = round(extra["loop_two_way"] / max(warm["two_way_audit"], 1e-9), 1)
+        items = nightly_work.items.select("source_path", "target_path").collect()
+        extra["loop_nightly"] = timed(loop)
+        extra["speedup_nightly_vs_loop"] = round(extra["loop_nightly"] / max(warm["nightly_audit"], 1e-9), 1)
+        extra["nightly_items"] = len(items)
 
     m = re.search(r"sf([0-9.]+)", sf_dir)
     out = {
