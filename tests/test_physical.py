@@ -325,3 +325,16 @@ def test_grouped_scan_keeps_copies_apart(spark, scratch):
                    ("t2", "2022-03-01"): (4, 4, "Done"), ("t2", "2022-03-02"): (4, 4, "Done")}
     fails = sorted((f["table"], f["partition_date"]) for f in audit.failures.collect())
     assert fails == [("t3", "2022-03-01"), ("t3", "2022-03-02")]
+
+
+def test_grouped_scan_over_avro_copies(spark, scratch):
+    avro = "org.apache.spark.sql.avro.AvroFileFormat"
+    for t, n in (("t1", 30), ("t2", 15)):
+        rows = [(i, f"2022-03-0{1 + i % 3}") for i in range(n)]
+        for base in (f"{scratch}/src/db1/{t}", target_root(scratch, table=t)):
+            spark.createDataFrame(rows, "id long, ods string").write.partitionBy("ods").format(avro).save(base)
+    params = two_way(scratch)
+    params.tables, params.data_format = "t1,t2", "avro"
+    res = {(r["TableName"], r["partition_date"]): (r["SourcePartRecordCount"], r["Status"])
+           for r in audit_two_way(spark, params, ["2022-03-01"]).results.collect()}
+    assert res == {("t1", "2022-03-01"): (10, "Done"), ("t2", "2022-03-01"): (5, "Done")}
