@@ -182,6 +182,7 @@ def _scan_one(spark, loc, partition_values):
 
 
 # Grouped scans: several copies of one role and format in one relation.
+GROUP_MAX_COPIES = 256
 _PLAIN_NAME = re.compile(r"^[A-Za-z0-9_.\-]+$")
 _PLAIN_BASE = re.compile(r"^[A-Za-z0-9_.\-/:@]+$")
 _SCHEME = "^(?:[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?)?"
@@ -213,8 +214,13 @@ def _groups(locations: list[CopyLocation], partition_values):
             single.append(loc)
             continue
         groups.setdefault((loc.role, loc.fmt, loc.partition_col, split[0]), []).append((loc, split[1]))
-    grouped = {k: v for k, v in groups.items() if len(v) > 1}
-    single += [loc for k, v in groups.items() if len(v) == 1 for loc, _ in v]
+    grouped: dict[tuple, list] = {}
+    for key, members in groups.items():
+        if len(members) == 1:
+            single.append(members[0][0])
+            continue
+        for start in range(0, len(members), GROUP_MAX_COPIES):      # bounded glob per relation
+            grouped[key + (start,)] = members[start:start + GROUP_MAX_COPIES]
     return grouped, single
 
 
@@ -222,7 +228,7 @@ def _scan_group(spark: SparkSession, key: tuple, members: list, partition_values
     """One relation for many copies: ``base/{db/t/col=v,...}`` read recursively;
     the copy and the partition value come from each file's path. Returns the
     frames, or ``None`` when the group must be read copy by copy."""
-    role, fmt, col, base = key
+    role, fmt, col, base, _ = key
     alts = sorted({f"{rel}/{col}={v}" for _, rel in members for v in partition_values})
     path = f"{base}/{{{','.join(alts)}}}"
     base_path = re.sub(_SCHEME, "", base)

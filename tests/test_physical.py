@@ -338,3 +338,16 @@ def test_grouped_scan_over_avro_copies(spark, scratch):
     res = {(r["TableName"], r["partition_date"]): (r["SourcePartRecordCount"], r["Status"])
            for r in audit_two_way(spark, params, ["2022-03-01"]).results.collect()}
     assert res == {("t1", "2022-03-01"): (10, "Done"), ("t2", "2022-03-01"): (5, "Done")}
+
+
+def test_groups_are_split_into_bounded_relations(spark, scratch, monkeypatch):
+    from copyaudit.sources import copies
+    monkeypatch.setattr(copies, "GROUP_MAX_COPIES", 2)
+    for t in ("t1", "t2", "t3"):
+        write(spark, f"{scratch}/src/db1/{t}")
+    locs = [CopyLocation("db1", t, "source", f"{scratch}/src/db1/{t}", "ods") for t in ("t1", "t2", "t3")]
+    grouped, single = copies._groups(locs, ["2022-03-01"])
+    assert sorted(len(v) for v in grouped.values()) == [1, 2] and single == []
+    rows, _ = scan_copies(spark, locs, ["2022-03-01"])
+    got = {r["table"]: r["records"] for r in copy_counts(rows).collect()}
+    assert got == {"t1": 10, "t2": 10, "t3": 10}
