@@ -351,3 +351,15 @@ def test_groups_are_split_into_bounded_relations(spark, scratch, monkeypatch):
     rows, _ = scan_copies(spark, locs, ["2022-03-01"])
     got = {r["table"]: r["records"] for r in copy_counts(rows).collect()}
     assert got == {"t1": 10, "t2": 10, "t3": 10}
+
+
+def test_grouping_only_when_paths_need_no_unescaping():
+    from copyaudit.sources import copies
+    locs = [CopyLocation("db1", t, "source", f"/wh/db1/{t}", "ods") for t in ("t1", "t2")]
+    assert len(copies._groups(locs, ["2022-03-01"])[0]) == 1                       # plain: one relation
+    for values in (None, ["2022-03-01 10:00"], [f"d{i}" for i in range(40)]):
+        grouped, single = copies._groups(locs, values)
+        assert grouped == {} and len(single) == 2                                 # read copy by copy
+    odd = [CopyLocation("db1", "t 1", "source", "/wh/db1/t 1", "ods"),
+           CopyLocation("db1", "t2", "source", "/wh/db1/t2", "ods")]
+    assert copies._groups(odd, ["2022-03-01"]) == ({}, odd)
