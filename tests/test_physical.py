@@ -363,3 +363,16 @@ def test_grouping_only_when_paths_need_no_unescaping():
     odd = [CopyLocation("db1", "t 1", "source", "/wh/db1/t 1", "ods"),
            CopyLocation("db1", "t2", "source", "/wh/db1/t2", "ods")]
     assert copies._groups(odd, ["2022-03-01"]) == ({}, odd)
+
+
+def test_junk_file_in_a_grouped_relation_is_isolated(spark, scratch):
+    from copyaudit.sources.copies import scan_copies_checked
+    for t in ("t1", "t2", "t3"):
+        write(spark, f"{scratch}/src/db1/{t}")
+    with open(f"{scratch}/src/db1/t2/ods=2022-03-01/part-junk.orc", "w") as fh:
+        fh.write("not an orc file")
+    locs = [CopyLocation("db1", t, "source", f"{scratch}/src/db1/{t}", "ods") for t in ("t1", "t2", "t3")]
+    rows, errors = scan_copies_checked(spark, locs, ["2022-03-01"])
+    assert [e["table"] for e in errors.collect()] == ["t2"]
+    got = {r["table"]: r["records"] for r in rows.collect()}
+    assert got == {"t1": 10, "t3": 10}
