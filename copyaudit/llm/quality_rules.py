@@ -34,7 +34,7 @@ class Fence:
 FENCES = {
     "word_length": Fence(least=100, low=True),
     "symbols": Fence(least=50),
-    "dup_lines": Fence(least=100),
+    "dup_lines": Fence(least=200),
     "repeats": Fence(least=100),
     "capitals": Fence(least=50),
 }
