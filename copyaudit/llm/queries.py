@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from copyaudit.llm import chat, quality_rules
+from copyaudit.llm import chat, mixing, packing, quality_rules, simhash
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
+    "op7_simhash_golay": simhash.op7_simhash_golay,
+    "op8_mix_sources": mixing.op8_mix_sources,
     "op9_chat_format": chat.op9_chat_format,
+    "op10_best_fit_packing": packing.op10_best_fit_packing,
 }
 ORACLES = {
     "op1_quality_rules": quality_rules.OP1_SQL,
+    "op8_mix_sources": mixing.OP8_SQL,
     "op9_chat_format": chat.OP9_SQL,
 }
