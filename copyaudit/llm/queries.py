@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from copyaudit.llm import chat, mixing, packing, quality_rules, secrets, simhash, spotsigs
+from copyaudit.llm import chat, line_dedup, mixing, packing, quality_rules, secrets, simhash, spotsigs
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
     "op3_secret_scan": secrets.op3_secret_scan,
     "op5_spotsigs": spotsigs.op5_spotsigs,
+    "op6_line_dedup": line_dedup.op6_line_dedup,
     "op7_simhash_golay": simhash.op7_simhash_golay,
     "op8_mix_sources": mixing.op8_mix_sources,
     "op9_chat_format": chat.op9_chat_format,
