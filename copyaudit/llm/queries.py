@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from copyaudit.llm import chat, line_dedup, mixing, packing, quality_rules, secrets, simhash, spotsigs
+from copyaudit.llm import byte_cnn, chat, line_dedup, mixing, packing, quality_rules, secrets, simhash, spotsigs
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
+    "op2_byte_cnn": byte_cnn.op2_byte_cnn,
     "op3_secret_scan": secrets.op3_secret_scan,
     "op5_spotsigs": spotsigs.op5_spotsigs,
     "op6_line_dedup": line_dedup.op6_line_dedup,
