@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from copyaudit.llm import byte_cnn, chat, line_dedup, mixing, packing, quality_rules, secrets, simhash, spotsigs
+from copyaudit.llm import byte_cnn, chat, html_text, line_dedup, mixing, packing, quality_rules, secrets, simhash, spotsigs
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
     "op2_byte_cnn": byte_cnn.op2_byte_cnn,
     "op3_secret_scan": secrets.op3_secret_scan,
+    "op4_html_text": html_text.op4_html_text,
     "op5_spotsigs": spotsigs.op5_spotsigs,
     "op6_line_dedup": line_dedup.op6_line_dedup,
     "op7_simhash_golay": simhash.op7_simhash_golay,
