@@ -187,15 +187,16 @@ def drop_repeated_lines(documents: DataFrame, edits: int = MAX_EDITS) -> DataFra
     columns = documents.columns
     dropped = kept(line_classes(documents, edits).where(~is_first()).groupBy(F.col("doc_id").alias("drop_id"))
                    .agg(F.array_sort(F.collect_set("line_no")).alias("drop_lines")))
-    joined = documents.join(dropped, documents["doc_id"].eqNullSafe(F.col("drop_id")), "left")
+    places = dropped["drop_lines"]
+    joined = documents.join(dropped, documents["doc_id"].eqNullSafe(dropped["drop_id"]), "left")
     lines = F.split(documents["text"], "\n")
-    text = F.when(F.col("drop_lines").isNull(), documents["text"]).otherwise(F.array_join(
-        F.filter(lines, lambda _, i: ~F.array_contains("drop_lines", i)), "\n"))
+    text = F.when(places.isNull(), documents["text"]).otherwise(F.array_join(
+        F.filter(lines, lambda _, i: ~F.array_contains(places, i)), "\n"))
     values = {"text": text}
     if "n_chars" in columns:
-        values["n_chars"] = F.when(F.col("drop_lines").isNull(), documents["n_chars"]) \
+        values["n_chars"] = F.when(places.isNull(), documents["n_chars"]) \
             .otherwise(F.length(text).cast(documents.schema["n_chars"].dataType))
-    emptied = F.col("drop_lines").isNotNull() & ~text.rlike(WORD)
+    emptied = places.isNotNull() & ~text.rlike(WORD)
     return joined.where(~emptied).select(*[values.get(c, documents[c]).alias(c) for c in columns])
 
 

@@ -157,16 +157,18 @@ def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, max_bits: int
 def keep_first(documents: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """One document of each component, the one with the smallest doc_id; all its columns.
 
-    Rows that repeat that doc_id are told apart by their text's hash, so one row stays of each group.
+    Of rows that repeat that doc_id one stays.
     """
     groups = near_duplicates(documents, shingle, max_bits)
     chosen = kept(groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
                   .groupBy(F.col("doc_id").alias("kept_id"), F.col("component_id").alias("kept_group"))
                   .agg(F.count(F.lit(1)).alias("kept_rows")).drop("kept_group"))
-    same = documents["doc_id"].cast("long").eqNullSafe(F.col("kept_id"))
-    once = documents.join(chosen.where("kept_rows = 1"), same, "left_semi")
-    repeated = documents.join(chosen.where("kept_rows > 1"), same, "left_semi").dropDuplicates(["doc_id"])
-    return once.unionByName(repeated)
+
+    def rows_of(ids: DataFrame) -> DataFrame:
+        return documents.join(ids, documents["doc_id"].cast("long").eqNullSafe(ids["kept_id"]), "left_semi")
+
+    once, repeated = chosen.where("kept_rows = 1"), chosen.where("kept_rows > 1")
+    return rows_of(once).unionByName(rows_of(repeated).dropDuplicates(["doc_id"]))
 
 
 def op7_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
