@@ -8,7 +8,7 @@ the codeword indices of all words within one bit of it (six keys or one), and a
 of them. Of four 16-bit blocks, three errors leave one block exact; the other 48 bits hold two 23-bit segments, of
 which one has at most one error. So each fingerprint is stored under 8 keys (exact block + codeword index of a segment)
 and looks up at most 48, and every pair within three bits meets. Equal fingerprints are one node throughout, the
-distance is checked inside the join, and links join components through repeated equi-joins.
+distance is checked inside the join, and links join into components through repeated equi-joins.
 
 Defined cases: a null text has no words, and no words give fingerprint 0, linked like any other; repeated rows and equal
 texts share a fingerprint; a null doc_id counts as larger than any other when a component is named; other columns are
@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from copyaudit.llm.common import components, kept, table
@@ -51,14 +51,19 @@ def text_fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(documents: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """Rows ``(doc_id, fp)``; ``fp`` holds the 64 bits as a signed long."""
+    """Rows ``(doc_id, h, fp)``: ``h`` is a hash of the text, ``fp`` the 64 bits as a signed long."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.array([text_fingerprint(t, shingle) for t in batch.column(1).to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(fps.view(np.int64))],
-                                             names=["doc_id", "fp"])
+            fps = np.array([text_fingerprint(t, shingle) for t in batch.column(2).to_pylist()], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps.view(np.int64))],
+                                             names=["doc_id", "h", "fp"])
 
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash(documents).alias("h"), "text") \
+        .mapInArrow(run, "doc_id long, h long, fp long")
+
+
+def text_hash(documents: DataFrame) -> Column:
+    return F.xxhash64(F.coalesce(documents["text"], F.lit("")))
 
 
 class Golay:
@@ -143,32 +148,37 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return looked.join(stored, "key").where(near).select("a", "b").distinct()
 
 
+def groups(documents: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """Rows ``(doc_id, h, fp, group)``: ``group`` is one fingerprint of all that are linked, directly or not."""
+    marked = kept(fingerprints(documents, shingle))
+    distinct = kept(marked.select("fp").distinct())
+    linked = components(links(distinct, max_bits)).select(F.col("node").alias("fp"), F.col("component").alias("group"))
+    return marked.join(linked, "fp", "left").select("doc_id", "h", "fp", F.coalesce("group", "fp").alias("group"))
+
+
 def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """Rows ``(doc_id, fp, component_id)``: the smallest doc_id reachable over links, its own included."""
-    marked = kept(fingerprints(documents, shingle))
-    first = kept(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    grouped = components(links(first, max_bits)).withColumnRenamed("node", "fp")
-    labels = first.join(grouped, "fp", "left").withColumn("group", F.coalesce("component", "fp"))
-    least = labels.groupBy("group").agg(F.min("first_id").alias("component_id"))
-    named = labels.select("fp", "group").join(least, "group").select("fp", "component_id")
-    return marked.join(named, "fp").select("doc_id", "fp", "component_id")
+    grouped = groups(documents, shingle, max_bits)
+    least = grouped.groupBy("group").agg(F.min("doc_id").alias("component_id"))
+    return grouped.join(least, "group").select("doc_id", "fp", "component_id")
 
 
 def keep_first(documents: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """One document of each component, the one with the smallest doc_id; all its columns.
+    """One document of each component, the one with the smallest doc_id (then text hash); all its columns.
 
-    Of rows that repeat that doc_id one stays.
+    Of equal rows one stays.
     """
-    groups = near_duplicates(documents, shingle, max_bits)
-    chosen = kept(groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-                  .groupBy(F.col("doc_id").alias("kept_id"), F.col("component_id").alias("kept_group"))
-                  .agg(F.count(F.lit(1)).alias("kept_rows")).drop("kept_group"))
+    rows = groups(documents, shingle, max_bits).groupBy("group", "doc_id", "h").agg(F.count(F.lit(1)).alias("copies"))
+    first = rows.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "h", "copies")).alias("first"))
+    chosen = kept(first.select(F.col("first.doc_id").alias("kept_id"), F.col("first.h").alias("kept_h"),
+                               F.col("first.copies").alias("copies")))
 
     def rows_of(ids: DataFrame) -> DataFrame:
-        return documents.join(ids, documents["doc_id"].cast("long").eqNullSafe(ids["kept_id"]), "left_semi")
+        same = documents["doc_id"].cast("long").eqNullSafe(ids["kept_id"]) & (text_hash(documents) == ids["kept_h"])
+        return documents.join(ids, same, "left_semi")
 
-    once, repeated = chosen.where("kept_rows = 1"), chosen.where("kept_rows > 1")
-    return rows_of(once).unionByName(rows_of(repeated).dropDuplicates(["doc_id"]))
+    return rows_of(chosen.where("copies = 1")).unionByName(
+        rows_of(chosen.where("copies > 1")).dropDuplicates(["doc_id", "text"]))
 
 
 def op7_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
