@@ -29,8 +29,11 @@ def align_copies(stats_rows: DataFrame, roles: list[str]) -> DataFrame:
 
 
 def root_errors_wide(root_errors: DataFrame, roles: list[str]) -> DataFrame:
-    """One row per (db, table) with the scan error of each role, if any."""
-    return (root_errors.groupBy("db", "table")
+    """One row per (db, table, partition) with the scan error of each role, if any.
+
+    A row without a partition holds the errors of whole copies.
+    """
+    return (root_errors.groupBy(*KEYS)
             .agg(*[F.max(F.when(F.col("role") == r, F.col("exception"))).alias(f"{r}_error")
                    for r in roles]))
 
@@ -38,7 +41,13 @@ def root_errors_wide(root_errors: DataFrame, roles: list[str]) -> DataFrame:
 def attach_copies(items: DataFrame, aligned: DataFrame, errors_wide: DataFrame,
                   roles: list[str]) -> DataFrame:
     """Left joins: every work item keeps its row, present or not."""
-    out = items.join(aligned, on=KEYS, how="left").join(errors_wide, on=["db", "table"], how="left")
+    names = [f"{role}_error" for role in roles]
+    own = errors_wide.where(F.col("partition_date").isNotNull())
+    whole = errors_wide.where(F.col("partition_date").isNull()).select(
+        "db", "table", *[F.col(n).alias(f"copy_{n}") for n in names])
+    out = items.join(aligned, on=KEYS, how="left").join(own, on=KEYS, how="left") \
+        .join(whole, on=["db", "table"], how="left")
     present = {f"{role}_present" for role in roles}
-    return out.select(*[F.coalesce(F.col(c), F.lit(False)).alias(c) if c in present else F.col(c)
-                        for c in out.columns])
+    kept = [c for c in out.columns if c not in names and not c.startswith("copy_")]
+    return out.select(*[F.coalesce(F.col(c), F.lit(False)).alias(c) if c in present else F.col(c) for c in kept],
+                      *[F.coalesce(f"copy_{n}", n).alias(n) for n in names])

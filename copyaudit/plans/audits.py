@@ -31,7 +31,7 @@ from copyaudit.operators.worklist import (ThreeWayParams, TwoWayParams, WorkList
                                           two_way_work_list)
 from copyaudit.schemas import ROLE_SOURCE, ROLE_STAGING, ROLE_TARGET
 from copyaudit.session import checkpoint_root
-from copyaudit.sources.copies import ROOT_ERROR, glob_limit, scan_copies, scan_copies_checked
+from copyaudit.sources.copies import ROOT_ERROR, scan_copies, scan_copies_checked
 
 TWO_WAY_ROLES = [ROLE_SOURCE, ROLE_TARGET]
 THREE_WAY_ROLES = [ROLE_SOURCE, ROLE_STAGING, ROLE_TARGET]
@@ -79,18 +79,12 @@ def _project(kind: str, work: WorkList, stats_rows: DataFrame, verdicts: DataFra
 
 
 def _partition_values(partitions):
-    """The partition values to list, or ``None`` to list whole table roots.
-
-    For a DataFrame of partitions only a bounded number of distinct values is
-    fetched; this picks the listing strategy and never limits the result.
-    """
+    """The distinct partition values to look up; bounded by the work list, whatever its form."""
     if isinstance(partitions, str):
         return [partitions]
     if isinstance(partitions, (list, tuple)):
         return list(partitions)
-    bound = glob_limit(partitions.sparkSession) + 1
-    values = [r[0] for r in partitions.select("partition_date").distinct().limit(bound).collect()]
-    return values if len(values) < bound else None
+    return [r[0] for r in partitions.select("partition_date").distinct().collect()]
 
 
 def _copies(spark, work, roles, partitions, stats_rows, root_errors, checked=False):

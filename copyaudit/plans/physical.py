@@ -34,14 +34,14 @@ def _path_only(spark: SparkSession, uri: str) -> str:
 
 def two_way_layout(spark: SparkSession, name: str, params: TwoWayParams) -> Layout:
     base = scratch_path(spark, name)
-    return Layout(base, two_way=replace(params, source_parent=f"{base}/onprem/warehouse",
-                                        target_prefix=f"{base}/cloud/"))
+    return Layout(base, two_way=replace(params, source_parent=f"{base}/sources/warehouse",
+                                        target_prefix=f"{base}/copies/"))
 
 
 def three_way_layout(spark: SparkSession, name: str, params: ThreeWayParams) -> Layout:
     base = scratch_path(spark, name)
     return Layout(base, three_way=replace(
-        params, container=f"{base}/cloud", parent_dir=_path_only(spark, f"{base}/onprem/warehouse"),
+        params, container=f"{base}/copies", parent_dir=_path_only(spark, f"{base}/sources/warehouse"),
         open_staging_dir=f"{base}/staging/open", non_open_staging_dir=f"{base}/staging/non_open",
         storage_staging_dir=f"{base}/staging/storage", ctrl_path=f"{base}/control"))
 

@@ -1,26 +1,19 @@
 """Physical copies: record counts and file inventories per partition.
 
-Every copy of a table is read once, below its *table root* (``basePath``); the
-partition column comes from the Hive-style directory names. When the audit
-names a few partitions (a nightly date; up to ``GLOB_MAX_VALUES``), only those
-directories are listed, through one glob ``root/{col=v1,col=v2}``; otherwise
-the root is listed once and Catalyst prunes partitions. A missing partition is simply absent
-from the output, so a missing path never fails the job; the absence is seen
-later in a left join.
-
-Both scans read no data column:
-
-* records: the format reader, projected to the partition column only
-  (``ReadSchema: struct<>``). When the whole root is read, a user schema that
-  holds only the partition column avoids schema inference (no footer reads
-  while planning).
-* files/bytes: the ``binaryFile`` source; only ``length`` reaches the scan
-  (``ReadSchema: struct<length:bigint>``) and file contents are never opened. Planning of all roots runs on a
-  small thread pool with string-typed partition discovery.
-
-Both produce rows of ``COPY_STATS`` shape (``records``/``files``/``bytes`` as
-per-row increments) that a single ``groupBy`` later sums, with partial
-aggregation on the map side, so each task ships one row per partition it saw.
+One path, whatever the number of tables, dates and copies:
+
+1. **Partition directories.** Per copy, one glob below its table root names the requested partitions
+   (``root/{col=v1,col=v2}``), or all of them (``root/col=*``). Only directories come back, already in the file
+   system's own spelling, so a trailing or doubled slash in an argument makes no difference. A copy or partition that
+   is not there is simply absent; any other failure of the lookup is an error row of that copy.
+2. **Files.** All directories of one format are one relation (``recursiveFileLookup``), listed by Spark once as a
+   distributed job. ``inputFiles`` names every data file, zero-length ones included (hidden ``_``/``.`` files are not
+   data). Each file must lie below exactly the directories that were asked for; a file that does not stops the run.
+3. **Counts.** Records are counted per file path (``ReadSchema: struct<>``), sizes come from the ``binaryFile``
+   source (only ``length`` is read), and both are summed per file. Only then do files become copies and partitions,
+   by a join with the file list, so nothing but the count runs per record.
+
+The output has ``COPY_STATS`` shape, one row per file and copy; ``copy_counts`` sums it.
 """
 
 from __future__ import annotations
@@ -28,9 +21,9 @@ from __future__ import annotations
 import re
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -44,16 +37,20 @@ READER_FORMATS = {
     "avro": "org.apache.spark.sql.avro.AvroFileFormat",
 }
 
+# An error of one partition of a copy; without a partition, of all of them.
 ROOT_ERROR = StructType([
     StructField("db", StringType()),
     StructField("table", StringType()),
     StructField("role", StringType()),
+    StructField("partition_date", StringType()),
     StructField("exception", StringType()),
 ])
 
-# Planning many table roots is driver work (one file index each); do it
-# concurrently, the listing of big roots itself runs as Spark jobs.
-PLANNING_THREADS = 16
+# Looking up the directories of many copies is driver work (one call each).
+LOOKUP_THREADS = 16
+
+# No data column is read, so no schema has to be inferred from a file.
+NO_COLUMNS = StructType([StructField("no_data_column", StringType())])
 
 
 @dataclass(frozen=True)
@@ -66,49 +63,24 @@ class CopyLocation:
     fmt: str = "orc"
 
 
-def reader_format(fmt: str) -> str:
-    return READER_FORMATS.get(fmt.lower(), fmt)
-
-
-def _is_missing(err: Exception) -> bool:
-    text = str(err)
-    return "PATH_NOT_FOUND" in text or "does not exist" in text
-
-
-def _is_empty(err: Exception) -> bool:
-    return "UNABLE_TO_INFER_SCHEMA" in str(err)
-
+@dataclass(frozen=True)
+class PartitionDir:
+    """An existing partition directory of a copy: as a path and as the URI that file paths start with."""
 
-def _tag(df: DataFrame, loc: CopyLocation, records, files, nbytes) -> DataFrame:
-    return df.select(
-        F.lit(loc.db).alias("db"),
-        F.lit(loc.table).alias("table"),
-        F.lit(loc.role).alias("role"),
-        F.col(loc.partition_col).cast("string").alias("partition_date"),
-        records.cast("long").alias("records"),
-        files.cast("long").alias("files"),
-        nbytes.cast("long").alias("bytes"),
-    )
+    loc: CopyLocation
+    value: str
+    path: str
+    uri: str
 
 
-def _prune(df: DataFrame, loc: CopyLocation, partition_values) -> DataFrame:
-    if partition_values is None:
-        return df
-    return df.where(F.col(loc.partition_col).isin(list(partition_values)))
+def reader_format(fmt: str) -> str:
+    return READER_FORMATS.get(fmt.lower(), fmt)
 
 
 # Characters Hive-style partition directory names escape as %XX.
 HIVE_ESCAPED = '"#%\'*/:=?\\\x7f{[]^'
 # Characters that are special in a Hadoop glob.
 GLOB_SPECIAL = "\\{}[]*?,"
-# A glob expands to one pattern per value, each looked up on its own; that pays
-# off when a run names a few partitions of a long history (a nightly date), not
-# for a backfill, where listing the root once is fewer calls.
-GLOB_MAX_VALUES = 32
-
-
-def glob_limit(spark: SparkSession) -> int:
-    return GLOB_MAX_VALUES
 
 
 def hive_escape(value: str) -> str:
@@ -120,161 +92,105 @@ def glob_escape(text: str) -> str:
     return "".join("\\" + c if c in GLOB_SPECIAL else c for c in text)
 
 
-def partition_glob(loc: CopyLocation, partition_values, limit: int = GLOB_MAX_VALUES) -> str | None:
-    """``root/{col=v1,col=v2}``: only the requested partition directories are
-    listed, instead of the whole table root. ``None`` when no values are given
-    or there are more than ``limit``."""
-    if partition_values is None or not 0 < len(partition_values) <= limit:
-        return None
-    names = sorted({glob_escape(f"{loc.partition_col}={hive_escape(v)}") for v in partition_values})
-    return f"{loc.root}/{{{','.join(names)}}}"
-
-
-def _reader(spark: SparkSession, loc: CopyLocation, fmt: str, partition_values, user_schema=None):
-    """(reader, path): a glob over the requested partitions below ``basePath``,
-    or the table root (then a user schema, if given, avoids schema inference)."""
-    glob = partition_glob(loc, partition_values, glob_limit(spark))
-    reader = spark.read.format(fmt)
-    if glob is not None:
-        return reader.option("basePath", loc.root), glob
-    if user_schema is not None:
-        reader = reader.schema(user_schema)
-    return reader, loc.root
+def _one_slash(uri: str) -> str:
+    """``file:///x`` and ``file:/x`` are spellings of one URI; the second is used here."""
+    return re.sub(r"^([A-Za-z][A-Za-z0-9+.-]*):///", r"\1:/", uri)
 
 
-def record_rows(spark: SparkSession, loc: CopyLocation, partition_values=None) -> DataFrame:
-    """One row per record, tagged with its copy and partition."""
-    schema = StructType([StructField(loc.partition_col, StringType())])
-    reader, path = _reader(spark, loc, reader_format(loc.fmt), partition_values, schema)
-    df = reader.load(path)
-    return _tag(_prune(df, loc, partition_values), loc, F.lit(1), F.lit(0), F.lit(0))
-
-
-def file_rows(spark: SparkSession, loc: CopyLocation, partition_values=None) -> DataFrame | None:
-    """One row per data file (hidden ``_``/``.`` files excluded).
-
-    ``binaryFile`` has a fixed data schema, so the partition column comes from
-    discovery (string-typed while the scans are planned). A root with no
-    ``<col>=<value>`` directories has no partitions: ``None`` when it holds no
-    files at all, an error when it holds files in another layout.
-    """
-    reader, path = _reader(spark, loc, "binaryFile", partition_values)
-    df = reader.load(path)
-    if loc.partition_col not in df.columns:
-        if df.select("path").limit(1).count() == 0:
-            return None
-        raise ValueError(f"no {loc.partition_col}=<value> partition directories under {loc.root}")
-    return _tag(_prune(df, loc, partition_values), loc, F.lit(0), F.lit(1), F.col("length"))
-
-
-def _scan_one(spark, loc, partition_values):
-    try:
-        files = file_rows(spark, loc, partition_values)
-        if files is None:
-            return [], None
-        return [files, record_rows(spark, loc, partition_values)], None
-    except AnalysisException as err:
-        if _is_missing(err) or _is_empty(err):
-            return [], None
-        return [], (loc.db, loc.table, loc.role, str(err).splitlines()[0])
-    except Exception as err:  # noqa: BLE001 - any other planning failure is a failure row
-        return [], (loc.db, loc.table, loc.role, str(err).splitlines()[0] if str(err) else repr(err))
-
-
-# Grouped scans: several copies of one role and format in one relation.
-GROUP_MAX_COPIES = 256
-_PLAIN_NAME = re.compile(r"^[A-Za-z0-9_.\-]+$")
-_PLAIN_BASE = re.compile(r"^[A-Za-z0-9_.\-/:@]+$")
-_SCHEME = "^(?:[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?)?"
-
-
-def _split_root(root: str) -> tuple[str, str] | None:
-    """``base/db/table`` -> (base, ``db/table``) when every part is a plain name."""
-    parts = root.rstrip("/").rsplit("/", 2)
-    if len(parts) != 3 or not all(_PLAIN_NAME.match(x) for x in parts[1:]) or not _PLAIN_BASE.match(parts[0]):
-        return None
-    return parts[0], f"{parts[1]}/{parts[2]}"
-
+def _first_line(err: Exception) -> str:
+    text = str(err)
+    return text.splitlines()[0] if text else repr(err)
 
-def _groups(locations: list[CopyLocation], partition_values):
-    """Copies that can share one relation, and the rest.
 
-    Spark reads one table root per relation (partition discovery refuses
-    several roots), so copies are grouped only when the partition value can be
-    read from the file path without unescaping: named, plain partition values
-    (dates and the like) below plain ``base/db/table`` roots.
-    """
-    plain_values = (partition_values is not None and 0 < len(partition_values) <= GLOB_MAX_VALUES
-                    and all(_PLAIN_NAME.match(v) for v in partition_values))
-    groups: dict[tuple, list[tuple[CopyLocation, str]]] = {}
-    single: list[CopyLocation] = []
-    for loc in locations:
-        split = _split_root(loc.root) if plain_values and _PLAIN_NAME.match(loc.partition_col) else None
-        if split is None:
-            single.append(loc)
-            continue
-        groups.setdefault((loc.role, loc.fmt, loc.partition_col, split[0]), []).append((loc, split[1]))
-    grouped: dict[tuple, list] = {}
-    for key, members in groups.items():
-        if len(members) == 1:
-            single.append(members[0][0])
-            continue
-        for start in range(0, len(members), GROUP_MAX_COPIES):      # bounded glob per relation
-            grouped[key + (start,)] = members[start:start + GROUP_MAX_COPIES]
-    return grouped, single
-
-
-def _scan_group(spark: SparkSession, key: tuple, members: list, partition_values):
-    """One relation for many copies: ``base/{db/t/col=v,...}`` read recursively;
-    the copy and the partition value come from each file's path. Returns the
-    frames, or ``None`` when the group must be read copy by copy."""
-    role, fmt, col, base, _ = key
-    alts = sorted({f"{rel}/{col}={v}" for _, rel in members for v in partition_values})
-    path = f"{base}/{{{','.join(alts)}}}"
-    base_path = re.sub(_SCHEME, "", base)
-    pattern = _SCHEME + "\\Q" + base_path + "\\E/([^/]+/[^/]+)/" + col + "=([^/]*)/"
-    by_rel = {rel: loc for loc, rel in members}
-    dbs = F.create_map(*[F.lit(x) for rel, loc in by_rel.items() for x in (rel, loc.db)])
-    tables = F.create_map(*[F.lit(x) for rel, loc in by_rel.items() for x in (rel, loc.table)])
-
-    def tag(df, file_col, records, files, nbytes):
-        rel = F.regexp_extract(file_col, pattern, 1)
-        return df.select(
-            F.element_at(dbs, rel).alias("db"), F.element_at(tables, rel).alias("table"),
-            F.lit(role).alias("role"), F.regexp_extract(file_col, pattern, 2).alias("partition_date"),
-            records.cast("long").alias("records"), files.cast("long").alias("files"),
-            nbytes.cast("long").alias("bytes"))
-    try:
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-        recs = spark.read.format(reader_format(fmt)).option("recursiveFileLookup", "true").load(path)
-    except AnalysisException as err:
-        if _is_missing(err) or _is_empty(err):
-            return []
-        return None
-    except Exception:  # noqa: BLE001 - read these copies one by one instead
-        return None
-    return [tag(files, F.col("path"), F.lit(0), F.lit(1), F.col("length")),
-            tag(recs, F.col("_metadata.file_path"), F.lit(1), F.lit(0), F.lit(0))]
+def partition_dirs(spark: SparkSession, loc: CopyLocation, partition_values=None) -> list[PartitionDir]:
+    """The requested partition directories of a copy that exist."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(loc.root)
+    base = f"{glob_escape(root.toString())}/"
+    if partition_values is None:
+        pattern = f"{base}{glob_escape(loc.partition_col)}=*"
+    else:
+        names = sorted({glob_escape(f"{loc.partition_col}={hive_escape(v)}") for v in partition_values})
+        pattern = f"{base}{{{','.join(names)}}}"
+    found = root.getFileSystem(conf).globStatus(jvm.org.apache.hadoop.fs.Path(pattern))
+    out = []
+    for status in found or []:
+        if status.isDirectory():
+            path = status.getPath()
+            value = unquote(path.getName().split("=", 1)[1])
+            out.append(PartitionDir(loc, value, path.toString(), _one_slash(path.toUri().toString())))
+    return out
+
+
+def existing_partitions(spark: SparkSession, locations: list[CopyLocation],
+                        partition_values=None) -> tuple[list[PartitionDir], list[tuple]]:
+    """Directories of all copies, and an error tuple per copy whose lookup failed."""
+    if partition_values is not None and not partition_values:
+        return [], []
+
+    def look(loc):
+        try:
+            return partition_dirs(spark, loc, partition_values), None
+        except Exception as err:  # noqa: BLE001 - e.g. no permission, unknown scheme: an error row of this copy
+            reason = getattr(err, "java_exception", None)
+            return [], (loc.db, loc.table, loc.role, None, reason.toString() if reason else _first_line(err))
+
+    with ThreadPoolExecutor(max_workers=LOOKUP_THREADS) as pool:
+        outcomes = list(pool.map(look, locations))
+    return [d for dirs, _ in outcomes for d in dirs], [e for _, e in outcomes if e]
+
+
+def _file_path() -> Column:
+    return F.regexp_replace(F.col("_metadata.file_path"), "^([A-Za-z][A-Za-z0-9+.-]*):///", "$1:/")
+
+
+def _owner(file: str, uris: set[str]) -> str:
+    """The partition directory a file lies in; a file outside all of them is an error, never dropped."""
+    at = file
+    while "/" in at:
+        at = at.rsplit("/", 1)[0]
+        if at in uris:
+            return at
+    raise ValueError(f"file belongs to no audited partition: {file}")
+
+
+def _format_rows(spark: SparkSession, fmt: str, dirs: list[PartitionDir]) -> DataFrame:
+    """Per file and copy: records, one file, bytes, of all directories of one format."""
+    paths = sorted({glob_escape(d.path) for d in dirs})
+    recursive = {"recursiveFileLookup": "true"}
+    records = spark.read.format(reader_format(fmt)).schema(NO_COLUMNS).options(**recursive).load(paths)
+    sizes = spark.read.format("binaryFile").options(**recursive).load(paths)
+    uris = {d.uri for d in dirs}
+    files = [(f, _owner(f, uris)) for f in map(_one_slash, records.inputFiles())]
+    if not files:
+        return spark.createDataFrame([], COPY_STATS)
+    listed = spark.createDataFrame(files, "file string, dir string")
+    owners = spark.createDataFrame([(d.uri, d.loc.db, d.loc.table, d.loc.role, d.value) for d in dirs],
+                                   "dir string, db string, `table` string, role string, partition_date string")
+    counted = records.select(_file_path().alias("file"), F.lit(1).alias("records"), F.lit(0).cast("long").alias("bytes")) \
+        .unionByName(sizes.select(_file_path().alias("file"), F.lit(0).alias("records"), F.col("length").alias("bytes"))) \
+        .groupBy("file").agg(F.sum("records").alias("records"), F.sum("bytes").alias("bytes"))
+    per_file = listed.join(counted, "file", "left").select(
+        "dir", F.coalesce("records", F.lit(0)).alias("records"), F.coalesce("bytes", F.lit(0)).alias("bytes"))
+    return per_file.join(owners, "dir").select(
+        "db", "table", "role", "partition_date", F.col("records").cast("long").alias("records"),
+        F.lit(1).cast("long").alias("files"), F.col("bytes").cast("long").alias("bytes"))
+
+
+def scan_dirs(spark: SparkSession, dirs: list[PartitionDir]) -> DataFrame:
+    """Stats rows of partition directories; one relation per format."""
+    by_format: dict[str, list[PartitionDir]] = {}
+    for d in dirs:
+        by_format.setdefault(d.loc.fmt.lower(), []).append(d)
+    frames = [_format_rows(spark, fmt, members) for fmt, members in sorted(by_format.items())]
+    return union_all(frames) if frames else spark.createDataFrame([], COPY_STATS)
 
 
 def scan_copies(spark: SparkSession, locations: list[CopyLocation],
                 partition_values=None) -> tuple[DataFrame, DataFrame]:
-    """Plan the scans of all copies; return (stats rows, root errors).
-
-    The stats rows of all roots form one union, so every count of the run is a
-    single Spark job whatever the number of tables.
-    """
-    from copyaudit.session import string_partition_values
-    grouped, single = _groups(locations, partition_values)
-    with string_partition_values(spark), ThreadPoolExecutor(max_workers=PLANNING_THREADS) as pool:
-        group_frames = list(pool.map(lambda kv: (kv, _scan_group(spark, kv[0], kv[1], partition_values)),
-                                     grouped.items()))
-        single += [loc for (_, members), fr in group_frames if fr is None for loc, _ in members]
-        outcomes = list(pool.map(lambda loc: _scan_one(spark, loc, partition_values), single))
-    frames = [f for _, fr in group_frames if fr for f in fr] + [f for fs, _ in outcomes for f in fs]
-    errors = [e for _, e in outcomes if e is not None]
-    rows = union_all(frames) if frames else spark.createDataFrame([], COPY_STATS)
-    return rows, spark.createDataFrame(errors, ROOT_ERROR)
+    """Plan the scan of all copies; return (stats rows, errors)."""
+    dirs, errors = existing_partitions(spark, locations, partition_values)
+    return scan_dirs(spark, dirs), spark.createDataFrame(errors, ROOT_ERROR)
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
@@ -295,37 +211,55 @@ def copy_counts(stats_rows: DataFrame) -> DataFrame:
                  F.sum("bytes").alias("bytes")))
 
 
-def _first_line(err: Exception) -> str:
+# Error conditions of a file that cannot be read, and how the message names the file.
+READ_ERRORS = ("FAILED_READ_FILE", "CANNOT_READ_FILE_FOOTER", "MALFORMED_ORC", "MALFORMED_AVRO")
+NAMED_FILE = re.compile(r"(?:reading file|footer for file:?)\s+'?([^\s']+?)'?\.?(?:\s|$)")
+
+
+def _unreadable_dirs(err: Exception, dirs: list[PartitionDir]) -> list[PartitionDir] | None:
+    """The directories of the file that a read error names, none if it names none; ``None`` for any other error."""
     text = str(err)
-    return text.splitlines()[0] if text else repr(err)
+    if not any(condition in text for condition in READ_ERRORS):
+        return None
+    named = NAMED_FILE.search(text)
+    if not named:
+        return []
+    uris = {d.uri for d in dirs} | {_one_slash(d.path) for d in dirs}
+    try:
+        owner = _owner(_one_slash(named[1]), uris)
+    except ValueError:
+        return []
+    return [d for d in dirs if owner in (d.uri, _one_slash(d.path))]
 
 
 def scan_copies_checked(spark: SparkSession, locations: list[CopyLocation],
                         partition_values=None) -> tuple[DataFrame, DataFrame]:
-    """Like :func:`scan_copies`, but a copy that fails *while being read*
-    (a corrupt or foreign file) becomes a root error instead of failing the run.
+    """Like :func:`scan_copies`, but a partition whose files cannot be read becomes an error instead of failing the run.
 
-    Normally this is one job: the aggregated counts of all copies, checkpointed
-    to the shared checkpoint folder (which also cuts the lineage back to the
-    scans). Only if that joint job fails is each copy aggregated on its own,
-    to name the bad ones; the good ones are kept.
+    Normally this is one job: the counts of all copies, kept in the shared checkpoint folder. If a file cannot be read,
+    the error names it; its partition is set aside and the rest is counted again in two halves, so good halves are kept
+    and only halves that hold another bad file are split further. Errors that are not read errors are raised.
     """
     from copyaudit.session import checkpoint_root
     checkpoint_root(spark)
-    rows, errors = scan_copies(spark, locations, partition_values)
-    try:
-        return copy_counts(rows).checkpoint(eager=True), errors
-    except Exception:  # noqa: BLE001 - fall back to per-copy isolation
-        pass
+    dirs, errors = existing_partitions(spark, locations, partition_values)
     good: list[DataFrame] = []
-    bad = [tuple(r) for r in errors.collect()]
-    for loc in locations:
-        one_rows, one_errors = scan_copies(spark, [loc], partition_values)
-        if one_errors.count():
-            continue
+    waiting = [dirs] if dirs else []
+    while waiting:
+        part = waiting.pop()
         try:
-            good.append(copy_counts(one_rows).checkpoint(eager=True))
-        except Exception as err:  # noqa: BLE001
-            bad.append((loc.db, loc.table, loc.role, _first_line(err)))
+            good.append(copy_counts(scan_dirs(spark, part)).checkpoint(eager=True))
+        except Exception as err:  # noqa: BLE001 - anything but a read error is raised again
+            bad = _unreadable_dirs(err, part)
+            if bad is None:
+                raise
+            if not bad and len({d.uri for d in part}) == 1:
+                bad = part
+            errors += [(d.loc.db, d.loc.table, d.loc.role, d.value, _first_line(err)) for d in bad]
+            # directories, not copies, are halved: copies that share one stay together
+            left = sorted({d.uri for d in part} - {d.uri for d in bad})
+            for uris in (set(left[:len(left) // 2]), set(left[len(left) // 2:])):
+                if uris:
+                    waiting.append([d for d in part if d.uri in uris])
     out = union_all(good) if good else spark.createDataFrame([], COPY_STATS)
-    return out, spark.createDataFrame(bad, ROOT_ERROR)
+    return out, spark.createDataFrame(errors, ROOT_ERROR)

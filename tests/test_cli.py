@@ -10,9 +10,9 @@ def test_two_way_command(spark, scratch):
     write(spark, f"{scratch}/src/db1/t1")
     write(spark, target_root(scratch), [(i, d) for i, d in [(0, "2022-03-01"), (1, "2022-03-02")]])
     args = ["two-way", "s", "c", f"{scratch}/src", f"{scratch}/tgt/", "t1", "2022-03-01", "db1,other",
-            "db1:ods", "cli_db", "recon2"]
+            "db1:ods", "cli_db", "audit_two"]
     assert main(args, spark) == 1                       # 'other' has no partition column: a failure row
-    row = spark.table("cli_db.recon2").first()
+    row = spark.table("cli_db.audit_two").first()
     assert (row["SourcePartRecordCount"], row["TargetPartRecordCount"], row["Status"]) == (10, 1, "Failed")
     assert os.path.exists(f"{scratch}/tgt/s/c/db1/db1_t1_2022-03-01.nonmatch")
 
@@ -37,13 +37,13 @@ def test_register_command(spark, scratch):
 
 
 def test_three_way_command(spark, scratch):
-    parent = f"{scratch}/onprem"
-    write(spark, f"{scratch}/cloud{parent}/sri_open/t1")
+    parent = f"{scratch}/wh"
+    write(spark, f"{scratch}/store{parent}/sri_open/t1")
     write(spark, f"{scratch}/stg/t1")
     write(spark, f"{parent}/sri_open/t1")
-    args = ["three-way", "s", "c", f"{scratch}/cloud", parent, f"{scratch}/stg", "/unused", "/unused",
-            "sri_open", '"t1|t"', "unused:map", "2022-03-02", "cli_db", "recon3", f"{scratch}/ctl"]
+    args = ["three-way", "s", "c", f"{scratch}/store", parent, f"{scratch}/stg", "/unused", "/unused",
+            "sri_open", '"t1|t"', "unused:map", "2022-03-02", "cli_db", "audit_three", f"{scratch}/ctl"]
     assert main(args, spark) == 0
-    row = spark.table("cli_db.recon3").first()
+    row = spark.table("cli_db.audit_three").first()
     assert (row["SourcePartRecordCount"], row["StagingPartRecordCount"], row["Status"]) == (10, 10, "Done")
     assert os.path.exists(f"{scratch}/ctl/global/sri_open_t1_2022-03-02.match")

@@ -110,24 +110,24 @@ def test_junk_file_becomes_failure_not_abort(spark, scratch):
 
 
 def test_three_way_tokenized_plain_and_avro(spark, scratch):
-    parent = f"{scratch}/onprem"
-    p = ThreeWayParams(src_system="s", country="c", container=f"{scratch}/cloud", parent_dir=parent,
+    parent = f"{scratch}/wh"
+    p = ThreeWayParams(src_system="s", country="c", container=f"{scratch}/store", parent_dir=parent,
                        open_staging_dir=f"{scratch}/stg_open", non_open_staging_dir=f"{scratch}/stg_non",
                        storage_staging_dir=f"{scratch}/stg_sto", databases="sri_open,storage",
                        tables='"t1|t,t2|p,t3|x"', ctrl_path=f"{scratch}/ctl")
     # sri_open.t1 tokenized (ORC): source, staging, target
-    write(spark, f"{scratch}/cloud{parent}/sri_open/t1")
+    write(spark, f"{scratch}/store{parent}/sri_open/t1")
     write(spark, f"{scratch}/stg_open/t1")
     write(spark, f"{parent}/sri_open/t1", [r for r in ROWS if r[0] != 0])      # day 1 loses a row
     # storage.t2 plain (Avro), partition column vds
     avro = "org.apache.spark.sql.avro.AvroFileFormat"
     rows_v = [(i, d) for i, d in ROWS]
     spark.createDataFrame(rows_v, "id long, vds string").write.partitionBy("vds").format(avro) \
-        .save(f"{scratch}/cloud{parent}/storage/t2")
+        .save(f"{scratch}/store{parent}/storage/t2")
     spark.createDataFrame(rows_v, "id long, vds string").write.partitionBy("vds").format(avro) \
         .save(f"{parent}/storage/t2")
     # sri_open.t3 has an invalid type but a source copy
-    write(spark, f"{scratch}/cloud{parent}/sri_open/t3")
+    write(spark, f"{scratch}/store{parent}/sri_open/t3")
     audit = audit_three_way(spark, p, ["2022-03-01", "2022-03-02"])
     res = {(r["SchemaName"], r["TableName"], r["partition_date"]): r for r in audit.results.collect()}
     assert res[("sri_open", "t1", "2022-03-01")]["Status"] == "Failed"
@@ -169,20 +169,15 @@ def test_dropping_rows_fails_exactly_those_partitions(spark, scratch):
 
 
 def test_named_partitions_list_only_their_directories(spark, scratch):
-    from copyaudit.session import string_partition_values
-    from copyaudit.sources.copies import file_rows, hive_escape, partition_glob, record_rows
+    from copyaudit.sources.copies import existing_partitions, hive_escape
     root = f"{scratch}/src/db1/t1"
     write(spark, root)
     loc = CopyLocation("db1", "t1", "source", root, "ods")
-    with string_partition_values(spark):
-        files = file_rows(spark, loc, ["2022-03-02", "2099-01-01"])
-        records = record_rows(spark, loc, ["2022-03-02", "2099-01-01"])
-    listed = files.inputFiles()
-    assert listed and all("ods=2022-03-02" in f for f in listed)
-    assert all("ods=2022-03-02" in f for f in records.inputFiles())
-    assert records.count() == 10
+    dirs, errors = existing_partitions(spark, [loc], ["2022-03-02", "2099-01-01"])
+    assert [d.value for d in dirs] == ["2022-03-02"] and errors == []
+    assert sorted(d.value for d in existing_partitions(spark, [loc])[0]) == ["2022-03-01", "2022-03-02", "2022-03-03"]
     assert hive_escape("2022-03-01 10:00") == "2022-03-01 10%3A00"
-    assert partition_glob(loc, ["a,b"]).endswith("/{ods=a\\,b}")
+    assert existing_partitions(spark, [loc], []) == ([], [])
 
 
 def test_run_two_way_writes_every_sink(spark, scratch):
@@ -199,7 +194,7 @@ def test_run_two_way_writes_every_sink(spark, scratch):
         fh.write("junk")
     params = two_way(scratch)
     params.tables = "t1,t2"
-    table = create_result_table(spark, "run_test", "recon", three_way=False, location=f"{scratch}/recon")
+    table = create_result_table(spark, "run_test", "audit_rows", three_way=False, location=f"{scratch}/audit_rows")
     summary = run_two_way(spark, params, ["2022-03-01", "2022-03-02"], table, f"{scratch}/ctl",
                           f"{scratch}/fail").first()
     assert (summary["done"], summary["errors"], summary["exit_code"]) == (2, 2, 1)
@@ -222,12 +217,8 @@ def test_marker_files_replace_the_opposite_outcome(spark, scratch):
     assert os.path.getsize(f"{scratch}/ctl/s/c/db1/db1_t1_2022-03-01.match") == 0
 
 
-def test_all_copies_share_one_shuffle(spark, scratch):
-    """Plan shape: N copies are one union under one partial aggregate, one exchange.
-
-    Named plain partitions: the copies of a role share one relation (2 relations
-    for 6 copies). Whole roots: one relation per copy. No scan reads column data.
-    """
+def test_all_copies_of_a_format_are_one_relation(spark, scratch):
+    """Plan shape: however many copies, one record scan and one size scan, neither reading column data."""
     from copyaudit.operators.align import align_copies
     locs = []
     for t in ("t1", "t2", "t3"):
@@ -235,15 +226,14 @@ def test_all_copies_share_one_shuffle(spark, scratch):
             write(spark, f"{base}/db1/{t}")
             locs.append(CopyLocation("db1", t, role, f"{base}/db1/{t}", "ods"))
     mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
-    for values, relations in ((["2022-03-01"], 2), (None, 6)):
+    for values in (["2022-03-01"], None):
         rows, _ = scan_copies(spark, locs, values)
         aligned = align_copies(rows, ["source", "target"])
         plan = aligned._jdf.queryExecution().explainString(mode)
-        assert len(re.findall(r"^\(\d+\) Exchange$", plan, re.M)) == 1
-        assert len(re.findall(r"^\(\d+\) Scan binaryFile", plan, re.M)) == relations
-        assert len(re.findall(r"^\(\d+\) Scan orc", plan, re.M)) == relations
-        assert "ReadSchema: struct<length:bigint>" in plan or "ReadSchema: struct<path:string,length:bigint>" in plan
-        assert plan.count("ReadSchema: struct<>") == relations            # record scans: no columns
+        assert len(re.findall(r"^\(\d+\) Scan binaryFile", plan, re.M)) == 1
+        assert len(re.findall(r"^\(\d+\) Scan orc", plan, re.M)) == 1
+        assert plan.count("ReadSchema: struct<>") == 1
+        assert "regexp_extract" not in plan
         got = {(r["table"], r["partition_date"]): (r["source_records"], r["target_records"])
                for r in aligned.collect()}
         assert got[("t1", "2022-03-01")] == (10, 10) and got[("t3", "2022-03-01")] == (10, 10)
@@ -340,39 +330,101 @@ def test_grouped_scan_over_avro_copies(spark, scratch):
     assert res == {("t1", "2022-03-01"): (10, "Done"), ("t2", "2022-03-01"): (5, "Done")}
 
 
-def test_groups_are_split_into_bounded_relations(spark, scratch, monkeypatch):
-    from copyaudit.sources import copies
-    monkeypatch.setattr(copies, "GROUP_MAX_COPIES", 2)
-    for t in ("t1", "t2", "t3"):
+def verdicts(spark, params, dates):
+    audit = audit_two_way(spark, params, dates)
+    rows = {(r["TableName"], r["partition_date"]): (r["SourcePartRecordCount"], r["TargetPartRecordCount"], r["Status"])
+            for r in audit.results.collect()}
+    return rows, sorted((f["table"], f["partition_date"], f["stage"]) for f in audit.failures.collect())
+
+
+def test_slashes_and_numbers_of_dates_and_tables_change_nothing(spark, scratch):
+    for t in ("t1", "t2"):
         write(spark, f"{scratch}/src/db1/{t}")
-    locs = [CopyLocation("db1", t, "source", f"{scratch}/src/db1/{t}", "ods") for t in ("t1", "t2", "t3")]
-    grouped, single = copies._groups(locs, ["2022-03-01"])
-    assert sorted(len(v) for v in grouped.values()) == [1, 2] and single == []
-    rows, _ = scan_copies(spark, locs, ["2022-03-01"])
-    got = {r["table"]: r["records"] for r in copy_counts(rows).collect()}
-    assert got == {"t1": 10, "t2": 10, "t3": 10}
+        write(spark, target_root(scratch, table=t), [r for r in ROWS if r[0] % 2])          # half of the rows
+    days = ["2022-03-01", "2022-03-02"]
+    expected = {(t, d): (10, 5, "Failed") for t in ("t1", "t2") for d in days}
+    for parent_end in ("", "/", "//"):
+        for prefix_end in ("", "/", "//"):
+            params = two_way(scratch)
+            params.tables = "t1,t2"
+            params.source_parent, params.target_prefix = f"{scratch}/src{parent_end}", f"{scratch}/tgt{prefix_end}"
+            assert verdicts(spark, params, days) == (expected, [])
+    for extra in (31, 32, 500):
+        params = two_way(scratch)
+        params.tables = "t1,t2"
+        dates = days + [f"d{i:03d}" for i in range(extra)]
+        rows, failures = verdicts(spark, params, dates)
+        assert {k: v for k, v in rows.items() if k[1] in days} == expected and failures == []
+        assert {v for k, v in rows.items() if k[1] not in days} == {(-1, -1, "Done")}
+        frame = spark.createDataFrame([(t, d) for t in ("t1", "t2") for d in dates], "`table` string, partition_date string")
+        assert verdicts(spark, params, frame) == (rows, failures)
+    params = two_way(scratch)
+    assert verdicts(spark, params, days)[0] == {k: v for k, v in expected.items() if k[0] == "t1"}
+    params.tables = ",".join(f"t{i}" for i in range(1, 301))
+    assert {k: v for k, v in verdicts(spark, params, days)[0].items() if k[0] in ("t1", "t2")} == expected
 
 
-def test_grouping_only_when_paths_need_no_unescaping():
-    from copyaudit.sources import copies
-    locs = [CopyLocation("db1", t, "source", f"/wh/db1/{t}", "ods") for t in ("t1", "t2")]
-    assert len(copies._groups(locs, ["2022-03-01"])[0]) == 1                       # plain: one relation
-    for values in (None, ["2022-03-01 10:00"], [f"d{i}" for i in range(40)]):
-        grouped, single = copies._groups(locs, values)
-        assert grouped == {} and len(single) == 2                                 # read copy by copy
-    odd = [CopyLocation("db1", "t 1", "source", "/wh/db1/t 1", "ods"),
-           CopyLocation("db1", "t2", "source", "/wh/db1/t2", "ods")]
-    assert copies._groups(odd, ["2022-03-01"]) == ({}, odd)
+def test_a_file_outside_the_audited_partitions_stops_the_run():
+    import pytest
+    from copyaudit.sources.copies import _owner
+    assert _owner("file:/a/ods=1/b/c.orc", {"file:/a/ods=1"}) == "file:/a/ods=1"
+    with pytest.raises(ValueError):
+        _owner("file:/a/ods=2/c.orc", {"file:/a/ods=1"})
 
 
-def test_junk_file_in_a_grouped_relation_is_isolated(spark, scratch):
-    from copyaudit.sources.copies import scan_copies_checked
+def test_zero_byte_files_count(spark, scratch):
+    os.makedirs(f"{scratch}/src/db1/t1/ods=2022-03-01")
+    open(f"{scratch}/src/db1/t1/ods=2022-03-01/part-0.orc", "w").close()
+    write(spark, target_root(scratch))
+    dates = ["2022-03-01", *[f"d{i}" for i in range(40)]]
+    for asked in (dates[:1], dates):
+        rows, _ = verdicts(spark, two_way(scratch), asked)
+        assert rows[("t1", "2022-03-01")] == (0, 10, "Failed")            # there, without records: never "missing"
+    p = ThreeWayParams(src_system="s", country="c", container=f"{scratch}/store", parent_dir=f"{scratch}/wh",
+                       open_staging_dir=f"{scratch}/stg", non_open_staging_dir="/x", storage_staging_dir="/x",
+                       databases="sri_open", tables="t1|t", ctrl_path=f"{scratch}/ctl")
+    for root in (f"{scratch}/store{scratch}/wh/sri_open/t1", f"{scratch}/stg/t1", f"{scratch}/wh/sri_open/t1"):
+        spark.createDataFrame(ROWS, "id long, ods string").coalesce(1).write.partitionBy("ods").orc(root)
+    open(f"{scratch}/store{scratch}/wh/sri_open/t1/ods=2022-03-01/part-1.orc", "w").close()
+    res = by_date(audit_three_way(spark, p, ["2022-03-01", "2022-03-02"]).results,
+                  "SourcePartFileCount", "StagingPartFileCount", "Status")
+    assert res == {"2022-03-01": (2, 1, "Failed"), "2022-03-02": (1, 1, "Done")}
+
+
+def test_unreadable_files_fail_their_partitions_only(spark, scratch):
     for t in ("t1", "t2", "t3"):
         write(spark, f"{scratch}/src/db1/{t}")
-    with open(f"{scratch}/src/db1/t2/ods=2022-03-01/part-junk.orc", "w") as fh:
-        fh.write("not an orc file")
-    locs = [CopyLocation("db1", t, "source", f"{scratch}/src/db1/{t}", "ods") for t in ("t1", "t2", "t3")]
-    rows, errors = scan_copies_checked(spark, locs, ["2022-03-01"])
-    assert [e["table"] for e in errors.collect()] == ["t2"]
-    got = {r["table"]: r["records"] for r in rows.collect()}
-    assert got == {"t1": 10, "t3": 10}
+        write(spark, target_root(scratch, table=t))
+    for t, day in (("t1", "01"), ("t2", "03"), ("t3", "03")):
+        with open(f"{target_root(scratch, table=t)}/ods=2022-03-{day}/part-junk.orc", "w") as fh:
+            fh.write("not an orc file")
+    params = two_way(scratch)
+    params.tables = "t1,t2,t3"
+    audit = audit_two_way(spark, params, ["2022-03-01", "2022-03-02", "2022-03-03"], checked=True)
+    assert sorted((r["table"], r["partition_date"]) for r in audit.failures.collect()) == [
+        ("t1", "2022-03-01"), ("t2", "2022-03-03"), ("t3", "2022-03-03")]
+    rows = audit.results.collect()
+    assert len(rows) == 6 and {r["Status"] for r in rows} == {"Done"}
+
+
+def test_other_errors_are_raised(spark, scratch, monkeypatch):
+    import pytest
+    from copyaudit.sources import copies
+    write(spark, f"{scratch}/src/db1/t1")
+    locs = [CopyLocation("db1", "t1", "source", f"{scratch}/src/db1/t1", "ods")]
+
+    def broken(*_):
+        raise RuntimeError("executor lost")
+
+    monkeypatch.setattr(copies, "scan_dirs", broken)
+    with pytest.raises(RuntimeError):
+        copies.scan_copies_checked(spark, locs)
+
+
+def test_a_store_that_cannot_be_asked_is_an_error_of_its_copy(spark, scratch):
+    write(spark, f"{scratch}/src/db1/t1")
+    locs = [CopyLocation("db1", "t1", "source", f"{scratch}/src/db1/t1", "ods"),
+            CopyLocation("db1", "t2", "source", "nostore://host/db1/t2", "ods")]
+    rows, errors = scan_copies(spark, locs, ["2022-03-01"])
+    assert [(e["table"], e["partition_date"]) for e in errors.collect()] == [("t2", None)]
+    assert by_date(copy_counts(rows), "records") == {"2022-03-01": (10,)}
