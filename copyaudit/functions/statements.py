@@ -14,12 +14,12 @@ def _c(x) -> Column:
 
 
 def mark_statement_starts(batch) -> Column:
-    """A comma that starts a new ALTER statement becomes a separator.
+    """A comma that starts a new ALTER statement (in either case) becomes a separator.
 
     Commas inside ``PARTITION (a=1, b=2)`` are left alone, so a multi-column
     spec is not cut in two.
     """
-    return F.regexp_replace(_c(batch), r",\s*ALTER ", STATEMENT_MARK + "ALTER ")
+    return F.regexp_replace(_c(batch), r"(?i),\s*(ALTER\s)", STATEMENT_MARK + "$1")
 
 
 def split_batch(batch) -> Column:
@@ -38,10 +38,10 @@ def normalise_statement(raw) -> Column:
 
 def statement_table(statement) -> Column:
     """Third space-separated token, ``unknown`` when there is none."""
-    tokens = F.split(_c(statement), " ")
+    tokens = F.split(_c(statement), r"\s+")
     return F.when(F.size(tokens) >= 3, F.element_at(tokens, 3)).otherwise(F.lit(UNKNOWN_TABLE))
 
 
 def is_add_partition(statement) -> Column:
     """Only ``ALTER TABLE <t> ADD [IF NOT EXISTS] PARTITION`` is executed."""
-    return F.upper(_c(statement)).rlike(r"^ALTER TABLE \S+ ADD (IF NOT EXISTS )?PARTITION")
+    return _c(statement).rlike(r"(?i)^ALTER\s+TABLE\s+\S+\s+ADD\s+(IF\s+NOT\s+EXISTS\s+)?PARTITION")

@@ -63,7 +63,7 @@ def two_way_controls(verdicts: DataFrame) -> DataFrame:
     rows = verdicts.where(_in_results())
     is_match = F.col("source_records_out") == F.col("target_records_out")
     return rows.select(
-        F.col("control_dir"),
+        "db", "table", F.col("control_dir"),
         paths.control_name("db", "table", "partition_date", is_match).alias("control_name"),
         F.when(is_match, F.lit("match")).otherwise(F.lit("nonmatch")).alias("outcome"),
         "partition_date")
@@ -74,7 +74,7 @@ def three_way_controls(verdicts: DataFrame) -> DataFrame:
     rows = verdicts.where(F.col("state") == F.lit(COMPARED))
     is_match = F.col("Status") == F.lit(STATUS_DONE)
     return rows.select(
-        F.col("control_dir"),
+        "db", "table", F.col("control_dir"),
         paths.control_name("db", "table", "partition_date", is_match).alias("control_name"),
         F.when(is_match, F.lit("match")).otherwise(F.lit("nonmatch")).alias("outcome"),
         "partition_date")

@@ -115,22 +115,30 @@ def q27_multi_table_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- physical copies
 
-def _physical_two_way(spark: SparkSession, sf_dir: str, name: str, only_roles=None, tables=None):
+_WRITTEN: dict[tuple, tuple] = {}       # copies already written by this application, per table folder
+
+
+def _written_once(spark: SparkSession, sf_dir: str, kind: str, tables: list, params, layout_of):
+    from copyaudit.plans import physical
+    key = (spark.sparkContext.applicationId, sf_dir, kind)
+    if key not in _WRITTEN:
+        parts = recipes.work_items(spark, sf_dir, tables).checkpoint(eager=True)
+        layout = layout_of(spark, kind, params)
+        physical.write_copies(spark, sf_dir, layout, parts, tables)
+        _WRITTEN[key] = layout, parts
+    return _WRITTEN[key]
+
+
+def _physical_two_way(spark: SparkSession, sf_dir: str):
     from copyaudit.plans import physical
-    rs = tables or [recipes.ORDERS, recipes.EVENTS]
-    parts = recipes.work_items(spark, sf_dir, rs)
-    layout = physical.two_way_layout(spark, name, two_way_params())
-    physical.write_copies(spark, sf_dir, layout, parts, rs, only_roles)
-    return layout, parts
+    return _written_once(spark, sf_dir, "two-way", [recipes.ORDERS, recipes.EVENTS], two_way_params(),
+                         physical.two_way_layout)
 
 
-def _physical_three_way(spark: SparkSession, sf_dir: str, name: str, only_roles=None, tables=None):
+def _physical_three_way(spark: SparkSession, sf_dir: str):
     from copyaudit.plans import physical
-    rs = tables or [recipes.ORDERS, recipes.LINEITEM, recipes.EVENTS]
-    parts = recipes.work_items(spark, sf_dir, rs)
-    layout = physical.three_way_layout(spark, name, three_way_params())
-    physical.write_copies(spark, sf_dir, layout, parts, rs, only_roles)
-    return layout, parts
+    return _written_once(spark, sf_dir, "three-way", [recipes.ORDERS, recipes.LINEITEM, recipes.EVENTS],
+                         three_way_params(), physical.three_way_layout)
 
 
 @query("q01_partition_record_count", """
@@ -141,7 +149,7 @@ def q01_partition_record_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders written as ORC by month, read back from its root, counted."""
     from copyaudit.operators.worklist import copy_locations, two_way_work_list
     from copyaudit.sources.copies import copy_counts, scan_copies
-    layout, parts = _physical_two_way(spark, sf_dir, "q01", only_roles=["source"], tables=[recipes.ORDERS])
+    layout, parts = _physical_two_way(spark, sf_dir)
     work = two_way_work_list(spark, layout.two_way, parts)
     locs = [loc for loc in copy_locations(work.tables, ["source"]) if (loc.db, loc.table) == ("sri_open", "orders")]
     rows, _ = scan_copies(spark, locs)
@@ -156,7 +164,7 @@ def q02_avro_partition_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events routed to Avro by its database, written by day, counted."""
     from copyaudit.operators.worklist import copy_locations, three_way_work_list
     from copyaudit.sources.copies import copy_counts, scan_copies
-    layout, parts = _physical_three_way(spark, sf_dir, "q02", only_roles=["source"], tables=[recipes.EVENTS])
+    layout, parts = _physical_three_way(spark, sf_dir)
     work = three_way_work_list(spark, layout.three_way, parts)
     locs = [loc for loc in copy_locations(work.tables, ["source"]) if (loc.db, loc.table) == ("storage", "events")]
     rows, _ = scan_copies(spark, locs)
@@ -188,17 +196,38 @@ def q04_folder_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("q12_two_way_verdict", O.with_two_way("""
 SELECT db AS SchemaName, tbl AS TableName, pd AS partition_date,
        src_rec AS SourcePartRecordCount, tgt_rec AS TargetPartRecordCount,
+       CASE WHEN state = 'compared' THEN 1 ELSE -1 END AS SourcePartFileCount,
+       CASE WHEN state = 'compared' THEN 1 ELSE -1 END AS TargetPartFileCount,
        CASE WHEN state = 'source_missing' OR (state = 'compared' AND src_rec = tgt_rec) THEN 'Done'
             WHEN state = 'compared' THEN 'Failed' END AS Status,
        state
 FROM two_rows"""))
 def q12_two_way_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Written ORC copies, counted from their paths, aligned, judged."""
-    layout, parts = _physical_two_way(spark, sf_dir, "q12")
+    """Written ORC copies, counted from their paths, aligned, judged; one file per partition."""
+    layout, parts = _physical_two_way(spark, sf_dir)
     v = audit_two_way(spark, layout.two_way, parts).verdicts
     return v.select(F.col("db").alias("SchemaName"), F.col("table").alias("TableName"), "partition_date",
                     F.col("source_records_out").alias("SourcePartRecordCount"),
-                    F.col("target_records_out").alias("TargetPartRecordCount"), "Status", "state")
+                    F.col("target_records_out").alias("TargetPartRecordCount"),
+                    F.col("source_files_out").alias("SourcePartFileCount"),
+                    F.col("target_files_out").alias("TargetPartFileCount"), "Status", "state")
+
+
+@query("q28_all_dates_all_pairs", O.with_two_way("""
+SELECT d.db AS SchemaName, t.tbl AS TableName, p.pd AS partition_date,
+       coalesce(r.src_rec, -1) AS SourcePartRecordCount, coalesce(r.tgt_rec, -1) AS TargetPartRecordCount,
+       CASE WHEN r.state IS NULL OR r.state = 'source_missing' OR r.src_rec = r.tgt_rec THEN 'Done' ELSE 'Failed' END AS Status
+FROM (VALUES ('sri_open'), ('storage')) d(db)
+CROSS JOIN (VALUES ('orders'), ('events')) t(tbl)
+CROSS JOIN (SELECT DISTINCT pd FROM two_rows) p
+LEFT JOIN two_rows r ON r.db = d.db AND r.tbl = t.tbl AND r.pd = p.pd
+WHERE r.state IS NULL OR r.state IN ('compared', 'source_missing')"""))
+def q28_all_dates_all_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that names its dates: every date for every (db, table), read from the paths, checked."""
+    layout, parts = _physical_two_way(spark, sf_dir)
+    dates = sorted(r[0] for r in parts.select("partition_date").distinct().collect())
+    return audit_two_way(spark, layout.two_way, dates, checked=True).results.select(
+        "SchemaName", "TableName", "partition_date", "SourcePartRecordCount", "TargetPartRecordCount", "Status")
 
 
 @query("q13_missing_source", O.with_both("""
@@ -230,19 +259,30 @@ def R_three(verdicts):
     return three_way_results(verdicts)
 
 
-@query("q14_three_way_verdict", O.with_three_way("""
-SELECT db AS SchemaName, tbl AS TableName, pd AS partition_date,
-       src_rec AS SourcePartRecordCount, stg_rec AS StagingPartRecordCount, tgt_rec AS TargetPartRecordCount,
+@query("q14_three_way_verdict", O.with_three_way(f"""
+SELECT db AS SchemaName, tbl AS TableName, pd AS partition_date, src_rec AS SourcePartRecordCount,
+       stg_rec AS StagingPartRecordCount, tgt_rec AS TargetPartRecordCount, n_src AS SourcePartFileCount,
+       n_stg AS StagingPartFileCount, n_tgt AS TargetPartFileCount,
+       CASE WHEN state = 'source_missing' THEN 'Done' WHEN state <> 'compared' THEN NULL
+            WHEN ttype = 't' AND src_rec = stg_rec AND stg_rec = tgt_rec AND n_src = n_stg THEN 'Done'
+            WHEN ttype = 'p' AND src_rec = tgt_rec THEN 'Done' ELSE 'Failed' END AS Status,
        state
-FROM three_rows"""))
+FROM (SELECT *, CASE WHEN state = 'compared' THEN 1 ELSE -1 END AS n_src,
+             CASE WHEN state = 'compared' AND ttype = 't'
+                  THEN CASE WHEN substr(pd, 6, 2) = '{recipes.EXTRA_STAGING_FILE_MONTH}' THEN 2 ELSE 1 END ELSE -1 END AS n_stg,
+             CASE WHEN state = 'compared' THEN 1 ELSE -1 END AS n_tgt
+      FROM three_rows)"""))
 def q14_three_way_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ORC and Avro copies incl. staging, counted from paths, aligned."""
-    layout, parts = _physical_three_way(spark, sf_dir, "q14")
+    """ORC and Avro copies incl. staging, counted from paths, aligned and judged.
+
+    Every partition holds one file, and some staging partitions an empty second one.
+    """
+    layout, parts = _physical_three_way(spark, sf_dir)
     v = audit_three_way(spark, layout.three_way, parts).verdicts
-    return v.select(F.col("db").alias("SchemaName"), F.col("table").alias("TableName"), "partition_date",
-                    F.col("source_records_out").alias("SourcePartRecordCount"),
-                    F.col("staging_records_out").alias("StagingPartRecordCount"),
-                    F.col("target_records_out").alias("TargetPartRecordCount"), "state")
+    counts = [F.col(f"{role}_{what}_out").alias(f"{role.title()}Part{name}Count")
+              for role in ("source", "staging", "target") for what, name in (("records", "Record"), ("files", "File"))]
+    return v.select(F.col("db").alias("SchemaName"), F.col("table").alias("TableName"), "partition_date", *counts,
+                    "Status", "state")
 
 
 @query("q15_plain_verdict", O.with_three_way("""
@@ -360,20 +400,50 @@ def wide_two_way(spark: SparkSession, sf_dir: str) -> Audit:
     return audit_two_way(spark, two_way_params(databases="sri_open,storage,other"), parts, stats_rows=stats)
 
 
-@query("q26_failure_quarantine", O.with_wide("""
-SELECT db, tbl AS "table", pd AS partition_date,
-       CASE WHEN state IN ('compared', 'source_missing') THEN 'result'
-            WHEN state = 'lookup_missing' THEN 'PartitionColumn' ELSE 'TargetListing' END AS disposition
-FROM wide_state"""))
+def _scan_errors(stats: DataFrame) -> DataFrame:
+    """Scan errors of single partitions of orders: sources of every April, targets of every May."""
+    month = F.substring("partition_date", 6, 2)
+    rows = stats.where((F.col("table") == "orders") & (((F.col("role") == "source") & (month == "04"))
+                                                       | ((F.col("role") == "target") & (month == "05"))))
+    return rows.select("db", "table", "role", "partition_date", F.concat(F.lit("unreadable "), "role").alias("exception"))
+
+
+@query("q26_failure_quarantine", O.with_wide_and_three("""
+SELECT 'two_way' AS audit, db, tbl AS "table", pd AS partition_date,
+       CASE WHEN state = 'lookup_missing' THEN 'PartitionColumn'
+            WHEN tbl = 'orders' AND db = 'sri_open' AND substr(pd, 6, 2) = '04' THEN 'SourceSize'
+            WHEN tbl = 'orders' AND db = 'sri_open' AND substr(pd, 6, 2) = '05' THEN 'TargetListing'
+            WHEN state IN ('compared', 'source_missing') THEN 'result' ELSE 'TargetListing' END AS disposition
+FROM wide_state
+UNION ALL
+SELECT 'three_way', db, tbl, pd,
+       CASE WHEN state = 'source_missing' THEN 'result'
+            WHEN tbl = 'orders' AND substr(pd, 6, 2) = '04' THEN 'FileCount'
+            WHEN tbl = 'lineitem' OR tbl = 'orders' AND substr(pd, 6, 2) = '05' THEN 'ComputeStats'
+            WHEN state = 'compared' THEN 'result' ELSE 'ComputeStats' END
+FROM three_rows"""))
 def q26_failure_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Items with a failure row are kept out of the results."""
-    from copyaudit.operators.results import quarantine
-    audit = wide_two_way(spark, sf_dir)
-    kept = quarantine(audit.verdicts, audit.failures).select(
-        "db", "table", "partition_date", F.lit("result").alias("disposition"))
-    held = audit.failures.where(F.col("db").isNotNull()).select(
-        "db", "table", "partition_date", F.col("stage").alias("disposition"))
-    return kept.unionByName(held)
+    """Every item is a result row or a failure row, never both; taken from the two sinks' frames."""
+    rs = [recipes.ORDERS, recipes.EVENTS]
+    stats = recipes.recipe_stats(spark, sf_dir, rs)
+    two = audit_two_way(spark, two_way_params(databases="sri_open,storage,other"),
+                        recipes.work_items(spark, sf_dir, rs, by_db=False), stats_rows=stats,
+                        root_errors=_scan_errors(stats)).materialized()
+    rs = [recipes.ORDERS, recipes.LINEITEM, recipes.EVENTS]
+    stats = recipes.recipe_stats(spark, sf_dir, rs)
+    params = three_way_params()
+    params.tables = params.tables.replace("lineitem|t", "lineitem|x")            # a type that is neither t nor p
+    three = audit_three_way(spark, params, recipes.work_partitions(spark, stats, rs), stats_rows=stats,
+                            root_errors=_scan_errors(stats)).materialized()
+    out = None
+    for name, audit in (("two_way", two), ("three_way", three)):
+        kept = audit.results.select(F.lit(name).alias("audit"), F.col("SchemaName").alias("db"),
+                                    F.col("TableName").alias("table"), "partition_date", F.lit("result").alias("disposition"))
+        held = audit.failures.where(F.col("db").isNotNull()).select(
+            F.lit(name).alias("audit"), "db", "table", "partition_date", F.col("stage").alias("disposition"))
+        both = kept.unionByName(held)
+        out = both if out is None else out.unionByName(both)
+    return out
 
 
 @query("q23_failure_rows", O.with_wide_and_three("""
@@ -391,7 +461,11 @@ def q23_failure_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "q23")
     out = None
     for name, audit in (("two_way", wide_two_way(spark, sf_dir)), ("three_way", derived_three_way(spark, sf_dir))):
-        write_failures(audit.failures, f"{base}/{name}")
+        done, path = audit.materialized(), f"{base}/{name}"
+        orders = F.col("table") == "orders"
+        # a run over all tables, then runs over some: each replaces its own keys only
+        for run in (F.lit(True), orders, ~orders):
+            write_failures(done.failures.where(run), path, audited=done.verdicts.where(run))
         back = read_failures(spark, f"{base}/{name}").select(
             F.lit(name).alias("audit"), "stage", "db", "table", "partition_date", "message", "exception")
         out = back if out is None else out.unionByName(back)
@@ -424,8 +498,8 @@ FROM three_verdict"""))
 def q24_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Outcome counts and exit code per audit run."""
     run_date = F.date_format(F.to_date(F.lit(RUN_DATE)), "yyyyMMdd").alias("run_date")
-    two = wide_two_way(spark, sf_dir).summary.select(F.lit("two_way").alias("audit"), "*", run_date)
-    three = derived_three_way(spark, sf_dir).summary.select(F.lit("three_way").alias("audit"), "*", run_date)
+    two = wide_two_way(spark, sf_dir).materialized().summary.select(F.lit("two_way").alias("audit"), "*", run_date)
+    three = derived_three_way(spark, sf_dir).materialized().summary.select(F.lit("three_way").alias("audit"), "*", run_date)
     return two.unionByName(three)
 
 
@@ -449,7 +523,12 @@ def q19_control_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "q19")
     out = None
     for name, audit in (("two_way", derived_two_way(spark, sf_dir)), ("three_way", derived_three_way(spark, sf_dir))):
-        write_controls(audit.controls, f"{base}/{name}")
+        done, orders = audit.materialized(), F.col("table") == "orders"
+        stale = done.controls.withColumn("outcome", F.lit("stale"))
+        # a run whose rows are all replaced by the two runs after it, each over some of the tables
+        write_controls(stale, f"{base}/{name}", audited=done.verdicts)
+        write_controls(done.controls.where(orders), f"{base}/{name}", audited=done.verdicts.where(orders))
+        write_controls(done.controls.where(~orders), f"{base}/{name}", audited=done.verdicts.where(~orders))
         back = read_controls(spark, f"{base}/{name}").select(
             F.lit(name).alias("audit"), "control_dir", "control_name", "outcome", "partition_date")
         out = back if out is None else out.unionByName(back)
@@ -502,7 +581,12 @@ def _batches(spark: SparkSession, sf_dir: str) -> DataFrame:
               .when(m == "07", F.concat(F.lit(f"ALTER TABLE {MISSING_TABLE} ADD PARTITION (ods='"),
                                         F.col("batch_id"), F.lit("')")))
               .when(m == "12", F.concat(F.lit(f"ALTER TABLE {HIST_TABLE} ADD IF NOT EXISTS PARTITION (ods='"),
-                                        F.col("batch_id"), F.lit("', src='x')"))))
+                                        F.col("batch_id"), F.lit("', src='x')")))
+              .when(m == "03", F.concat(F.lit(f"alter  table {HIST_TABLE} add partition (src='y', ods='"),
+                                        F.col("batch_id"), F.lit("') partition (src='z', ods='"),
+                                        F.col("batch_id"), F.lit("')")))
+              .when(m == "04", F.concat(F.lit(f"ALTER TABLE {REG_TABLE} ADD PARTITION (ods=\""), F.col("batch_id"),
+                                        F.lit("\") LOCATION 'extra/"), F.col("batch_id"), F.lit("'"))))
     body = F.when(second.isNull(), first).otherwise(F.concat(first, F.lit(",\n"), second))
     return months.select("batch_id", F.concat(F.lit("["), body, F.lit(";]")).alias("batch"))
 
@@ -518,6 +602,10 @@ stm AS (
            WHEN '07' THEN 'ALTER TABLE {MISSING_TABLE} ADD PARTITION (ods=''' || batch_id || ''')'
            WHEN '12' THEN 'ALTER TABLE {HIST_TABLE} ADD IF NOT EXISTS PARTITION (ods=''' || batch_id
                           || ''', src=''x'')'
+           WHEN '03' THEN 'alter  table {HIST_TABLE} add partition (src=''y'', ods=''' || batch_id
+                          || ''') partition (src=''z'', ods=''' || batch_id || ''')'
+           WHEN '04' THEN 'ALTER TABLE {REG_TABLE} ADD PARTITION (ods="' || batch_id || '") LOCATION ''extra/'
+                          || batch_id || ''''
          END AS second
   FROM months),
 batches AS (
@@ -526,7 +614,7 @@ batches AS (
   FROM stm),
 pieces AS (
   SELECT batch_id,
-         string_split(regexp_replace(batch, ',\\s*ALTER ', chr(1) || 'ALTER ', 'g'), chr(1)) AS parts
+         string_split(regexp_replace(batch, '(?i),\\s*(ALTER\\s)', chr(1) || '\\1', 'g'), chr(1)) AS parts
   FROM batches),
 stmts AS (
   SELECT batch_id, CAST(unnest(generate_series(0, len(parts) - 1)) AS INTEGER) AS ordinal,
@@ -534,7 +622,7 @@ stmts AS (
            AS statement
   FROM pieces),
 named AS (
-  SELECT *, CASE WHEN len(string_split(statement, ' ')) >= 3 THEN split_part(statement, ' ', 3)
+  SELECT *, CASE WHEN len(regexp_split_to_array(statement, '\\s+')) >= 3 THEN regexp_split_to_array(statement, '\\s+')[3]
                  ELSE 'unknown' END AS statement_table
   FROM stmts WHERE statement <> '')"""
 
@@ -559,7 +647,7 @@ def q21_statement_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 outcomes AS (
   SELECT batch_id, ordinal, statement_table,
          CASE WHEN ordinal = 0 THEN 'ok'
-              WHEN substr(batch_id, 6, 2) = '12' THEN 'ok'
+              WHEN substr(batch_id, 6, 2) IN ('03', '12') THEN 'ok'
               ELSE 'failed' END AS outcome
   FROM named)
 SELECT batch_id, ordinal, statement_table, outcome,

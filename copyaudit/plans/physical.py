@@ -16,8 +16,9 @@ from copyaudit.functions.paths import path_part
 from copyaudit.operators.worklist import (ThreeWayParams, TwoWayParams, copy_locations,
                                           three_way_work_list, two_way_work_list)
 from copyaudit.plans import recipes
+from copyaudit.schemas import ROLE_STAGING
 from copyaudit.session import scratch_path
-from copyaudit.sources.copies import reader_format
+from copyaudit.sources.copies import CopyLocation, partition_dirs, reader_format
 
 
 @dataclass
@@ -60,6 +61,18 @@ def write_copies(spark: SparkSession, sf_dir: str, layout: Layout, partitions,
         recipe = by_key.get((loc.db, loc.table))
         if recipe is None or loc.role not in recipe.weights or (only_roles and loc.role not in only_roles):
             continue
-        rows = recipes.copy_rows(spark, sf_dir, recipe, loc.role)
+        rows = recipes.copy_rows(spark, sf_dir, recipe, loc.role).repartition(recipe.partition_col)   # a file each
         (rows.write.mode("overwrite").partitionBy(recipe.partition_col)
          .format(reader_format(loc.fmt)).save(loc.root))
+        if loc.role == ROLE_STAGING:
+            add_empty_files(spark, loc, recipes.EXTRA_STAGING_FILE_MONTH)
+
+
+def add_empty_files(spark: SparkSession, loc: CopyLocation, month: str) -> None:
+    """A zero-length data file in each partition of a month: it counts as a file, and holds nothing."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for d in partition_dirs(spark, loc):
+        if d.value[5:7] == month:
+            path = Path(f"{d.path}/part-empty.{loc.fmt}")
+            path.getFileSystem(conf).create(path, True).close()

@@ -35,15 +35,32 @@ def split_statements(batches: DataFrame, batch_col: str = "batch") -> DataFrame:
             .drop("raw_statement"))
 
 
-# "ALTER TABLE <t> ADD [IF NOT EXISTS] <one or more partition specs>"
-_ADD = re.compile(r"^ALTER TABLE (\S+) ADD (IF NOT EXISTS )?(PARTITION .+)$", re.IGNORECASE | re.DOTALL)
-_SPEC = re.compile(r"PARTITION\s*\(([^)]*)\)", re.IGNORECASE)
-_KEY = re.compile(r"([A-Za-z_][A-Za-z0-9_]*)\s*=")
+# "ALTER TABLE <t> ADD [IF NOT EXISTS] <one or more partition clauses>"
+_ADD = re.compile(r"^ALTER\s+TABLE\s+(\S+)\s+ADD\s+(IF\s+NOT\s+EXISTS\s+)?(PARTITION\b.+)$", re.IGNORECASE | re.DOTALL)
+# A quoted value, in which brackets, commas and keywords mean nothing.
+_QUOTED = r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*\""""
+_CLAUSE = re.compile(rf"""PARTITION\s*\(((?:{_QUOTED}|[^)'"])*)\)(?:\s*LOCATION\s*(?:{_QUOTED}))?""", re.IGNORECASE)
+_PAIR = re.compile(rf"""`?([A-Za-z_][A-Za-z0-9_]*)`?\s*=\s*({_QUOTED}|[^,\s'"]+)""")
 REFUSED = "only ALTER TABLE ... ADD PARTITION statements are run"
 CHUNK_SIZE = 100
 SPILL_ROWS = 10_000
 
 
+def partition_clauses(specs: str) -> list[frozenset] | None:
+    """The partitions that clauses name, each as a set of (column, value) without quotes and ``LOCATION``.
+
+    ``None`` when the text holds anything but whole clauses.
+    """
+    clauses = list(_CLAUSE.finditer(specs))
+    if not clauses or _CLAUSE.sub("", specs).strip():
+        return None
+
+    def bare(value: str) -> str:
+        return re.sub(r"\\(.)", r"\1", value[1:-1]) if value[0] in "'\"" else value
+
+    return [frozenset((c.lower(), bare(v)) for c, v in _PAIR.findall(m[1])) for m in clauses]
+
+
 def _first_line(err: Exception) -> str:
     text = str(err)
     return text.splitlines()[0] if text else repr(err)
@@ -55,24 +72,27 @@ def apply_statements(spark: SparkSession, stmts: DataFrame, id_col: str = "batch
 
     Consecutive statements that add partitions to the same table are sent as
     one multi-spec ``ALTER TABLE t ADD PARTITION (..) PARTITION (..)`` (up to
-    ``chunk_size`` specs, one catalog round trip instead of one per
-    statement). A failing statement adds nothing, so a failing chunk is split
+    ``chunk_size`` partition clauses, one catalog round trip instead of one per
+    statement; a statement with more clauses runs on its own). A failing call
+    of so few clauses adds nothing, so a failing chunk is split
     in halves and retried until each failing statement stands alone: every
     statement still gets its own exact outcome, and one bad statement among n
-    costs about 2*log2(n) extra calls. A spec repeated without
-    ``IF NOT EXISTS`` starts a new chunk, as the repeat must fail; a statement
-    for an unknown table or with other keys than the table's partition columns
-    (looked up once per table) runs on its own.
+    costs about 2*log2(n) extra calls. A partition (its columns and values,
+    whatever the quotes, order or ``LOCATION``) that was named before in the
+    chunk without ``IF NOT EXISTS`` starts a new one, as the repeat must fail,
+    and so does a repeat with it, whose ``LOCATION`` must not count; a
+    statement for an unknown table or with other keys than the table's
+    partition columns (looked up once per table) runs on its own.
     """
     ordered = stmts.select(id_col, "ordinal", "statement", "statement_table", "allowed") \
         .orderBy(id_col, "ordinal")
     outcomes: list[tuple] = []
-    pending: list[tuple] = []        # (row, table, if_not_exists, spec)
-    seen: set[str] = set()
+    pending: list[tuple] = []        # (row, table, if_not_exists, clauses as text)
+    seen: set[frozenset] = set()     # partitions named in the pending chunk
     partition_cols: dict[str, set | None] = {}   # one catalog lookup per table
 
-    def fits(table: str, spec: str) -> bool:
-        """The table exists and every spec names exactly its partition columns."""
+    def fits(table: str, clauses: list[frozenset] | None) -> bool:
+        """The table exists and every clause names exactly its partition columns."""
         if table not in partition_cols:
             try:
                 partition_cols[table] = {c.name.lower() for c in spark.catalog.listColumns(table)
@@ -80,9 +100,8 @@ def apply_statements(spark: SparkSession, stmts: DataFrame, id_col: str = "batch
             except Exception:  # noqa: BLE001 - unknown table: its statements run (and fail) alone
                 partition_cols[table] = None
         cols = partition_cols[table]
-        clauses = _SPEC.findall(spec)
-        return bool(cols) and bool(clauses) and all(
-            {k.lower() for k in _KEY.findall(c)} == cols for c in clauses)
+        return bool(cols) and clauses is not None and len(set(clauses)) == len(clauses) <= chunk_size and all(
+            len(c) == len(cols) and {k for k, _ in c} == cols for c in clauses)
 
     spill_path = scratch_path(spark, "registration-outcomes")
     spilled = []
@@ -142,16 +161,16 @@ def apply_statements(spark: SparkSession, stmts: DataFrame, id_col: str = "batch
             run_one(row)
             continue
         table, ine, spec = m.group(1), bool(m.group(2)), m.group(3).strip()
-        if not fits(table, spec):
+        clauses = partition_clauses(spec)
+        if not fits(table, clauses):
             flush()
             run_one(row)
             continue
-        key = re.sub(r"\s+", "", spec).lower()
         if pending and ((table.lower(), ine) != (pending[0][1].lower(), pending[0][2])
-                        or len(pending) >= chunk_size or (key in seen and not ine)):
+                        or len(seen) + len(clauses) > chunk_size or not seen.isdisjoint(clauses)):
             flush()
         pending.append((row, table, ine, spec))
-        seen.add(key)
+        seen.update(clauses)
     flush()
     if spilled:
         spill()

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from copyaudit.plans.audits import Audit
-from copyaudit.sinks.files import write_controls, write_failures, write_marker_files
+from copyaudit.sinks.files import new_run_id, write_controls, write_failures, write_marker_files
 from copyaudit.sinks.tables import append_results
 
 
@@ -25,10 +25,11 @@ def run_audit(audit: Audit, result_table: str, control_path: str, failure_path:
     """
     done = audit.materialized()
     append_results(done.results, result_table)
-    write_controls(done.controls, control_path)
+    run = new_run_id()
+    write_controls(done.controls, control_path, audited=done.verdicts, run=run)
     if markers:
         write_marker_files(done.verdicts.sparkSession, done.controls)
-    write_failures(done.failures, failure_path)
+    write_failures(done.failures, failure_path, audited=done.verdicts, run=run)
     return done.summary
 
 

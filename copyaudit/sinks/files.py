@@ -1,59 +1,99 @@
 """Control records and failure files (K3, K4, K5).
 
-Control records are rows (``control_dir, control_name, outcome,
-partition_date``), written as one dataset partitioned by ``partition_date``.
-A rerun replaces the records of the dates it audited (dynamic partition
-overwrite) and leaves other dates alone, so a stale record of the opposite
-outcome cannot survive for the same key.
-
-Failure rows are written as header-less CSV (``message, exception`` first, as
-downstream readers expect), partitioned by the failure file name.
+Control records are rows (``control_dir, control_name, outcome, partition_date``), failure rows are header-less CSV
+(``message, exception`` first, as downstream readers expect). Both are datasets with one folder per run, ``run=<id>``,
+below the given path: a run only adds its folder, so it can neither lose the rows of another run nor leave half of its
+own behind an overwrite. Each run also writes the keys it audited; readers take, per key, the rows of the last run that
+audited it, so a rerun replaces exactly the keys it repeats, also where it has no row for them any more.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
+from concurrent.futures import ThreadPoolExecutor
+from itertools import islice
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from copyaudit.schemas import CONTROL
 
 
-def write_controls(controls: DataFrame, path: str) -> None:
-    """K3/K4: one control row per audited key, replaced per partition_date."""
-    (controls.select(*[f.name for f in CONTROL.fields])
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("partition_date").orc(path))
+KEYS = ["db", "table", "partition_date"]
+AUDITED = "_audited"        # hidden from plain readers of the folder
+
+
+def new_run_id() -> str:
+    """Ids of later runs sort after those of earlier ones."""
+    return f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+
+
+def _latest(rows: DataFrame, audited: DataFrame) -> DataFrame:
+    """The rows of the last run that audited their key; rows without a key (null parts) stay with their own run."""
+    last = audited.groupBy(*KEYS).agg(F.max("run").alias("last_run"))
+    named = last.select(*[F.col(k).alias(f"k_{k}") for k in KEYS], "last_run")
+    same = [F.col(k).eqNullSafe(F.col(f"k_{k}")) for k in KEYS]
+    return rows.join(named, same, "left").where(F.col("last_run").isNull() | (F.col("run") == F.col("last_run"))) \
+        .drop("last_run", *[f"k_{k}" for k in KEYS])
+
+
+def _write_run(rows: DataFrame, audited: DataFrame, path: str, run: str, csv: bool) -> None:
+    """Adds the folder of one run: first its rows, then the keys that make them count."""
+    writer = rows.write.mode("error")
+    writer.option("header", "false").csv(f"{path}/run={run}") if csv else writer.orc(f"{path}/run={run}")
+    audited.select(*KEYS).distinct().write.mode("error").orc(f"{path}/{AUDITED}/run={run}")
+
+
+def _audited(spark: SparkSession, path: str) -> DataFrame:
+    schema = "db string, `table` string, partition_date string, run string"
+    return spark.read.schema(schema).option("basePath", f"{path}/{AUDITED}").orc(f"{path}/{AUDITED}/run=*")
+
+
+CONTROL_FILE = "db string, `table` string, control_dir string, control_name string, outcome string, partition_date string"
+
+
+def write_controls(controls: DataFrame, path: str, audited: DataFrame | None = None, run: str | None = None) -> None:
+    """K3/K4: one control row per audited key. ``audited`` holds all keys of the run (default: those with a row)."""
+    rows = controls.select("db", "table", *[f.name for f in CONTROL.fields])
+    _write_run(rows, controls if audited is None else audited, path, run or new_run_id(), csv=False)
 
 
 def read_controls(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(CONTROL).orc(path)
+    rows = spark.read.schema(CONTROL_FILE + ", run string").option("basePath", path).orc(f"{path}/run=*")
+    return _latest(rows, _audited(spark, path)).select(*[f.name for f in CONTROL.fields])
 
 
 FAILURE_CSV_COLUMNS = ["message", "exception", "stage", "db", "table", "partition_date", "ordinal"]
+FAILURE_FILE = ("message string, exception string, stage string, db string, `table` string, "
+                "partition_date string, ordinal int")
 
 
-def write_failures(failures: DataFrame, path: str, name_col: str | None = None) -> None:
-    """K5: failure rows as CSV without header, overwriting the previous run.
+def write_failures(failures: DataFrame, path: str, name_col: str | None = None, audited: DataFrame | None = None,
+                   run: str | None = None) -> None:
+    """K5: failure rows as CSV without header.
 
-    ``name_col`` (e.g. the registration failure file name) becomes a directory
-    level, so each table's failures sit in their own folder, and only the
-    folders of this run are replaced.
+    With ``name_col`` (e.g. the registration failure file name) that column becomes a directory level, each table's
+    failures sit in their own folder, and only the folders named in this run are replaced.
     """
-    cols = FAILURE_CSV_COLUMNS + ([name_col] if name_col else [])
-    writer = failures.select(*cols).write.mode("overwrite").option("header", "false")
     if name_col:
-        # replace only the files named in this run, keep the others in the folder
-        writer = writer.partitionBy(name_col).option("partitionOverwriteMode", "dynamic")
-    writer.csv(path)
+        failures.select(*FAILURE_CSV_COLUMNS, name_col).write.mode("overwrite").option("header", "false") \
+            .partitionBy(name_col).option("partitionOverwriteMode", "dynamic").csv(path)
+        return
+    _write_run(failures.select(*FAILURE_CSV_COLUMNS), failures if audited is None else audited, path,
+               run or new_run_id(), csv=True)
 
 
 def read_failures(spark: SparkSession, path: str, name_col: str | None = None) -> DataFrame:
-    schema = ("message string, exception string, stage string, db string, `table` string, "
-              "partition_date string, ordinal int")
     if name_col:
-        schema += f", {name_col} string"
-    return spark.read.schema(schema).option("header", "false").csv(path).select(
-        *[F.col(c) for c in FAILURE_CSV_COLUMNS + ([name_col] if name_col else [])])
+        return spark.read.schema(f"{FAILURE_FILE}, {name_col} string").option("header", "false").csv(path) \
+            .select(*FAILURE_CSV_COLUMNS, name_col)
+    rows = spark.read.schema(f"{FAILURE_FILE}, run string").option("header", "false").option("basePath", path) \
+        .csv(f"{path}/run=*")
+    return _latest(rows, _audited(spark, path)).select(*FAILURE_CSV_COLUMNS)
+
+
+MARKER_THREADS = 16
 
 
 def write_marker_files(spark: SparkSession, controls: DataFrame) -> int:
@@ -68,15 +108,17 @@ def write_marker_files(spark: SparkSession, controls: DataFrame) -> int:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     Path = jvm.org.apache.hadoop.fs.Path
-    written = 0
-    for row in controls.select("control_dir", "control_name", "outcome").toLocalIterator():
+
+    def write(row):
         marker = Path(f"{row['control_dir']}/{row['control_name']}")
         fs = marker.getFileSystem(conf)
-        fs.mkdirs(marker.getParent())
-        fs.create(marker, True).close()
+        fs.create(marker, True).close()                       # creates the directories above it
         other = "nonmatch" if row["outcome"] == "match" else "match"
-        stale = Path(f"{row['control_dir']}/{row['control_name'].rsplit('.', 1)[0]}.{other}")
-        if fs.exists(stale):
-            fs.delete(stale, False)
-        written += 1
+        fs.delete(Path(f"{row['control_dir']}/{row['control_name'].rsplit('.', 1)[0]}.{other}"), False)
+
+    written = 0
+    rows = controls.select("control_dir", "control_name", "outcome").toLocalIterator()
+    with ThreadPoolExecutor(max_workers=MARKER_THREADS) as pool:
+        while batch := list(islice(rows, 64 * MARKER_THREADS)):   # a bounded number of calls in flight
+            written += len(list(pool.map(write, batch)))
     return written

@@ -5,8 +5,9 @@ import math
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from conftest import SF_SMALL
+from copyaudit.plans.catalog import ORACLES, QUERIES
 
 TABLES = ["orders", "lineitem", "events"]
 
@@ -32,11 +33,11 @@ def duck():
 LISTING = {"q03_file_listing", "q04_folder_totals"}
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
-    df = queries()[name](spark, SF_SMALL)
+    df = QUERIES[name](spark, SF_SMALL)
     got = norm([tuple(r) for r in df.collect()], df.columns)
-    sql = oracle_sql().get(name)
+    sql = ORACLES.get(name)
     assert sql is not None, "every registered query has an oracle"
     if name in LISTING:
         sql = sql.replace("/root/testdata/sf0.01", SF_SMALL)
@@ -62,6 +63,6 @@ EXPECTED_OUTCOMES = {
 
 
 def test_outcomes_match_the_published_fixture_counts(spark):
-    df = queries()["q27_multi_table_audit"](spark, SF_SMALL)
+    df = QUERIES["q27_multi_table_audit"](spark, SF_SMALL)
     got = {(r["TableName"], r["outcome"]): r["count"] for r in df.groupBy("TableName", "outcome").count().collect()}
     assert got == EXPECTED_OUTCOMES
