@@ -14,6 +14,10 @@ register:  src_system country statements status_dir partition
 Each audit runs as one set-based job: counts of every copy, verdicts, result rows appended to
 ``result_db.result_table`` (created if absent), control records (a dataset and the empty
 ``.match``/``.nonmatch`` marker files), failure rows, and the exit code of the run summary.
+
+The command starts its session with the persistent (Hive) catalog, as the original jobs do; set
+``spark.sql.catalogImplementation`` in ``spark-submit --conf`` to choose another. Result tables get a LOCATION beside the
+control records, so that they also survive without a persistent catalog.
 """
 
 from __future__ import annotations
@@ -51,8 +55,9 @@ def two_way(spark: SparkSession, args: list[str], out_dir: str | None = None) ->
     a = dict(zip(TWO_WAY_ARGUMENTS, args))
     params = TwoWayParams(a["src_system"], a["country"], a["source_parent"], a["target_prefix"],
                           a["tables"], a["databases"], a["partition_map"])
-    table = create_result_table(spark, a["result_db"], a["result_table"], three_way=False)
     base = out_dir or f"{a['target_prefix'].rstrip('/')}/{a['src_system']}/{a['country']}"
+    table = create_result_table(spark, a["result_db"], a["result_table"], three_way=False,
+                                location=f"{base}/_results/{a['result_db']}.{a['result_table']}")
     summary = run_two_way(spark, params, [a["partition"]], table, f"{base}/_control_records",
                           f"{base}/_failures", markers=True).first()
     print(summary.asDict())
@@ -71,8 +76,9 @@ def three_way(spark: SparkSession, args: list[str]) -> int:
     params = ThreeWayParams(a["src_system"], a["country"], a["container"], a["parent_dir"], a["open_staging_dir"],
                             a["non_open_staging_dir"], a["storage_staging_dir"], a["databases"], a["tables"],
                             a["ctrl_path"], partition_map=a["partition_map"])
-    table = create_result_table(spark, a["result_db"], a["result_table"], three_way=True)
     ctrl = a["ctrl_path"].rstrip("/")
+    table = create_result_table(spark, a["result_db"], a["result_table"], three_way=True,
+                                location=f"{ctrl}/_results/{a['result_db']}.{a['result_table']}")
     summary = run_three_way(spark, params, [a["business_date"]], table, f"{ctrl}/_control_records",
                             f"{ctrl}/_failures", markers=True).first()
     print(summary.asDict())
@@ -107,5 +113,5 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         return 1
     if spark is None:
         from copyaudit.session import build_session
-        spark = build_session(app_name=f"copyaudit-{argv[0]}")
+        spark = build_session(app_name=f"copyaudit-{argv[0]}", catalog="hive")
     return COMMANDS[argv[0]](spark, argv[1:])

@@ -10,8 +10,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from contextlib import contextmanager
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 SESSION_CONF = {
@@ -28,25 +28,20 @@ SESSION_CONF = {
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
-# In local mode a "distributed" listing job runs in the same JVM as the driver:
-# pure overhead, so directories are listed directly. Clusters keep the default.
-LOCAL_CONF = {
-    "spark.sql.sources.parallelPartitionDiscovery.threshold": "4096",
-}
-
-PARTITION_INFERENCE_KEY = "spark.sql.sources.partitionColumnTypeInference.enabled"
-
 
 def build_session(master: str | None = None, app_name: str = "copyaudit",
                   shuffle_partitions: int | None = None,
-                  extra: dict[str, str] | None = None) -> SparkSession:
-    """Create (or reuse) a session with the settings the audit relies on."""
+                  extra: dict[str, str] | None = None, catalog: str | None = None) -> SparkSession:
+    """Create (or reuse) a session with the settings the audit relies on.
+
+    ``catalog`` ("hive" or "in-memory") holds unless the launcher has set ``spark.sql.catalogImplementation``.
+    """
     builder = SparkSession.builder.appName(app_name)
+    if catalog and not SparkConf().contains("spark.sql.catalogImplementation"):
+        builder = builder.config("spark.sql.catalogImplementation", catalog)
     if master:
         builder = builder.master(master)
     conf = dict(SESSION_CONF)
-    if master and master.startswith("local"):
-        conf.update(LOCAL_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -78,21 +73,3 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/copyaudit/{name}-{uuid.uuid4().hex[:12]}"
-
-
-@contextmanager
-def string_partition_values(spark: SparkSession):
-    """Keep partition values as strings while a relation is resolved.
-
-    File relations infer their partition schema eagerly in ``load()``, so the
-    setting only has to hold for the duration of that call.
-    """
-    old = spark.conf.get(PARTITION_INFERENCE_KEY, None)
-    spark.conf.set(PARTITION_INFERENCE_KEY, "false")
-    try:
-        yield
-    finally:
-        if old is None:
-            spark.conf.unset(PARTITION_INFERENCE_KEY)
-        else:
-            spark.conf.set(PARTITION_INFERENCE_KEY, old)

@@ -16,17 +16,30 @@ def _columns_without_partition(ddl: str) -> str:
     return ", ".join(c for c in ddl.split(", ") if not c.startswith("partition_date "))
 
 
+def _holds_partitions(spark: SparkSession, location: str) -> bool:
+    pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{location}/partition_date=*")
+    found = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern)
+    return bool(found)
+
+
 def create_result_table(spark: SparkSession, database: str, table: str, three_way: bool,
                         location: str | None = None, file_format: str = "orc",
                         database_location: str | None = None) -> str:
-    """``CREATE DATABASE/TABLE IF NOT EXISTS``, partitioned, optional LOCATIONs."""
+    """``CREATE DATABASE/TABLE IF NOT EXISTS``, partitioned, optional LOCATIONs.
+
+    A table that is new to the catalog takes up the partitions its LOCATION already holds, so runs whose catalog does
+    not outlive them (an in-memory one) append to the same rows.
+    """
     db_loc = f" LOCATION '{database_location}'" if database_location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{db_loc}")
     ddl = THREE_WAY_DDL_COLUMNS if three_way else TWO_WAY_DDL_COLUMNS
     loc = f" LOCATION '{location}'" if location else ""
+    known = spark.catalog.tableExists(f"{database}.{table}")
     spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{table} "
               f"({_columns_without_partition(ddl)}, partition_date STRING) "
               f"USING {file_format} PARTITIONED BY (partition_date){loc}")
+    if location and not known and _holds_partitions(spark, location):
+        spark.sql(f"ALTER TABLE {database}.{table} RECOVER PARTITIONS")
     return f"{database}.{table}"
 
 

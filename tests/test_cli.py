@@ -47,3 +47,36 @@ def test_three_way_command(spark, scratch):
     row = spark.table("cli_db.audit_three").first()
     assert (row["SourcePartRecordCount"], row["StagingPartRecordCount"], row["Status"]) == (10, 10, "Done")
     assert os.path.exists(f"{scratch}/ctl/global/sri_open_t1_2022-03-02.match")
+
+
+def test_a_second_catalog_appends_to_the_same_results(spark, scratch):
+    """A run whose catalog does not know the table finds the rows of earlier runs at its location."""
+    write(spark, f"{scratch}/src/db1/t1")
+    write(spark, target_root(scratch))
+    args = ["two-way", "s", "c", f"{scratch}/src", f"{scratch}/tgt", "t1", "2022-03-01", "db1", "db1:ods", "cli_db", "again"]
+    assert main(args, spark) == 0
+    location = f"{scratch}/tgt/s/c/_results/cli_db.again"
+    spark.sql("DROP TABLE cli_db.again")                 # what a new in-memory catalog looks like
+    assert os.listdir(location)
+    args[6] = "2022-03-02"
+    assert main(args, spark) == 0
+    assert sorted(r["partition_date"] for r in spark.table("cli_db.again").collect()) == ["2022-03-01", "2022-03-02"]
+
+
+def test_runs_over_different_tables_keep_each_others_records(spark, scratch):
+    from copyaudit.sinks.files import read_controls, read_failures
+    for t in ("t1", "t2"):
+        write(spark, f"{scratch}/src/db1/{t}")
+    write(spark, target_root(scratch))                   # t2 has no target copy: a failure row
+    base = f"{scratch}/tgt/s/c"
+
+    def run(tables):
+        main(["two-way", "s", "c", f"{scratch}/src", f"{scratch}/tgt/", tables, "2022-03-01", "db1", "db1:ods", "cli_db",
+              "keep"], spark)
+        return (sorted(r["control_name"] for r in read_controls(spark, f"{base}/_control_records").collect()),
+                sorted(r["table"] for r in read_failures(spark, f"{base}/_failures").collect()))
+
+    assert run("t1,t2") == (["db1_t1_2022-03-01.match"], ["t2"])
+    assert run("t1") == (["db1_t1_2022-03-01.match"], ["t2"])
+    write(spark, target_root(scratch, table="t2"))
+    assert run("t2") == (["db1_t1_2022-03-01.match", "db1_t2_2022-03-01.match"], [])

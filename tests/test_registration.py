@@ -56,3 +56,30 @@ def test_outcomes_spill_in_chunks(spark, scratch):
     batches = spark.createDataFrame([("b1", batch)], "batch_id string, batch string")
     out = apply_statements(spark, split_statements(batches), chunk_size=2, spill_rows=3)
     assert sorted((r["ordinal"], r["outcome"]) for r in out.collect()) == [(i, "ok") for i in range(7)]
+
+
+def test_outcomes_equal_a_one_by_one_run(spark, scratch):
+    """Quotes, LOCATION, column order, case and several clauses: the same outcomes for every chunk size."""
+    from copyaudit.plans.registration import partition_clauses
+    assert partition_clauses("PARTITION (a='1', b=\"x)y\") LOCATION '/q' partition(B = 2,a='it\\'s')") == [
+        frozenset({("a", "1"), ("b", "x)y")}), frozenset({("a", "it's"), ("b", "2")})]
+    assert partition_clauses("PARTITION (a='1') junk") is None
+    stmts = ["ALTER TABLE reg_test.q ADD PARTITION (d='1') LOCATION 'x/1'",
+             "alter table reg_test.q add partition (d='1') location 'x/2'",
+             "ALTER TABLE reg_test.q ADD PARTITION (d='5')", 'alter  table reg_test.q add partition (d="5")',
+             "ALTER TABLE reg_test.q ADD PARTITION (d='6') PARTITION (d='7')",
+             "ALTER TABLE reg_test.q ADD PARTITION (d='7') PARTITION (d='8')",
+             "ALTER TABLE reg_test.q ADD IF NOT EXISTS PARTITION (d='5') LOCATION 'x/5'",
+             "ALTER TABLE reg_test.q ADD IF NOT EXISTS PARTITION (d='9') PARTITION (d='9')"]
+    spark.sql("CREATE DATABASE IF NOT EXISTS reg_test")
+    seen = []
+    for size in (1, 2, 3, 100):
+        spark.sql("DROP TABLE IF EXISTS reg_test.q")
+        spark.sql(f"CREATE TABLE reg_test.q (v BIGINT, d STRING) USING orc PARTITIONED BY (d) LOCATION '{scratch}/q{size}'")
+        batches = spark.createDataFrame([("b", "[" + ",\n".join(stmts) + ";]")], "batch_id string, batch string")
+        out = apply_statements(spark, split_statements(batches), chunk_size=size)
+        parts = sorted(r[0] for r in spark.sql("SHOW PARTITIONS reg_test.q").collect())
+        seen.append(([r["outcome"] for r in out.orderBy("ordinal").collect()], parts))
+    assert all(x == seen[0] for x in seen)
+    assert seen[0][0][:6] == ["ok", "failed", "ok", "failed", "ok", "failed"]
+    assert seen[0][1][:4] == ["d=1", "d=5", "d=6", "d=7"]
