@@ -2,7 +2,7 @@
 
 Two-way layout: ``<parent>/<db>/<table>/<col>=<value>`` in the source store and
 the same path below a store prefix in the target store. Three-way layout: the
-cloud source below a container, a staging root per database, and the on-prem
+source copy below a container, a staging root per database, and the
 destination below the parent directory.
 """
 
@@ -52,8 +52,8 @@ def target_partition_path(prefix, source_path) -> Column:
     return F.concat(strip_one_slash(prefix), path_part(source_path))
 
 
-def cloud_source_root(container, parent, db, table) -> Column:
-    """Cloud copy of a table, ``container + parent/db/table``."""
+def container_source_root(container, parent, db, table) -> Column:
+    """The container copy of a table, ``container + parent/db/table``."""
     return F.concat(_c(container), table_root(parent, db, table))
 
 

@@ -144,7 +144,7 @@ def three_way_work_list(spark: SparkSession, p: ThreeWayParams, partitions,
         "db", "table_spec", "table", "table_type", "partition_col",
         routing.data_format("db").alias("data_format"),
         staging.alias("staging_dir"),
-        paths.cloud_source_root(F.lit(p.container), F.lit(p.parent_dir), "db", "table").alias("source_root"),
+        paths.container_source_root(F.lit(p.container), F.lit(p.parent_dir), "db", "table").alias("source_root"),
         F.when(staging == F.lit(PLAIN_STAGING), F.lit(PLAIN_STAGING))
          .otherwise(F.concat_ws("/", staging, F.col("table"))).alias("staging_root"),
         paths.table_root(F.lit(p.parent_dir), "db", "table").alias("target_root"),
