@@ -11,7 +11,7 @@ document's fingerprint is the sorted set of its signatures. Texts shorter than `
   Jaccard value is computed only where lengths allow it.
 
 Defined cases: a null text is empty; a text without words has the empty fingerprint, like 1 to another empty one and 0 to
-any other; a null doc_id comes first in order; equal rows are one document (each gets the same result row), rows that
+any other; a null doc_id comes first in order (the least long is read as null); equal rows are one document (each gets the same result row), rows that
 share a doc_id follow each other by the hash of their text; a single document is its own neighbour; other columns are
 ignored; an empty table gives no rows.
 """
@@ -43,7 +43,7 @@ THRESHOLD = 0.8
 
 
 def signatures(text: Column) -> Column:
-    """The sorted set of a text's signatures (array<long>)."""
+    """The sorted set of a text's signatures (array<int>)."""
     tokens = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
     def chains(words):
@@ -54,11 +54,11 @@ def signatures(text: Column) -> Column:
             """Per content word: the hash of the word before it and of the chain it starts."""
             return F.transform(c, lambda x, j: F.struct(
                 F.get(words, x["i"] - 1).alias("anchor"),
-                F.xxhash64(F.get(words, x["i"] - 1), x["w"], *[F.get(c, j + k)["w"] for k in range(1, CHAIN)]).alias("h")))
+                F.hash(F.get(words, x["i"] - 1), x["w"], *[F.get(c, j + k)["w"] for k in range(1, CHAIN)]).alias("h")))
 
         found = let(content, lambda c: F.transform(F.filter(following(c), lambda s: s["anchor"].isin(*ANCHORS)),
                                                    lambda s: s["h"]))
-        every = F.transform(words, lambda w, i: F.xxhash64(w, *[F.get(words, i + k) for k in range(1, CHAIN + 1)]))
+        every = F.transform(words, lambda w, i: F.hash(w, *[F.get(words, i + k) for k in range(1, CHAIN + 1)]))
         return let(F.array_distinct(found), lambda s: F.when(
             (F.size(s) >= SPARSE) & (F.length(text) >= SHORT), s).otherwise(
             F.array_distinct(F.concat(s, every))))
@@ -106,7 +106,7 @@ def near_pairs(sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "likeness")
 
 
-LEAST_ID = -(1 << 63)
+LEAST_ID = -(1 << 63)     # stands for a null doc_id
 
 
 def neighbours(ids: DataFrame) -> DataFrame:
@@ -132,11 +132,11 @@ def neighbours(ids: DataFrame) -> DataFrame:
 def with_neighbours(documents: DataFrame) -> DataFrame:
     """Rows ``(doc_id, text, sigs, next_prefix, next_sigs)``, the prefix of the next text as long as the edit needs."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    own = documents.select("doc_id", text.alias("text")).select(
-        "doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST_ID)).alias("id"), F.xxhash64("text").alias("h"), "text",
-        signatures(F.col("text")).alias("sigs"))
-    counted = kept(documents.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST_ID)).alias("id"),
-                                    F.xxhash64(text).alias("h"), F.length(text).alias("n_chars"))
+    place = F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST_ID)).alias("id")
+    # both uses below need exactly these columns, so Spark shuffles the texts once and reads that twice
+    own = documents.select(place, text.alias("text")).select("id", F.xxhash64("text").alias("h"), "text",
+                                                             signatures(F.col("text")).alias("sigs"))
+    counted = kept(documents.select(place, F.xxhash64(text).alias("h"), F.length(text).alias("n_chars"))
                    .groupBy("id", "h", "n_chars").agg(F.count(F.lit(1)).alias("copies")))
     order = kept(neighbours(counted.select("id", "h", "n_chars")))
     moved = own.join(order, ["id", "h"]).select(
@@ -144,12 +144,14 @@ def with_neighbours(documents: DataFrame) -> DataFrame:
         F.substring(F.col("text"), F.lit(1), F.col("need")).alias("next_prefix"), F.col("sigs").alias("next_sigs"))
     if counted.where("copies > 1").first():                                 # equal rows send equal prefixes: keep one
         moved = moved.dropDuplicates(["id", "h"])
-    return own.join(moved, ["id", "h"]).select("doc_id", "text", "sigs", "next_prefix", "next_sigs")
+    doc_id = F.when(F.col("id") != LEAST_ID, F.col("id")).alias("doc_id")
+    return own.join(moved, ["id", "h"]).select(doc_id, "text", "sigs", "next_prefix", "next_sigs")
 
 
 def spelled(sigs: Column) -> Column:
-    """A fingerprint as text: the signatures' low 32 bits in hex, in order."""
-    return F.array_join(F.transform(sigs, lambda s: F.lpad(F.hex(s.bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0")), "")
+    """A fingerprint as text: the signatures in hex, in order."""
+    low = F.lit(0xFFFFFFFF)
+    return F.array_join(F.transform(sigs, lambda s: F.lpad(F.hex(s.cast("long").bitwiseAND(low)), 8, "0")), "")
 
 
 def op5_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
