@@ -15,8 +15,12 @@ Avro datasets under the shared checkpoint folder. Timed, each run twice
 * nightly_audit: one date across 64 tables (the nightly case): each role's
   copies are read as one relation that lists only that date, compared with
   the per-item loop on the same items (loop_nightly);
+* big_copy_audit: two tables of many records each (lineitem five times over, one
+  date), where the cost per record shows; big_copy_counts is the plain count of
+  the same four folders;
 * loop_two_way: the same two-way counts done the way the original jobs do
-  them, one count job per copy per item on the driver, for comparison.
+  them, one count job per copy per item on the driver, for comparison; loop_q27
+  does so for q27, one count job per table, copy and partition.
 """
 
 from __future__ import annotations
@@ -35,6 +39,7 @@ from copyaudit.session import build_session  # noqa: E402
 # One business date across many tables, as a nightly run audits it.
 NIGHTLY_DATE = "1995-03"
 NIGHTLY_TABLES = 64
+BIG_COPIES = 5
 
 
 def timed(fn):
@@ -92,6 +97,17 @@ def main() -> None:
         for loc in copy_locations(nightly_work.tables, [role]):
             day_rows.write.mode("overwrite").partitionBy(recipes.ORDERS.partition_col).orc(loc.root)
 
+    # big: few files' worth of planning, many records
+    big_layout = physical.two_way_layout(
+        spark, "bench-big", catalog.two_way_params(tables="big1,big2", databases="sri_open"))
+    big_work = two_way_work_list(spark, big_layout.two_way, [NIGHTLY_DATE])
+    lineitem = recipes.base_table(spark, sf_dir, "lineitem") \
+        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(BIG_COPIES)))).withColumn("ods", F.lit(NIGHTLY_DATE))
+    big_dirs = []
+    for loc in copy_locations(big_work.tables, ["source", "target"]):
+        lineitem.repartition(int(cpus)).write.mode("overwrite").partitionBy("ods").orc(loc.root)
+        big_dirs.append(f"{loc.root}/ods={NIGHTLY_DATE}")
+
     runs = {
         "two_way_audit": lambda: audit_two_way(spark, two_layout.two_way, two_parts).results.collect(),
         "three_way_audit": lambda: audit_three_way(spark, three_layout.three_way, three_parts).results.collect(),
@@ -99,6 +115,8 @@ def main() -> None:
         "q17_three_way_result": lambda: catalog.q17_three_way_result(spark, sf_dir).collect(),
         "q27_multi_table_audit": lambda: catalog.q27_multi_table_audit(spark, sf_dir).collect(),
         "wide_two_way_audit": lambda: audit_two_way(spark, wide_layout.two_way, wide_parts).results.collect(),
+        "big_copy_audit": lambda: audit_two_way(spark, big_layout.two_way, [NIGHTLY_DATE]).results.collect(),
+        "big_copy_counts": lambda: [spark.read.orc(d).count() for d in big_dirs],
         "nightly_audit": lambda: audit_two_way(spark, nightly_layout.two_way, [NIGHTLY_DATE]).results.collect(),
     }
     cold, warm = {}, {}
@@ -127,6 +145,18 @@ def main() -> None:
         extra["speedup_nightly_vs_loop"] = round(extra["loop_nightly"] / max(warm["nightly_audit"], 1e-9), 1)
         extra["nightly_items"] = len(items)
 
+        def loop_q27():
+            for recipe in three_tables:
+                values = [r[0] for r in recipes.source_partitions(spark, sf_dir, [recipe])
+                          .select("partition_date").collect()]
+                base = recipes.base_table(spark, sf_dir, recipe.name).withColumn("pd", recipe.partition())
+                for weight in recipe.weights.values():
+                    weighted = base.withColumn("w", weight())
+                    for value in values:
+                        weighted.where(F.col("pd") == value).agg(F.sum("w")).collect()
+        extra["loop_q27"] = timed(loop_q27)
+        extra["speedup_q27_vs_loop"] = round(extra["loop_q27"] / max(warm["q27_multi_table_audit"], 1e-9), 1)
+
     m = re.search(r"sf([0-9.]+)", sf_dir)
     out = {
         "metric": "audit_total_warm",
