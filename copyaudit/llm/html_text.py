@@ -189,8 +189,12 @@ def main_text(html: str | None, weights: Weights) -> str:
 
 def learned_weights(pages: DataFrame, labelled_pages: int = LABELLED_PAGES) -> Weights:
     """Weights from a bounded sample of the pages that hold an article element."""
-    sample = pages.where(F.col("html").rlike("(?i)<article[ >]")) \
-        .select(F.xxhash64("html").alias("h"), "html").orderBy("h").limit(labelled_pages).select("html")
+    labelled = pages.where(F.col("html").rlike("(?i)<article[ >]")).select(F.xxhash64("html").alias("h"), "html")
+    # the hash up to which pages are taken: only hashes are sorted, pages stay where they are
+    last = labelled.select("h").distinct().orderBy("h").limit(labelled_pages).agg(F.max("h")).first()[0]
+    if last is None:
+        return Weights()
+    sample = labelled.where(F.col("h") <= last).select("html")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
