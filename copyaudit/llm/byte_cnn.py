@@ -33,6 +33,7 @@ EMBEDDING = 8
 FILTERS = 32
 HIDDEN = 16
 SLICE = 1024              # halves computed at a time
+ROWS = 512                # texts of an Arrow batch held as Python objects at a time
 MAX_PER_CLASS = 900
 TRAIN_CHUNKS = 14
 EPOCHS = 14
@@ -136,6 +137,13 @@ def _short(chunk: np.ndarray, length: int) -> np.ndarray:
     return np.concatenate([half[:HALF], half])[None, :]
 
 
+def batch_scores(network: Network, texts: pa.Array) -> np.ndarray:
+    """Scores of an Arrow column of texts, a bounded number of them as Python objects at a time."""
+    parts = [text_scores(network, [(t or "").encode("utf-8", "replace") for t in texts.slice(at, ROWS).to_pylist()])
+             for at in range(0, len(texts), ROWS)]
+    return np.concatenate(parts) if parts else np.empty(0)
+
+
 def train(samples: list[tuple[bytes, int]], epochs: int = EPOCHS, seed: int = SEED) -> Network | None:
     """Fits a network to chunk samples: each is the chunk bytes (n chunks of ``HALF + SPAN`` bytes) and the label."""
     labels = np.array([y for _, y in samples])
@@ -244,8 +252,7 @@ def score(documents: DataFrame, network: Network | None) -> DataFrame:
     """Rows ``(doc_id, score)`` of whole texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [(t or "").encode("utf-8", "replace") for t in batch.column(1).to_pylist()]
-            values = text_scores(network, texts) if network else np.full(len(texts), 0.5)
+            values = batch_scores(network, batch.column(1)) if network else np.full(batch.num_rows, 0.5)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.float64())], names=["doc_id", "score"])
 
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double")
@@ -264,8 +271,7 @@ def keep_good(documents: DataFrame, network: Network | None, least: float = KEEP
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = names.index("text")
         for batch in batches:
-            texts = [(t or "").encode("utf-8", "replace") for t in batch.column(at).to_pylist()]
-            yield batch.filter(pa.array(text_scores(network, texts) >= least))
+            yield batch.filter(pa.array(batch_scores(network, batch.column(at)) >= least))
 
     return documents.mapInArrow(run, documents.schema)
 

@@ -33,7 +33,7 @@ CAPACITY = 4096
 END_ID = 1
 SALTS = 256
 VOCABULARY = "word_bpe_49k.json"
-CACHED_WORDS = 400_000    # per generation; a worker holds two
+CACHED_WORDS = 120_000    # per generation; a worker holds two, about 50 MB
 
 # Texts of these characters only need no normalising beyond lower case, and white space always separates their tokens.
 PLAIN = regex.compile(r"[\x09-\x0d\x20-\x7e¡-įı-ɏ]*")
