@@ -3,8 +3,8 @@
 Lines of ``MIN_CHARS`` characters or more with a word take part. Equal lines are one node; two different lines link when
 their edit distance is at most ``MAX_EDITS``. The join stores each distinct line under its ``MAX_EDITS + 1`` segments
 (length, segment number, segment text) and looks up, for every length it may match, only the substrings whose place is
-possible for that length. A line within the distance shares at least one of them. Pairs whose letter counts differ by more
-than the edits allow are refused inside the join; the others are verified by a banded bit-parallel edit distance. Linked
+possible for that length. A line within the distance shares at least one of them. Pairs whose letter counts differ in more
+letters than the edits allow are refused inside the join; the others are verified by a banded bit-parallel edit distance. Linked
 lines form classes (connected components), named by their first line in order of document and line number.
 
 All of it is DataFrame code. Texts are shuffled once (the distinct lines); keys are hashes.
@@ -23,11 +23,12 @@ from copyaudit.llm.common import WORD, components, kept, let, table
 
 MAX_EDITS = 2
 MIN_CHARS = 24
-LETTERS = "enta"          # frequent in the languages at hand; their counts refuse most false candidates
+# Frequent in the languages at hand, the most frequent first: whether their counts are odd refuses most false candidates.
+LETTERS = " enatirohsdlu.wbcfgmpvyk,é"
 
 
 def taking_part(line: Column) -> Column:
-    return (F.length(line) >= MIN_CHARS) & line.rlike(WORD)
+    return (F.length(line) >= MIN_CHARS) & (F.btrim(line, F.lit(" \t\n\x0b\f\r")) != "")
 
 
 def line_rows(documents: DataFrame) -> DataFrame:
@@ -37,9 +38,32 @@ def line_rows(documents: DataFrame) -> DataFrame:
 
 
 def distinct_lines(documents: DataFrame) -> DataFrame:
-    """Rows ``(id, line)``, one per different line."""
+    """Rows ``(id, line, letters)``, one per different line; ``letters`` as ``with_letters`` gives it."""
     rows = documents.select(F.explode(F.array_distinct(F.split(F.coalesce("text", F.lit("")), "\n"))).alias("line"))
-    return rows.where(taking_part(F.col("line"))).groupBy(F.xxhash64("line").alias("id")).agg(F.max("line").alias("line"))
+    named = rows.where(taking_part(F.col("line"))).select(F.xxhash64("line").alias("id"), "line")
+    return with_letters(named).groupBy("id").agg(F.max("line").alias("line"), F.max("letters").alias("letters"))
+
+
+def with_letters(lines: DataFrame) -> DataFrame:
+    """Adds ``letters``, one bit per letter of ``LETTERS``: whether the line holds it an odd number of times.
+
+    An edit changes two bits at most. Letters are counted by removing them one after the other, so that each step reads a
+    shorter rest of the line.
+    """
+    rest = "line"
+    columns = lines.columns
+    for k, letter in enumerate(LETTERS):
+        shorter = F.replace(F.col(rest), F.lit(letter), F.lit(""))
+        lines = lines.select(*columns, (F.lit(0) if k == 0 else F.col("letters")).alias("before"), F.col(rest).alias("longer"),
+                             shorter.alias("rest"))
+        odd = (F.length("longer") - F.length("rest")) % 2 * (1 << k)
+        lines = lines.select(*columns, (F.col("before") + odd).alias("letters"), "rest")
+        rest = "rest"
+    return lines.select(*columns, "letters")
+
+
+def _letters_fit(a: Column, b: Column, edits: int) -> Column:
+    return F.bit_count(a.bitwiseXOR(b).bitwiseAND(F.lit(SAME - 1))) <= 2 * edits
 
 
 def _segments(n: Column, count: int) -> list[tuple[Column, Column]]:
@@ -61,35 +85,45 @@ def stored_keys(line: Column, n: Column, edits: int) -> Column:
     return F.array(*[_key(n, i, line, start, length) for i, (start, length) in enumerate(_segments(n, edits + 1))])
 
 
-def looked_up_keys(line: Column, n: Column, edits: int) -> Column:
-    """Structs (key, same): the substrings that can equal a segment of a line up to ``edits`` shorter.
+def looked_up_keys(line: Column, n: Column, letters: Column, edits: int) -> Column:
+    """Structs (key, letters): the substrings that can equal a segment of a line up to ``edits`` shorter.
 
     With d the difference in length, segment i (from 0) can only have moved by i to either side as seen from the left end
-    and by ``edits - i`` as seen from the right end.
+    and by ``edits - i`` as seen from the right end. ``letters`` gets ``SAME`` added where d is 0.
     """
     keys = []
     for d in range(edits + 1):
         for i, (start, length) in enumerate(_segments(n - d, edits + 1)):
             for move in range(max(-i, d - (edits - i)), min(i, d + (edits - i)) + 1):
                 keys.append(F.struct(_key(n - d, i, line, start + move, length).alias("key"),
-                                     F.lit(d == 0).alias("same")))
+                                     (letters if d else letters + SAME).alias("letters")))
     return F.array(*keys)
 
 
-def _letter_counts(line: Column, n: Column) -> Column:
-    """Counts of ``LETTERS`` in one long, 15 bits each (larger counts as the largest)."""
-    packed = F.lit(0).cast("long")
-    for letter in LETTERS:
-        count = F.least(n - F.length(F.replace(line, F.lit(letter), F.lit(""))), F.lit(32767)).cast("long")
-        packed = packed * 32768 + count
-    return packed
+SAME = 1 << len(LETTERS)              # marks a lookup among lines of equal length
+
+
+def without_common_ends(a: Column, b: Column) -> Column:
+    """Struct (x, y) of two texts without equal beginnings and ends, cut by halves; their edit distance stays the same."""
+    pair = F.struct(a.alias("x"), b.alias("y"))
 
+    def cut(p, at_start):
+        n = F.least(F.length(p["x"]), F.length(p["y"]))
+        k = F.floor(n / 2).cast("int")
 
-def _letters_differ(a: Column, b: Column) -> Column:
-    total = F.lit(0)
-    for k in range(len(LETTERS)):
-        total = total + F.abs(F.shiftright(a, 15 * k).bitwiseAND(F.lit(32767)) - F.shiftright(b, 15 * k).bitwiseAND(F.lit(32767)))
-    return total
+        def piece(text):
+            return F.substring(text, F.lit(1), k) if at_start else F.right(text, k)
+
+        def rest(text):
+            return F.substring(text, k + 1, F.length(text) - k) if at_start \
+                else F.substring(text, F.lit(1), F.length(text) - k)
+
+        return F.when((n >= 16) & (piece(p["x"]) == piece(p["y"])), F.struct(rest(p["x"]).alias("x"), rest(p["y"]).alias("y"))) \
+            .otherwise(p)
+
+    for _ in range(4):
+        pair = let(let(pair, lambda p: cut(p, True)), lambda p: cut(p, False))
+    return pair
 
 
 def banded_distance(a: Column, b: Column, edits: int = MAX_EDITS) -> Column:
@@ -135,25 +169,32 @@ def banded_distance(a: Column, b: Column, edits: int = MAX_EDITS) -> Column:
         return F.aggregate(F.sequence(F.lit(0), F.size(y) - 1), start, step, lambda s: F.least(s["score"], F.lit(edits + 1)))
 
     return F.when(F.abs(F.length(a) - F.length(b)) > edits, F.lit(edits + 1)).otherwise(
-        let(F.struct(F.split(a, "").alias("x"), F.split(b, "").alias("y")), run))
+        let(let(without_common_ends(a, b), lambda p: F.struct(F.split(p["x"], "").alias("x"), F.split(p["y"], "").alias("y"))),
+            run))
 
 
-def near_lines(lines: DataFrame, edits: int = MAX_EDITS) -> DataFrame:
-    """Pairs ``(a, b)``, a below b, of ids of lines (rows ``(id, line)``, ids unique) within ``edits`` edits."""
-    measured = lines.withColumn("n", F.length("line")).withColumn("letters", _letter_counts(F.col("line"), F.col("n")))
+def candidate_pairs(lines: DataFrame, edits: int = MAX_EDITS) -> DataFrame:
+    """Pairs ``(a, b)`` of ids that share a segment and have fitting letter counts; a below b, each pair once."""
+    measured = lines.withColumn("n", F.length("line"))
     line, n = F.col("line"), F.col("n")
     stored = measured.select(F.col("id").alias("b"), F.col("letters").alias("letters_b"),
                              F.explode(stored_keys(line, n, edits)).alias("key"))
-    looked = measured.select(F.col("id").alias("a"), F.col("letters").alias("letters_a"),
-                             F.explode(looked_up_keys(line, n, edits)).alias("p")) \
-        .select("a", "letters_a", "p.key", "p.same")
-    possible = (~F.col("same") | (F.col("a") < F.col("b"))) & (F.col("a") != F.col("b")) \
-        & (_letters_differ(F.col("letters_a"), F.col("letters_b")) <= 2 * edits)
-    candidates = looked.join(stored, "key").where(possible).select("a", "b").distinct()
-    texts = candidates.join(lines.select(F.col("id").alias("a"), F.col("line").alias("line_a")), "a") \
-        .join(lines.select(F.col("id").alias("b"), F.col("line").alias("line_b")), "b")
-    return texts.where(banded_distance(F.col("line_a"), F.col("line_b"), edits) <= edits) \
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    looked = measured.select(F.col("id").alias("a"), F.explode(looked_up_keys(line, n, F.col("letters"), edits)).alias("p")) \
+        .select("a", F.col("p.letters").alias("letters_a"), "p.key")
+    possible = ((F.col("letters_a") < SAME) | (F.col("a") < F.col("b"))) & (F.col("a") != F.col("b")) \
+        & _letters_fit(F.col("letters_a"), F.col("letters_b"), edits)
+    return looked.join(stored, "key").where(possible) \
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def near_lines(lines: DataFrame, edits: int = MAX_EDITS) -> DataFrame:
+    """Pairs ``(a, b)``, a below b, of ids of lines (as of ``distinct_lines``) within ``edits`` edits."""
+    both = candidate_pairs(lines, edits).select("a", "b", F.explode(F.array("a", "b")).alias("id"))
+    # all columns of ``lines`` are used here as for the keys, so that Spark shuffles the lines once and reads that again
+    sides = [F.max(F.when(F.col("id") == F.col(x), F.col(c))).alias(f"{c}_{x}") for x in "ab" for c in ("line", "letters")]
+    texts = both.join(lines, "id").groupBy("a", "b").agg(*sides)
+    return texts.where(_letters_fit(F.col("letters_a"), F.col("letters_b"), edits)
+                       & (banded_distance(F.col("line_a"), F.col("line_b"), edits) <= edits)).select("a", "b")
 
 
 def line_classes(documents: DataFrame, edits: int = MAX_EDITS) -> DataFrame:

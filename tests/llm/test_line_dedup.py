@@ -49,7 +49,8 @@ def test_near_lines_against_brute_force(spark):
         base = "".join(rng.choice("abcdefgh ") for _ in range(rng.randint(24, 45)))
         lines |= {base} | {edited(rng, base, rng.randint(1, 4), "ab é") for _ in range(8)}
     lines = sorted(x for x in lines if len(x) >= 24)
-    frame = spark.createDataFrame(list(enumerate(lines)), "id long, line string")
+    frame = q.with_letters(spark.createDataFrame(list(enumerate(lines)), "id long, line string"))
+    assert all(r.letters == sum(r.line.count(c) % 2 << k for k, c in enumerate(q.LETTERS)) for r in frame.collect())
     for edits in (1, 2):
         want = {(i, k) for i in range(len(lines)) for k in range(i + 1, len(lines))
                 if abs(len(lines[i]) - len(lines[k])) <= edits and distance(lines[i], lines[k]) <= edits}
