@@ -1,11 +1,12 @@
 """SpotSigs fingerprints: chains of content words that follow common-word anchors, compared by pruned Jaccard.
 
-A signature is the hash of an anchor and the ``CHAIN`` content words after it (common words in between are skipped); a
-document's fingerprint is the sorted set of its signatures. Texts shorter than ``SHORT`` characters or with fewer than
-``SPARSE`` signatures use every word as an anchor too, so that short texts and texts without common words can be compared.
+A spot signature is the hash of an anchor and the ``CHAIN`` content words after it (common words in between are skipped).
+A document's fingerprint is the sorted set of its spot signatures and of the hashes of every word with the ``CHAIN`` words
+after it, by the same rule for texts of every length and number of anchors, so that near copies have near fingerprints.
 
 * ``with_neighbours`` pairs every document with the next one by doc_id. Order is found on ids alone (range partitions,
-  numbered, then stitched at their ends); texts move once, and only the needed prefix of a neighbour moves again.
+  numbered, then stitched at their ends); texts move once, and once again to their neighbour. Fingerprints, which would
+  take more room than the texts, are built afterwards and never move.
 * ``near_pairs`` joins fingerprints: sets are partitioned by length so that only sets of the same or the next partition
   can reach the threshold, each set is looked up by its rarest signatures (prefix filter on corpus counts), and the
   Jaccard value is computed only where lengths allow it.
@@ -37,33 +38,39 @@ COMMON = sorted({*ANCHORS, *(
     "sie er ich wir wird sind war hat aus bei nach wie einer um am haben nur oder aber vor zur bis mehr durch man noch "
     "sus como más pero le ya o este sí porque esta entre cuando muy sin sobre también me hasta hay donde").split()})
 CHAIN = 2
-SPARSE = 4
-SHORT = 600
 THRESHOLD = 0.8
 
 
-def signatures(text: Column) -> Column:
-    """The sorted set of a text's signatures (array<int>)."""
-    tokens = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+def _tokens(text: Column) -> Column:
+    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+
+
+def _chains(words: Column) -> Column:
+    """Hashes of the chains that follow anchors, repeated ones too."""
+    content = F.filter(F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("i"))),
+                       lambda x: ~x["w"].isin(*COMMON))
+
+    def following(c):
+        """Per content word: the hash of the word before it and of the chain it starts."""
+        return F.transform(c, lambda x, j: F.struct(
+            F.get(words, x["i"] - 1).alias("anchor"),
+            F.hash(F.get(words, x["i"] - 1), x["w"], *[F.get(c, j + k)["w"] for k in range(1, CHAIN)]).alias("h")))
 
-    def chains(words):
-        content = F.filter(F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("i"))),
-                           lambda x: ~x["w"].isin(*COMMON))
+    return let(content, lambda c: F.transform(F.filter(following(c), lambda s: s["anchor"].isin(*ANCHORS)), lambda s: s["h"]))
+
+
+def signatures(text: Column) -> Column:
+    """The sorted set of a text's spot signatures (array<int>)."""
+    return F.sort_array(F.array_distinct(let(_tokens(text), _chains)))
 
-        def following(c):
-            """Per content word: the hash of the word before it and of the chain it starts."""
-            return F.transform(c, lambda x, j: F.struct(
-                F.get(words, x["i"] - 1).alias("anchor"),
-                F.hash(F.get(words, x["i"] - 1), x["w"], *[F.get(c, j + k)["w"] for k in range(1, CHAIN)]).alias("h")))
 
-        found = let(content, lambda c: F.transform(F.filter(following(c), lambda s: s["anchor"].isin(*ANCHORS)),
-                                                   lambda s: s["h"]))
+def fingerprint(text: Column) -> Column:
+    """The sorted set of a text's spot signatures and of its word sequences of ``CHAIN + 1`` (array<int>)."""
+    def both(words):
         every = F.transform(words, lambda w, i: F.hash(w, *[F.get(words, i + k) for k in range(1, CHAIN + 1)]))
-        return let(F.array_distinct(found), lambda s: F.when(
-            (F.size(s) >= SPARSE) & (F.length(text) >= SHORT), s).otherwise(
-            F.array_distinct(F.concat(s, every))))
+        return F.array_distinct(F.concat(_chains(words), every))
 
-    return F.sort_array(let(tokens, chains))
+    return F.sort_array(let(_tokens(text), both))
 
 
 def jaccard(a: Column, b: Column, threshold: float = 0.0) -> Column:
@@ -134,18 +141,19 @@ def with_neighbours(documents: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     place = F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST_ID)).alias("id")
     # both uses below need exactly these columns, so Spark shuffles the texts once and reads that twice
-    own = documents.select(place, text.alias("text")).select("id", F.xxhash64("text").alias("h"), "text",
-                                                             signatures(F.col("text")).alias("sigs"))
+    own = documents.select(place, text.alias("text")).select("id", F.xxhash64("text").alias("h"), "text")
     counted = kept(documents.select(place, F.xxhash64(text).alias("h"), F.length(text).alias("n_chars"))
                    .groupBy("id", "h", "n_chars").agg(F.count(F.lit(1)).alias("copies")))
     order = kept(neighbours(counted.select("id", "h", "n_chars")))
     moved = own.join(order, ["id", "h"]).select(
-        F.col("prev_id").alias("id"), F.col("prev_h").alias("h"),
-        F.substring(F.col("text"), F.lit(1), F.col("need")).alias("next_prefix"), F.col("sigs").alias("next_sigs"))
-    if counted.where("copies > 1").first():                                 # equal rows send equal prefixes: keep one
+        F.col("prev_id").alias("id"), F.col("prev_h").alias("h"), "need", F.col("text").alias("next_text"))
+    if counted.where("copies > 1").first():                                 # equal rows send equal texts: keep one
         moved = moved.dropDuplicates(["id", "h"])
     doc_id = F.when(F.col("id") != LEAST_ID, F.col("id")).alias("doc_id")
-    return own.join(moved, ["id", "h"]).select(doc_id, "text", "sigs", "next_prefix", "next_sigs")
+    return own.join(moved, ["id", "h"]).select(
+        doc_id, "text", fingerprint(F.col("text")).alias("sigs"),
+        F.substring(F.col("next_text"), F.lit(1), F.col("need")).alias("next_prefix"),
+        fingerprint(F.col("next_text")).alias("next_sigs"))
 
 
 def spelled(sigs: Column) -> Column:
@@ -159,7 +167,7 @@ def op5_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.length("text")
     edited = pairs.withColumn("edited", F.concat(
         F.substring(F.col("text"), F.lit(1), (n - F.floor(n / 4)).cast("int")), "next_prefix"))
-    marked = edited.withColumn("edited_sigs", let(F.col("edited"), signatures))
+    marked = edited.withColumn("edited_sigs", let(F.col("edited"), fingerprint))
     return marked.select(
         "doc_id", n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
         spelled(F.col("sigs")).alias("fingerprint"), spelled(F.col("edited_sigs")).alias("edited_fingerprint"),

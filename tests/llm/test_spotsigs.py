@@ -74,3 +74,27 @@ def test_digest_of_the_edited_text(spark):
         n = len(text) // 4
         edited = text[:len(text) - n] + texts[(k + 1) % len(texts)][1][:n]
         assert rows[i].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest() and rows[i].n_chars == len(text)
+
+
+def likeness_of(spark, pairs):
+    rows = spark.createDataFrame(pairs, "a string, b string").select(
+        q.fingerprint(F.col("a")).alias("a"), q.fingerprint(F.col("b")).alias("b")).collect()
+    return [len(set(r.a) & set(r.b)) / len(set(r.a) | set(r.b)) for r in rows]
+
+
+def test_near_copies_of_any_length_and_number_of_anchors_are_near(spark):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("bcdfghklmnprstvz") for _ in range(6))
+    text = " ".join(rng.choice(("the", "of", word(), word(), word())) for _ in range(300))
+    pairs = [(text[:n], text[:n - cut]) for n in range(595, 611) for cut in (1, 8, 12)]        # around 600 characters
+    plain = " ".join(word() for _ in range(200))
+    for anchors in range(6):                                                                 # around 4 spot signatures
+        a = plain + "".join(f" the {word()} {word()}" for _ in range(anchors))
+        pairs.append((a, a + f" the {word()} {word()}"))
+    pairs += [("red apples grow here", "red apples grow here"), ("no", "no")]
+    assert min(likeness_of(spark, pairs)) >= 0.8
+    edge = spark.createDataFrame([(1, text[:605]), (2, text[:597])], "doc_id long, text string")
+    sets = edge.select(F.col("doc_id").alias("id"), q.fingerprint(F.col("text")).alias("sigs"))
+    assert [(r.a, r.b) for r in q.near_pairs(sets).collect()] == [(1, 2)]
+    assert all(r.sigs == r.next_sigs or len(set(r.sigs) & set(r.next_sigs)) > 0.8 * len(r.sigs)
+               for r in q.with_neighbours(edge).collect())
