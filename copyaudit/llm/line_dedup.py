@@ -1,7 +1,7 @@
 """Line dedup: exact copies by hash, near copies by a segment-partition edit join.
 
-Lines of ``MIN_CHARS`` characters or more with a word take part. Equal lines are one node; two different lines link when
-their edit distance is at most ``MAX_EDITS``. The join stores each distinct line under its ``MAX_EDITS + 1`` segments
+Equal lines with a word are one node, whatever their length; two different lines of ``MIN_CHARS`` characters or more link
+when their edit distance is at most ``MAX_EDITS``. The join stores each distinct line under its ``MAX_EDITS + 1`` segments
 (length, segment number, segment text) and looks up, for every length it may match, only the substrings whose place is
 possible for that length. A line within the distance shares at least one of them. Pairs whose letter counts differ in more
 letters than the edits allow are refused inside the join; the others are verified by a banded bit-parallel edit distance. Linked
@@ -9,8 +9,7 @@ lines form classes (connected components), named by their first line in order of
 
 All of it is DataFrame code. Texts are shuffled once (the distinct lines); keys are hashes.
 
-Defined cases: a null or empty text has no lines; lines that are too short or blank never take part and stay; a line that
-occurs twice in a text is a copy too; rows that repeat a doc_id share their line places, so equal ones count as one line;
+Defined cases: a null or empty text has no lines; blank lines never take part and stay; a line that occurs twice in a text is a copy too; rows that repeat a doc_id share their line places, so equal ones count as one line;
 a null doc_id comes before all others; other columns pass through ``drop_repeated_lines``; an empty table gives no rows.
 """
 
@@ -27,18 +26,18 @@ MIN_CHARS = 24
 LETTERS = " enatirohsdlu.wbcfgmpvyk,é"
 
 
-def taking_part(line: Column) -> Column:
-    return (F.length(line) >= MIN_CHARS) & (F.btrim(line, F.lit(" \t\n\x0b\f\r")) != "")
+def taking_part(line: Column, least_chars: int = MIN_CHARS) -> Column:
+    return (F.length(line) >= least_chars) & (F.btrim(line, F.lit(" \t\n\x0b\f\r")) != "")
 
 
-def line_rows(documents: DataFrame) -> DataFrame:
+def line_rows(documents: DataFrame, least_chars: int = 1) -> DataFrame:
     """Rows ``(doc_id, line_no, id)`` of the lines that take part; ``id`` is the hash of the line."""
     rows = documents.select("doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line_no", "line"))
-    return rows.where(taking_part(F.col("line"))).select("doc_id", "line_no", F.xxhash64("line").alias("id"))
+    return rows.where(taking_part(F.col("line"), least_chars)).select("doc_id", "line_no", F.xxhash64("line").alias("id"))
 
 
 def distinct_lines(documents: DataFrame) -> DataFrame:
-    """Rows ``(id, line, letters)``, one per different line; ``letters`` as ``with_letters`` gives it."""
+    """Rows ``(id, line, letters)``, one per different line long enough for the edit join; ``letters`` as ``with_letters`` gives it."""
     rows = documents.select(F.explode(F.array_distinct(F.split(F.coalesce("text", F.lit("")), "\n"))).alias("line"))
     named = rows.where(taking_part(F.col("line"))).select(F.xxhash64("line").alias("id"), "line")
     return with_letters(named).groupBy("id").agg(F.max("line").alias("line"), F.max("letters").alias("letters"))
@@ -197,13 +196,14 @@ def near_lines(lines: DataFrame, edits: int = MAX_EDITS) -> DataFrame:
                        & (banded_distance(F.col("line_a"), F.col("line_b"), edits) <= edits)).select("a", "b")
 
 
-def line_classes(documents: DataFrame, edits: int = MAX_EDITS) -> DataFrame:
+def line_classes(documents: DataFrame, edits: int = MAX_EDITS, least_chars: int = MIN_CHARS) -> DataFrame:
     """Rows ``(doc_id, line_no, class_doc_id, class_line_no, n_links)`` of the lines that take part.
 
-    The class is named by its first line; ``n_links`` counts the different lines within ``edits`` of this one.
+    These are lines of ``least_chars`` characters or more; those under ``MIN_CHARS`` have exact copies only. The class is
+    named by its first line; ``n_links`` counts the different lines within ``edits`` of this one.
     """
     pairs = kept(near_lines(distinct_lines(documents), edits))
-    rows = line_rows(documents)
+    rows = line_rows(documents, least_chars)
     first = rows.groupBy("id").agg(F.min(F.struct("doc_id", "line_no")).alias("first"))
     degree = pairs.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n_links"))
     linked = components(pairs).withColumnRenamed("node", "id").join(degree, "id")
@@ -226,7 +226,7 @@ def drop_repeated_lines(documents: DataFrame, edits: int = MAX_EDITS) -> DataFra
     All columns stay; ``n_chars``, if there, follows the new text.
     """
     columns = documents.columns
-    dropped = kept(line_classes(documents, edits).where(~is_first()).groupBy(F.col("doc_id").alias("drop_id"))
+    dropped = kept(line_classes(documents, edits, least_chars=1).where(~is_first()).groupBy(F.col("doc_id").alias("drop_id"))
                    .agg(F.array_sort(F.collect_set("line_no")).alias("drop_lines")))
     places = dropped["drop_lines"]
     joined = documents.join(dropped, documents["doc_id"].eqNullSafe(dropped["drop_id"]), "left")
@@ -242,7 +242,7 @@ def drop_repeated_lines(documents: DataFrame, edits: int = MAX_EDITS) -> DataFra
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_classes(table(spark, sf_dir, "documents")).select(
+    return line_classes(table(spark, sf_dir, "documents"), least_chars=1).select(
         "doc_id", F.col("line_no").cast("long").alias("line_no"), "class_doc_id",
         F.col("class_line_no").cast("long").alias("class_line_no"), F.col("n_links").cast("long").alias("n_links"),
         is_first().alias("kept"))

@@ -84,3 +84,14 @@ def test_awkward_rows(spark, awkward, nothing):
     assert len(rows) == awkward.count()                         # each repeated row keeps its line
     assert q.drop_repeated_lines(nothing).count() == 0 and q.line_classes(nothing).count() == 0
     assert {r.n_chars for r in rows if r.doc_id == 2} == {None}
+
+
+def test_short_lines_have_exact_copies(spark):
+    docs = spark.createDataFrame([(1, "And ornd.\n\nown"), (2, "And ornd.\nAnd ornt.\n "), (3, "x\nAnd ornd.\n。")],
+                                 "doc_id long, text string")
+    rows = {(r.doc_id, r.line_no): (r.class_doc_id, r.class_line_no, r.n_links)
+            for r in q.line_classes(docs, least_chars=1).collect()}
+    assert rows == {(1, 0): (1, 0, 0), (1, 2): (1, 2, 0), (2, 0): (1, 0, 0), (2, 1): (2, 1, 0), (3, 0): (3, 0, 0),
+                    (3, 1): (1, 0, 0), (3, 2): (3, 2, 0)}
+    kept = {r.doc_id: r.text for r in q.drop_repeated_lines(docs).collect()}
+    assert kept == {1: "And ornd.\n\nown", 2: "And ornt.\n ", 3: "x\n。"}
