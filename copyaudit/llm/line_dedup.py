@@ -9,7 +9,8 @@ lines form classes (connected components), named by their first line in order of
 
 All of it is DataFrame code. Texts are shuffled once (the distinct lines); keys are hashes.
 
-Defined cases: a null or empty text has no lines; blank lines never take part and stay; a line that occurs twice in a text is a copy too; rows that repeat a doc_id share their line places, so equal ones count as one line;
+Defined cases: a null or empty text has no lines; blank lines never take part and stay; a line that occurs twice in a text is a copy too; equal rows (doc_id and text) are one document and keep the same lines; rows
+that share a doc_id, or have none, with different texts are different documents, in order of the hash of their text;
 a null doc_id comes before all others; other columns pass through ``drop_repeated_lines``; an empty table gives no rows.
 """
 
@@ -30,10 +31,14 @@ def taking_part(line: Column, least_chars: int = MIN_CHARS) -> Column:
     return (F.length(line) >= least_chars) & (F.btrim(line, F.lit(" \t\n\x0b\f\r")) != "")
 
 
+def text_hash(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def line_rows(documents: DataFrame, least_chars: int = 1) -> DataFrame:
-    """Rows ``(doc_id, line_no, id)`` of the lines that take part; ``id`` is the hash of the line."""
-    rows = documents.select("doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line_no", "line"))
-    return rows.where(taking_part(F.col("line"), least_chars)).select("doc_id", "line_no", F.xxhash64("line").alias("id"))
+    """Rows ``(doc_id, doc_hash, line_no, id)`` of the lines that take part: hash of the text, place and hash of the line."""
+    rows = documents.select("doc_id", text_hash(F.col("text")).alias("doc_hash"), F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line_no", "line"))
+    return rows.where(taking_part(F.col("line"), least_chars)).select("doc_id", "doc_hash", "line_no", F.xxhash64("line").alias("id"))
 
 
 def distinct_lines(documents: DataFrame) -> DataFrame:
@@ -197,14 +202,14 @@ def near_lines(lines: DataFrame, edits: int = MAX_EDITS) -> DataFrame:
 
 
 def line_classes(documents: DataFrame, edits: int = MAX_EDITS, least_chars: int = MIN_CHARS) -> DataFrame:
-    """Rows ``(doc_id, line_no, class_doc_id, class_line_no, n_links)`` of the lines that take part.
+    """Rows ``(doc_id, doc_hash, line_no, class_doc_id, class_doc_hash, class_line_no, n_links)`` of the lines that take part.
 
     These are lines of ``least_chars`` characters or more; those under ``MIN_CHARS`` have exact copies only. The class is
     named by its first line; ``n_links`` counts the different lines within ``edits`` of this one.
     """
     pairs = kept(near_lines(distinct_lines(documents), edits))
     rows = line_rows(documents, least_chars)
-    first = rows.groupBy("id").agg(F.min(F.struct("doc_id", "line_no")).alias("first"))
+    first = rows.groupBy("id").agg(F.min(F.struct("doc_id", "doc_hash", "line_no")).alias("first"))
     degree = pairs.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n_links"))
     linked = components(pairs).withColumnRenamed("node", "id").join(degree, "id")
     named = kept(linked.join(first, "id"))
@@ -212,12 +217,14 @@ def line_classes(documents: DataFrame, edits: int = MAX_EDITS, least_chars: int
     labels = named.join(least, "component").select("id", "class_first", "n_links")
     classes = first.join(labels, "id", "left").select(
         "id", F.coalesce("class_first", "first").alias("class"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    return rows.join(classes, "id").select("doc_id", "line_no", F.col("class.doc_id").alias("class_doc_id"),
+    return rows.join(classes, "id").select("doc_id", "doc_hash", "line_no", F.col("class.doc_id").alias("class_doc_id"),
+                                           F.col("class.doc_hash").alias("class_doc_hash"),
                                            F.col("class.line_no").alias("class_line_no"), "n_links")
 
 
 def is_first() -> Column:
-    return F.col("doc_id").eqNullSafe(F.col("class_doc_id")) & (F.col("line_no") == F.col("class_line_no"))
+    return F.col("doc_id").eqNullSafe(F.col("class_doc_id")) & (F.col("doc_hash") == F.col("class_doc_hash")) \
+        & (F.col("line_no") == F.col("class_line_no"))
 
 
 def drop_repeated_lines(documents: DataFrame, edits: int = MAX_EDITS) -> DataFrame:
@@ -226,10 +233,11 @@ def drop_repeated_lines(documents: DataFrame, edits: int = MAX_EDITS) -> DataFra
     All columns stay; ``n_chars``, if there, follows the new text.
     """
     columns = documents.columns
-    dropped = kept(line_classes(documents, edits, least_chars=1).where(~is_first()).groupBy(F.col("doc_id").alias("drop_id"))
+    dropped = kept(line_classes(documents, edits, least_chars=1).where(~is_first()).groupBy(F.col("doc_id").alias("drop_id"), F.col("doc_hash").alias("drop_hash"))
                    .agg(F.array_sort(F.collect_set("line_no")).alias("drop_lines")))
     places = dropped["drop_lines"]
-    joined = documents.join(dropped, documents["doc_id"].eqNullSafe(dropped["drop_id"]), "left")
+    joined = documents.join(dropped, documents["doc_id"].eqNullSafe(dropped["drop_id"])
+                            & (text_hash(documents["text"]) == dropped["drop_hash"]), "left")
     lines = F.split(documents["text"], "\n")
     text = F.when(places.isNull(), documents["text"]).otherwise(F.array_join(
         F.filter(lines, lambda _, i: ~F.array_contains(places, i)), "\n"))

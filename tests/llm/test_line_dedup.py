@@ -95,3 +95,14 @@ def test_short_lines_have_exact_copies(spark):
                     (3, 1): (1, 0, 0), (3, 2): (3, 2, 0)}
     kept = {r.doc_id: r.text for r in q.drop_repeated_lines(docs).collect()}
     assert kept == {1: "And ornd.\n\nown", 2: "And ornt.\n ", 3: "x\n。"}
+
+
+def test_different_texts_under_one_id(spark):
+    line = "a line that stands in more than one of the texts"
+    own = [f"{c * 9} {c * 7} a line of its own {c * 11}" for c in "uvwxyz"]
+    texts = [(None, f"{own[0]}\n{line}"), (None, f"{own[1]}\n{line}"), (4, f"{line}\n{own[2]}"), (4, f"{own[3]}\n{own[4]}"),
+             (4, f"{own[3]}\n{own[4]}"), (5, f"{own[5]}\n{line}")]
+    out = [r.text for r in q.drop_repeated_lines(spark.createDataFrame(texts, "doc_id long, text string")).collect()]
+    lines = [x for t in out for x in t.split("\n")]
+    assert sorted(lines) == sorted([*own, own[3], own[4], line])
+    assert any(t in out for _, t in texts[:2])                  # the first copy is in one of the texts without an id
