@@ -4,8 +4,9 @@ Base kinds are regular expressions. The method's own spans (kind ``entropy``) co
 characters that hold a letter and a digit: a window of ``WINDOW`` characters slides over the candidate, symbol counts
 are updated as one character enters and one leaves, and the sum of c*log2(c) with them, so each step costs the same.
 A window counts when its Shannon entropy reaches the bound of the candidate's character class (hex, alphanumeric, base64);
-windows that touch merge into one span. Candidates that match the allow-list, and entropy spans inside a base span, are
-suppressed. Entropy is kept in whole numbers (c*log2(c) in units of 2**-20), so results do not depend on the platform.
+windows that touch merge into one span. Of a candidate that matches the allow-list only the harmless parts are suppressed (an identifier, digits, or a path of
+plain names as a whole; a date or a placeholder for its own part between separators), and the rest is scanned, as a whole and
+part by part. Entropy spans inside a base span are suppressed. Entropy is kept in whole numbers (c*log2(c) in units of 2**-20), so results do not depend on the platform.
 
 Positions are code points, end exclusive: the text split at the matches and the matches themselves give running lengths.
 
@@ -55,6 +56,14 @@ class EntropyRule:
 
 RULE = EntropyRule()
 
+# What is harmless in a candidate on the allow-list: all of it, or pieces.
+_NAME = r"(?:[a-z]*(?:[A-Z][a-z]+)*|[A-Z]*)[0-9]{0,4}"
+_NAMES = rf"{_NAME}(?:[_=+-]{_NAME})*"
+HARMLESS = (rf"^[0-9a-fA-F]{{8}}(-[0-9a-fA-F]{{4}}){{3}}-[0-9a-fA-F]{{12}}$|^[0-9=_/+-]+$|^{_NAMES}(?:/{_NAMES}){{3,}}$")
+HARMLESS_PART = (r"^[0-9]{4}-[0-9]{2}-[0-9]{2}(?:T[0-9][0-9-]*)?"
+                 r"|[A-Za-z0-9+]*(?i:example|placeholder|changeme|xxxxx|00000000)[A-Za-z0-9+]*")
+PART = rf"[A-Za-z0-9+]{{{WINDOW},}}"
+
 
 def _scaled(c: int) -> int:
     return round(c * log2(c) * UNIT) if c else 0
@@ -153,13 +162,37 @@ def secret_spans(text: Column, rule: EntropyRule = RULE) -> tuple[Column, Column
         F.when(text.contains("AKIA") & text.rlike(ACCESS), _tagged(spans(ACCESS), "access")).otherwise(none),
         F.when(text.rlike(HEX), _tagged(spans(HEX), "hex")).otherwise(none))
 
+    def wanted(run):
+        return (F.length(run) >= WINDOW) & run.rlike("[0-9]") & run.rlike("[A-Za-z]")
+
+    def piece(run, at):
+        return F.struct(run.alias("run"), at.cast("int").alias("at"))
+
+    def harmful(candidate):
+        """The pieces to scan of a candidate on the allow-list: between its harmless parts, whole and part by part."""
+        def parts(p):
+            found_parts = F.regexp_extract_all(p["run"], F.lit(PART), F.lit(0))
+            return F.concat(F.array(piece(p["run"], p["at"])), let(found_parts, lambda f: F.transform(
+                span_list(F.split(p["run"], PART), f), lambda s, i: piece(F.get(f, i), p["at"] + s["start"]))))
+
+        between = F.split(candidate, HARMLESS_PART)
+        gone = span_list(between, F.regexp_extract_all(candidate, F.lit(HARMLESS_PART), F.lit(0)))
+        rest = let(gone, lambda g: F.transform(between, lambda t, i: piece(
+            t, F.when(i == 0, F.lit(0)).otherwise(F.get(g, i - 1)["end"]))))
+        return F.filter(F.flatten(F.transform(rest, parts)), lambda p: wanted(p["run"]))
+
     def inside(candidate, at):
-        wanted = candidate.rlike("[0-9]") & candidate.rlike("[A-Za-z]")
+        allowed = F.lit(False)
         for pattern in rule.allow:
-            wanted = wanted & ~candidate.rlike(pattern)
-        return F.when(wanted, F.transform(entropy_windows(candidate, rule), lambda s: F.struct(
-            (at + s["start"]).alias("start"), F.lit(KINDS.index("entropy")).alias("kind"), (at + s["end"]).alias("end")))) \
-            .otherwise(none)
+            allowed = allowed | candidate.rlike(pattern)
+        nothing = F.array().cast("array<struct<run:string,at:int>>")
+        pieces = F.when(~wanted(candidate), nothing).when(~allowed, F.array(piece(candidate, F.lit(0)))) \
+            .when(candidate.rlike(HARMLESS), nothing).otherwise(harmful(candidate))
+        spans = F.flatten(F.transform(pieces, lambda p: F.transform(entropy_windows(p["run"], rule), lambda s: F.struct(
+            (at + p["at"] + s["start"]).alias("start"), F.lit(KINDS.index("entropy")).alias("kind"),
+            (at + p["at"] + s["end"]).alias("end")))))
+        return let(F.array_distinct(spans), lambda all_spans: F.filter(all_spans, lambda s: ~F.exists(
+            all_spans, lambda o: (o["start"] <= s["start"]) & (o["end"] >= s["end"]) & (o != s))))
 
     candidates = found(CANDIDATE)
     entropy = let(candidates, lambda c: F.flatten(F.transform(

@@ -66,3 +66,18 @@ def test_spelling(spark):
 def test_awkward_rows(awkward, nothing):
     assert q.scan_secrets(awkward).count() == awkward.count()
     assert q.scan_secrets(nothing).count() == 0
+
+
+def test_secrets_beside_harmless_parts_are_found(spark):
+    key, base64 = "Zk3J9qLx8Vb2Nw7Ty5RmQpA1", "aB3/xK9+Qz7Lm/R2tVw8YpN4/hJ6sDf1Gc/5uEo0Ti+XrMk"
+    secrets = [f"com/api/v1/{key}", f"example_key={key}", f"2024-01-02-{key}", base64, f"see/{base64}",
+               f"https://host.com/api/v1/items/{key}/edit", "a/b/c/d/0A1B2C3D4E5F60718293A4B5C6D7"]
+    harmless = ["12345678-1234-1234-1234-123456789abc", "2024-01-02T03-04-05-abcdefgh", "usr/lib/x86_64-linux/share/File9/index",
+                f"EXAMPLE{key}", "placeholder-0123456789-abcdefghij"[:24]]
+    rows = spark.createDataFrame(list(enumerate(secrets + harmless)), "doc_id long, text string")
+    got = {r.doc_id: r.entropy for r in q.scan_secrets(rows).collect()}
+    for i, text in enumerate(secrets):
+        secret = next((x for x in (key, base64) if x in text), text[8:])
+        covered = {p for s in got[i] for p in range(s.start, s.end)}
+        assert len(covered & set(range(text.index(secret), text.index(secret) + len(secret)))) >= 20, text
+    assert all(not got[len(secrets) + i] for i in range(len(harmless)))
