@@ -33,7 +33,7 @@ LABELLED_PAGES = 1000
 
 MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|textarea|title|svg|math|iframe|object|select|button)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<raw>script|style|textarea|title|iframe)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"""|<(?P<close>/?)(?P<name>[a-z][a-z0-9:-]*)(?P<attrs>(?:[^>"']++|"[^"]*"|'[^']*')*+)>"""
     r"|</?(?P<loose>[a-z][a-z0-9:-]*)[^>]*(?:>|\Z)"
     r"|<[!?][^>]*(?:>|\Z)",
@@ -42,16 +42,20 @@ MARKS = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.
 NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span "
+MATH = frozenset("math semantics mrow mi mn mo ms mtext mspace msub msup msubsup mfrac msqrt mroot mover munder munderover "
+                 "mmultiscripts mprescripts mstyle mpadded mphantom menclose merror mtable mtr mtd".split())
+INLINE = MATH | frozenset("a abbr b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span "
                    "strike strong sub sup time tt u var wbr".split())
-OUTSIDE = frozenset("nav footer aside form menu dialog head fieldset".split())
+OUTSIDE = frozenset("nav footer aside form menu dialog head fieldset noscript template svg object select button annotation "
+                    "annotation-xml".split())
 # Words in a class, id or role that name something other than main text.
 OUTSIDE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent "
     "contentinfo cookie cookies copyright disclaimer disqus footer gdpr masthead menu modal nav navbar navigation "
     "newsletter notice notices notification overlay pager pagination popup promo promotion recommended related reply "
     "respond search share sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget widgets".split())
-ROOTS = frozenset(("article", "main", "body"))
+ARTICLES = frozenset(("article", "main"))
+ROOTS = ARTICLES | {"body"}
 
 
 SKIPPED = "#"             # a text node of a skipped subtree
@@ -76,23 +80,41 @@ class Weights:
         return 0.0 if name == SKIPPED else self.tags.get(name, self.other_tag)
 
 
-def _outside(name: str, attrs: str, in_article: bool) -> bool:
-    if name in OUTSIDE or (name == "header" and not in_article):
-        return True
+def _outside(name: str, in_article: bool) -> bool:
+    return name in OUTSIDE or (name == "header" and not in_article)
+
+
+def _named_outside(name: str, attrs: str, in_article: bool) -> bool:
+    """Whether a word in class, id or role names something other than main text."""
     if not attrs or name in ("html", "body"):
         return False
-    return any(word.lower() in OUTSIDE_WORDS for _, value in MARKS.findall(attrs) for word in NAME_WORD.findall(value)) \
-        or (not in_article and any(word.lower() == "header" for _, value in MARKS.findall(attrs)
-                                   for word in NAME_WORD.findall(value)))
+    names = {word.lower() for _, value in MARKS.findall(attrs) for word in NAME_WORD.findall(value)}
+    return not names.isdisjoint(OUTSIDE_WORDS) or (not in_article and "header" in names)
 
 
 def page_tokens(html: str) -> list[tuple[str, str, bool]]:
     """The sequence ``(tag name or "", text, inside an article)``; closing names start with a slash.
 
-    Tags of skipped subtrees are left out, their text is marked ``SKIPPED``.
+    Tags of skipped subtrees are left out, their text is marked ``SKIPPED``. Words in class, id and role skip no ``article``
+    or ``main`` by themselves, and no element that holds most of the page's words, unless the page's article is elsewhere.
     """
+    spared: set[int] = set()                                    # places of elements that are not skipped for their names
+    while True:
+        tokens, by_name, elsewhere = _read(html, spared)
+        total = sum(len(text.split()) for name, text, _ in tokens if name in ("", SKIPPED))
+        largest = {at for at, (words, in_article) in by_name.items() if 2 * words > total and (in_article or not elsewhere)}
+        if not largest:
+            return tokens
+        spared |= largest
+
+
+def _read(html: str, spared: set[int]) -> tuple[list[tuple[str, str, bool]], dict[int, tuple[int, bool]], bool]:
+    """The tokens; words and being inside an article of each subtree skipped for its names; whether an article has words."""
     tokens: list[tuple[str, str, bool]] = []
     stack: list[tuple[str, bool]] = []                          # open elements; whether each is outside main text
+    by_name: dict[int, tuple[int, bool]] = {}
+    skipper = -1                                                # place of the outermost skipped element, if skipped by name
+    labelled = False
     outside = articles = 0
     at = 0
 
@@ -100,12 +122,19 @@ def page_tokens(html: str) -> list[tuple[str, str, bool]]:
         nonlocal outside, articles
         for name, out in stack[to:]:
             outside -= out
-            articles -= name in ("article", "main")
+            articles -= name in ARTICLES
         del stack[to:]
 
     def text(upto: int) -> None:
+        nonlocal labelled
         if upto > at:
-            tokens.append((SKIPPED if outside else "", unescape(html[at:upto]), articles > 0 and not outside))
+            words = unescape(html[at:upto])
+            tokens.append((SKIPPED if outside else "", words, articles > 0 and not outside))
+            if outside and skipper >= 0:
+                count, in_article = by_name[skipper]
+                by_name[skipper] = count + len(words.split()), in_article
+            elif articles and not outside and not labelled:
+                labelled = bool(words.strip())
 
     for m in MARKUP.finditer(html):
         text(m.start())
@@ -124,16 +153,23 @@ def page_tokens(html: str) -> list[tuple[str, str, bool]]:
             if not skipped:
                 tokens.append(("/" + name, "", articles > 0))
             continue
-        out = _outside(name, attrs, articles > 0)
+        named = m.start() not in spared and _named_outside(name, attrs, articles > 0)
+        if name in ARTICLES:
+            named = named and outside > 0                       # as an article of a comment among skipped comments
+        out = named or _outside(name, articles > 0)
         if name in ROOTS and not out and not articles:
             drop(0)                                             # what was left open before does not hold the article
         tokens.append((SKIPPED, "", False) if outside or out else (name, "", articles > 0))
         if name not in VOID and not attrs.rstrip().endswith("/"):
+            if out and not outside:
+                skipper = m.start() if named and not _outside(name, articles > 0) else -1
+                if skipper >= 0:
+                    by_name[skipper] = 0, articles > 0
             stack.append((name, out))
             outside += out
-            articles += name in ("article", "main")
+            articles += name in ARTICLES
     text(len(html))
-    return tokens
+    return tokens, by_name, labelled
 
 
 def token_counts(html: str) -> tuple[Counter, Counter]:

@@ -63,3 +63,20 @@ def test_broken_markup_and_awkward_rows(spark):
     assert sorted((r.n_chars for r in out)) == [0, 0, 2, 249_999]
     assert q.extract(spark.createDataFrame([], schema), q.Weights()).count() == 0
     assert q.learned_weights(spark.createDataFrame([], schema)) == q.Weights()
+
+
+def test_pages_are_not_cut_short():
+    long = "<p>" + "many words of it. " * 9 + "</p>"
+    words = " ".join(("many words of it. " * 9).split())
+    for page, text in [
+            ('<p>One <svg class="icon"/> two.</p><p>Three.</p>', "One two. Three."),
+            ("<article><p>One <object/> two <math/> x.</p><p>Three.</p></article>", "One two x. Three."),
+            ("<article><p>One <button>press</p><p>Two.</p><p>x<select><option>o</p><p>Three.</p></article>", "One Two. x Three."),
+            ("<article><p>So <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.</p></article>", "So x=2 holds."),
+            ("<article><p>a <svg><title>t</title><text>no</text></svg> b</p></article>", "a b"),
+            (f'<body><main class="has-sidebar">{long}</main></body>', words),
+            (f'<body><article class="post share-on">{long}</article></body>', words),
+            (f'<body><div class="page has-sidebar">{long}<div class="sidebar">side</div></div></body>', words),
+            (f'<article><div class="text share-on">{long}</div><p>and the very end</p></article>', words + " and the very end"),
+            (f'<article>{long}</article><div id="comments"><article class="comment">{long * 3}</article></div>', words)]:
+        assert q.main_text(page, q.Weights()) == text
