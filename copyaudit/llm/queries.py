@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from copyaudit.llm import byte_cnn, chat, html_text, line_dedup, mixing, packing, quality_rules, secrets, simhash, spotsigs
+from copyaudit.llm import (byte_cnn, chat, collocations, divergence, html_text, line_dedup, mixing, packing, quality_rules, secrets,
+                           simhash, spotsigs, topk)
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -15,9 +16,15 @@ QUERIES = {
     "op8_mix_sources": mixing.op8_mix_sources,
     "op9_chat_format": chat.op9_chat_format,
     "op10_best_fit_packing": packing.op10_best_fit_packing,
+    "op11_phrase_collocations": collocations.op11_phrase_collocations,
+    "op12_source_divergence": divergence.op12_source_divergence,
+    "op13_exact_topk": topk.op13_exact_topk,
 }
 ORACLES = {
     "op1_quality_rules": quality_rules.OP1_SQL,
     "op8_mix_sources": mixing.OP8_SQL,
     "op9_chat_format": chat.OP9_SQL,
+    "op11_phrase_collocations": collocations.OP11_SQL,
+    "op12_source_divergence": divergence.OP12_SQL,
+    "op13_exact_topk": topk.OP13_SQL,
 }
