@@ -36,11 +36,6 @@ def partition_column_case(db) -> Column:
     return expr.otherwise(F.lit(NO_PARTITION_COLUMN))
 
 
-def strip_quotes(text) -> Column:
-    """Remove every double quote from the table list."""
-    return F.regexp_replace(_c(text), '"', "")
-
-
 def spec_parts(spec) -> Column:
     return F.split(_c(spec), "[|]")
 

@@ -44,7 +44,6 @@ def test_routing(spark):
     assert one(spark, routing.table_name(F.lit("orders|T"))) == "orders"
     assert one(spark, routing.table_type(F.lit("orders|T"))) == "t"
     assert one(spark, routing.table_type(F.lit("nosuffix"))) == "nosuffix"
-    assert one(spark, routing.strip_quotes(F.lit('"a|t,b|p"'))) == "a|t,b|p"
     assert one(spark, routing.data_format(F.lit("my_Storage_db"))) == "avro"
     assert one(spark, routing.data_format(F.lit("sri_open"))) == "orc"
     args = (F.lit("/o"), F.lit("/n"), F.lit("/s"))

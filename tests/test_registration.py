@@ -83,3 +83,30 @@ def test_outcomes_equal_a_one_by_one_run(spark, scratch):
     assert all(x == seen[0] for x in seen)
     assert seen[0][0][:6] == ["ok", "failed", "ok", "failed", "ok", "failed"]
     assert seen[0][1][:4] == ["d=1", "d=5", "d=6", "d=7"]
+
+
+def test_quoted_values_are_neither_split_nor_cleaned(spark, scratch):
+    spark.sql("CREATE DATABASE IF NOT EXISTS reg_test")
+    spark.sql("DROP TABLE IF EXISTS reg_test.q")
+    spark.sql(f"CREATE TABLE reg_test.q (v BIGINT, d STRING) USING orc PARTITIONED BY (d) LOCATION '{scratch}/q'")
+    values = ["x, ALTER y", "a;b,c[1]", 'say "hi", ALTER TABLE z', "it\\'s; [so]", "line\nbreak;", "plain"]
+    stmts = [f"ALTER TABLE reg_test.q ADD PARTITION (d='{v}')" for v in values]
+    stmts.append('alter table reg_test.q add partition (d="it\'s, alter [too];")')
+    batches = spark.createDataFrame([("b1", "[" + ",\n".join(stmts) + ";]")], "batch_id string, batch string")
+    split = split_statements(batches)
+    assert [r["statement"] for r in split.orderBy("ordinal").collect()] == stmts
+    out = apply_statements(spark, split)
+    assert {r["outcome"] for r in out.collect()} == {"ok"}
+    kept = {r["d"] for r in spark.sql("SHOW PARTITIONS reg_test.q").selectExpr(
+        "url_decode(replace(substr(partition, 3), '+', '%2B')) AS d").collect()}
+    assert kept == {"x, ALTER y", "a;b,c[1]", 'say "hi", ALTER TABLE z', "it's; [so]", "line\nbreak;", "plain", "it's, alter [too];"}
+
+
+def test_a_quote_that_is_not_closed_is_an_ordinary_character(spark):
+    batch = "[ALTER TABLE t ADD PARTITION (d='x),\nALTER TABLE t ADD PARTITION (d=2);]"
+    rows = split_statements(spark.createDataFrame([("b1", batch)], "batch_id string, batch string"))
+    assert [r["statement"] for r in rows.orderBy("ordinal").collect()] == [
+        "ALTER TABLE t ADD PARTITION (d='x)", "ALTER TABLE t ADD PARTITION (d=2)"]
+    long = "[ALTER TABLE t ADD PARTITION (d='" + "v;" * 50_000 + "')]"
+    rows = split_statements(spark.createDataFrame([("b1", long)], "batch_id string, batch string"))
+    assert rows.first()["statement"] == long[1:-1]
