@@ -130,12 +130,6 @@ def _problem_failures(problems: DataFrame) -> DataFrame:
         F.col("message").alias("exception"), F.lit(None).cast("int").alias("ordinal"))
 
 
-def quarantine(items: DataFrame, failures: DataFrame) -> DataFrame:
-    """items with any failure row are kept out of the result sink."""
-    keys = failures.where(F.col("db").isNotNull()).select("db", "table", "partition_date").distinct()
-    return items.join(keys, on=["db", "table", "partition_date"], how="left_anti")
-
-
 def run_summary(verdicts: DataFrame, problems: DataFrame | None = None) -> DataFrame:
     """A4: outcome counts of the run and the exit code (1 when anything failed)."""
     st = F.col("state")

@@ -6,14 +6,13 @@ item and its projections (result rows, control records, failure rows, run
 summary). Without ``stats_rows`` the copies are scanned from their paths;
 with it, any frame of ``COPY_STATS`` rows stands in for the scans.
 
-``checked=True`` runs the count job eagerly and isolates copies that fail
-while being read (see ``scan_copies_checked``); the counts are then read from
-the shared checkpoint folder.
+The scan runs at once, as one job that keeps files and counts in the shared
+checkpoint folder; a file that cannot be read is an error of its partition.
 
 Plan shape (whatever the number of tables and partitions):
 
-    scan roots (union) -> partial agg -> shuffle on (db, table, partition)
-      -> final agg -> left join work list -> verdict projections
+    directories -> files -> records per file (one job, kept)
+      -> agg on (db, table, partition) -> left join work list -> verdict projections
 """
 
 from __future__ import annotations
@@ -31,7 +30,7 @@ from copyaudit.operators.worklist import (ThreeWayParams, TwoWayParams, WorkList
                                           two_way_work_list)
 from copyaudit.schemas import ROLE_SOURCE, ROLE_STAGING, ROLE_TARGET
 from copyaudit.session import checkpoint_root
-from copyaudit.sources.copies import ROOT_ERROR, scan_copies, scan_copies_checked
+from copyaudit.sources.copies import ROOT_ERROR, scan_copies
 
 TWO_WAY_ROLES = [ROLE_SOURCE, ROLE_TARGET]
 THREE_WAY_ROLES = [ROLE_SOURCE, ROLE_STAGING, ROLE_TARGET]
@@ -78,19 +77,9 @@ def _project(kind: str, work: WorkList, stats_rows: DataFrame, verdicts: DataFra
     return Audit(kind, work, stats_rows, verdicts)
 
 
-def _partition_values(partitions):
-    """The distinct partition values to look up; bounded by the work list, whatever its form."""
-    if isinstance(partitions, str):
-        return [partitions]
-    if isinstance(partitions, (list, tuple)):
-        return list(partitions)
-    return [r[0] for r in partitions.select("partition_date").distinct().collect()]
-
-
-def _copies(spark, work, roles, partitions, stats_rows, root_errors, checked=False):
+def _copies(spark, work, roles, stats_rows, root_errors):
     if stats_rows is None:
-        scan = scan_copies_checked if checked else scan_copies
-        stats_rows, root_errors = scan(spark, copy_locations(work.items, roles), _partition_values(partitions))
+        stats_rows, root_errors = scan_copies(spark, copy_locations(work.items, roles), work.items)
     if root_errors is None:
         root_errors = spark.createDataFrame([], ROOT_ERROR)
     return stats_rows, root_errors
@@ -98,11 +87,9 @@ def _copies(spark, work, roles, partitions, stats_rows, root_errors, checked=Fal
 
 def audit_two_way(spark: SparkSession, params: TwoWayParams, partitions,
                   stats_rows: DataFrame | None = None,
-                  root_errors: DataFrame | None = None,
-                  checked: bool = False) -> Audit:
+                  root_errors: DataFrame | None = None) -> Audit:
     work = two_way_work_list(spark, params, partitions)
-    stats_rows, root_errors = _copies(spark, work, TWO_WAY_ROLES, partitions, stats_rows, root_errors,
-                                      checked)
+    stats_rows, root_errors = _copies(spark, work, TWO_WAY_ROLES, stats_rows, root_errors)
     items = attach_copies(work.items, align_copies(stats_rows, TWO_WAY_ROLES),
                           root_errors_wide(root_errors, TWO_WAY_ROLES), TWO_WAY_ROLES)
     return _project("two_way", work, stats_rows, two_way_verdict(items))
@@ -110,11 +97,9 @@ def audit_two_way(spark: SparkSession, params: TwoWayParams, partitions,
 
 def audit_three_way(spark: SparkSession, params: ThreeWayParams, partitions,
                     stats_rows: DataFrame | None = None,
-                    root_errors: DataFrame | None = None,
-                    checked: bool = False) -> Audit:
+                    root_errors: DataFrame | None = None) -> Audit:
     work = three_way_work_list(spark, params, partitions)
-    stats_rows, root_errors = _copies(spark, work, THREE_WAY_ROLES, partitions, stats_rows, root_errors,
-                                      checked)
+    stats_rows, root_errors = _copies(spark, work, THREE_WAY_ROLES, stats_rows, root_errors)
     items = attach_copies(work.items, align_copies(stats_rows, THREE_WAY_ROLES),
                           root_errors_wide(root_errors, THREE_WAY_ROLES), THREE_WAY_ROLES)
     return _project("three_way", work, stats_rows, three_way_verdict(items, params.plain_rule))

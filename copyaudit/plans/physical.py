@@ -11,6 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from copyaudit.functions.paths import path_part
 from copyaudit.operators.worklist import (ThreeWayParams, TwoWayParams, copy_locations,
@@ -29,7 +30,6 @@ class Layout:
 
 
 def _path_only(spark: SparkSession, uri: str) -> str:
-    from pyspark.sql import functions as F
     return spark.range(1).select(path_part(F.lit(uri)).alias("p")).first()["p"]
 
 
@@ -72,7 +72,6 @@ def add_empty_files(spark: SparkSession, loc: CopyLocation, month: str) -> None:
     """A zero-length data file in each partition of a month: it counts as a file, and holds nothing."""
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    for d in partition_dirs(spark, loc):
-        if d.value[5:7] == month:
-            path = Path(f"{d.path}/part-empty.{loc.fmt}")
-            path.getFileSystem(conf).create(path, True).close()
+    for d in partition_dirs(spark, [loc])[0].where(F.substr("partition_date", F.lit(6), F.lit(2)) == month).toLocalIterator():
+        path = Path(f"{d.dir}/part-empty.{loc.fmt}")
+        path.getFileSystem(conf).create(path, True).close()

@@ -37,7 +37,7 @@ def run_two_way(spark, params, partitions, result_table: str, control_path: str,
                 markers: bool = False) -> DataFrame:
     """Two-way audit over paths with read-time errors isolated, all sinks written."""
     from copyaudit.plans.audits import audit_two_way
-    return run_audit(audit_two_way(spark, params, partitions, checked=True), result_table, control_path,
+    return run_audit(audit_two_way(spark, params, partitions), result_table, control_path,
                      failure_path, markers)
 
 
@@ -45,5 +45,5 @@ def run_three_way(spark, params, partitions, result_table: str, control_path: st
                   failure_path: str, markers: bool = False) -> DataFrame:
     """Three-way audit over paths with read-time errors isolated, all sinks written."""
     from copyaudit.plans.audits import audit_three_way
-    return run_audit(audit_three_way(spark, params, partitions, checked=True), result_table, control_path,
+    return run_audit(audit_three_way(spark, params, partitions), result_table, control_path,
                      failure_path, markers)

@@ -1,17 +1,14 @@
 """Physical copies: record counts and file inventories per partition.
 
-One path, whatever the number of tables, dates and copies:
-
-1. **Partition directories.** Per copy, one glob below its table root names the requested partitions
-   (``root/{col=v1,col=v2}``), or all of them (``root/col=*``). Only directories come back, already in the file
-   system's own spelling, so a trailing or doubled slash in an argument makes no difference. A copy or partition that
-   is not there is simply absent; any other failure of the lookup is an error row of that copy.
-2. **Files.** All directories of one format are one relation (``recursiveFileLookup``), listed by Spark once as a
-   distributed job. ``inputFiles`` names every data file, zero-length ones included (hidden ``_``/``.`` files are not
-   data). Each file must lie below exactly the directories that were asked for; a file that does not stops the run.
-3. **Counts.** Records are counted per file path (``ReadSchema: struct<>``), sizes come from the ``binaryFile``
-   source (only ``length`` is read), and both are summed per file. Only then do files become copies and partitions,
-   by a join with the file list, so nothing but the count runs per record.
+One path, whatever the number of tables, dates and copies, and nothing but counts passes through the driver:
+
+1. **Directories.** The copies' roots and the work list's partitions give one row per partition directory to look at.
+   Without partitions, tasks list the roots.
+2. **Files.** Tasks list the directories (``sources.inventory``). A directory that is not there has no row; one that is
+   there without data files, or cannot be listed, has an error row.
+3. **Records.** Files are dealt to tasks one by one, and a task reads the number of records from the file's footer (ORC,
+   Parquet). A file that cannot be read becomes an error row there and then; nothing is read again for it. Formats without
+   such a number (Avro) are counted by Spark's reader, all their directories in one relation, per file path.
 
 The output has ``COPY_STATS`` shape, one row per file and copy; ``copy_counts`` sums it.
 """
@@ -19,15 +16,21 @@ The output has ``COPY_STATS`` shape, one row per file and copy; ``copy_counts``
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
-from urllib.parse import unquote
+from dataclasses import astuple, dataclass
 
+import pyarrow as pa
+import pyarrow.orc
+import pyarrow.parquet
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from copyaudit.schemas import COPY_STATS
+from copyaudit.session import checkpoint_root
+from copyaudit.sources.inventory import (LOOKUP_THREADS, _first_line, arrow_schema, as_batch, by_tasks, child_directories, default_store,
+                                         listed, open_store, qualified, rows_of, spread)
 
 # Reader class per logical format (Avro's short name needs the
 # external module registered; its class name works without it).
@@ -46,12 +49,11 @@ ROOT_ERROR = StructType([
     StructField("exception", StringType()),
 ])
 
-# Looking up the directories of many copies is driver work (one call each).
-LOOKUP_THREADS = 16
-
 # No data column is read, so no schema has to be inferred from a file.
 NO_COLUMNS = StructType([StructField("no_data_column", StringType())])
 
+DIRECTORY = StructType([StructField(n, StringType()) for n in ("db", "table", "role", "fmt", "partition_date", "dir")])
+
 
 @dataclass(frozen=True)
 class CopyLocation:
@@ -63,16 +65,6 @@ class CopyLocation:
     fmt: str = "orc"
 
 
-@dataclass(frozen=True)
-class PartitionDir:
-    """An existing partition directory of a copy: as a path and as the URI that file paths start with."""
-
-    loc: CopyLocation
-    value: str
-    path: str
-    uri: str
-
-
 def reader_format(fmt: str) -> str:
     return READER_FORMATS.get(fmt.lower(), fmt)
 
@@ -92,123 +84,125 @@ def glob_escape(text: str) -> str:
     return "".join("\\" + c if c in GLOB_SPECIAL else c for c in text)
 
 
-def _one_slash(uri: str) -> str:
-    """``file:///x`` and ``file:/x`` are spellings of one URI; the second is used here."""
-    return re.sub(r"^([A-Za-z][A-Za-z0-9+.-]*):///", r"\1:/", uri)
+def partition_dirs(spark: SparkSession, locations: list[CopyLocation], wanted=None) -> tuple[DataFrame, DataFrame]:
+    """``(directories, errors)``: the partition directories to look at, whether they exist or not.
 
+    ``wanted``: a list of partition values for every copy, or a DataFrame ``(table[, db], partition_date)``. ``None``: all
+    that exist; then an error row is a root that cannot be listed.
+    """
+    default = default_store(spark)
+    copies = spark.createDataFrame(
+        [(*astuple(loc)[:3], qualified(loc.root, default), loc.partition_col, loc.fmt.lower()) for loc in locations],
+        "db string, `table` string, role string, root string, partition_col string, fmt string")
+    if wanted is None:
+        found = _all_partitions(copies)
+        errors = found.where("exception IS NOT NULL").select(*ROOT_ERROR.names)
+        return found.where("exception IS NULL").select(*DIRECTORY.names), errors
+    if isinstance(wanted, DataFrame):
+        keys = [k for k in ("db", "table") if k in wanted.columns]
+        work = copies.join(wanted.select(*keys, "partition_date").distinct(), keys)
+    else:
+        work = copies.withColumn("partition_date", F.explode(F.lit(list(dict.fromkeys(wanted))).cast("array<string>")))
+    named = F.concat_ws("/", "root", F.concat("partition_col", F.lit("="), _escaped("partition_date")))
+    return work.where("partition_date IS NOT NULL").select(*DIRECTORY.names[:-1], named.alias("dir")), \
+        spark.createDataFrame([], ROOT_ERROR)
 
-def _first_line(err: Exception) -> str:
-    text = str(err)
-    return text.splitlines()[0] if text else repr(err)
 
+def _escaped(column: str) -> Column:
+    """``hive_escape`` as an expression: the characters one after the other, ``%`` first."""
+    out = F.col(column)
+    for c in sorted(HIVE_ESCAPED, key=lambda c: c != "%") + [chr(i) for i in range(1, 0x20)]:
+        out = F.replace(out, F.lit(c), F.lit(f"%{ord(c):02X}"))
+    return F.when(F.col(column).rlike("[" + re.escape(HIVE_ESCAPED) + r"\x00-\x1f]"), out).otherwise(F.col(column))
 
-def partition_dirs(spark: SparkSession, loc: CopyLocation, partition_values=None) -> list[PartitionDir]:
-    """The requested partition directories of a copy that exist."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(loc.root)
-    base = f"{glob_escape(root.toString())}/"
-    if partition_values is None:
-        pattern = f"{base}{glob_escape(loc.partition_col)}=*"
-    else:
-        names = sorted({glob_escape(f"{loc.partition_col}={hive_escape(v)}") for v in partition_values})
-        pattern = f"{base}{{{','.join(names)}}}"
-    found = root.getFileSystem(conf).globStatus(jvm.org.apache.hadoop.fs.Path(pattern))
-    out = []
-    for status in found or []:
-        if status.isDirectory():
-            path = status.getPath()
-            value = unquote(path.getName().split("=", 1)[1])
-            out.append(PartitionDir(loc, value, path.toString(), _one_slash(path.toUri().toString())))
-    return out
-
-
-def existing_partitions(spark: SparkSession, locations: list[CopyLocation],
-                        partition_values=None) -> tuple[list[PartitionDir], list[tuple]]:
-    """Directories of all copies, and an error tuple per copy whose lookup failed."""
-    if partition_values is not None and not partition_values:
-        return [], []
-
-    def look(loc):
-        try:
-            return partition_dirs(spark, loc, partition_values), None
-        except Exception as err:  # noqa: BLE001 - e.g. no permission, unknown scheme: an error row of this copy
-            reason = getattr(err, "java_exception", None)
-            return [], (loc.db, loc.table, loc.role, None, reason.toString() if reason else _first_line(err))
-
-    with ThreadPoolExecutor(max_workers=LOOKUP_THREADS) as pool:
-        outcomes = list(pool.map(look, locations))
-    return [d for dirs, _ in outcomes for d in dirs], [e for _, e in outcomes if e]
-
-
-def _file_path() -> Column:
-    return F.regexp_replace(F.col("_metadata.file_path"), "^([A-Za-z][A-Za-z0-9+.-]*):///", "$1:/")
-
-
-def _owner(file: str, uris: set[str]) -> str:
-    """The partition directory a file lies in; a file outside all of them is an error, never dropped."""
-    at = file
-    while "/" in at:
-        at = at.rsplit("/", 1)[0]
-        if at in uris:
-            return at
-    raise ValueError(f"file belongs to no audited partition: {file}")
-
-
-def _format_rows(spark: SparkSession, fmt: str, dirs: list[PartitionDir]) -> DataFrame:
-    """Per file and copy: records, one file, bytes, of all directories of one format."""
-    paths = sorted({glob_escape(d.path) for d in dirs})
-    recursive = {"recursiveFileLookup": "true"}
-    records = spark.read.format(reader_format(fmt)).schema(NO_COLUMNS).options(**recursive).load(paths)
-    sizes = spark.read.format("binaryFile").options(**recursive).load(paths)
-    uris = {d.uri for d in dirs}
-    files = [(f, _owner(f, uris)) for f in map(_one_slash, records.inputFiles())]
-    if not files:
-        return spark.createDataFrame([], COPY_STATS)
-    listed = spark.createDataFrame(files, "file string, dir string")
-    owners = spark.createDataFrame([(d.uri, d.loc.db, d.loc.table, d.loc.role, d.value) for d in dirs],
-                                   "dir string, db string, `table` string, role string, partition_date string")
-    counted = records.select(_file_path().alias("file"), F.lit(1).alias("records"), F.lit(0).cast("long").alias("bytes")) \
-        .unionByName(sizes.select(_file_path().alias("file"), F.lit(0).alias("records"), F.col("length").alias("bytes"))) \
-        .groupBy("file").agg(F.sum("records").alias("records"), F.sum("bytes").alias("bytes"))
-    per_file = listed.join(counted, "file", "left").select(
-        "dir", F.coalesce("records", F.lit(0)).alias("records"), F.coalesce("bytes", F.lit(0)).alias("bytes"))
-    return per_file.join(owners, "dir").select(
-        "db", "table", "role", "partition_date", F.col("records").cast("long").alias("records"),
-        F.lit(1).cast("long").alias("files"), F.col("bytes").cast("long").alias("bytes"))
-
-
-def scan_dirs(spark: SparkSession, dirs: list[PartitionDir]) -> DataFrame:
-    """Stats rows of partition directories; one relation per format."""
-    by_format: dict[str, list[PartitionDir]] = {}
-    for d in dirs:
-        by_format.setdefault(d.loc.fmt.lower(), []).append(d)
-    frames = [_format_rows(spark, fmt, members) for fmt, members in sorted(by_format.items())]
-    return union_all(frames) if frames else spark.createDataFrame([], COPY_STATS)
-
-
-def scan_copies(spark: SparkSession, locations: list[CopyLocation],
-                partition_values=None) -> tuple[DataFrame, DataFrame]:
-    """Plan the scan of all copies; return (stats rows, errors)."""
-    dirs, errors = existing_partitions(spark, locations, partition_values)
-    return scan_dirs(spark, dirs), spark.createDataFrame(errors, ROOT_ERROR)
 
+def _all_partitions(copies: DataFrame) -> DataFrame:
+    """Every partition of each root: ``DIRECTORY`` columns and ``exception``."""
+    out = StructType([*DIRECTORY.fields, StructField("exception", StringType())])
+    types = arrow_schema(out)
 
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    """Union by name as a balanced tree: log-depth plan, and each step analyses
-    a small plan (a left-deep chain re-analyses the growing plan every time)."""
-    frames = list(frames)
-    while len(frames) > 1:
-        frames = [frames[i].unionByName(frames[i + 1]) if i + 1 < len(frames) else frames[i]
-                  for i in range(0, len(frames), 2)]
-    return frames[0]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield as_batch([(db, table, role, fmt, value, None if value is None else f"{root}/{col}={hive_escape(value)}", error)
+                            for db, table, role, fmt, col, root in rows_of(batch)
+                            for value, error in child_directories(root, col)], types)
 
+    return spread(copies.select("db", "table", "role", "fmt", "partition_col", "root")).mapInArrow(run, out)
+
+
+def _footer_records(fmt: str, source) -> int:
+    return pa.orc.ORCFile(source).nrows if fmt == "orc" else pa.parquet.read_metadata(source).num_rows
+
+
+FOOTERS = ("orc", "parquet")
+
+
+def count_in_tasks(fmt: str, path: str | None, length: int | None, footers=FOOTERS) -> tuple[int | None, str | None]:
+    """``(records, exception)`` of a file; ``(None, None)`` if its format or its store needs Spark's reader."""
+    if path is None or not length:
+        return length, None
+    if fmt not in footers or not by_tasks(path):
+        return None, None
+    try:
+        store, at = open_store(path)
+        with store.open_input_file(at) as source:
+            return _footer_records(fmt, source), None
+    except Exception as err:  # noqa: BLE001 - a file that cannot be read is an error row of its partition
+        return None, f"Error reading file: {path}: {_first_line(err)}"
+
+
+def with_records(files: DataFrame) -> DataFrame:
+    """Adds ``records`` to listed files, and the ``exception`` of files that cannot be read."""
+    names = [f.name for f in files.schema]
+    out = StructType([*files.schema.fields, StructField("records", LongType())])
+    types = arrow_schema(out)
+    fmt, path, length, exception = (names.index(c) for c in ("fmt", "path", "length", "exception"))
+    footers = FOOTERS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with ThreadPoolExecutor(LOOKUP_THREADS) as pool:
+            for batch in batches:
+                rows = rows_of(batch)
+                counted = pool.map(lambda r: count_in_tasks(r[fmt], r[path], r[length], footers), rows)
+                yield as_batch([(*r[:exception], r[exception] or error, *r[exception + 1:], n)
+                                for r, (n, error) in zip(rows, counted, strict=True)], types)
+
+    return spread(files, "path", "dir").mapInArrow(run, out)
+
+
+def _plain_path() -> Column:
+    """The path of a record's file as an inventory spells it: decoded, ``file:/x`` for local files."""
+    raw = F.regexp_replace("raw", "^([A-Za-z][A-Za-z0-9+.-]*):///", "$1:/")
+    return F.url_decode(F.replace(raw, F.lit("+"), F.lit("%2B")))
 
-def copy_counts(stats_rows: DataFrame) -> DataFrame:
-    """A1-A3: records, files and bytes per (db, table, role, partition)."""
-    return (stats_rows.groupBy("db", "table", "role", "partition_date")
-            .agg(F.sum("records").alias("records"),
-                 F.sum("files").alias("files"),
-                 F.sum("bytes").alias("bytes")))
+
+def _counts_by_reader(spark: SparkSession, fmt: str, dirs: list[str]) -> DataFrame:
+    """``(path, n)``: records per file, counted by Spark's reader without any column; paths are rewritten per file."""
+    records = spark.read.format(reader_format(fmt)).schema(NO_COLUMNS).option("recursiveFileLookup", "true") \
+        .load([glob_escape(d) for d in dirs])
+    return records.groupBy(F.col("_metadata.file_path").alias("raw")).agg(F.count(F.lit(1)).alias("n")) \
+        .select(_plain_path().alias("path"), "n")
+
+
+def _read_by_spark(spark: SparkSession, fmt: str, dirs: list[str]) -> tuple[list[DataFrame], list[tuple[str, str]]]:
+    """Counts of all directories of one format, and ``(directory, error)`` of those that cannot be read.
+
+    One job. If a file cannot be read, its directory is set aside and the rest is counted in two halves.
+    """
+    good, bad, waiting = [], [], [dirs] if dirs else []
+    while waiting:
+        part = waiting.pop()
+        try:
+            good.append(_counts_by_reader(spark, fmt, part).checkpoint(eager=True))
+        except Exception as err:  # noqa: BLE001 - anything but a read error is raised again
+            named = unreadable(err, part)
+            if named is None:
+                raise
+            named = named or (part if len(part) == 1 else [])
+            bad += [(d, _first_line(err)) for d in named]
+            left = [d for d in part if d not in named]
+            waiting += [half for half in (left[:len(left) // 2], left[len(left) // 2:]) if half]
+    return good, bad
 
 
 # Error conditions of a file that cannot be read, and how the message names the file.
@@ -216,7 +210,7 @@ READ_ERRORS = ("FAILED_READ_FILE", "CANNOT_READ_FILE_FOOTER", "MALFORMED_ORC", "
 NAMED_FILE = re.compile(r"(?:reading file|footer for file:?)\s+'?([^\s']+?)'?\.?(?:\s|$)")
 
 
-def _unreadable_dirs(err: Exception, dirs: list[PartitionDir]) -> list[PartitionDir] | None:
+def unreadable(err: Exception, dirs: list[str]) -> list[str] | None:
     """The directories of the file that a read error names, none if it names none; ``None`` for any other error."""
     text = str(err)
     if not any(condition in text for condition in READ_ERRORS):
@@ -224,42 +218,61 @@ def _unreadable_dirs(err: Exception, dirs: list[PartitionDir]) -> list[Partition
     named = NAMED_FILE.search(text)
     if not named:
         return []
-    uris = {d.uri for d in dirs} | {_one_slash(d.path) for d in dirs}
-    try:
-        owner = _owner(_one_slash(named[1]), uris)
-    except ValueError:
-        return []
-    return [d for d in dirs if owner in (d.uri, _one_slash(d.path))]
-
+    from urllib.parse import unquote
+    at = re.sub(r"^([A-Za-z][A-Za-z0-9+.-]*):///", r"\1:/", named[1])
+    return [d for d in dirs if at.startswith(d + "/") or unquote(at).startswith(d + "/")]
 
-def scan_copies_checked(spark: SparkSession, locations: list[CopyLocation],
-                        partition_values=None) -> tuple[DataFrame, DataFrame]:
-    """Like :func:`scan_copies`, but a partition whose files cannot be read becomes an error instead of failing the run.
 
-    Normally this is one job: the counts of all copies, kept in the shared checkpoint folder. If a file cannot be read,
-    the error names it; its partition is set aside and the rest is counted again in two halves, so good halves are kept
-    and only halves that hold another bad file are split further. Errors that are not read errors are raised.
-    """
-    from copyaudit.session import checkpoint_root
+def copy_files(spark: SparkSession, locations: list[CopyLocation], wanted=None) -> tuple[DataFrame, DataFrame]:
+    """``(files, errors)``: the files of all copies with their records, kept in the shared checkpoint folder."""
     checkpoint_root(spark)
-    dirs, errors = existing_partitions(spark, locations, partition_values)
-    good: list[DataFrame] = []
-    waiting = [dirs] if dirs else []
-    while waiting:
-        part = waiting.pop()
-        try:
-            good.append(copy_counts(scan_dirs(spark, part)).checkpoint(eager=True))
-        except Exception as err:  # noqa: BLE001 - anything but a read error is raised again
-            bad = _unreadable_dirs(err, part)
-            if bad is None:
-                raise
-            if not bad and len({d.uri for d in part}) == 1:
-                bad = part
-            errors += [(d.loc.db, d.loc.table, d.loc.role, d.value, _first_line(err)) for d in bad]
-            # directories, not copies, are halved: copies that share one stay together
-            left = sorted({d.uri for d in part} - {d.uri for d in bad})
-            for uris in (set(left[:len(left) // 2]), set(left[len(left) // 2:])):
-                if uris:
-                    waiting.append([d for d in part if d.uri in uris])
-    out = union_all(good) if good else spark.createDataFrame([], COPY_STATS)
-    return out, spark.createDataFrame(errors, ROOT_ERROR)
+    directories, root_errors = partition_dirs(spark, locations, wanted)
+    files = with_records(listed(directories)).checkpoint(eager=True)
+    uncounted = files.where("records IS NULL AND path IS NOT NULL AND exception IS NULL")
+    by_format: dict[str, list[str]] = {}
+    for fmt, directory in uncounted.select("fmt", "dir").distinct().orderBy("fmt", "dir").toLocalIterator():
+        by_format.setdefault(fmt, []).append(directory)
+    counts, bad = [], []
+    for fmt, dirs in by_format.items():
+        good, failed = _read_by_spark(spark, fmt, dirs)
+        counts += good
+        bad += failed
+    if by_format:
+        found = union_all(counts) if counts else spark.createDataFrame([], "path string, n long")
+        errors = spark.createDataFrame(bad, "dir string, failed string")
+        files = files.join(found, "path", "left").join(errors, "dir", "left").select(
+            *[c for c in files.columns if c not in ("records", "exception")],
+            F.coalesce("exception", "failed").alias("exception"), F.coalesce("records", "n", F.lit(0)).alias("records"))
+    return files, root_errors
+
+
+def scan_copies(spark: SparkSession, locations: list[CopyLocation], wanted=None) -> tuple[DataFrame, DataFrame]:
+    """``(stats rows, errors)`` of all copies, one stats row per file.
+
+    A partition with an error row has no stats rows.
+    """
+    files, root_errors = copy_files(spark, locations, wanted)
+    keys = ["db", "table", "role", "partition_date"]
+    errors = files.where("exception IS NOT NULL").groupBy(*keys).agg(F.min("exception").alias("exception"))
+    stats = files.where("path IS NOT NULL").join(errors, keys, "left_anti").select(
+        *keys, F.coalesce("records", F.lit(0)).cast("long").alias("records"), F.lit(1).cast("long").alias("files"),
+        F.col("length").cast("long").alias("bytes"))
+    return stats, root_errors.unionByName(errors)
+
+
+def union_all(frames: list[DataFrame]) -> DataFrame:
+    """Union by name as a balanced tree: log-depth plan, and each step analyses
+    a small plan (a left-deep chain re-analyses the growing plan every time)."""
+    frames = list(frames)
+    while len(frames) > 1:
+        frames = [frames[i].unionByName(frames[i + 1]) if i + 1 < len(frames) else frames[i]
+                  for i in range(0, len(frames), 2)]
+    return frames[0]
+
+
+def copy_counts(stats_rows: DataFrame) -> DataFrame:
+    """A1-A3: records, files and bytes per (db, table, role, partition)."""
+    return (stats_rows.groupBy("db", "table", "role", "partition_date")
+            .agg(F.sum("records").alias("records"),
+                 F.sum("files").alias("files"),
+                 F.sum("bytes").alias("bytes")))

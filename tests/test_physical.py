@@ -45,15 +45,6 @@ def test_counts_files_and_bytes(spark, scratch):
         assert r["bytes"] == sum(os.path.getsize(f"{root}/ods={day}/{f}") for f in files)
 
 
-def test_scan_reads_no_data_columns(spark, scratch):
-    root = f"{scratch}/src/db1/t1"
-    write(spark, root)
-    rows, _ = scan_copies(spark, [CopyLocation("db1", "t1", "source", root, "ods")], ["2022-03-02"])
-    plan = copy_counts(rows)._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<>" in plan or "struct<>" in plan
-    assert by_date(copy_counts(rows), "records") == {"2022-03-02": (10,)}
-
-
 def test_two_way_done_failed_and_missing(spark, scratch):
     write(spark, f"{scratch}/src/db1/t1")
     target = [r for r in ROWS if not (r[1] == "2022-03-02" and r[0] % 2 == 0)]   # day 2 loses 5 rows
@@ -84,10 +75,35 @@ def test_unmapped_database_is_a_failure_row(spark, scratch):
     assert [(f["db"], f["stage"]) for f in fails] == [("other", "PartitionColumn")]
 
 
-def test_empty_and_missing_directories(spark, scratch):
-    os.makedirs(f"{scratch}/src/db1/t1/ods=2022-03-01")        # empty source partition -> missing
-    audit = audit_two_way(spark, two_way(scratch), ["2022-03-01"])
-    assert by_date(audit.results, "Status", "SourcePartRecordCount") == {"2022-03-01": ("Done", -1)}
+def test_a_directory_without_data_is_never_done(spark, scratch):
+    """A source partition that is there but empty is a failure; one that is not there is not."""
+    days = ["2022-03-01", "2022-03-02", "2022-03-03", "2022-03-09"]
+    write(spark, target_root(scratch))
+    os.makedirs(f"{scratch}/src/db1/t1/ods=2022-03-01")                       # empty
+    os.makedirs(f"{scratch}/src/db1/t1/ods=2022-03-02/_temporary/0")          # half written
+    open(f"{scratch}/src/db1/t1/ods=2022-03-02/_SUCCESS", "w").close()
+    open(f"{scratch}/src/db1/t1/ods=2022-03-02/.part-0.orc.crc", "w").close()
+    audit = audit_two_way(spark, two_way(scratch), days)
+    assert by_date(audit.results, "Status", "SourcePartRecordCount") == {"2022-03-03": ("Done", -1), "2022-03-09": ("Done", -1)}
+    fails = by_date(audit.failures, "stage", "exception")
+    assert set(fails) == {"2022-03-01", "2022-03-02"} and {v[0] for v in fails.values()} == {"SourceSize"}
+    assert all("no data files" in v[1] for v in fails.values())
+    assert {r["partition_date"] for r in audit.controls.collect()} == {"2022-03-03", "2022-03-09"}
+    p = ThreeWayParams(src_system="s", country="c", container=f"{scratch}/store", parent_dir=f"{scratch}/wh",
+                       open_staging_dir=f"{scratch}/stg", non_open_staging_dir="/x", storage_staging_dir="/x",
+                       databases="sri_open", tables="t1|t,t2|p", ctrl_path=f"{scratch}/ctl")
+    for t in ("t1", "t2"):
+        for root in (f"{scratch}/store{scratch}/wh/sri_open/{t}", f"{scratch}/stg/{t}", f"{scratch}/wh/sri_open/{t}"):
+            write(spark, root)
+    import shutil
+    empty = {("t1", f"{scratch}/stg/t1"): days[0], ("t2", f"{scratch}/store{scratch}/wh/sri_open/t2"): days[1],
+             ("t1", f"{scratch}/wh/sri_open/t1"): days[2]}
+    for (_, root), day in empty.items():
+        shutil.rmtree(f"{root}/ods={day}")
+        os.makedirs(f"{root}/ods={day}")
+    audit = audit_three_way(spark, p, days[:3])
+    assert {(r["table"], r["partition_date"]) for r in audit.failures.collect()} == {(t, d) for (t, _), d in empty.items()}
+    assert audit.results.count() == 3 and audit.controls.count() == 3
 
 
 def test_junk_file_becomes_failure_not_abort(spark, scratch):
@@ -96,12 +112,9 @@ def test_junk_file_becomes_failure_not_abort(spark, scratch):
     os.makedirs(f"{root}/ods=2022-03-01")
     with open(f"{root}/ods=2022-03-01/part-0.orc", "w") as fh:
         fh.write("not an orc file")
-    # a junk file is only seen when read; planning succeeds, so the count job
-    # must be isolated per root by the caller (see sources.copies.scan_copies_checked)
-    from copyaudit.sources.copies import scan_copies_checked
     locs = [CopyLocation("db1", "t1", "source", f"{scratch}/src/db1/t1", "ods"),
             CopyLocation("db1", "t1", "target", root, "ods")]
-    rows, errors = scan_copies_checked(spark, locs)
+    rows, errors = scan_copies(spark, locs)
     bad = errors.collect()
     assert [(e["role"]) for e in bad] == ["target"]
     audit = audit_two_way(spark, two_way(scratch), ["2022-03-01"], stats_rows=rows, root_errors=errors)
@@ -168,16 +181,19 @@ def test_dropping_rows_fails_exactly_those_partitions(spark, scratch):
     assert failed == broken
 
 
-def test_named_partitions_list_only_their_directories(spark, scratch):
-    from copyaudit.sources.copies import existing_partitions, hive_escape
+def test_named_partitions_are_the_only_directories_asked_for(spark, scratch):
+    from copyaudit.sources.copies import hive_escape, partition_dirs
     root = f"{scratch}/src/db1/t1"
     write(spark, root)
-    loc = CopyLocation("db1", "t1", "source", root, "ods")
-    dirs, errors = existing_partitions(spark, [loc], ["2022-03-02", "2099-01-01"])
-    assert [d.value for d in dirs] == ["2022-03-02"] and errors == []
-    assert sorted(d.value for d in existing_partitions(spark, [loc])[0]) == ["2022-03-01", "2022-03-02", "2022-03-03"]
-    assert hive_escape("2022-03-01 10:00") == "2022-03-01 10%3A00"
-    assert existing_partitions(spark, [loc], []) == ([], [])
+    loc = CopyLocation("db1", "t1", "source", f"{scratch}//src/db1/t1/", "ods")
+    dirs, errors = partition_dirs(spark, [loc], ["2022-03-02", "2099-01-01", "a:b%\t"])
+    assert sorted(d.dir for d in dirs.collect()) == [f"file:{root}/ods=2022-03-02", f"file:{root}/ods=2099-01-01",
+                                                     f"file:{root}/ods=a%3Ab%25%09"]
+    assert errors.count() == 0 and hive_escape("a:b%\t") == "a%3Ab%25%09"
+    assert sorted(d.partition_date for d in partition_dirs(spark, [loc])[0].collect()) == ["2022-03-01", "2022-03-02", "2022-03-03"]
+    assert partition_dirs(spark, [loc], [])[0].count() == 0
+    wanted = spark.createDataFrame([("t1", "2022-03-01"), ("t2", "2022-03-02")], "`table` string, partition_date string")
+    assert [d.partition_date for d in partition_dirs(spark, [loc], wanted)[0].collect()] == ["2022-03-01"]
 
 
 def test_run_two_way_writes_every_sink(spark, scratch):
@@ -217,27 +233,50 @@ def test_marker_files_replace_the_opposite_outcome(spark, scratch):
     assert os.path.getsize(f"{scratch}/ctl/s/c/db1/db1_t1_2022-03-01.match") == 0
 
 
-def test_all_copies_of_a_format_are_one_relation(spark, scratch):
-    """Plan shape: however many copies, one record scan and one size scan, neither reading column data."""
-    from copyaudit.operators.align import align_copies
+def test_records_come_from_footers_and_nothing_runs_per_record(spark, scratch, monkeypatch):
+    """ORC and Parquet copies: no scan of their records at all; Avro copies: one scan without columns, whatever their number."""
+    from copyaudit.sources import copies
+    scans = []
+    counts = copies._counts_by_reader
+    monkeypatch.setattr(copies, "_counts_by_reader", lambda s, fmt, dirs: scans.append((fmt, counts(s, fmt, dirs))) or scans[-1][1])
     locs = []
-    for t in ("t1", "t2", "t3"):
+    for t, fmt in (("t1", "orc"), ("t2", "parquet"), ("t3", "avro"), ("t4", "avro")):
         for role, base in (("source", f"{scratch}/src"), ("target", f"{scratch}/tgt")):
-            write(spark, f"{base}/db1/{t}")
-            locs.append(CopyLocation("db1", t, role, f"{base}/db1/{t}", "ods"))
-    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+            write(spark, f"{base}/db1/{t}", fmt=copies.reader_format(fmt))
+            locs.append(CopyLocation("db1", t, role, f"{base}/db1/{t}", "ods", fmt))
     for values in (["2022-03-01"], None):
-        rows, _ = scan_copies(spark, locs, values)
-        aligned = align_copies(rows, ["source", "target"])
-        plan = aligned._jdf.queryExecution().explainString(mode)
-        assert len(re.findall(r"^\(\d+\) Scan binaryFile", plan, re.M)) == 1
-        assert len(re.findall(r"^\(\d+\) Scan orc", plan, re.M)) == 1
-        assert plan.count("ReadSchema: struct<>") == 1
-        assert "regexp_extract" not in plan
-        got = {(r["table"], r["partition_date"]): (r["source_records"], r["target_records"])
-               for r in aligned.collect()}
-        assert got[("t1", "2022-03-01")] == (10, 10) and got[("t3", "2022-03-01")] == (10, 10)
-        assert len(got) == (3 if values else 9)
+        scans.clear()
+        rows, errors = scan_copies(spark, locs, values)
+        assert errors.count() == 0
+        got = {(r["table"], r["role"], r["partition_date"]): r["records"] for r in copy_counts(rows).collect()}
+        assert set(got.values()) == {10} and len(got) == (8 if values else 24)
+        assert [fmt for fmt, _ in scans] == ["avro"]
+        plan = scans[0][1]._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert len(re.findall(r"FileScan avro \[", plan)) == 1 and "ReadSchema: struct<>" in plan
+
+
+def test_footers_and_spark_readers_count_alike(spark, scratch, monkeypatch):
+    """The way for stores that only Spark's and Hadoop's clients reach gives the same rows."""
+    from copyaudit.sources import copies, inventory
+    root = f"{scratch}/src/db1/t1"
+    write(spark, root, [(i, "2022-03-01 10:00 +1%" if i % 2 else "2022-03-0é, {x}") for i in range(11)])
+    write(spark, f"{scratch}/src/db1/t2", fmt="parquet")
+    os.makedirs(f"{root}/ods=empty")
+    open(f"{root}/ods=2022-03-0é, %7Bx}}/part-zero.orc", "w").close()
+    locs = [CopyLocation("db1", "t1", "source", root, "ods"), CopyLocation("db1", "t2", "source", f"{scratch}/src/db1/t2", "ods", "parquet")]
+    values = ["2022-03-01 10:00 +1%", "2022-03-0é, {x}", "2022-03-01", "empty", "absent"]
+
+    def rows():
+        stats, errors = scan_copies(spark, locs, values)
+        return sorted(map(tuple, copy_counts(stats).collect())), sorted(map(tuple, errors.collect()))
+
+    by_tasks = rows()
+    assert [(r[1], r[3], r[4]) for r in by_tasks[0]] == [
+        ("t1", "2022-03-01 10:00 +1%", 5), ("t1", "2022-03-0é, {x}", 6), ("t2", "2022-03-01", 10)]
+    assert [e[3] for e in by_tasks[1]] == ["empty"]
+    monkeypatch.setattr(inventory, "STORES", {})
+    monkeypatch.setattr(copies, "FOOTERS", ())
+    assert rows() == by_tasks
 
 
 def test_files_in_subfolders_of_a_partition_are_counted(spark, scratch):
@@ -364,14 +403,6 @@ def test_slashes_and_numbers_of_dates_and_tables_change_nothing(spark, scratch):
     assert {k: v for k, v in verdicts(spark, params, days)[0].items() if k[0] in ("t1", "t2")} == expected
 
 
-def test_a_file_outside_the_audited_partitions_stops_the_run():
-    import pytest
-    from copyaudit.sources.copies import _owner
-    assert _owner("file:/a/ods=1/b/c.orc", {"file:/a/ods=1"}) == "file:/a/ods=1"
-    with pytest.raises(ValueError):
-        _owner("file:/a/ods=2/c.orc", {"file:/a/ods=1"})
-
-
 def test_zero_byte_files_count(spark, scratch):
     os.makedirs(f"{scratch}/src/db1/t1/ods=2022-03-01")
     open(f"{scratch}/src/db1/t1/ods=2022-03-01/part-0.orc", "w").close()
@@ -400,7 +431,7 @@ def test_unreadable_files_fail_their_partitions_only(spark, scratch):
             fh.write("not an orc file")
     params = two_way(scratch)
     params.tables = "t1,t2,t3"
-    audit = audit_two_way(spark, params, ["2022-03-01", "2022-03-02", "2022-03-03"], checked=True)
+    audit = audit_two_way(spark, params, ["2022-03-01", "2022-03-02", "2022-03-03"])
     assert sorted((r["table"], r["partition_date"]) for r in audit.failures.collect()) == [
         ("t1", "2022-03-01"), ("t2", "2022-03-03"), ("t3", "2022-03-03")]
     rows = audit.results.collect()
@@ -416,9 +447,10 @@ def test_other_errors_are_raised(spark, scratch, monkeypatch):
     def broken(*_):
         raise RuntimeError("executor lost")
 
-    monkeypatch.setattr(copies, "scan_dirs", broken)
+    monkeypatch.setattr(copies, "_counts_by_reader", broken)
+    monkeypatch.setattr(copies, "FOOTERS", ())                       # as for a format without a footer
     with pytest.raises(RuntimeError):
-        copies.scan_copies_checked(spark, locs)
+        copies.scan_copies(spark, locs)
 
 
 def test_a_store_that_cannot_be_asked_is_an_error_of_its_copy(spark, scratch):
@@ -426,5 +458,5 @@ def test_a_store_that_cannot_be_asked_is_an_error_of_its_copy(spark, scratch):
     locs = [CopyLocation("db1", "t1", "source", f"{scratch}/src/db1/t1", "ods"),
             CopyLocation("db1", "t2", "source", "nostore://host/db1/t2", "ods")]
     rows, errors = scan_copies(spark, locs, ["2022-03-01"])
-    assert [(e["table"], e["partition_date"]) for e in errors.collect()] == [("t2", None)]
+    assert [(e["table"], e["partition_date"]) for e in errors.collect()] == [("t2", "2022-03-01")]
     assert by_date(copy_counts(rows), "records") == {"2022-03-01": (10,)}
