@@ -22,7 +22,7 @@ from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -92,6 +92,8 @@ def word_ids(path: str | None) -> WordIds:
 
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
+PIECE_TYPES = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+PIECE_NAMES = ["doc_id", "piece", "start", "length", "ids_crc32"]
 
 
 def pieces(documents: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY) -> DataFrame:
@@ -99,19 +101,18 @@ def pieces(documents: DataFrame, vocabulary: str | None = None, capacity: int =
     end = np.array([END_ID], "<u4").tobytes()
     step = 4 * capacity
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = word_ids(vocabulary)
         for batch in batches:
             out = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                data = ids.of_text(text or "") + end
-                doc_id = None if pd.isna(doc_id) else int(doc_id)
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                data = ids.of_text(text.as_py() or "") + end
                 out += [(doc_id, k, at // 4, min(step, len(data) - at) // 4, zlib.crc32(data[at:at + step]))
                         for k, at in enumerate(range(0, len(data), step))]
-            frame = pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-            yield frame.astype({"doc_id": "Int64"})
+            columns = list(zip(*out, strict=True)) or [()] * len(PIECE_NAMES)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, PIECE_TYPES, strict=True)], names=PIECE_NAMES)
 
-    return documents.select("doc_id", "text").mapInPandas(cut, PIECES)
+    return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, PIECES)
 
 
 def reduce_dominated(counts: list[int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
@@ -222,9 +223,10 @@ def slot_table(groups: list[tuple[tuple[int, ...], int]], capacity: int) -> np.n
 
 
 def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """Adds ``sequence_id`` and ``offset`` to pieces (columns of ``PIECES``); ``cut`` is read several times."""
+    """Adds ``sequence_id`` and ``offset`` to pieces (columns of ``PIECES``); ``cut`` is read several times, so it is stored."""
     spark = cut.sparkSession
-    salted = cut.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(SALTS)).cast("int"))
+    # the place among the stored rows spreads even equal ids
+    salted = cut.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", F.monotonically_increasing_id()), F.lit(SALTS)).cast("int"))
     # at most capacity * SALTS rows, whatever the corpus
     tally = salted.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n")).toPandas()
     per_salt = np.zeros((capacity + 1, SALTS), dtype=np.int64)
@@ -235,22 +237,22 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     before = np.cumsum(per_salt, axis=1) - per_salt
     shared = spark.sparkContext.broadcast((before, slot_table(groups, capacity)))
 
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before, slots = shared.value
         big = 1 << 45
         keys = slots[:, 0] * big + slots[:, 1]
         for batch in batches:
-            w = batch["length"].to_numpy(np.int64)
-            rank = before[w, batch["salt"].to_numpy(np.int64)] + batch["nth"].to_numpy(np.int64) - 1
+            w = batch.column("length").to_numpy()
+            rank = before[w, batch.column("salt").to_numpy()] + batch.column("nth").to_numpy() - 1
             row = slots[np.searchsorted(keys, w * big + rank, side="right") - 1]
             at = rank - row[:, 1]
-            yield batch[["doc_id", "piece", "start", "length", "ids_crc32"]].assign(
-                doc_id=batch["doc_id"].astype("Int64"), sequence_id=row[:, 3] + at // row[:, 2],
-                offset=row[:, 4] + at % row[:, 2] * w)
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in PIECE_NAMES), pa.array(row[:, 3] + at // row[:, 2]), pa.array(row[:, 4] + at % row[:, 2] * w)],
+                names=[*PIECE_NAMES, "sequence_id", "offset"])
 
     order = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")
     return salted.withColumn("nth", F.row_number().over(order)) \
-        .mapInPandas(place, PIECES + ", sequence_id long, offset long")
+        .mapInArrow(place, PIECES + ", sequence_id long, offset long")
 
 
 def pack_documents(documents: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY) -> DataFrame:

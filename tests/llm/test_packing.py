@@ -103,3 +103,20 @@ def test_one_length_for_all(spark, n):
     docs = spark.createDataFrame([(i, "the cat") for i in range(n)], "doc_id long, text string")
     rows = p.pack_documents(docs, capacity=10).collect()
     assert len(rows) == n and check_places(rows, 10) == -(-n // 3)
+
+
+def test_large_ids_beside_nulls_survive(spark):
+    ids = [2 ** 60 + 1, None, 2 ** 60 + 3, -(2 ** 62) - 1, None, 2 ** 53 + 1]
+    docs = spark.createDataFrame([(i, f"some words {k % 2}") for k, i in enumerate(ids)], "doc_id long, text string").coalesce(1)
+    rows = p.pack_documents(docs, capacity=64).collect()
+    assert sorted(r.doc_id or 0 for r in rows) == sorted(i or 0 for i in ids)
+    check_places(rows, 64)
+
+
+def test_equal_ids_are_spread_over_salts(spark):
+    docs = spark.createDataFrame([(None, "the cat")] * 2000, "doc_id long, text string")
+    cut = p.kept(p.pieces(docs))
+    salts = cut.select(p.F.pmod(p.F.xxhash64("doc_id", "piece", p.F.monotonically_increasing_id()), p.F.lit(p.SALTS)).alias("s"))
+    assert salts.distinct().count() > 200
+    rows = p.pack(cut, 10).collect()
+    assert len(rows) == 2000 and check_places(rows, 10) == -(-2000 // 3)
