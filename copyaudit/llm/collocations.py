@@ -220,7 +220,9 @@ class Windows:
         order = np.lexsort((signed[1], signed[0], part))
         for rows in np.split(order, np.flatnonzero(np.diff(part[order])) + 1):
             if len(rows):
-                yield int(part[rows[0]]), encode_run(pa.table({c: x[rows] for c, x in zip(NAMES, signed, strict=True)} | {"n": n[rows]}))
+                # the later words are the bulk of a run: they refer to a list of the different ones
+                columns = [pa.array(x[rows]) if k < 2 else pa.array(x[rows]).dictionary_encode() for k, x in enumerate(signed)]
+                yield int(part[rows[0]]), encode_run(pa.table([*columns, n[rows]], names=[*NAMES, "n"]))
 
 
 NAMES = [f"h{k + 1}" for k in range(LONGEST)]
@@ -245,8 +247,9 @@ def spilled_runs(texts: DataFrame, salt: str, bits, hot, partitions: int) -> Dat
                     found[lang] = Windows(lang, salt, bits.value)
                 windows = found[lang]
                 windows.add(part)
-                while sum(w.trie.size for w in found.values()) > ENTRIES:
-                    yield from spill(max(found.values(), key=lambda w: w.trie.size), 0.5)
+                if sum(w.trie.size for w in found.values()) > ENTRIES:
+                    for full in found.values():
+                        yield from spill(full, 0.5)
                 if len(windows.words) > WORDS:                   # numbers are used up: begin anew
                     yield from spill(windows, 1)
                     del found[lang]
@@ -287,7 +290,7 @@ def counted_phrases(runs: DataFrame, hot, least: int) -> DataFrame:
                     left = np.repeat((total >= least) | split, np.diff(np.append(heads, len(n))))
                     h, n = [x[left] for x in h], n[left]
 
-    found = by_shard(runs).mapInArrow(merge, PHRASES)
+    found = kept(by_shard(runs).mapInArrow(merge, PHRASES))
     parts = found.where("NOT whole").groupBy(*NAMES).agg(F.sum("a").alias("a")).where(F.col("a") >= least)
     return found.where("whole").drop("whole").unionByName(parts)
 
@@ -360,7 +363,7 @@ def collocations(documents: DataFrame, least: int = LEAST, top: int = TOP, cover
     hot = spark.sparkContext.broadcast(hot.view(np.uint64))
 
     runs = merged_lanes(spilled_runs(texts, salt, spark.sparkContext.broadcast(table_bits), hot, partitions), tasks, NAMES)
-    phrases = kept(counted_phrases(runs, hot, least))
+    phrases = counted_phrases(runs, hot, least)
     scored = phrase_scores(phrases, often, cover)
     # the best by score and frequency get their words; ties at the last rank are all kept until the bytes decide
     first = scored.join(often.select(F.col("h").alias("h1"), "lang"), "h1")

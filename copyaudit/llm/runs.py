@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SLICE = 1 << 22          # bytes of text whose words are held at a time
+SLICE = 1 << 21          # bytes of text whose words are held at a time
 RUN_ROWS = 1 << 14       # rows of a run that a merge decodes at a time
 FAN_IN = 64              # runs of a shard that one merge takes
 
@@ -85,8 +85,12 @@ def encode_run(rows: pa.Table) -> bytes:
 
 
 def decode_run(run: bytes) -> Iterator[pa.RecordBatch]:
+    """The rows of a run, columns that refer to a list of values as the values themselves."""
     with pa.ipc.open_stream(run) as source:
-        yield from (b for b in source if len(b))
+        for b in source:
+            if len(b):
+                plain = [c.dictionary_decode() if pa.types.is_dictionary(c.type) else c for c in b.columns]
+                yield pa.RecordBatch.from_arrays(plain, names=b.schema.names)
 
 
 def _cut(values: pa.Array, pivot, at: int) -> int:
