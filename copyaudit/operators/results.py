@@ -130,17 +130,27 @@ def _problem_failures(problems: DataFrame) -> DataFrame:
         F.col("message").alias("exception"), F.lit(None).cast("int").alias("ordinal"))
 
 
+SUMMARY = ["items", "done", "failed", "source_missing", "errors"]
+
+
+def summary_counts() -> list:
+    """A4: the counts of ``SUMMARY`` over verdict rows (``state``, ``Status``)."""
+    st = F.col("state")
+    return [F.count_if(st != "parameter_error").alias("items"),
+            F.count_if((st == COMPARED) & (F.col("Status") == STATUS_DONE)).alias("done"),
+            F.count_if(F.col("Status") == "Failed").alias("failed"),
+            F.count_if(st == SOURCE_MISSING).alias("source_missing"),
+            F.count_if(~st.isin(*RESULT_STATES)).alias("errors")]
+
+
+def exit_code():
+    return F.when(F.col("errors") > 0, F.lit(1)).otherwise(F.lit(0))
+
+
 def run_summary(verdicts: DataFrame, problems: DataFrame | None = None) -> DataFrame:
     """A4: outcome counts of the run and the exit code (1 when anything failed)."""
-    st = F.col("state")
     rows = verdicts.select("state", "Status")
     if problems is not None:
         rows = rows.unionByName(problems.select(F.lit("parameter_error").alias("state"),
                                                 F.lit(None).cast("string").alias("Status")))
-    summary = rows.agg(
-        F.count_if(st != "parameter_error").alias("items"),
-        F.count_if((st == COMPARED) & (F.col("Status") == STATUS_DONE)).alias("done"),
-        F.count_if(F.col("Status") == "Failed").alias("failed"),
-        F.count_if(st == SOURCE_MISSING).alias("source_missing"),
-        F.count_if(~st.isin(*RESULT_STATES)).alias("errors"))
-    return summary.withColumn("exit_code", F.when(F.col("errors") > 0, F.lit(1)).otherwise(F.lit(0)))
+    return rows.agg(*summary_counts()).withColumn("exit_code", exit_code())

@@ -11,13 +11,16 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
-from itertools import islice
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from copyaudit.schemas import CONTROL
+from copyaudit.sinks.journal import Journal
+from copyaudit.sources.inventory import LOOKUP_THREADS, by_tasks, default_store, open_store, qualified, rows_of
 
 
 KEYS = ["db", "table", "partition_date"]
@@ -59,9 +62,17 @@ def write_controls(controls: DataFrame, path: str, audited: DataFrame | None = N
     _write_run(rows, controls if audited is None else audited, path, run or new_run_id(), csv=False)
 
 
-def read_controls(spark: SparkSession, path: str) -> DataFrame:
+def _counting(rows: DataFrame, journal: str | None) -> DataFrame:
+    """Without the rows of runs that have begun in a journal and are not committed there."""
+    if journal is None:
+        return rows
+    return rows.where(~F.col("run").isin(*Journal(rows.sparkSession, journal).uncommitted()))
+
+
+def read_controls(spark: SparkSession, path: str, journal: str | None = None) -> DataFrame:
+    """The control records that count; with the ``journal`` of the runs, those of committed runs only."""
     rows = spark.read.schema(CONTROL_FILE + ", run string").option("basePath", path).orc(f"{path}/run=*")
-    return _latest(rows, _audited(spark, path)).select(*[f.name for f in CONTROL.fields])
+    return _latest(_counting(rows, journal), _counting(_audited(spark, path), journal)).select(*[f.name for f in CONTROL.fields])
 
 
 FAILURE_CSV_COLUMNS = ["message", "exception", "stage", "db", "table", "partition_date", "ordinal"]
@@ -84,41 +95,64 @@ def write_failures(failures: DataFrame, path: str, name_col: str | None = None,
                run or new_run_id(), csv=True)
 
 
-def read_failures(spark: SparkSession, path: str, name_col: str | None = None) -> DataFrame:
+def read_failures(spark: SparkSession, path: str, name_col: str | None = None, journal: str | None = None) -> DataFrame:
     if name_col:
         return spark.read.schema(f"{FAILURE_FILE}, {name_col} string").option("header", "false").csv(path) \
             .select(*FAILURE_CSV_COLUMNS, name_col)
     rows = spark.read.schema(f"{FAILURE_FILE}, run string").option("header", "false").option("basePath", path) \
         .csv(f"{path}/run=*")
-    return _latest(rows, _audited(spark, path)).select(*FAILURE_CSV_COLUMNS)
+    return _latest(_counting(rows, journal), _counting(_audited(spark, path), journal)).select(*FAILURE_CSV_COLUMNS)
 
 
-MARKER_THREADS = 16
+def _write_marker(path: str, other: str) -> None:
+    store, at = open_store(path)
+    store.create_dir(at.rsplit("/", 1)[0], recursive=True)
+    store.open_output_stream(at).close()
+    try:
+        store.delete_file(open_store(other)[1])
+    except FileNotFoundError:
+        pass
 
 
 def write_marker_files(spark: SparkSession, controls: DataFrame) -> int:
     """Optional: the control records as empty files ``<control_dir>/<control_name>``.
 
-    For consumers that wait for marker files by name. Spark's writers cannot
-    name files, so the markers are created through Hadoop's FileSystem on the
-    driver, streaming the control rows (one per audited item, bounded by the
-    work list). The marker of the opposite outcome is removed, so a rerun never
-    leaves a stale one behind. Returns the number of markers written.
+    For consumers that wait for marker files by name. Spark's writers cannot name files, so the tasks that hold the control
+    rows create them; writing one twice (a retried or speculative task) changes nothing. The marker of the opposite
+    outcome is removed, so a rerun never leaves a stale one behind. Returns the number of markers written.
     """
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    Path = jvm.org.apache.hadoop.fs.Path
-
-    def write(row):
-        marker = Path(f"{row['control_dir']}/{row['control_name']}")
-        fs = marker.getFileSystem(conf)
-        fs.create(marker, True).close()                       # creates the directories above it
-        other = "nonmatch" if row["outcome"] == "match" else "match"
-        fs.delete(Path(f"{row['control_dir']}/{row['control_name'].rsplit('.', 1)[0]}.{other}"), False)
-
-    written = 0
-    rows = controls.select("control_dir", "control_name", "outcome").toLocalIterator()
-    with ThreadPoolExecutor(max_workers=MARKER_THREADS) as pool:
-        while batch := list(islice(rows, 64 * MARKER_THREADS)):   # a bounded number of calls in flight
-            written += len(list(pool.map(write, batch)))
-    return written
+    default = default_store(spark)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def one(row):
+            folder, name, outcome = row
+            folder = qualified(folder, default)
+            if not by_tasks(folder):
+                return 0
+            _write_marker(f"{folder}/{name}", f"{folder}/{name.rsplit('.', 1)[0]}.{'nonmatch' if outcome == 'match' else 'match'}")
+            return 1
+
+        with ThreadPoolExecutor(LOOKUP_THREADS) as pool:
+            for batch in batches:
+                written = list(pool.map(one, rows_of(batch)))
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(written, pa.int32())],
+                                                 names=["control_dir", "control_name", "outcome", "written"])
+
+    done = controls.select("control_dir", "control_name", "outcome") \
+        .mapInArrow(write, "control_dir string, control_name string, outcome string, written int").persist()
+    try:
+        written = done.agg(F.coalesce(F.sum("written"), F.lit(0))).first()[0]
+        return written + sum(_marker_by_driver(spark, r) for r in done.where("written = 0").toLocalIterator())
+    finally:
+        done.unpersist()
+
+
+def _marker_by_driver(spark: SparkSession, row) -> int:
+    """A marker in a store that only Hadoop's client reaches."""
+    Path, conf = spark.sparkContext._jvm.org.apache.hadoop.fs.Path, spark.sparkContext._jsc.hadoopConfiguration()
+    marker = Path(f"{row['control_dir']}/{row['control_name']}")
+    store = marker.getFileSystem(conf)
+    store.create(marker, True).close()                            # creates the directories above it
+    other = "nonmatch" if row["outcome"] == "match" else "match"
+    store.delete(Path(f"{row['control_dir']}/{row['control_name'].rsplit('.', 1)[0]}.{other}"), False)
+    return 1
