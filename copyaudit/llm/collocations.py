@@ -43,7 +43,7 @@ COVER = 80               # per cent of a phrase's occurrences that lie in a long
 UNKNOWN = "und"
 BITS = 21
 BURST = 1 << 15          # entries of a container
-ENTRIES = 1_000_000      # entries of a task's tries
+ENTRIES = 700_000        # entries of a task's tries
 WORDS = 400_000          # words a task numbers; below 2 ** BITS
 TABLE_BITS = 25          # bits, as a power of two, of the table of frequent words
 HOT = 4                  # a word is hot with one in HOT * partitions of all words
@@ -209,23 +209,27 @@ class Windows:
             rest = rest << BITS | nxt[two]
         self.trie.add(ids[two], rest)
 
-    def runs(self, share: float, partitions: int, hot: np.ndarray) -> Iterator[tuple[int, bytes]]:
-        """Spills the largest subtrees: ``(prefix partition, run)``, rows sorted by the names of the words."""
+    def take_largest(self, share: float) -> list[np.ndarray]:
+        """Removes the largest subtrees: the names of the windows' words, column by column, and the counts."""
         first, rest, n = self.trie.entries(self.trie.take_largest(share))
         names, mask = np.array(self.words.hashes, np.uint64), (1 << BITS) - 1
-        h = [names[first]] + [names[rest >> BITS * k & mask] for k in reversed(range(LONGEST - 1))]
-        deeper = np.where(is_hot(h, hot), h[2] * np.uint64(17), np.uint64(0))
-        part = (h[0] * np.uint64(31) + h[1] + deeper >> np.uint64(8)) % np.uint64(partitions)
-        signed = [x.view(np.int64) for x in h]
-        order = np.lexsort((signed[1], signed[0], part))
-        for rows in np.split(order, np.flatnonzero(np.diff(part[order])) + 1):
-            if len(rows):
-                # the later words are the bulk of a run: they refer to a list of the different ones
-                columns = [pa.array(x[rows]) if k < 2 else pa.array(x[rows]).dictionary_encode() for k, x in enumerate(signed)]
-                yield int(part[rows[0]]), encode_run(pa.table([*columns, n[rows]], names=[*NAMES, "n"]))
+        return [names[first], *(names[rest >> BITS * k & mask] for k in reversed(range(LONGEST - 1))), n]
 
 
-NAMES = [f"h{k + 1}" for k in range(LONGEST)]
+def spilled(taken: list[list[np.ndarray]], partitions: int, hot: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """``(prefix partition, run)`` of the subtrees taken from the tries of all languages, rows sorted by the words' names."""
+    *h, n = (np.concatenate(x) for x in zip(*taken, strict=True))
+    deeper = np.where(is_hot(h, hot), h[2] * np.uint64(17), np.uint64(0))
+    part = (h[0] * np.uint64(31) + h[1] + deeper >> np.uint64(8)) % np.uint64(partitions)
+    signed = [x.view(np.int64) for x in h]
+    order = np.lexsort((signed[1], signed[0], part))
+    for rows in np.split(order, np.flatnonzero(np.diff(part[order])) + 1):
+        if len(rows):
+            run = pa.table({c: x[rows] for c, x in zip(NAMES, signed, strict=True)} | {"n": n[rows]})
+            yield int(part[rows[0]]), encode_run(run, NAMES)
+
+
+NAMES = tuple(f"h{k + 1}" for k in range(LONGEST))
 
 
 def is_hot(h: list[np.ndarray], hot: np.ndarray) -> np.ndarray:
@@ -238,8 +242,10 @@ def spilled_runs(texts: DataFrame, salt: str, bits, hot, partitions: int) -> Dat
         lane = TaskContext.get().partitionId()
         found: dict[str, Windows] = {}
 
-        def spill(windows: Windows, share: float) -> Iterator[pa.RecordBatch]:
-            yield from run_frame((part, lane, data) for part, data in windows.runs(share, partitions, hot.value))
+        def spill(tries: list[Windows], share: float) -> Iterator[pa.RecordBatch]:
+            if tries:
+                yield from run_frame((part, lane, data) for part, data
+                                     in spilled([w.take_largest(share) for w in tries], partitions, hot.value))
 
         for batch in batches:
             for lang, part in lang_slices(batch):
@@ -248,13 +254,11 @@ def spilled_runs(texts: DataFrame, salt: str, bits, hot, partitions: int) -> Dat
                 windows = found[lang]
                 windows.add(part)
                 if sum(w.trie.size for w in found.values()) > ENTRIES:
-                    for full in found.values():
-                        yield from spill(full, 0.5)
+                    yield from spill(list(found.values()), 0.5)
                 if len(windows.words) > WORDS:                   # numbers are used up: begin anew
-                    yield from spill(windows, 1)
+                    yield from spill([windows], 1)
                     del found[lang]
-        for windows in found.values():
-            yield from spill(windows, 1)
+        yield from spill(list(found.values()), 1)
 
     return texts.mapInArrow(run, RUN_COLUMNS)
 
@@ -322,7 +326,7 @@ def phrase_scores(phrases: DataFrame, words: DataFrame, cover: int) -> DataFrame
                 rows = sized.where(F.col("size") == size).select(*keyed(shifted(first, part), "h"), "a")
                 inner = rows if inner is None else inner.unionByName(rows)
     longer = inner.groupBy(*NAMES).agg(F.max("a").alias("longer"))
-    left = sized.join(longer, NAMES, "left").where(F.col("longer").isNull() | (F.col("longer") * 100 < F.col("a") * cover))
+    left = sized.join(longer, list(NAMES), "left").where(F.col("longer").isNull() | (F.col("longer") * 100 < F.col("a") * cover))
 
     zero = F.lit(0).cast("long")
     known = phrases.unionByName(words.select(F.col("h").alias("h1"), *(zero.alias(c) for c in NAMES[1:]), F.col("f").alias("a")))
@@ -362,7 +366,7 @@ def collocations(documents: DataFrame, least: int = LEAST, top: int = TOP, cover
     hot = np.array([r.h for r in often.where(F.col("f") * (HOT * partitions) >= total).select("h").collect()], np.int64)
     hot = spark.sparkContext.broadcast(hot.view(np.uint64))
 
-    runs = merged_lanes(spilled_runs(texts, salt, spark.sparkContext.broadcast(table_bits), hot, partitions), tasks, NAMES)
+    runs = merged_lanes(spilled_runs(texts, salt, spark.sparkContext.broadcast(table_bits), hot, partitions), tasks, list(NAMES), NAMES)
     phrases = counted_phrases(runs, hot, least)
     scored = phrase_scores(phrases, often, cover)
     # the best by score and frequency get their words; ties at the last rank are all kept until the bytes decide

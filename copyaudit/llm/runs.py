@@ -77,7 +77,13 @@ def sum_by_key(key: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
     return key[heads], *(np.add.reduceat(v[order], heads) for v in values)
 
 
-def encode_run(rows: pa.Table) -> bytes:
+def encode_run(rows: pa.Table, shared: tuple[str, ...] = ()) -> bytes:
+    """A run as bytes. Long integers of the ``shared`` columns become places in one list of their different values."""
+    if shared:
+        values, places = np.unique(np.concatenate([rows[c].to_numpy() for c in shared]), return_inverse=True)
+        for c, part in zip(shared, np.split(places.astype(np.int32), len(shared)), strict=True):
+            rows = rows.set_column(rows.schema.get_field_index(c), c, pa.array(part))
+        rows = rows.replace_schema_metadata({"shared": ",".join(shared), "values": values.tobytes()})
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
         out.write_table(rows, max_chunksize=RUN_ROWS)
@@ -85,11 +91,14 @@ def encode_run(rows: pa.Table) -> bytes:
 
 
 def decode_run(run: bytes) -> Iterator[pa.RecordBatch]:
-    """The rows of a run, columns that refer to a list of values as the values themselves."""
+    """The rows of a run, the places in its list of values as the values themselves."""
     with pa.ipc.open_stream(run) as source:
+        about = source.schema.metadata or {}
+        shared = about.get(b"shared", b"").decode().split(",")
+        values = np.frombuffer(about.get(b"values", b""), np.int64)
         for b in source:
             if len(b):
-                plain = [c.dictionary_decode() if pa.types.is_dictionary(c.type) else c for c in b.columns]
+                plain = [pa.array(values[c.to_numpy()]) if name in shared else c for name, c in zip(b.schema.names, b.columns, strict=True)]
                 yield pa.RecordBatch.from_arrays(plain, names=b.schema.names)
 
 
@@ -176,12 +185,12 @@ def by_shard(runs: DataFrame) -> DataFrame:
     return runs.repartition("shard", "lane").sortWithinPartitions("shard", "lane")
 
 
-def merged_lanes(runs: DataFrame, tasks: int, keys: list[str]) -> DataFrame:
+def merged_lanes(runs: DataFrame, tasks: int, keys: list[str], shared: tuple[str, ...] = ()) -> DataFrame:
     """Merges runs among each other until a shard has at most about ``FAN_IN``; ``tasks``: how many tasks spilled them."""
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard, lane, blobs in runs_of_shards(batches):
             merged = pa.concat_tables(summed(rows, keys) for rows in merge_runs(blobs)).sort_by(first)
-            yield from run_frame([(shard, lane // FAN_IN, encode_run(merged))])
+            yield from run_frame([(shard, lane // FAN_IN, encode_run(merged, shared))])
 
     first = keys[0]
     while tasks > FAN_IN:

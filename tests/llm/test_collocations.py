@@ -78,8 +78,8 @@ def test_small_tries_spill_often(monkeypatch):
             w = piece.split()
             want.update(tuple((w[k:k + 4] + [""] * 4)[:4]) for k in range(len(w) - 1))
         if i % 7 == 0:
-            runs += windows.runs(0.5, 3, np.empty(0, np.uint64))
-    runs += windows.runs(1, 3, np.empty(0, np.uint64))
+            runs += c.spilled([windows.take_largest(0.5)], 3, np.empty(0, np.uint64))
+    runs += c.spilled([windows.take_largest(1)], 3, np.empty(0, np.uint64))
     names = {h - (1 << 64) if h >= 1 << 63 else h: w.decode() for w, h in zip(windows.words, windows.words.hashes[1:], strict=True)} | {0: ""}
     got, parts = Counter(), {}
     for part, data in runs:
