@@ -1,12 +1,12 @@
 """Secret scans: pattern matches, plus high-entropy windows of candidate strings, all as DataFrame expressions.
 
 Base kinds are regular expressions. The method's own spans (kind ``entropy``) come from candidate strings, runs of token
-characters that hold a letter and a digit: a window of ``WINDOW`` characters slides over the candidate, symbol counts
+characters that hold a letter and a digit, or both cases in like numbers: a window of ``WINDOW`` characters slides over the candidate, symbol counts
 are updated as one character enters and one leaves, and the sum of c*log2(c) with them, so each step costs the same.
 A window counts when its Shannon entropy reaches the bound of the candidate's character class (hex, alphanumeric, base64);
-windows that touch merge into one span. Of a candidate that matches the allow-list only the harmless parts are suppressed (an identifier, digits, or a path of
-plain names as a whole; a date or a placeholder for its own part between separators), and the rest is scanned, as a whole and
-part by part. Entropy spans inside a base span are suppressed. Entropy is kept in whole numbers (c*log2(c) in units of 2**-20), so results do not depend on the platform.
+windows that touch merge into one span. The allow-list suppresses a candidate as a whole (an identifier, digits, a path of
+plain names) or the part of it that matches (a date, a placeholder up to the next separator); the rest is scanned, as a
+whole and part by part, and so is a path. Entropy spans inside a base span are suppressed. Entropy is kept in whole numbers (c*log2(c) in units of 2**-20), so results do not depend on the platform.
 
 Positions are code points, end exclusive: the text split at the matches and the matches themselves give running lengths.
 
@@ -44,25 +44,28 @@ class EntropyRule:
     hex: float = 2.9
     alphanumeric: float = 3.7
     base64: float = 3.8
-    # Candidates not worth reporting: identifiers by format, dates, paths, placeholders.
-    allow: tuple[str, ...] = (
-        r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
-        r"^[0-9]{4}-[0-9]{2}-[0-9]{2}",
-        r"^[^/]*(/[^/]*){3,}$",
-        r"(?i)example|placeholder|changeme|xxxxx|00000000",
-        r"^[0-9=_/+-]+$",
-    )
+    # What is not worth reporting: patterns of candidates, or (pattern, "part") for the part of a candidate that matches.
+    allow: tuple[str | tuple[str, str], ...] = ()
 
+    def patterns(self, scope: str) -> list[str]:
+        pairs = [(a, "whole") if isinstance(a, str) else a for a in self.allow]
+        if wrong := [kind for _, kind in pairs if kind not in ("whole", "part")]:
+            raise ValueError(f"an allowed pattern covers the whole or a part, not {wrong}")
+        return [f"(?:{pattern})" for pattern, kind in pairs if kind == scope]
 
-RULE = EntropyRule()
 
-# What is harmless in a candidate on the allow-list: all of it, or pieces.
 _NAME = r"(?:[a-z]*(?:[A-Z][a-z]+)*|[A-Z]*)[0-9]{0,4}"
 _NAMES = rf"{_NAME}(?:[_=+-]{_NAME})*"
-HARMLESS = (rf"^[0-9a-fA-F]{{8}}(-[0-9a-fA-F]{{4}}){{3}}-[0-9a-fA-F]{{12}}$|^[0-9=_/+-]+$|^{_NAMES}(?:/{_NAMES}){{3,}}$")
-HARMLESS_PART = (r"^[0-9]{4}-[0-9]{2}-[0-9]{2}(?:T[0-9][0-9-]*)?"
-                 r"|[A-Za-z0-9+]*(?i:example|placeholder|changeme|xxxxx|00000000)[A-Za-z0-9+]*")
+RULE = EntropyRule(allow=(
+    r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",              # identifiers
+    r"^[0-9=_/+-]+$",
+    rf"^{_NAMES}(?:/{_NAMES}){{3,}}$",                                    # paths of plain names
+    (r"^[0-9]{4}-[0-9]{2}-[0-9]{2}(?:T[0-9][0-9-]*)?", "part"),          # dates
+    (r"[A-Za-z0-9+]*(?i:example|placeholder|changeme|xxxxx|00000000)[A-Za-z0-9+]*", "part"),
+))
+PATH = r"^[^/]*(/[^/]*){3,}$"
 PART = rf"[A-Za-z0-9+]{{{WINDOW},}}"
+LIKE_NUMBERS = 0.3                        # least share of either case among the letters of a candidate without digits
 
 
 def _scaled(c: int) -> int:
@@ -163,31 +166,34 @@ def secret_spans(text: Column, rule: EntropyRule = RULE) -> tuple[Column, Column
         F.when(text.rlike(HEX), _tagged(spans(HEX), "hex")).otherwise(none))
 
     def wanted(run):
-        return (F.length(run) >= WINDOW) & run.rlike("[0-9]") & run.rlike("[A-Za-z]")
+        upper, lower = (F.length(F.regexp_replace(run, f"[^{letters}]", "")) for letters in ("A-Z", "a-z"))
+        mixed = (upper >= LIKE_NUMBERS * (upper + lower)) & (lower >= LIKE_NUMBERS * (upper + lower))
+        return (F.length(run) >= WINDOW) & run.rlike("[A-Za-z]") & (run.rlike("[0-9]") | mixed)
+
+    whole, part = rule.patterns("whole"), "|".join(rule.patterns("part"))
 
     def piece(run, at):
         return F.struct(run.alias("run"), at.cast("int").alias("at"))
 
     def harmful(candidate):
-        """The pieces to scan of a candidate on the allow-list: between its harmless parts, whole and part by part."""
+        """The pieces to scan of a candidate with harmless parts, or of a path: what is left, whole and part by part."""
         def parts(p):
             found_parts = F.regexp_extract_all(p["run"], F.lit(PART), F.lit(0))
             return F.concat(F.array(piece(p["run"], p["at"])), let(found_parts, lambda f: F.transform(
                 span_list(F.split(p["run"], PART), f), lambda s, i: piece(F.get(f, i), p["at"] + s["start"]))))
 
-        between = F.split(candidate, HARMLESS_PART)
-        gone = span_list(between, F.regexp_extract_all(candidate, F.lit(HARMLESS_PART), F.lit(0)))
+        between = F.split(candidate, part) if part else F.array(candidate)
+        gone = span_list(between, F.regexp_extract_all(candidate, F.lit(part), F.lit(0)) if part else F.array().cast("array<string>"))
         rest = let(gone, lambda g: F.transform(between, lambda t, i: piece(
             t, F.when(i == 0, F.lit(0)).otherwise(F.get(g, i - 1)["end"]))))
         return F.filter(F.flatten(F.transform(rest, parts)), lambda p: wanted(p["run"]))
 
     def inside(candidate, at):
-        allowed = F.lit(False)
-        for pattern in rule.allow:
-            allowed = allowed | candidate.rlike(pattern)
         nothing = F.array().cast("array<struct<run:string,at:int>>")
-        pieces = F.when(~wanted(candidate), nothing).when(~allowed, F.array(piece(candidate, F.lit(0)))) \
-            .when(candidate.rlike(HARMLESS), nothing).otherwise(harmful(candidate))
+        allowed = candidate.rlike("|".join(whole)) if whole else F.lit(False)
+        several = candidate.rlike("|".join([PATH, part] if part else [PATH]))
+        pieces = F.when(~wanted(candidate) | allowed, nothing).when(~several, F.array(piece(candidate, F.lit(0)))) \
+            .otherwise(harmful(candidate))
         spans = F.flatten(F.transform(pieces, lambda p: F.transform(entropy_windows(p["run"], rule), lambda s: F.struct(
             (at + p["at"] + s["start"]).alias("start"), F.lit(KINDS.index("entropy")).alias("kind"),
             (at + p["at"] + s["end"]).alias("end")))))

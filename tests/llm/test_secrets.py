@@ -27,7 +27,9 @@ def brute_entropy(t):
     found = []
     for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", t):
         c = m[0]
-        if not (re.search("[0-9]", c) and re.search("[A-Za-z]", c)) or any(re.search(p, c) for p in q.RULE.allow):
+        upper, lower = len(re.findall("[A-Z]", c)), len(re.findall("[a-z]", c))
+        if not upper + lower or not (re.search("[0-9]", c) or min(upper, lower) >= q.LIKE_NUMBERS * (upper + lower)) \
+                or any(re.search(p, c) for scope in ("whole", "part") for p in q.RULE.patterns(scope)):
             continue
         bits = q.RULE.hex if re.fullmatch("[0-9a-fA-F]+", c) else \
             q.RULE.alphanumeric if re.fullmatch("[A-Za-z0-9]+", c) else q.RULE.base64
@@ -81,3 +83,31 @@ def test_secrets_beside_harmless_parts_are_found(spark):
         covered = {p for s in got[i] for p in range(s.start, s.end)}
         assert len(covered & set(range(text.index(secret), text.index(secret) + len(secret)))) >= 20, text
     assert all(not got[len(secrets) + i] for i in range(len(harmless)))
+
+
+def test_a_callers_allow_list_is_the_only_one(spark):
+    key = "Zk3J9qLx8Vb2Nw7Ty5RmQpA1"
+    texts = [f"SAFE{key}", key, f"EXAMPLE{key}", f"x-SAFE{key}", f"a/b/c/{key}"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+
+    def found(**rule):
+        return {r.doc_id for r in q.scan_secrets(rows, q.EntropyRule(**rule)).collect() if r.entropy}
+
+    assert found() == {0, 1, 2, 3, 4}                                     # no list, nothing suppressed
+    assert found(allow=("^SAFE",)) == {1, 2, 3, 4}
+    assert found(allow=("SAFE",)) == {1, 2, 4}
+    assert found(allow=(("SAFE[A-Za-z0-9]*", "part"),)) == {1, 2, 4}
+    assert found(allow=q.RULE.allow) == {0, 1, 3, 4}
+
+
+def test_random_keys_are_found_and_names_are_not(spark):
+    import random
+    rng = random.Random(1)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    keys = ["".join(rng.choices(letters, k=n)) for n in (20, 24, 32, 40) for _ in range(100)]
+    names = ["AbstractSingletonProxyFactoryBean", "internationalization_of_everything", "THIS_IS_A_LONG_CONSTANT_NAME_OF_CODE",
+             "theQuickBrownFoxJumpsOverTheLazyDog", "src/main/java/SomeProjectName/ModuleImpl"]
+    rows = spark.createDataFrame(list(enumerate(keys + names)), "doc_id long, text string")
+    found = {r.doc_id for r in q.scan_secrets(rows).collect() if r.entropy or r.base}
+    assert len([i for i in found if i < len(keys)]) >= 0.98 * len(keys)
+    assert not [i for i in found if i >= len(keys)]
