@@ -2,13 +2,13 @@
 
 Each document gets integer measures (``document_measures``). A sketch holds, per (lang, source, measure), counts of
 log-scaled buckets: values keep their six leading bits, so a bucket is within 1/32 of its members. Adding counts merges
-sketches exactly, in any order, so one set of counts serves (lang, source), its language and the whole corpus. The
+sketches exactly, in any order, so one set of counts serves (lang, source), its language and the whole corpus. Each
+group's sketch is merged with those of its language and of the corpus, scaled to the weight of ``PRIOR`` documents each: the
+more documents a group has, the more its fences are its own, without a size at which the rule changes. The
 quartiles of a sketch give fences, and documents outside the fences of their group are rejected. All of it is DataFrame
 code; the sketch is a partial aggregate, so a source with a third of the rows costs the same as any other.
 
-Defined cases: a null text has no words and fails the base rule; a null lang or source is a value of its own; a group
-with fewer than ``min_docs`` measured documents uses the fences of its language, and a small language those of the
-corpus; other columns are ignored; repeated rows are judged one by one; an empty table gives no rows.
+Defined cases: a null text has no words and fails the base rule; a null lang or source is a value of its own; other columns are ignored; repeated rows are judged one by one; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -38,7 +38,8 @@ FENCES = {
     "repeats": Fence(least=100),
     "capitals": Fence(least=50),
 }
-MIN_DOCS = 100
+PRIOR = 50               # documents that a language's sketch, and the corpus's, count for in each group
+UNIT = 1000              # weight of a document, so that scaled counts stay whole numbers
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
@@ -107,51 +108,41 @@ def sketch(measured: DataFrame) -> DataFrame:
         .groupBy("lang", "source", "measure", "bucket").agg(F.count(F.lit(1)).alias("cnt"))
 
 
-def fences(sketches: DataFrame, keys: list[str], rules: dict[str, Fence] = FENCES) -> DataFrame:
-    """Merges the sketches of each value of ``keys``; per measure: documents, lower and upper fence."""
+def scaled(sketches: DataFrame, groups: DataFrame, keys: list[str], prior: int) -> DataFrame:
+    """The merged sketch of each value of ``keys``, in the weight of ``prior`` documents, for every group below it."""
     merged = sketches.groupBy(*keys, "measure", "bucket").agg(F.sum("cnt").alias("cnt"))
-    group = Window.partitionBy(*keys, "measure")
-    ranked = merged.withColumn("upto", F.sum("cnt").over(group.orderBy("bucket"))) \
-        .withColumn("docs", F.sum("cnt").over(group))
-    quartile = {q: F.min(F.when(4 * F.col("upto") >= q * F.col("docs"), F.col("bucket"))) for q in (1, 3)}
-    out = ranked.groupBy(*keys, "measure").agg(F.max("docs").alias("docs"), quartile[1].alias("q1"),
-                                               quartile[3].alias("q3"))
+    level = merged.withColumn("docs", F.sum("cnt").over(Window.partitionBy(*keys, "measure"))) \
+        .select(*[F.col(k).alias(f"of_{k}") for k in [*keys, "measure"]], "bucket", "cnt", "docs")
+    same = [F.col(k).eqNullSafe(F.col(f"of_{k}")) for k in keys] + [F.col("measure") == F.col("of_measure")]
+    return groups.join(level, same).select("lang", "source", "measure", "bucket",
+                                           F.expr(f"{prior * UNIT} * cnt div docs").alias("weight"))
+
+
+def thresholds(sketches: DataFrame, prior: int = PRIOR, rules: dict[str, Fence] = FENCES) -> DataFrame:
+    """One row per (lang, source): a low and a high column per measure."""
+    groups = sketches.select("lang", "source", "measure").distinct()
+    weights = sketches.select("lang", "source", "measure", "bucket", (F.col("cnt") * UNIT).alias("weight")) \
+        .unionByName(scaled(sketches, groups, ["lang"], prior)).unionByName(scaled(sketches, groups, [], prior)) \
+        .groupBy("lang", "source", "measure", "bucket").agg(F.sum("weight").alias("weight"))
+    group = Window.partitionBy("lang", "source", "measure")
+    ranked = weights.withColumn("upto", F.sum("weight").over(group.orderBy("bucket"))) \
+        .withColumn("whole", F.sum("weight").over(group))
+    quartile = {q: F.min(F.when(4 * F.col("upto") >= q * F.col("whole"), F.col("bucket"))) for q in (1, 3)}
+    out = ranked.groupBy("lang", "source", "measure").agg(quartile[1].alias("q1"), quartile[3].alias("q3"))
     names = list(rules)
     pick = {f: F.element_at(F.create_map(*[F.lit(x) for m in names for x in (m, getattr(rules[m], f))]), F.col("measure"))
             for f in ("least", "spread", "low")}
     reach = pick["spread"] * F.greatest(F.col("q3") - F.col("q1"), pick["least"])
-    return out.select(*keys, "measure", "docs", (F.col("q3") + reach).alias("high"),
+    flat = out.select("lang", "source", "measure", (F.col("q3") + reach).alias("high"),
                       F.when(pick["low"], F.col("q1") - reach).otherwise(F.lit(-1)).alias("low"))
-
-
-def thresholds(sketches: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """One row per (lang, source): a low and a high column per measure, from the finest level with enough documents."""
-    groups = sketches.select("lang", "source", "measure").distinct()
-    own = fences(sketches, ["lang", "source"]).select(
-        F.col("lang").alias("l0"), F.col("source").alias("s0"), F.col("measure").alias("m0"),
-        *[F.col(c).alias(f"{c}0") for c in ("docs", "low", "high")])
-    lang = fences(sketches, ["lang"]).select(F.col("lang").alias("l1"), F.col("measure").alias("m1"),
-                                             *[F.col(c).alias(f"{c}1") for c in ("docs", "low", "high")])
-    whole = fences(sketches, []).select(F.col("measure").alias("m2"), F.col("low").alias("low2"),
-                                        F.col("high").alias("high2"))
-    joined = groups.join(own, groups.lang.eqNullSafe(F.col("l0")) & groups.source.eqNullSafe(F.col("s0"))
-                         & (groups.measure == F.col("m0"))) \
-        .join(lang, F.col("lang").eqNullSafe(F.col("l1")) & (F.col("measure") == F.col("m1"))) \
-        .join(whole, F.col("measure") == F.col("m2"))
-
-    def level(c):
-        return F.when(F.col("docs0") >= min_docs, F.col(f"{c}0")) \
-            .when(F.col("docs1") >= min_docs, F.col(f"{c}1")).otherwise(F.col(f"{c}2"))
-
-    flat = joined.select("lang", "source", "measure", level("low").alias("low"), level("high").alias("high"))
     return flat.groupBy("lang", "source").agg(*[
-        F.max(F.when(F.col("measure") == m, F.col(side))).alias(f"{m}_{side}") for m in FENCES for side in ("low", "high")])
+        F.max(F.when(F.col("measure") == m, F.col(side))).alias(f"{m}_{side}") for m in rules for side in ("low", "high")])
 
 
-def judge(documents: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+def judge(documents: DataFrame, prior: int = PRIOR) -> DataFrame:
     """Every document with its counts, the base verdict, ``kept`` and the rules it failed."""
     measured = kept(document_measures(documents))
-    limits = thresholds(kept(sketch(measured)), min_docs).withColumnRenamed("lang", "t_lang") \
+    limits = thresholds(kept(sketch(measured)), prior).withColumnRenamed("lang", "t_lang") \
         .withColumnRenamed("source", "t_source")
     joined = measured.join(limits, measured.lang.eqNullSafe(F.col("t_lang"))
                            & measured.source.eqNullSafe(F.col("t_source")), "left")
@@ -171,21 +162,27 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _sql() -> str:
     sql = {m: e.replace(" div ", " // ") for m, e in MEASURES.items()}
-    levels = ((0, "lang, source"), (1, "lang"), (2, ""))
-    parts = []
-    for k, keys in levels:
-        by = f"{keys}, " if keys else ""
-        least = " ".join(f"WHEN '{m}' THEN {f.least}" for m, f in FENCES.items())
-        low = ", ".join(f"'{m}'" for m, f in FENCES.items() if f.low)
-        parts.append(f"""
-m{k} AS (SELECT {by}measure, bucket, sum(cnt) AS cnt FROM sk GROUP BY {by}measure, bucket),
-r{k} AS (SELECT *, sum(cnt) OVER (PARTITION BY {by}measure ORDER BY bucket) AS upto,
-                sum(cnt) OVER (PARTITION BY {by}measure) AS docs FROM m{k}),
-q{k} AS (SELECT {by}measure, max(docs) AS docs, min(CASE WHEN 4 * upto >= docs THEN bucket END) AS q1,
-                min(CASE WHEN 4 * upto >= 3 * docs THEN bucket END) AS q3 FROM r{k} GROUP BY {by}measure),
-f{k} AS (SELECT *, q3 + 3 * greatest(q3 - q1, CASE measure {least} END) AS high,
-                CASE WHEN measure IN ({low}) THEN q1 - 3 * greatest(q3 - q1, CASE measure {least} END) ELSE -1 END AS low
-         FROM q{k})""")
+    least = " ".join(f"WHEN '{m}' THEN {f.least}" for m, f in FENCES.items())
+    low = ", ".join(f"'{m}'" for m, f in FENCES.items() if f.low)
+    parts = f"""
+m1 AS (SELECT *, sum(cnt) OVER (PARTITION BY lang, measure) AS docs
+       FROM (SELECT lang, measure, bucket, sum(cnt) AS cnt FROM sk GROUP BY ALL)),
+m2 AS (SELECT *, sum(cnt) OVER (PARTITION BY measure) AS docs
+       FROM (SELECT measure, bucket, sum(cnt) AS cnt FROM sk GROUP BY ALL)),
+grp AS (SELECT DISTINCT lang, source, measure FROM sk),
+m0 AS (SELECT lang, source, measure, bucket, sum(weight) AS weight FROM (
+         SELECT lang, source, measure, bucket, cnt * {UNIT} AS weight FROM sk
+         UNION ALL SELECT g.lang, g.source, g.measure, bucket, {PRIOR * UNIT} * cnt // docs
+         FROM grp g JOIN m1 ON g.lang IS NOT DISTINCT FROM m1.lang AND g.measure = m1.measure
+         UNION ALL SELECT g.lang, g.source, g.measure, bucket, {PRIOR * UNIT} * cnt // docs
+         FROM grp g JOIN m2 ON g.measure = m2.measure) GROUP BY ALL),
+r0 AS (SELECT *, sum(weight) OVER (PARTITION BY lang, source, measure ORDER BY bucket) AS upto,
+              sum(weight) OVER (PARTITION BY lang, source, measure) AS whole FROM m0),
+q0 AS (SELECT lang, source, measure, min(CASE WHEN 4 * upto >= whole THEN bucket END) AS q1,
+              min(CASE WHEN 4 * upto >= 3 * whole THEN bucket END) AS q3 FROM r0 GROUP BY ALL),
+f0 AS (SELECT *, q3 + 3 * greatest(q3 - q1, CASE measure {least} END) AS high,
+              CASE WHEN measure IN ({low}) THEN q1 - 3 * greatest(q3 - q1, CASE measure {least} END) ELSE -1 END AS low
+       FROM q0)"""
     return rf"""
 WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS text,
                   list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws,
@@ -207,13 +204,10 @@ b AS (SELECT n.rid, doc_id, lang, source, CAST(len(ws) AS BIGINT) AS n_words,
 x AS ({" UNION ALL ".join(f"SELECT rid, lang, source, '{m}' AS measure, {e} AS v FROM b WHERE n_words > 0" for m, e in sql.items())}),
 sk AS (SELECT lang, source, measure,
               (v >> greatest(length(bin(v)) - 6, 0)) << greatest(length(bin(v)) - 6, 0) AS bucket, count(*) AS cnt
-       FROM x GROUP BY ALL),{",".join(parts)},
+       FROM x GROUP BY ALL),{parts},
 bad AS (SELECT x.rid, x.measure FROM x
         JOIN f0 ON x.lang IS NOT DISTINCT FROM f0.lang AND x.source IS NOT DISTINCT FROM f0.source AND x.measure = f0.measure
-        JOIN f1 ON x.lang IS NOT DISTINCT FROM f1.lang AND x.measure = f1.measure
-        JOIN f2 ON x.measure = f2.measure
-        WHERE v > CASE WHEN f0.docs >= {MIN_DOCS} THEN f0.high WHEN f1.docs >= {MIN_DOCS} THEN f1.high ELSE f2.high END
-           OR v < CASE WHEN f0.docs >= {MIN_DOCS} THEN f0.low WHEN f1.docs >= {MIN_DOCS} THEN f1.low ELSE f2.low END),
+        WHERE v > f0.high OR v < f0.low),
 rules AS (SELECT rid, string_agg(measure, ',' ORDER BY list_position({list(FENCES)}, measure)) AS failed_rules
           FROM bad GROUP BY rid)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,

@@ -55,3 +55,38 @@ def test_awkward_rows(spark, awkward, nothing):
     assert all(r.base_failed and r.n_words == 0 for r in rows if r.doc_id in (2, 3, 4))
     assert q.judge(nothing).count() == 0
     assert awkward.where("doc_id = 2").select(F.size(words(F.col("text")))).first()[0] == 0
+
+
+def brute_fences(values, lang, source, measure):
+    """Quartiles of the weighted buckets of one group, merged with its language and the corpus, with Python numbers."""
+    rule, weights = q.FENCES[measure], Counter()
+    for part, weight in ((values[lang, source], None), (sum((v for k, v in values.items() if k[0] == lang), []), q.PRIOR),
+                         (sum(values.values(), []), q.PRIOR)):
+        counts = Counter((v >> max(v.bit_length() - 6, 0)) << max(v.bit_length() - 6, 0) for v in part)
+        for bucket, n in counts.items():
+            weights[bucket] += n * q.UNIT if weight is None else weight * q.UNIT * n // len(part)
+    upto, quartile = 0, {}
+    for bucket in sorted(weights):
+        upto += weights[bucket]
+        for k in (1, 3):
+            if 4 * upto >= k * sum(weights.values()):
+                quartile.setdefault(k, bucket)
+    reach = rule.spread * max(quartile[3] - quartile[1], rule.least)
+    return quartile[1] - reach if rule.low else -1, quartile[3] + reach
+
+
+def test_fences_of_groups_of_every_size_against_brute_force(spark):
+    import random
+    rng, rows = random.Random(4), []
+    sizes = {("en", "a"): 1, ("en", "b"): 99, ("en", "c"): 100, ("en", "d"): 700, ("fr", "a"): 3, (None, None): 2}
+    for (lang, source), n in sizes.items():
+        usual = rng.randint(1, 30)
+        rows += [(len(rows) + i, " ".join(["w#" * rng.randint(1, usual) for _ in range(rng.randint(1, 20))]), lang, source) for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    measured = q.document_measures(docs)
+    values = {}
+    for r in measured.select("lang", "source", F.expr(q.MEASURES["symbols"]).alias("v")).collect():
+        values.setdefault((r.lang, r.source), []).append(r.v)
+    limits = {(r.lang, r.source): (r.symbols_low, r.symbols_high) for r in q.thresholds(q.sketch(measured)).collect()}
+    assert limits == {k: brute_fences(values, *k, "symbols") for k in sizes}
+    assert len(set(limits.values())) > 3
