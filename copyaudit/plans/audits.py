@@ -8,6 +8,8 @@ with it, any frame of ``COPY_STATS`` rows stands in for the scans.
 
 The scan runs at once, as one job that keeps files and counts in the shared
 checkpoint folder; a file that cannot be read is an error of its partition.
+``counted`` names a folder of counts per file: files that did not change since
+an earlier run are not read again.
 
 Plan shape (whatever the number of tables and partitions):
 
@@ -77,9 +79,9 @@ def _project(kind: str, work: WorkList, stats_rows: DataFrame, verdicts: DataFra
     return Audit(kind, work, stats_rows, verdicts)
 
 
-def _copies(spark, work, roles, stats_rows, root_errors):
+def _copies(spark, work, roles, stats_rows, root_errors, counted):
     if stats_rows is None:
-        stats_rows, root_errors = scan_copies(spark, copy_locations(work.items, roles), work.items)
+        stats_rows, root_errors = scan_copies(spark, copy_locations(work.items, roles), work.items, counted)
     if root_errors is None:
         root_errors = spark.createDataFrame([], ROOT_ERROR)
     return stats_rows, root_errors
@@ -87,9 +89,9 @@ def _copies(spark, work, roles, stats_rows, root_errors):
 
 def audit_two_way(spark: SparkSession, params: TwoWayParams, partitions,
                   stats_rows: DataFrame | None = None,
-                  root_errors: DataFrame | None = None) -> Audit:
+                  root_errors: DataFrame | None = None, counted: str | None = None) -> Audit:
     work = two_way_work_list(spark, params, partitions)
-    stats_rows, root_errors = _copies(spark, work, TWO_WAY_ROLES, stats_rows, root_errors)
+    stats_rows, root_errors = _copies(spark, work, TWO_WAY_ROLES, stats_rows, root_errors, counted)
     items = attach_copies(work.items, align_copies(stats_rows, TWO_WAY_ROLES),
                           root_errors_wide(root_errors, TWO_WAY_ROLES), TWO_WAY_ROLES)
     return _project("two_way", work, stats_rows, two_way_verdict(items))
@@ -97,9 +99,9 @@ def audit_two_way(spark: SparkSession, params: TwoWayParams, partitions,
 
 def audit_three_way(spark: SparkSession, params: ThreeWayParams, partitions,
                     stats_rows: DataFrame | None = None,
-                    root_errors: DataFrame | None = None) -> Audit:
+                    root_errors: DataFrame | None = None, counted: str | None = None) -> Audit:
     work = three_way_work_list(spark, params, partitions)
-    stats_rows, root_errors = _copies(spark, work, THREE_WAY_ROLES, stats_rows, root_errors)
+    stats_rows, root_errors = _copies(spark, work, THREE_WAY_ROLES, stats_rows, root_errors, counted)
     items = attach_copies(work.items, align_copies(stats_rows, THREE_WAY_ROLES),
                           root_errors_wide(root_errors, THREE_WAY_ROLES), THREE_WAY_ROLES)
     return _project("three_way", work, stats_rows, three_way_verdict(items, params.plain_rule))

@@ -9,6 +9,8 @@ One path, whatever the number of tables, dates and copies, and nothing but count
 3. **Records.** Files are dealt to tasks one by one, and a task reads the number of records from the file's footer (ORC,
    Parquet). A file that cannot be read becomes an error row there and then; nothing is read again for it. Formats without
    such a number (Avro) are counted by Spark's reader, all their directories in one relation, per file path.
+4. **Reruns.** With a folder of earlier counts, a file whose path, length and time of change are known there is not read
+   again; the counts of the other files are added to it.
 
 The output has ``COPY_STATS`` shape, one row per file and copy; ``copy_counts`` sums it.
 """
@@ -151,19 +153,31 @@ def count_in_tasks(fmt: str, path: str | None, length: int | None, footers=FOOTE
         return None, f"Error reading file: {path}: {_first_line(err)}"
 
 
+COUNTED = "path string, length long, modified long, records long"
+
+
+def known_counts(spark: SparkSession, counted: str | None) -> DataFrame:
+    """``(path, length, modified, known)`` of the files that earlier runs have counted."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(counted) if counted else None
+    there = at is not None and at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+    rows = spark.read.schema(COUNTED).parquet(counted) if there else spark.createDataFrame([], COUNTED)
+    return rows.groupBy("path", "length", "modified").agg(F.max("records").alias("known"))
+
+
 def with_records(files: DataFrame) -> DataFrame:
-    """Adds ``records`` to listed files, and the ``exception`` of files that cannot be read."""
+    """Adds ``records`` to listed files (with ``known`` counts), and the ``exception`` of files that cannot be read."""
     names = [f.name for f in files.schema]
     out = StructType([*files.schema.fields, StructField("records", LongType())])
     types = arrow_schema(out)
-    fmt, path, length, exception = (names.index(c) for c in ("fmt", "path", "length", "exception"))
+    fmt, path, length, exception, known = (names.index(c) for c in ("fmt", "path", "length", "exception", "known"))
     footers = FOOTERS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with ThreadPoolExecutor(LOOKUP_THREADS) as pool:
             for batch in batches:
                 rows = rows_of(batch)
-                counted = pool.map(lambda r: count_in_tasks(r[fmt], r[path], r[length], footers), rows)
+                counted = pool.map(lambda r: (r[known], None) if r[known] is not None
+                                   else count_in_tasks(r[fmt], r[path], r[length], footers), rows)
                 yield as_batch([(*r[:exception], r[exception] or error, *r[exception + 1:], n)
                                 for r, (n, error) in zip(rows, counted, strict=True)], types)
 
@@ -223,11 +237,15 @@ def unreadable(err: Exception, dirs: list[str]) -> list[str] | None:
     return [d for d in dirs if at.startswith(d + "/") or unquote(at).startswith(d + "/")]
 
 
-def copy_files(spark: SparkSession, locations: list[CopyLocation], wanted=None) -> tuple[DataFrame, DataFrame]:
+def copy_files(spark: SparkSession, locations: list[CopyLocation], wanted=None,
+               counted: str | None = None) -> tuple[DataFrame, DataFrame]:
     """``(files, errors)``: the files of all copies with their records, kept in the shared checkpoint folder."""
     checkpoint_root(spark)
     directories, root_errors = partition_dirs(spark, locations, wanted)
-    files = with_records(listed(directories)).checkpoint(eager=True)
+    found = listed(directories)
+    found = found.join(known_counts(spark, counted), ["path", "length", "modified"], "left") if counted else \
+        found.withColumn("known", F.lit(None).cast("long"))
+    files = with_records(found.select(*DIRECTORY.names, "path", "length", "modified", "exception", "known")).checkpoint(eager=True)
     uncounted = files.where("records IS NULL AND path IS NOT NULL AND exception IS NULL")
     by_format: dict[str, list[str]] = {}
     for fmt, directory in uncounted.select("fmt", "dir").distinct().orderBy("fmt", "dir").toLocalIterator():
@@ -243,15 +261,19 @@ def copy_files(spark: SparkSession, locations: list[CopyLocation], wanted=None)
         files = files.join(found, "path", "left").join(errors, "dir", "left").select(
             *[c for c in files.columns if c not in ("records", "exception")],
             F.coalesce("exception", "failed").alias("exception"), F.coalesce("records", "n", F.lit(0)).alias("records"))
+    if counted:
+        files.where("known IS NULL AND path IS NOT NULL AND exception IS NULL") \
+            .select("path", "length", "modified", "records").distinct().write.mode("append").parquet(counted)
     return files, root_errors
 
 
-def scan_copies(spark: SparkSession, locations: list[CopyLocation], wanted=None) -> tuple[DataFrame, DataFrame]:
+def scan_copies(spark: SparkSession, locations: list[CopyLocation], wanted=None,
+                counted: str | None = None) -> tuple[DataFrame, DataFrame]:
     """``(stats rows, errors)`` of all copies, one stats row per file.
 
-    A partition with an error row has no stats rows.
+    A partition with an error row has no stats rows. ``counted``: a folder of counts per file that runs share.
     """
-    files, root_errors = copy_files(spark, locations, wanted)
+    files, root_errors = copy_files(spark, locations, wanted, counted)
     keys = ["db", "table", "role", "partition_date"]
     errors = files.where("exception IS NOT NULL").groupBy(*keys).agg(F.min("exception").alias("exception"))
     stats = files.where("path IS NOT NULL").join(errors, keys, "left_anti").select(

@@ -460,3 +460,39 @@ def test_a_store_that_cannot_be_asked_is_an_error_of_its_copy(spark, scratch):
     rows, errors = scan_copies(spark, locs, ["2022-03-01"])
     assert [(e["table"], e["partition_date"]) for e in errors.collect()] == [("t2", "2022-03-01")]
     assert by_date(copy_counts(rows), "records") == {"2022-03-01": (10,)}
+
+
+def test_unchanged_files_are_not_read_again(spark, scratch):
+    """A folder of earlier counts: junk with an old file's length and time passes for it, a newer file of equal length does not."""
+    root, avro = f"{scratch}/src/db1/t1", f"{scratch}/src/db1/t2"
+    write(spark, root)
+    write(spark, avro, fmt="org.apache.spark.sql.avro.AvroFileFormat")
+    locs = [CopyLocation("db1", "t1", "source", root, "ods"), CopyLocation("db1", "t2", "source", avro, "ods", "avro")]
+    counted = f"{scratch}/counts"
+
+    def scan():
+        rows, errors = scan_copies(spark, locs, counted=counted)
+        return ({(r["table"], r["partition_date"]): r["records"] for r in copy_counts(rows).collect()},
+                {(e["table"], e["partition_date"]) for e in errors.collect()})
+
+    first = scan()
+    assert set(first[0].values()) == {10} and len(first[0]) == 6 and first[1] == set()
+    known = spark.read.parquet(counted).count()
+    junked = []
+    for base in (root, avro):
+        for f in sorted(os.listdir(f"{base}/ods=2022-03-01")):
+            path = f"{base}/ods=2022-03-01/{f}"
+            if f.startswith("part-"):
+                at = os.stat(path)
+                open(path, "wb").write(b"x" * at.st_size)
+                os.utime(path, ns=(at.st_atime_ns, at.st_mtime_ns))
+                junked.append(path)
+    assert scan() == first and spark.read.parquet(counted).count() == known
+    write(spark, f"{scratch}/more", [(99, "2022-03-02")])
+    extra = next(f for f in os.listdir(f"{scratch}/more/ods=2022-03-02") if f.startswith("part-"))
+    os.rename(f"{scratch}/more/ods=2022-03-02/{extra}", f"{root}/ods=2022-03-02/part-more.orc")
+    for path in junked:
+        os.utime(path, ns=(1, 1))
+    counts, errors = scan()
+    assert counts[("t1", "2022-03-02")] == 11 and errors == {("t1", "2022-03-01"), ("t2", "2022-03-01")}
+    assert ("t1", "2022-03-01") not in counts and spark.read.parquet(counted).count() == known + 1
