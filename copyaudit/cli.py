@@ -22,6 +22,7 @@ control records, so that they also survive without a persistent catalog.
 
 from __future__ import annotations
 
+import hashlib
 import sys
 
 from pyspark.sql import SparkSession
@@ -86,7 +87,7 @@ def three_way(spark: SparkSession, args: list[str]) -> int:
 
 
 def register(spark: SparkSession, args: list[str]) -> int:
-    from copyaudit.plans.registration import apply_statements, registration_failures, split_statements
+    from copyaudit.plans.registration import OutcomeLog, apply_statements, registration_failures, split_statements
     from copyaudit.sinks.files import write_failures
     problems = _check(spark, REGISTER_ARGUMENTS, args, ["statements", "status_dir"])
     if problems:
@@ -94,12 +95,15 @@ def register(spark: SparkSession, args: list[str]) -> int:
         return 1
     a = dict(zip(REGISTER_ARGUMENTS, args))
     batches = spark.createDataFrame([(a["partition"], a["statements"])], "batch_id string, batch string")
-    outcomes = apply_statements(spark, split_statements(batches))
+    # the log of a batch lasts until its failures are written: a killed batch that is started again goes on where it stopped
+    log = f"{a['status_dir'].rstrip('/')}/_registration/{hashlib.sha256(repr(args).encode()).hexdigest()[:16]}"
+    outcomes = apply_statements(spark, split_statements(batches), log=log)
     failures = registration_failures(outcomes, a["src_system"], a["country"], a["status_dir"], a["partition"])
     failures = failures.checkpoint(eager=True)
     if failures.count():
         write_failures(failures, a["status_dir"], name_col="failure_file")
     print({r["outcome"]: r["n"] for r in outcomes.groupBy("outcome").agg(F.count(F.lit(1)).alias("n")).collect()})
+    OutcomeLog(spark, log).remove()
     return 0           # as the original job: failures are reported in files, the run succeeds
 
 

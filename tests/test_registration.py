@@ -48,14 +48,70 @@ def test_chunked_registration_keeps_exact_outcomes(spark, scratch):
     assert parts == [f"d={i}" for i in (0, 1, 2, 3, 4, 5, 6, 8)]
 
 
-def test_outcomes_spill_in_chunks(spark, scratch):
+def tables_and_batch(spark, scratch, names, n=7):
     spark.sql("CREATE DATABASE IF NOT EXISTS reg_test")
-    spark.sql("DROP TABLE IF EXISTS reg_test.s")
-    spark.sql(f"CREATE TABLE reg_test.s (v BIGINT, d STRING) USING orc PARTITIONED BY (d) LOCATION '{scratch}/s'")
-    batch = "[" + ",\n".join(f"ALTER TABLE reg_test.s ADD PARTITION (d='{i}')" for i in range(7)) + ";]"
-    batches = spark.createDataFrame([("b1", batch)], "batch_id string, batch string")
-    out = apply_statements(spark, split_statements(batches), chunk_size=2, spill_rows=3)
-    assert sorted((r["ordinal"], r["outcome"]) for r in out.collect()) == [(i, "ok") for i in range(7)]
+    stmts = []
+    for t in names:
+        spark.sql(f"DROP TABLE IF EXISTS reg_test.{t}")
+        spark.sql(f"CREATE TABLE reg_test.{t} (v BIGINT, d STRING) USING orc PARTITIONED BY (d) LOCATION '{scratch}/{t}'")
+    for i in range(n):
+        stmts += [f"ALTER TABLE reg_test.{t} ADD PARTITION (d='{i % (n - 1)}')" for t in names]     # the last one repeats
+    batch = "[" + ",\n".join(stmts) + ";]"
+    return split_statements(spark.createDataFrame([("b1", batch)], "batch_id string, batch string"))
+
+
+def parts_of(spark, names):
+    return {t: sorted(r[0] for r in spark.sql(f"SHOW PARTITIONS reg_test.{t}").collect()) for t in names}
+
+
+def test_lanes_give_the_outcomes_of_a_serial_run(spark, scratch):
+    names, seen = ["l1", "l2", "l3", "l4", "l5"], []
+    for lanes, size in ((1, 1), (3, 2), (8, 100)):
+        stmts = tables_and_batch(spark, f"{scratch}/{lanes}", names)
+        out = apply_statements(spark, stmts, chunk_size=size, lanes=lanes)
+        seen.append(([(r["ordinal"], r["outcome"]) for r in out.orderBy("ordinal").collect()], parts_of(spark, names)))
+    assert seen[0] == seen[1] == seen[2]
+    assert [o for _, o in seen[0][0]] == ["ok"] * 30 + ["failed"] * 5
+
+
+def test_a_killed_batch_resumes_without_repeating(spark, scratch, monkeypatch):
+    import pytest
+    from copyaudit.plans import registration
+    names = ["k1", "k2", "k3"]
+    stmts = tables_and_batch(spark, scratch, names)
+
+    class Killed(BaseException):
+        pass
+
+    for cut in ("before the call", "after the call"):
+        real, calls = registration.Lane.run_group, []
+
+        def run_group(self, group, real=real, calls=calls, cut=cut):
+            calls.append(group)
+            if len(calls) != 3:
+                return real(self, group)
+            if cut == "after the call":
+                real(self, group)
+            raise Killed
+
+        stmts = tables_and_batch(spark, f"{scratch}/{cut[:2]}", names)
+        log = f"{scratch}/log-{cut[:2]}"
+        monkeypatch.setattr(registration.Lane, "run_group", run_group)
+        with pytest.raises(Killed):
+            apply_statements(spark, stmts, chunk_size=2, lanes=1, log=log)
+        monkeypatch.setattr(registration.Lane, "run_group", real)
+        finished = {(r["ordinal"], r["outcome"]) for r in registration.OutcomeLog(spark, log).read("done").collect()}
+        assert 0 < len(finished) < 21
+        sent = []
+        monkeypatch.setattr(registration.Lane, "run_one", lambda self, row, f=registration.Lane.run_one: sent.append(row["ordinal"]) or f(self, row))
+        out = apply_statements(spark, stmts, chunk_size=1, lanes=2, log=log)
+        monkeypatch.undo()
+        got = {(r["ordinal"], r["outcome"]) for r in out.collect()}
+        assert got == {(i, "ok" if i < 18 else "failed") for i in range(21)} and finished < got
+        assert not {i for i, _ in finished} & set(sent) and len(sent) == 21 - len(finished)
+        assert parts_of(spark, names) == {t: [f"d={i}" for i in range(6)] for t in names}
+        again = apply_statements(spark, stmts, log=log)
+        assert again.count() == 21                                       # nothing left to do, the same outcomes
 
 
 def test_outcomes_equal_a_one_by_one_run(spark, scratch):
