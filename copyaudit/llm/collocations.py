@@ -1,7 +1,7 @@
 """Phrase collocations counted in HAT-tries.
 
-1. Words are counted per language. Every word gets a 64-bit hash of its language and itself; the salt of the hash is one
-   that gives all words of the corpus different values, so the hashes are exact names.
+1. Words are counted per language. Every word gets a hash of its language and itself; its salt and width (48 bits if they
+   do, else 64) are such that all words of the corpus get different values, so the hashes are exact names.
 2. Each task walks the whole texts. At each word the window of up to four words that follow within its piece goes into a
    trie: a shallow trie over word numbers whose leaves are hash containers of the rest of the window; a container that
    grows too large bursts into a node with smaller containers. A window counts all phrases that begin it, so a phrase's
@@ -43,11 +43,12 @@ COVER = 80               # per cent of a phrase's occurrences that lie in a long
 UNKNOWN = "und"
 BITS = 21
 BURST = 1 << 15          # entries of a container
-ENTRIES = 700_000        # entries of a task's tries
+ENTRIES = 500_000        # entries of a task's tries
 WORDS = 400_000          # words a task numbers; below 2 ** BITS
 TABLE_BITS = 25          # bits, as a power of two, of the table of frequent words
 HOT = 4                  # a word is hot with one in HOT * partitions of all words
 HASH_SEED = 42
+WIDTHS = (48, 48, 64)    # bits of a word's name, tried one after the other; the last one with ever new salts
 
 # A piece ends at . , ; : ! ? and line breaks; words are between spaces and tabs.
 PIECE_BYTES = byte_table({b: 10 for b in b".,;:!?\n\x0b\x0c\r"} | {9: 32} | LOWER)
@@ -169,12 +170,13 @@ def node_size(node: Counter | HatTrie) -> int:
 class Frequent(dict):
     """Numbers a language's words whose bit is set in the table; 0 for the others. ``hashes[number]`` names the word."""
 
-    def __init__(self, lang: str, salt: str, bits: np.ndarray):
+    def __init__(self, lang: str, salt: str, width: int, bits: np.ndarray):
         self.seed, self.salt, self.bits = xxhash.xxh64_intdigest(lang, HASH_SEED), salt.encode(), bits
+        self.mask = (1 << width) - 1
         self.hashes = [0]
 
     def __missing__(self, word: bytes) -> int:
-        name = xxhash.xxh64_intdigest(self.salt + word, self.seed)
+        name = xxhash.xxh64_intdigest(self.salt + word, self.seed) & self.mask
         at = name & ((1 << TABLE_BITS) - 1)
         known = self.bits[at >> 6] >> np.uint64(at & 63) & np.uint64(1)
         if known:
@@ -188,8 +190,8 @@ class Frequent(dict):
 class Windows:
     """One language's words and trie in a task."""
 
-    def __init__(self, lang: str, salt: str, bits: np.ndarray):
-        self.words = Frequent(lang, salt, bits)
+    def __init__(self, lang: str, salt: str, width: int, bits: np.ndarray):
+        self.words = Frequent(lang, salt, width, bits)
         self.trie = HatTrie()
 
     def add(self, texts: pa.Array) -> None:
@@ -225,18 +227,17 @@ def spilled(taken: list[list[np.ndarray]], partitions: int, hot: np.ndarray) ->
     order = np.lexsort((signed[1], signed[0], part))
     for rows in np.split(order, np.flatnonzero(np.diff(part[order])) + 1):
         if len(rows):
-            run = pa.table({c: x[rows] for c, x in zip(NAMES, signed, strict=True)} | {"n": n[rows]})
-            yield int(part[rows[0]]), encode_run(run, NAMES)
+            yield int(part[rows[0]]), encode_run(pa.table({c: x[rows] for c, x in zip(NAMES, signed, strict=True)} | {"n": n[rows]}))
 
 
-NAMES = tuple(f"h{k + 1}" for k in range(LONGEST))
+NAMES = [f"h{k + 1}" for k in range(LONGEST)]
 
 
 def is_hot(h: list[np.ndarray], hot: np.ndarray) -> np.ndarray:
     return np.isin(h[0], hot) & np.isin(h[1], hot)
 
 
-def spilled_runs(texts: DataFrame, salt: str, bits, hot, partitions: int) -> DataFrame:
+def spilled_runs(texts: DataFrame, salt: str, width: int, bits, hot, partitions: int) -> DataFrame:
     """``bits``, ``hot``: broadcast arrays."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lane = TaskContext.get().partitionId()
@@ -250,7 +251,7 @@ def spilled_runs(texts: DataFrame, salt: str, bits, hot, partitions: int) -> Dat
         for batch in batches:
             for lang, part in lang_slices(batch):
                 if lang not in found:
-                    found[lang] = Windows(lang, salt, bits.value)
+                    found[lang] = Windows(lang, salt, width, bits.value)
                 windows = found[lang]
                 windows.add(part)
                 if sum(w.trie.size for w in found.values()) > ENTRIES:
@@ -299,12 +300,14 @@ def counted_phrases(runs: DataFrame, hot, least: int) -> DataFrame:
     return found.where("whole").drop("whole").unionByName(parts)
 
 
-def named(words: DataFrame) -> tuple[DataFrame, str]:
-    """The words with ``h``, their different names, and the salt of the names."""
-    for salt in map(str, numbers_from()):
-        out = words.withColumn("h", F.xxhash64("lang", F.concat(F.lit(salt), "word")))
+def named(words: DataFrame) -> tuple[DataFrame, str, int]:
+    """The words with ``h``, their different names, and the salt and width of the names."""
+    for attempt in numbers_from():
+        salt, width = str(attempt), WIDTHS[min(attempt, len(WIDTHS) - 1)]
+        name = F.xxhash64("lang", F.concat(F.lit(salt), "word"))
+        out = words.withColumn("h", name if width == 64 else name.bitwiseAND(F.lit((1 << width) - 1)))
         if out.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR h = 0").isEmpty():
-            return out, salt
+            return out, salt, width
 
 
 def shifted(first: int, size: int) -> list:
@@ -326,7 +329,7 @@ def phrase_scores(phrases: DataFrame, words: DataFrame, cover: int) -> DataFrame
                 rows = sized.where(F.col("size") == size).select(*keyed(shifted(first, part), "h"), "a")
                 inner = rows if inner is None else inner.unionByName(rows)
     longer = inner.groupBy(*NAMES).agg(F.max("a").alias("longer"))
-    left = sized.join(longer, list(NAMES), "left").where(F.col("longer").isNull() | (F.col("longer") * 100 < F.col("a") * cover))
+    left = sized.join(longer, NAMES, "left").where(F.col("longer").isNull() | (F.col("longer") * 100 < F.col("a") * cover))
 
     zero = F.lit(0).cast("long")
     known = phrases.unionByName(words.select(F.col("h").alias("h1"), *(zero.alias(c) for c in NAMES[1:]), F.col("f").alias("a")))
@@ -354,19 +357,19 @@ def collocations(documents: DataFrame, least: int = LEAST, top: int = TOP, cover
     tasks = texts.rdd.getNumPartitions()
     if partitions is None:                                       # one holds about as much as an input partition
         partitions = max(tasks, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    words, salt = named(kept(word_counts(texts)))
+    words, salt, width = named(kept(word_counts(texts)))
     often = words.where(F.col("f") >= least)
     all_n = words.groupBy("lang").agg(F.sum("f").alias("n"))
 
     # both have a fixed size: 2 ** TABLE_BITS bits, and at most HOT * partitions words
-    slots = often.groupBy((F.col("h").bitwiseAND((1 << TABLE_BITS) - 1) / 64).cast("int").alias("at"))         .agg(F.bit_or(F.expr("shiftleft(1L, cast(h & 63 AS int))")).alias("bits")).toPandas()
+    slots = often.groupBy(F.shiftright(F.col("h").bitwiseAND(F.lit((1 << TABLE_BITS) - 1)), 6).cast("int").alias("at"))         .agg(F.bit_or(F.expr("shiftleft(1L, cast(h & 63 AS int))")).alias("bits")).toPandas()
     table_bits = np.zeros(1 << TABLE_BITS - 6, np.uint64)
     table_bits[slots["at"].to_numpy(np.int64)] = slots["bits"].to_numpy(np.int64).view(np.uint64)
     total = words.agg(F.sum("f")).first()[0] or 0
     hot = np.array([r.h for r in often.where(F.col("f") * (HOT * partitions) >= total).select("h").collect()], np.int64)
     hot = spark.sparkContext.broadcast(hot.view(np.uint64))
 
-    runs = merged_lanes(spilled_runs(texts, salt, spark.sparkContext.broadcast(table_bits), hot, partitions), tasks, list(NAMES), NAMES)
+    runs = merged_lanes(spilled_runs(texts, salt, width, spark.sparkContext.broadcast(table_bits), hot, partitions), tasks, NAMES)
     phrases = counted_phrases(runs, hot, least)
     scored = phrase_scores(phrases, often, cover)
     # the best by score and frequency get their words; ties at the last rank are all kept until the bytes decide

@@ -71,7 +71,7 @@ def test_small_tries_spill_often(monkeypatch):
     bits = np.full(1 << c.TABLE_BITS - 6, 0xFFFFFFFFFFFFFFFF, np.uint64)
     rng = random.Random(3)
     texts = [" ".join(rng.choices("abcde", k=rng.randint(0, 30))).replace("e", "e.").encode() for _ in range(60)]
-    windows, runs, want = c.Windows("en", "0", bits), [], Counter()
+    windows, runs, want = c.Windows("en", "0", 64, bits), [], Counter()
     for i, t in enumerate(texts):
         windows.add(pa.array([t], pa.binary()))
         for piece in t.decode().split("."):
@@ -100,5 +100,5 @@ def test_names_with_a_collision_get_another_salt(spark, monkeypatch):
         return real(salt) if len(salts) == 1 else real(salt, word)       # the first salt gives all words one name
 
     monkeypatch.setattr(c.F, "concat", colliding)
-    out, salt = c.named(words)
-    assert salt == "1" and out.select("h").distinct().count() == 2
+    out, salt, width = c.named(words)
+    assert (salt, width) == ("1", 48) and out.select("h").distinct().count() == 2
