@@ -1,10 +1,14 @@
 """Main text of web pages: the maximum-scoring run of words and tags.
 
 A page is read once into a sequence of text nodes and tags. Subtrees that never hold main text (scripts, menus, forms,
-adverts, comments and the like, told by element name or by words in class, id and role) become single marks without a
+adverts, comments and the like, told by element name or by what class, id and role name) become single marks without a
 score. In what remains, words score positive and tags negative; one linear scan finds the contiguous run with the highest sum, and the
 text of that run is the result, block by block.
 
+A page that marks its articles is scanned article by article, and the runs are joined. There a tag weighs next to nothing,
+as the label itself says that what surrounds it is text; the label's own tags weigh nothing anywhere. In pages without
+the mark a tag weighs what was learned, within bounds, so that no tag alone outweighs a sentence.
+
 The weights come from labelled pages: pages with an ``article`` element mark their own main text. Of at most
 ``LABELLED_PAGES`` of them, in hash order, Spark counts tokens inside and outside the label; a token's weight is the log
 ratio of its two frequencies, kept above zero for words and below zero for tags, in units of the weight of a word.
@@ -48,12 +52,19 @@ INLINE = MATH | frozenset("a abbr b bdi bdo big cite code data del dfn em font i
                    "strike strong sub sup time tt u var wbr".split())
 OUTSIDE = frozenset("nav footer aside form menu dialog head fieldset noscript template svg object select button annotation "
                     "annotation-xml".split())
-# Words in a class, id or role that name something other than main text.
+# What a class, id or role names by its last word, as in ``site-footer`` (``share-price`` names a price): other than main text.
 OUTSIDE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent "
     "contentinfo cookie cookies copyright disclaimer disqus footer gdpr masthead menu modal nav navbar navigation "
     "newsletter notice notices notification overlay pager pagination popup promo promotion recommended related reply "
     "respond search share sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget widgets".split())
+# Words after which the word before is the name, as in ``ad-box``.
+GENERAL_WORDS = frozenset(
+    "area areas bar block blocks body bottom box boxes btn button buttons cell col column container content count desktop fixed form "
+    "global group header heading holder icon icons inner item items left link links list lists mobile module outer page pages panel "
+    "post posts primary right root secondary section site slot small space sticky title top unit units wrap wrapper zone".split())
+# Elements that a class never makes other than main text: their names speak of their contents (``language-menu``).
+CONTENTS = frozenset("html body pre code kbd samp blockquote figure figcaption table thead tbody tr td th h1 h2 h3 h4 h5 h6 math".split())
 ARTICLES = frozenset(("article", "main"))
 ROOTS = ARTICLES | {"body"}
 
@@ -72,12 +83,16 @@ class Weights:
 
     word: float = 1.0
     tags: dict[str, float] = field(default_factory=_text_tags)
-    other_tag: float = -2.0
+    other_tag: float = -0.5
+    least: float = -1.0              # bounds of a tag's weight: in a page without articles, and inside an article
+    least_inside: float = -0.02
 
-    def score(self, name: str, text: str) -> float:
+    def score(self, name: str, text: str, inside: int = 0) -> float:
         if not name:
             return self.word * len(text.split())
-        return 0.0 if name == SKIPPED else self.tags.get(name, self.other_tag)
+        if name == SKIPPED or name.lstrip("/") in ARTICLES:
+            return 0.0
+        return max(self.tags.get(name, self.other_tag), self.least_inside if inside else self.least)
 
 
 def _outside(name: str, in_article: bool) -> bool:
@@ -86,14 +101,22 @@ def _outside(name: str, in_article: bool) -> bool:
 
 def _named_outside(name: str, attrs: str, in_article: bool) -> bool:
     """Whether a word in class, id or role names something other than main text."""
-    if not attrs or name in ("html", "body"):
+    if not attrs or name in CONTENTS:
         return False
-    names = {word.lower() for _, value in MARKS.findall(attrs) for word in NAME_WORD.findall(value)}
-    return not names.isdisjoint(OUTSIDE_WORDS) or (not in_article and "header" in names)
+    for _, value in MARKS.findall(attrs):
+        for mark in value.strip("\"'").split():
+            words = [w.lower() for w in NAME_WORD.findall(mark)]
+            if not in_article and words and words[-1] == "header":
+                return True
+            while len(words) > 1 and words[-1] in GENERAL_WORDS:
+                words.pop()
+            if words and words[-1] in OUTSIDE_WORDS:
+                return True
+    return False
 
 
-def page_tokens(html: str) -> list[tuple[str, str, bool]]:
-    """The sequence ``(tag name or "", text, inside an article)``; closing names start with a slash.
+def page_tokens(html: str) -> list[tuple[str, str, int]]:
+    """The sequence ``(tag name or "", text, number of the article it is in or 0)``; closing names start with a slash.
 
     Tags of skipped subtrees are left out, their text is marked ``SKIPPED``. Words in class, id and role skip no ``article``
     or ``main`` by themselves, and no element that holds most of the page's words, unless the page's article is elsewhere.
@@ -108,14 +131,15 @@ def page_tokens(html: str) -> list[tuple[str, str, bool]]:
         spared |= largest
 
 
-def _read(html: str, spared: set[int]) -> tuple[list[tuple[str, str, bool]], dict[int, tuple[int, bool]], bool]:
+def _read(html: str, spared: set[int]) -> tuple[list[tuple[str, str, int]], dict[int, tuple[int, bool]], bool]:
     """The tokens; words and being inside an article of each subtree skipped for its names; whether an article has words."""
-    tokens: list[tuple[str, str, bool]] = []
+    tokens: list[tuple[str, str, int]] = []
     stack: list[tuple[str, bool]] = []                          # open elements; whether each is outside main text
     by_name: dict[int, tuple[int, bool]] = {}
     skipper = -1                                                # place of the outermost skipped element, if skipped by name
     labelled = False
     outside = articles = 0
+    number = 0                                                  # of the outermost article
     at = 0
 
     def drop(to: int) -> None:
@@ -129,7 +153,7 @@ def _read(html: str, spared: set[int]) -> tuple[list[tuple[str, str, bool]], dic
         nonlocal labelled
         if upto > at:
             words = unescape(html[at:upto])
-            tokens.append((SKIPPED if outside else "", words, articles > 0 and not outside))
+            tokens.append((SKIPPED if outside else "", words, number if articles > 0 and not outside else 0))
             if outside and skipper >= 0:
                 count, in_article = by_name[skipper]
                 by_name[skipper] = count + len(words.split()), in_article
@@ -142,7 +166,7 @@ def _read(html: str, spared: set[int]) -> tuple[list[tuple[str, str, bool]], dic
         name = (m["name"] or m["loose"] or "").lower()
         if not name:
             if m["raw"]:
-                tokens.append((SKIPPED, "", False))
+                tokens.append((SKIPPED, "", 0))
             continue
         attrs = m["attrs"] or ""
         if m["close"] or m[0].startswith("</"):
@@ -151,7 +175,7 @@ def _read(html: str, spared: set[int]) -> tuple[list[tuple[str, str, bool]], dic
             if depth >= 0:
                 drop(depth)
             if not skipped:
-                tokens.append(("/" + name, "", articles > 0))
+                tokens.append(("/" + name, "", number if articles > 0 else 0))
             continue
         named = m.start() not in spared and _named_outside(name, attrs, articles > 0)
         if name in ARTICLES:
@@ -159,7 +183,9 @@ def _read(html: str, spared: set[int]) -> tuple[list[tuple[str, str, bool]], dic
         out = named or _outside(name, articles > 0)
         if name in ROOTS and not out and not articles:
             drop(0)                                             # what was left open before does not hold the article
-        tokens.append((SKIPPED, "", False) if outside or out else (name, "", articles > 0))
+        if name in ARTICLES and not articles and not outside and not out:
+            number += 1
+        tokens.append((SKIPPED, "", 0) if outside or out else (name, "", number if articles > 0 else 0))
         if name not in VOID and not attrs.rstrip().endswith("/"):
             if out and not outside:
                 skipper = m.start() if named and not _outside(name, articles > 0) else -1
@@ -194,7 +220,7 @@ def weights_from(counts: dict[str, tuple[int, int]]) -> Weights:
         return log((a + 0.5) / (inside + 1)) - log((b + 0.5) / (outside + 1))
 
     word = max(ratio(""), 0.1)
-    return Weights(1.0, _text_tags() | {t: min(ratio(t), -0.01) / word for t in counts if t})
+    return Weights(1.0, _text_tags() | {t: min(ratio(t), -0.01) / word for t in counts if t and t.lstrip("/") not in ARTICLES})
 
 
 def best_run(scores: list[float]) -> tuple[int, int]:
@@ -211,9 +237,14 @@ def best_run(scores: list[float]) -> tuple[int, int]:
 
 def main_text(html: str | None, weights: Weights) -> str:
     tokens = page_tokens(html or "")
-    start, end = best_run([weights.score(name, text) for name, text, _ in tokens])
+    numbers = {number for name, text, number in tokens if number and not name and text.strip()}
+    regions = [[t for t in tokens if t[2] == k or t[0] == SKIPPED] for k in sorted(numbers)] or [tokens]
+    runs = []
+    for region in regions:
+        start, end = best_run([weights.score(*t) for t in region])
+        runs += [*region[start:end], ("article", "", 0)]        # a block ends with its article
     blocks, parts = [], []
-    for name, text, _ in tokens[start:end]:
+    for name, text, _ in runs:
         if not name:
             parts.append(text)
         elif name.lstrip("/") not in INLINE:

@@ -34,7 +34,7 @@ def test_a_page_with_everything_around():
 def test_learned_weights(spark):
     weights = q.learned_weights(spark.read.parquet(f"{SF}/pages.parquet"))
     assert weights.word > 0 and all(w < 0 for w in weights.tags.values())
-    assert weights.tags["article"] < weights.tags["p"]
+    assert not {"article", "/article"} & set(weights.tags) and weights.score("article", "") == 0
 
 
 def test_without_an_article_the_words_decide():
@@ -80,3 +80,46 @@ def test_pages_are_not_cut_short():
             (f'<article><div class="text share-on">{long}</div><p>and the very end</p></article>', words + " and the very end"),
             (f'<article>{long}</article><div id="comments"><article class="comment">{long * 3}</article></div>', words)]:
         assert q.main_text(page, q.Weights()) == text
+
+
+PARTS = [('<h1>A short title</h1>', "A short title"), ('<div class="byline"><span>By</span> <a href="/x">Ann Other</a></div>', "By Ann Other"),
+         ('<div>One paragraph in a div.</div>', "One paragraph in a div."), ('<p class="share-price">Shares rose by 3.</p>', "Shares rose by 3."),
+         ('<section class="related-work"><h2>Related work</h2><div><div>Others did it.</div></div></section>', "Related work Others did it."),
+         ('<pre class="language-menu">menu: a\nb</pre>', "menu: a b"), ('<details><summary>More</summary>Hidden text.</details>', "More Hidden text."),
+         ('<table class="ad-rates"><tr><th>Rate</th><td>4</td></tr></table>', "Rate 4"), ('<blockquote class="comment">Quote.</blockquote>', "Quote."),
+         ('<figure><img src="x"><figcaption>A caption</figcaption></figure>', "A caption"), ('<center><font>Old markup</font></center>', "Old markup"),
+         ('<dl><dt>Term</dt><dd>Meaning</dd></dl>', "Term Meaning"), ('<address>End street 1</address>', "End street 1"),
+         ('<section><div><div><div><p>Deep.</p></div></div></div></section>', "Deep."), ('<hgroup><h2>Sub</h2></hgroup>', "Sub"),
+         ('<p>Plain <b>bold</b><em>er</em> text.</p>', "Plain bolder text."), ('<ul class="links-to-come"><li>x</li><li>y</li></ul>', "x y"),
+         ('<div class="navigator">Navigator class.</div>', "Navigator class."), ('<time>2020</time>', "2020"), ('<main-text>Custom.</main-text>', "Custom.")]
+JUNK = ['<div class="ad">buy this now and here</div>', '<aside>an aside</aside>', '<ul class="share-buttons"><li>tweet</li></ul>',
+        '<div id="comments"><article class="comment"><p>nice one, really nice one</p></article></div>', '<form>mail<input></form>',
+        '<div class="newsletter-signup box">sign up</div>', '<script>var x = "<p>";</script>', '<nav>a b c</nav>', '<div class="cookieBanner">ok</div>']
+
+
+def test_articles_of_many_shapes_come_out_whole(spark):
+    weights = q.learned_weights(spark.read.parquet(f"{SF}/pages.parquet"))
+    rng = random.Random(8)
+    for w in (weights, q.Weights()):
+        for one in PARTS:                                                 # first, last and alone
+            long = ("<p>" + "words of text " * 20 + "</p>", " ".join(["words of text"] * 20))
+            for parts in ([one], [one, long], [long, one], [long, one, long]):
+                page = f"<body><div>Site</div><article>{''.join(h for h, _ in parts)}</article><div>Foot <a>x</a></div></body>"
+                assert q.main_text(page, w) == " ".join(t for _, t in parts), page
+        for _ in range(60):
+            page, expected = "<html><body><header>Site name</header><nav>home</nav>", []
+            for _ in range(rng.choice([1, 1, 2, 3])):
+                page += "<div><div>" + rng.choice(JUNK) + "<article class='post'>"
+                for html_part, text in rng.sample(PARTS, rng.randint(1, 7)):
+                    page += html_part + (rng.choice(JUNK) if rng.random() < 0.4 else "")
+                    expected.append(text)
+                page += "</article></div></div>" + rng.choice(JUNK)
+            assert q.main_text(page + "<footer>foot</footer></body></html>", w) == " ".join(expected), page
+
+
+def test_pages_without_the_mark_keep_their_paragraphs(spark):
+    weights = q.learned_weights(spark.read.parquet(f"{SF}/pages.parquet"))
+    body = "".join(f"<div><p>{'some words of a text ' * 8}</p></div><div>And a line of words in a div as well.</div>" for _ in range(4))
+    text = " ".join([" ".join(["some words of a text"] * 8) + " And a line of words in a div as well."] * 4)
+    page = f'<body><div class="site-header">Name</div><div id="top-nav"><a>x</a></div><div class="content">{body}</div><footer>f</footer></body>'
+    assert q.main_text(page, weights) == text
