@@ -1,18 +1,19 @@
 """SpotSigs fingerprints: chains of content words that follow common-word anchors, compared by pruned Jaccard.
 
 A spot signature is the hash of an anchor and the ``CHAIN`` content words after it (common words in between are skipped).
-A document's fingerprint is the sorted set of its spot signatures and of the hashes of every word with the ``CHAIN`` words
-after it, by the same rule for texts of every length and number of anchors, so that near copies have near fingerprints.
+Anchors are common words and, for texts with few of them, the words that a hash picks (one in ``PICKED``) and the start of
+the text. A document's fingerprint is the sorted set of its spot signatures, by one rule for texts of every length.
 
 * ``with_neighbours`` pairs every document with the next one by doc_id. Order is found on ids alone (range partitions,
-  numbered, then stitched at their ends); texts move once, and once again to their neighbour. Fingerprints, which would
-  take more room than the texts, are built afterwards and never move.
+  numbered, then stitched at their ends); texts move once; to its neighbour goes a text's fingerprint and the prefix that
+  the neighbour's edit needs.
 * ``near_pairs`` joins fingerprints: sets are partitioned by length so that only sets of the same or the next partition
   can reach the threshold, each set is looked up by its rarest signatures (prefix filter on corpus counts), and the
   Jaccard value is computed only where lengths allow it.
 
-Defined cases: a null text is empty; a text without words has the empty fingerprint, like 1 to another empty one and 0 to
-any other; a null doc_id comes first in order (the least long is read as null); equal rows are one document (each gets the same result row), rows that
+Defined cases: a null text is empty; in a text without letters and digits the runs between white space are its words, and in
+one without content words every word is one, so only texts of white space have the empty fingerprint, like 1 to another
+empty one and 0 to any other; a null doc_id comes first in order (the least long is read as null); equal rows are one document (each gets the same result row), rows that
 share a doc_id follow each other by the hash of their text; a single document is its own neighbour; other columns are
 ignored; an empty table gives no rows.
 """
@@ -24,7 +25,7 @@ from math import log
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from copyaudit.llm.common import kept, let, table
+from copyaudit.llm.common import GAP, kept, let, table
 
 # Anchors and the other common words that chains skip, in English, French, German and Spanish.
 ANCHORS = ("the of and to in is that for it with as was on be at by this from are or an "
@@ -38,39 +39,38 @@ COMMON = sorted({*ANCHORS, *(
     "sie er ich wir wird sind war hat aus bei nach wie einer um am haben nur oder aber vor zur bis mehr durch man noch "
     "sus como más pero le ya o este sí porque esta entre cuando muy sin sobre también me hasta hay donde").split()})
 CHAIN = 2
+PICKED = 4
 THRESHOLD = 0.8
 
 
 def _tokens(text: Column) -> Column:
-    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    def some(separator):
+        return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), separator), lambda w: w != "")
+
+    return let(some(r"[^\p{L}\p{N}]+"), lambda words: F.when(F.size(words) > 0, words).otherwise(some(GAP)))
 
 
 def _chains(words: Column) -> Column:
     """Hashes of the chains that follow anchors, repeated ones too."""
-    content = F.filter(F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("i"))),
-                       lambda x: ~x["w"].isin(*COMMON))
+    numbered = F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("i")))
+    content = let(F.filter(numbered, lambda x: ~x["w"].isin(*COMMON)), lambda c: F.when(F.size(c) > 0, c).otherwise(numbered))
 
     def following(c):
         """Per content word: the hash of the word before it and of the chain it starts."""
         return F.transform(c, lambda x, j: F.struct(
-            F.get(words, x["i"] - 1).alias("anchor"),
+            F.when(j > 0, F.get(words, x["i"] - 1)).alias("anchor"),
             F.hash(F.get(words, x["i"] - 1), x["w"], *[F.get(c, j + k)["w"] for k in range(1, CHAIN)]).alias("h")))
 
-    return let(content, lambda c: F.transform(F.filter(following(c), lambda s: s["anchor"].isin(*ANCHORS)), lambda s: s["h"]))
-
+    def anchored(s):
+        """After the start of the text, a common word or a picked one."""
+        return s["anchor"].isNull() | s["anchor"].isin(*ANCHORS) | (F.pmod(F.xxhash64(s["anchor"]), F.lit(PICKED)) == 0)
 
-def signatures(text: Column) -> Column:
-    """The sorted set of a text's spot signatures (array<int>)."""
-    return F.sort_array(F.array_distinct(let(_tokens(text), _chains)))
+    return let(content, lambda c: F.transform(F.filter(following(c), anchored), lambda s: s["h"]))
 
 
 def fingerprint(text: Column) -> Column:
-    """The sorted set of a text's spot signatures and of its word sequences of ``CHAIN + 1`` (array<int>)."""
-    def both(words):
-        every = F.transform(words, lambda w, i: F.hash(w, *[F.get(words, i + k) for k in range(1, CHAIN + 1)]))
-        return F.array_distinct(F.concat(_chains(words), every))
-
-    return F.sort_array(let(_tokens(text), both))
+    """The sorted set of a text's spot signatures (array<int>)."""
+    return F.sort_array(F.array_distinct(let(_tokens(text), _chains)))
 
 
 def jaccard(a: Column, b: Column, threshold: float = 0.0) -> Column:
@@ -146,14 +146,12 @@ def with_neighbours(documents: DataFrame) -> DataFrame:
                    .groupBy("id", "h", "n_chars").agg(F.count(F.lit(1)).alias("copies")))
     order = kept(neighbours(counted.select("id", "h", "n_chars")))
     moved = own.join(order, ["id", "h"]).select(
-        F.col("prev_id").alias("id"), F.col("prev_h").alias("h"), "need", F.col("text").alias("next_text"))
+        F.col("prev_id").alias("id"), F.col("prev_h").alias("h"), fingerprint(F.col("text")).alias("next_sigs"),
+        F.substring(F.col("text"), F.lit(1), F.col("need")).alias("next_prefix"))
     if counted.where("copies > 1").first():                                 # equal rows send equal texts: keep one
         moved = moved.dropDuplicates(["id", "h"])
     doc_id = F.when(F.col("id") != LEAST_ID, F.col("id")).alias("doc_id")
-    return own.join(moved, ["id", "h"]).select(
-        doc_id, "text", fingerprint(F.col("text")).alias("sigs"),
-        F.substring(F.col("next_text"), F.lit(1), F.col("need")).alias("next_prefix"),
-        fingerprint(F.col("next_text")).alias("next_sigs"))
+    return own.join(moved, ["id", "h"]).select(doc_id, "text", fingerprint(F.col("text")).alias("sigs"), "next_prefix", "next_sigs")
 
 
 def spelled(sigs: Column) -> Column:
