@@ -118,13 +118,15 @@ def q27_multi_table_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 _WRITTEN: dict[tuple, tuple] = {}       # copies already written by this application, per table folder
 
 
-def _written_once(spark: SparkSession, sf_dir: str, kind: str, tables: list, params, layout_of):
+def _written_once(spark: SparkSession, sf_dir: str, kind: str, tables: list, params, layout_of, emptied=None):
     from copyaudit.plans import physical
     key = (spark.sparkContext.applicationId, sf_dir, kind)
     if key not in _WRITTEN:
         parts = recipes.work_items(spark, sf_dir, tables).checkpoint(eager=True)
         layout = layout_of(spark, kind, params)
         physical.write_copies(spark, sf_dir, layout, parts, tables)
+        if emptied:
+            physical.empty_sources(spark, layout, parts, emptied)
         _WRITTEN[key] = layout, parts
     return _WRITTEN[key]
 
@@ -285,6 +287,68 @@ def q14_three_way_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "Status", "state")
 
 
+@query("q29_partition_bytes", """
+SELECT 'sri_open' AS db, 'orders' AS "table", role, strftime(o_orderdate, '%Y-%m') AS partition_date, true AS bytes_match
+FROM orders, (VALUES ('source'), ('target')) r(role)
+WHERE role = 'source' OR (strftime(o_orderdate, '%Y-%m') <> '1998-03'
+  AND NOT (month(o_orderdate) IN (2, 7) AND o_orderkey % 5 = 0)) GROUP BY ALL
+UNION ALL
+SELECT 'storage', 'events', role, strftime(ts, '%Y-%m-%d'), true
+FROM events, (VALUES ('source'), ('target')) r(role)
+WHERE role = 'source' OR NOT (day(ts) % 10 = 0 AND event_id % 3 = 0) GROUP BY ALL""")
+def q29_partition_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and files of every written partition, as Spark's own file reader has them."""
+    from copyaudit.operators.worklist import copy_locations, two_way_work_list
+    from copyaudit.sources.copies import copy_files
+    layout, parts = _physical_two_way(spark, sf_dir)
+    work = two_way_work_list(spark, layout.two_way, parts)
+    locs = [loc for loc in copy_locations(work.tables, ["source", "target"])
+            if (loc.db, loc.table) in (("sri_open", "orders"), ("storage", "events"))]
+    files, _ = copy_files(spark, locs)
+    seen = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load([loc.root for loc in locs]) \
+        .select(F.regexp_replace("path", "^file:/+", "file:/").alias("path"), F.col("length").alias("read_length"))
+    keys = ["db", "table", "role", "partition_date"]
+    return files.where("path IS NOT NULL").join(seen, "path", "full").groupBy(*keys).agg(
+        ((F.sum("length") == F.sum("read_length")) & (F.count("length") == F.count("read_length")) & (F.min("length") > 0))
+        .alias("bytes_match"))
+
+
+EMPTIED = {"04": False, "06": True}      # months whose source directories are emptied; whether ``_SUCCESS`` stays
+
+
+@query("q30_emptied_source", O.with_both("""
+SELECT 'two_way' AS audit, db AS SchemaName, tbl AS TableName, pd AS partition_date,
+       CASE WHEN state = 'source_missing' THEN 'Done'
+            WHEN state <> 'compared' OR substr(pd, 6, 2) IN ('04', '06') THEN 'failure'
+            WHEN src_rec = tgt_rec THEN 'Done' ELSE 'Failed' END AS outcome,
+       state = 'source_missing' OR (state = 'compared' AND substr(pd, 6, 2) NOT IN ('04', '06')) AS control
+FROM two_rows WHERE tbl = 'orders'
+UNION ALL
+SELECT 'three_way', db, tbl, pd,
+       CASE WHEN state = 'source_missing' THEN 'Done'
+            WHEN state <> 'compared' OR substr(pd, 6, 2) IN ('04', '06') THEN 'failure' ELSE status END,
+       state = 'compared' AND substr(pd, 6, 2) NOT IN ('04', '06')
+FROM three_verdict WHERE tbl = 'orders'"""))
+def q30_emptied_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Source directories that are there without data give failures, never ``Done`` and never a control record."""
+    from copyaudit.plans import physical
+    out = []
+    for audit, kind, params, layout_of in (
+            (audit_two_way, "two_way", two_way_params("orders", "sri_open"), physical.two_way_layout),
+            (audit_three_way, "three_way", three_way_params(), physical.three_way_layout)):
+        if kind == "three_way":
+            params.databases, params.tables = "sri_open", "orders|p"
+        layout, parts = _written_once(spark, sf_dir, f"{kind}-emptied", [recipes.ORDERS], params, layout_of, EMPTIED)
+        done = audit(spark, layout.two_way or layout.three_way, parts)
+        keys = ["db", "table", "partition_date"]
+        controls = done.controls.select(*keys, F.lit(True).alias("control"))
+        outcome = F.when(F.col("state").isin("compared", "source_missing"), F.col("Status")).otherwise(F.lit("failure"))
+        out.append(done.verdicts.join(controls, keys, "left").select(
+            F.lit(kind).alias("audit"), F.col("db").alias("SchemaName"), F.col("table").alias("TableName"), "partition_date",
+            outcome.alias("outcome"), F.coalesce("control", F.lit(False)).alias("control")))
+    return out[0].unionByName(out[1])
+
+
 @query("q15_plain_verdict", O.with_three_way("""
 SELECT db AS SchemaName, tbl AS TableName, pd AS partition_date,
        status AS status_source_target, literal_status AS status_literal

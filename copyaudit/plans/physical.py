@@ -75,3 +75,19 @@ def add_empty_files(spark: SparkSession, loc: CopyLocation, month: str) -> None:
     for d in partition_dirs(spark, [loc])[0].where(F.substr("partition_date", F.lit(6), F.lit(2)) == month).toLocalIterator():
         path = Path(f"{d.dir}/part-empty.{loc.fmt}")
         path.getFileSystem(conf).create(path, True).close()
+
+
+def empty_sources(spark: SparkSession, layout: Layout, partitions, months: dict[str, bool]) -> None:
+    """Takes the data out of the source directories of some months; ``True``: their ``_SUCCESS`` stays."""
+    work = two_way_work_list(spark, layout.two_way, partitions) if layout.two_way else \
+        three_way_work_list(spark, layout.three_way, partitions)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for d in partition_dirs(spark, copy_locations(work.tables, ["source"]))[0].collect():
+        month = d.partition_date[5:7]
+        if month in months:
+            store = Path(d.dir).getFileSystem(conf)
+            store.delete(Path(d.dir), True)
+            store.mkdirs(Path(d.dir))
+            if months[month]:
+                store.create(Path(f"{d.dir}/_SUCCESS"), True).close()
