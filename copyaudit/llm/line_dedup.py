@@ -24,7 +24,7 @@ from copyaudit.llm.common import WORD, components, kept, let, table
 MAX_EDITS = 2
 MIN_CHARS = 24
 # Frequent in the languages at hand, the most frequent first: whether their counts are odd refuses most false candidates.
-LETTERS = " enatirohsdlu.wbcfgmpvyk,é"
+LETTERS = " enatirohsdlu"
 
 
 def taking_part(line: Column, least_chars: int = MIN_CHARS) -> Column:
@@ -42,10 +42,10 @@ def line_rows(documents: DataFrame, least_chars: int = 1) -> DataFrame:
 
 
 def distinct_lines(documents: DataFrame) -> DataFrame:
-    """Rows ``(id, line, letters)``, one per different line long enough for the edit join; ``letters`` as ``with_letters`` gives it."""
+    """Rows ``(id, line)``, one per different line long enough for the edit join."""
     rows = documents.select(F.explode(F.array_distinct(F.split(F.coalesce("text", F.lit("")), "\n"))).alias("line"))
-    named = rows.where(taking_part(F.col("line"))).select(F.xxhash64("line").alias("id"), "line")
-    return with_letters(named).groupBy("id").agg(F.max("line").alias("line"), F.max("letters").alias("letters"))
+    # without an aggregate function the rows are hashed, not sorted
+    return rows.where(taking_part(F.col("line"))).select(F.xxhash64("line").alias("id"), "line").distinct()
 
 
 def with_letters(lines: DataFrame) -> DataFrame:
@@ -67,7 +67,7 @@ def with_letters(lines: DataFrame) -> DataFrame:
 
 
 def _letters_fit(a: Column, b: Column, edits: int) -> Column:
-    return F.bit_count(a.bitwiseXOR(b).bitwiseAND(F.lit(SAME - 1))) <= 2 * edits
+    return F.bit_count(a.bitwiseXOR(b).bitwiseAND(F.lit(LOOKED - 1))) <= 2 * edits
 
 
 def _segments(n: Column, count: int) -> list[tuple[Column, Column]]:
@@ -85,26 +85,24 @@ def _key(n: Column, i: int, line: Column, start: Column, length: Column) -> Colu
     return F.xxhash64(n, F.lit(i), F.substring(line, start, length))
 
 
-def stored_keys(line: Column, n: Column, edits: int) -> Column:
-    return F.array(*[_key(n, i, line, start, length) for i, (start, length) in enumerate(_segments(n, edits + 1))])
-
-
-def looked_up_keys(line: Column, n: Column, letters: Column, edits: int) -> Column:
-    """Structs (key, letters): the substrings that can equal a segment of a line up to ``edits`` shorter.
+def line_keys(line: Column, n: Column, letters: Column, edits: int) -> Column:
+    """Structs (key, letters): the segments of a line, and the substrings that can equal a segment of a line up to ``edits`` shorter.
 
     With d the difference in length, segment i (from 0) can only have moved by i to either side as seen from the left end
-    and by ``edits - i`` as seen from the right end. ``letters`` gets ``SAME`` added where d is 0.
+    and by ``edits - i`` as seen from the right end. ``letters`` tells the kinds apart by ``LOOKED`` (d is 0) or
+    ``SHORTER`` added; a line's own segments stand for its lookups that have not moved, too.
     """
     keys = []
     for d in range(edits + 1):
         for i, (start, length) in enumerate(_segments(n - d, edits + 1)):
             for move in range(max(-i, d - (edits - i)), min(i, d + (edits - i)) + 1):
-                keys.append(F.struct(_key(n - d, i, line, start + move, length).alias("key"),
-                                     (letters if d else letters + SAME).alias("letters")))
+                kind = SHORTER if d else LOOKED if move else 0
+                keys.append(F.struct(_key(n - d, i, line, start + move, length).alias("key"), (letters + kind).alias("letters")))
     return F.array(*keys)
 
 
-SAME = 1 << len(LETTERS)              # marks a lookup among lines of equal length
+LOOKED = 1 << len(LETTERS)            # marks a lookup among lines of equal length
+SHORTER = LOOKED << 1                 # marks a lookup among shorter lines
 
 
 def without_common_ends(a: Column, b: Column) -> Column:
@@ -179,13 +177,13 @@ def banded_distance(a: Column, b: Column, edits: int = MAX_EDITS) -> Column:
 
 def candidate_pairs(lines: DataFrame, edits: int = MAX_EDITS) -> DataFrame:
     """Pairs ``(a, b)`` of ids that share a segment and have fitting letter counts; a below b, each pair once."""
-    measured = lines.withColumn("n", F.length("line"))
-    line, n = F.col("line"), F.col("n")
-    stored = measured.select(F.col("id").alias("b"), F.col("letters").alias("letters_b"),
-                             F.explode(stored_keys(line, n, edits)).alias("key"))
-    looked = measured.select(F.col("id").alias("a"), F.explode(looked_up_keys(line, n, F.col("letters"), edits)).alias("p")) \
-        .select("a", F.col("p.letters").alias("letters_a"), "p.key")
-    possible = ((F.col("letters_a") < SAME) | (F.col("a") < F.col("b"))) & (F.col("a") != F.col("b")) \
+    measured = with_letters(lines).withColumn("n", F.length("line"))
+    keys = measured.select("id", F.explode(line_keys(F.col("line"), F.col("n"), F.col("letters"), edits)).alias("k")) \
+        .select("id", "k.letters", "k.key").repartition("key")
+    # one shuffle serves both sides: the condition that picks the stored segments is one that Spark leaves above it
+    stored = keys.where(F.col("letters") + F.rand() < LOOKED).select(F.col("id").alias("b"), F.col("letters").alias("letters_b"), "key")
+    looked = keys.select(F.col("id").alias("a"), F.col("letters").alias("letters_a"), "key")
+    possible = ((F.col("letters_a") >= SHORTER) | (F.col("a") < F.col("b"))) & (F.col("a") != F.col("b")) \
         & _letters_fit(F.col("letters_a"), F.col("letters_b"), edits)
     return looked.join(stored, "key").where(possible) \
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -195,10 +193,9 @@ def near_lines(lines: DataFrame, edits: int = MAX_EDITS) -> DataFrame:
     """Pairs ``(a, b)``, a below b, of ids of lines (as of ``distinct_lines``) within ``edits`` edits."""
     both = candidate_pairs(lines, edits).select("a", "b", F.explode(F.array("a", "b")).alias("id"))
     # all columns of ``lines`` are used here as for the keys, so that Spark shuffles the lines once and reads that again
-    sides = [F.max(F.when(F.col("id") == F.col(x), F.col(c))).alias(f"{c}_{x}") for x in "ab" for c in ("line", "letters")]
+    sides = [F.max(F.when(F.col("id") == F.col(x), F.col("line"))).alias(f"line_{x}") for x in "ab"]
     texts = both.join(lines, "id").groupBy("a", "b").agg(*sides)
-    return texts.where(_letters_fit(F.col("letters_a"), F.col("letters_b"), edits)
-                       & (banded_distance(F.col("line_a"), F.col("line_b"), edits) <= edits)).select("a", "b")
+    return texts.where(banded_distance(F.col("line_a"), F.col("line_b"), edits) <= edits).select("a", "b")
 
 
 def line_classes(documents: DataFrame, edits: int = MAX_EDITS, least_chars: int = MIN_CHARS) -> DataFrame:
@@ -208,7 +205,7 @@ def line_classes(documents: DataFrame, edits: int = MAX_EDITS, least_chars: int
     named by its first line; ``n_links`` counts the different lines within ``edits`` of this one.
     """
     pairs = kept(near_lines(distinct_lines(documents), edits))
-    rows = line_rows(documents, least_chars)
+    rows = kept(line_rows(documents, least_chars))
     first = rows.groupBy("id").agg(F.min(F.struct("doc_id", "doc_hash", "line_no")).alias("first"))
     degree = pairs.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n_links"))
     linked = components(pairs).withColumnRenamed("node", "id").join(degree, "id")

@@ -54,7 +54,7 @@ def test_near_lines_against_brute_force(spark):
     for edits in (1, 2):
         want = {(i, k) for i in range(len(lines)) for k in range(i + 1, len(lines))
                 if abs(len(lines[i]) - len(lines[k])) <= edits and distance(lines[i], lines[k]) <= edits}
-        assert {(r.a, r.b) for r in q.near_lines(frame, edits).collect()} == want and len(want) > 50
+        assert {(r.a, r.b) for r in q.near_lines(frame.select("id", "line"), edits).collect()} == want and len(want) > 50
 
 
 def test_a_line_shared_by_all(spark):
