@@ -174,8 +174,7 @@ def file_listing(spark: SparkSession, path: str, recursive: bool = False,
     folder = spark.createDataFrame([(qualified(path, default_store(spark)),)], "dir string")
     files = listed(folder, recursive)
     failed = F.coalesce(F.col("exception"), F.lit(NO_FILES)) != NO_FILES
-    files = files.where(F.col("path").isNotNull() | F.when(failed, F.raise_error(F.col("exception"))).isNull()) \
-        .where("path IS NOT NULL")
+    files = files.withColumn("path", F.when(failed, F.raise_error(F.col("exception"))).otherwise(F.col("path"))).where("path IS NOT NULL")
     if glob:
         files = files.where(file_name("path").rlike(fnmatch.translate(glob).replace(r"\Z", "$").replace(r"\z", "$")))
     return files.select("path", F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("folder"), file_name("path").alias("file_name"),

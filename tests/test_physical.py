@@ -496,3 +496,25 @@ def test_unchanged_files_are_not_read_again(spark, scratch):
     counts, errors = scan()
     assert counts[("t1", "2022-03-02")] == 11 and errors == {("t1", "2022-03-01"), ("t2", "2022-03-01")}
     assert ("t1", "2022-03-01") not in counts and spark.read.parquet(counted).count() == known + 1
+
+
+def test_listings_keep_zero_length_files_and_hide_what_is_no_data(spark, scratch):
+    from copyaudit.sources.inventory import file_listing, folder_totals
+    import pytest
+    for name, size in (("a.bin", 0), ("b.bin", 3), ("_SUCCESS", 0), (".c.crc", 2), ("sub/d.bin", 5), ("sub/x y%20.bin", 0), ("_temporary/e.bin", 1),
+                       ("k=1/_k=2/f.txt", 7)):
+        os.makedirs(os.path.dirname(f"{scratch}/{name}"), exist_ok=True)
+        with open(f"{scratch}/{name}", "wb") as fh:
+            fh.write(b"x" * size)
+    flat = {r["file_name"]: r["length"] for r in file_listing(spark, scratch).collect()}
+    assert flat == {"a.bin": 0, "b.bin": 3}
+    deep = file_listing(spark, f"file://{scratch}/", recursive=True)
+    assert {r["file_name"]: r["length"] for r in deep.collect()} == flat | {"d.bin": 5, "x y%20.bin": 0, "f.txt": 7}
+    assert {r["file_name"] for r in file_listing(spark, scratch, recursive=True, glob="*.bin").collect()} == {
+        "a.bin", "b.bin", "d.bin", "x y%20.bin"}
+    totals = {r["folder"].rsplit("/", 1)[1]: (r["files"], r["bytes"]) for r in folder_totals(deep).collect()}
+    assert totals[os.path.basename(scratch)] == (2, 3) and totals["sub"] == (2, 5)
+    os.makedirs(f"{scratch}/void")
+    assert file_listing(spark, f"{scratch}/void").count() == 0 and file_listing(spark, f"{scratch}/absent").count() == 0
+    with pytest.raises(Exception, match="[Nn]o ?[Ff]ile ?[Ss]ystem|UnsupportedFileSystem"):
+        file_listing(spark, "nostore://host/x").collect()
