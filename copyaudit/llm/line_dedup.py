@@ -19,12 +19,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from copyaudit.llm.common import WORD, components, kept, let, table
+from copyaudit.llm.common import WORD, components, kept, let, table, written
 
 MAX_EDITS = 2
 MIN_CHARS = 24
 # Frequent in the languages at hand, the most frequent first: whether their counts are odd refuses most false candidates.
 LETTERS = " enatirohsdlu"
+MORE_LETTERS = ".wbcfgmpvyk,é"        # looked at where the two lines of a pair meet
 
 
 def taking_part(line: Column, least_chars: int = MIN_CHARS) -> Column:
@@ -66,6 +67,14 @@ def with_letters(lines: DataFrame) -> DataFrame:
     return lines.select(*columns, "letters")
 
 
+def _parities(line: Column, letters: str) -> Column:
+    """One bit per letter: whether the line holds it an odd number of times."""
+    bits = F.lit(0)
+    for k, letter in enumerate(letters):
+        bits = bits + (F.length(line) - F.length(F.replace(line, F.lit(letter), F.lit("")))) % 2 * (1 << k)
+    return bits
+
+
 def _letters_fit(a: Column, b: Column, edits: int) -> Column:
     return F.bit_count(a.bitwiseXOR(b).bitwiseAND(F.lit(LOOKED - 1))) <= 2 * edits
 
@@ -86,23 +95,27 @@ def _key(n: Column, i: int, line: Column, start: Column, length: Column) -> Colu
 
 
 def line_keys(line: Column, n: Column, letters: Column, edits: int) -> Column:
-    """Structs (key, letters): the segments of a line, and the substrings that can equal a segment of a line up to ``edits`` shorter.
+    """The segments of a line, and the substrings that can equal a segment of a line up to ``edits`` shorter, as numbers.
+
+    The upper bits are the key, a hash; the lower ``TAIL`` ones are the letters and the kind.
 
     With d the difference in length, segment i (from 0) can only have moved by i to either side as seen from the left end
-    and by ``edits - i`` as seen from the right end. ``letters`` tells the kinds apart by ``LOOKED`` (d is 0) or
-    ``SHORTER`` added; a line's own segments stand for its lookups that have not moved, too.
+    and by ``edits - i`` as seen from the right end. ``LOOKED`` (d is 0) or ``SHORTER`` added to the letters tells the kinds
+    apart; a line's own segments stand for its lookups that have not moved, too.
     """
     keys = []
     for d in range(edits + 1):
         for i, (start, length) in enumerate(_segments(n - d, edits + 1)):
             for move in range(max(-i, d - (edits - i)), min(i, d + (edits - i)) + 1):
                 kind = SHORTER if d else LOOKED if move else 0
-                keys.append(F.struct(_key(n - d, i, line, start + move, length).alias("key"), (letters + kind).alias("letters")))
+                key = _key(n - d, i, line, start + move, length)
+                keys.append(F.shiftleft(F.shiftright(key, TAIL), TAIL) + (letters + kind).cast("long"))
     return F.array(*keys)
 
 
 LOOKED = 1 << len(LETTERS)            # marks a lookup among lines of equal length
 SHORTER = LOOKED << 1                 # marks a lookup among shorter lines
+TAIL = len(LETTERS) + 2
 
 
 def without_common_ends(a: Column, b: Column) -> Column:
@@ -179,13 +192,17 @@ def candidate_pairs(lines: DataFrame, edits: int = MAX_EDITS) -> DataFrame:
     """Pairs ``(a, b)`` of ids that share a segment and have fitting letter counts; a below b, each pair once."""
     measured = with_letters(lines).withColumn("n", F.length("line"))
     keys = measured.select("id", F.explode(line_keys(F.col("line"), F.col("n"), F.col("letters"), edits)).alias("k")) \
-        .select("id", "k.letters", "k.key").repartition("key")
+        .repartition(F.shiftright("k", TAIL))
+
+    def tail(k: str) -> Column:
+        return F.col(k).bitwiseAND(F.lit((1 << TAIL) - 1)).cast("int")
+
     # one shuffle serves both sides: the condition that picks the stored segments is one that Spark leaves above it
-    stored = keys.where(F.col("letters") + F.rand() < LOOKED).select(F.col("id").alias("b"), F.col("letters").alias("letters_b"), "key")
-    looked = keys.select(F.col("id").alias("a"), F.col("letters").alias("letters_a"), "key")
-    possible = ((F.col("letters_a") >= SHORTER) | (F.col("a") < F.col("b"))) & (F.col("a") != F.col("b")) \
-        & _letters_fit(F.col("letters_a"), F.col("letters_b"), edits)
-    return looked.join(stored, "key").where(possible) \
+    stored = keys.where(tail("k") + F.rand() < LOOKED).select(F.col("id").alias("b"), F.col("k").alias("kb"))
+    looked = keys.select(F.col("id").alias("a"), F.col("k").alias("ka"))
+    possible = ((tail("ka") >= SHORTER) | (F.col("a") < F.col("b"))) & (F.col("a") != F.col("b")) \
+        & _letters_fit(tail("ka"), tail("kb"), edits)
+    return looked.join(stored, F.shiftright("ka", TAIL) == F.shiftright("kb", TAIL)).where(possible) \
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -195,7 +212,8 @@ def near_lines(lines: DataFrame, edits: int = MAX_EDITS) -> DataFrame:
     # all columns of ``lines`` are used here as for the keys, so that Spark shuffles the lines once and reads that again
     sides = [F.max(F.when(F.col("id") == F.col(x), F.col("line"))).alias(f"line_{x}") for x in "ab"]
     texts = both.join(lines, "id").groupBy("a", "b").agg(*sides)
-    return texts.where(banded_distance(F.col("line_a"), F.col("line_b"), edits) <= edits).select("a", "b")
+    more = _letters_fit(_parities(F.col("line_a"), MORE_LETTERS), _parities(F.col("line_b"), MORE_LETTERS), edits)
+    return texts.where(more & (banded_distance(F.col("line_a"), F.col("line_b"), edits) <= edits)).select("a", "b")
 
 
 def line_classes(documents: DataFrame, edits: int = MAX_EDITS, least_chars: int = MIN_CHARS) -> DataFrame:
@@ -205,7 +223,8 @@ def line_classes(documents: DataFrame, edits: int = MAX_EDITS, least_chars: int
     named by its first line; ``n_links`` counts the different lines within ``edits`` of this one.
     """
     pairs = kept(near_lines(distinct_lines(documents), edits))
-    rows = kept(line_rows(documents, least_chars))
+    # stored as Parquet and read by id: one order of the rows serves the first line of each class and the rows themselves
+    rows = written(line_rows(documents, least_chars), "lines").repartition("id")
     first = rows.groupBy("id").agg(F.min(F.struct("doc_id", "doc_hash", "line_no")).alias("first"))
     degree = pairs.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n_links"))
     linked = components(pairs).withColumnRenamed("node", "id").join(degree, "id")
