@@ -24,8 +24,9 @@ from copyaudit.llm.common import WORD, components, kept, let, table, written
 MAX_EDITS = 2
 MIN_CHARS = 24
 # Frequent in the languages at hand, the most frequent first: whether their counts are odd refuses most false candidates.
-LETTERS = " enatirohsdlu"
-MORE_LETTERS = ".wbcfgmpvyk,é"        # looked at where the two lines of a pair meet
+LETTERS = " enatirohsdlu.wbc"
+MORE_LETTERS = "fgmpvyk,é"            # looked at where the two lines of a pair meet
+TABLE_BITS = 22                       # bits, as a power of two, of the table of lines in candidate pairs
 
 
 def taking_part(line: Column, least_chars: int = MIN_CHARS) -> Column:
@@ -42,11 +43,10 @@ def line_rows(documents: DataFrame, least_chars: int = 1) -> DataFrame:
     return rows.where(taking_part(F.col("line"), least_chars)).select("doc_id", "doc_hash", "line_no", F.xxhash64("line").alias("id"))
 
 
-def distinct_lines(documents: DataFrame) -> DataFrame:
-    """Rows ``(id, line)``, one per different line long enough for the edit join."""
+def long_lines(documents: DataFrame) -> DataFrame:
+    """Rows ``(id, line)`` of the lines long enough for the edit join, each once per document."""
     rows = documents.select(F.explode(F.array_distinct(F.split(F.coalesce("text", F.lit("")), "\n"))).alias("line"))
-    # without an aggregate function the rows are hashed, not sorted
-    return rows.where(taking_part(F.col("line"))).select(F.xxhash64("line").alias("id"), "line").distinct()
+    return rows.where(taking_part(F.col("line"))).select(F.xxhash64("line").alias("id"), "line")
 
 
 def with_letters(lines: DataFrame) -> DataFrame:
@@ -206,12 +206,25 @@ def candidate_pairs(lines: DataFrame, edits: int = MAX_EDITS) -> DataFrame:
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def perhaps_in(lines: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose ``id`` has its bit set in a table of 2 ** TABLE_BITS bits: those with an id of ``ids`` and few others.
+
+    The table is at most 2 ** TABLE_BITS / 64 rows, whatever the corpus, and goes to every task. Where it fills up, more
+    lines pass; that changes no result.
+    """
+    place = F.col("id").bitwiseAND(F.lit((1 << TABLE_BITS) - 1))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("id").bitwiseAND(F.lit(63)).cast("int"))
+    slots = ids.groupBy(F.shiftright(place, 6).alias("slot")).agg(F.bit_or(bit).alias("bits"))
+    return lines.withColumn("slot", F.shiftright(place, 6)).join(F.broadcast(slots), "slot") \
+        .where(F.col("bits").bitwiseAND(bit) != 0).select("id", "line")
+
+
 def near_lines(lines: DataFrame, edits: int = MAX_EDITS) -> DataFrame:
-    """Pairs ``(a, b)``, a below b, of ids of lines (as of ``distinct_lines``) within ``edits`` edits."""
-    both = candidate_pairs(lines, edits).select("a", "b", F.explode(F.array("a", "b")).alias("id"))
-    # all columns of ``lines`` are used here as for the keys, so that Spark shuffles the lines once and reads that again
+    """Pairs ``(a, b)``, a below b, of ids of lines (as of ``long_lines``) within ``edits`` edits."""
+    # a distinct without an aggregate function hashes the rows instead of sorting them
+    both = kept(candidate_pairs(lines.distinct(), edits)).select("a", "b", F.explode(F.array("a", "b")).alias("id"))
     sides = [F.max(F.when(F.col("id") == F.col(x), F.col("line"))).alias(f"line_{x}") for x in "ab"]
-    texts = both.join(lines, "id").groupBy("a", "b").agg(*sides)
+    texts = both.join(perhaps_in(lines, both.select("id")).distinct(), "id").groupBy("a", "b").agg(*sides)
     more = _letters_fit(_parities(F.col("line_a"), MORE_LETTERS), _parities(F.col("line_b"), MORE_LETTERS), edits)
     return texts.where(more & (banded_distance(F.col("line_a"), F.col("line_b"), edits) <= edits)).select("a", "b")
 
@@ -222,7 +235,7 @@ def line_classes(documents: DataFrame, edits: int = MAX_EDITS, least_chars: int
     These are lines of ``least_chars`` characters or more; those under ``MIN_CHARS`` have exact copies only. The class is
     named by its first line; ``n_links`` counts the different lines within ``edits`` of this one.
     """
-    pairs = kept(near_lines(distinct_lines(documents), edits))
+    pairs = kept(near_lines(long_lines(documents), edits))
     # stored as Parquet and read by id: one order of the rows serves the first line of each class and the rows themselves
     rows = written(line_rows(documents, least_chars), "lines").repartition("id")
     first = rows.groupBy("id").agg(F.min(F.struct("doc_id", "doc_hash", "line_no")).alias("first"))
