@@ -246,10 +246,12 @@ def copy_files(spark: SparkSession, locations: list[CopyLocation], wanted=None,
     found = found.join(known_counts(spark, counted), ["path", "length", "modified"], "left") if counted else \
         found.withColumn("known", F.lit(None).cast("long"))
     files = with_records(found.select(*DIRECTORY.names, "path", "length", "modified", "exception", "known")).checkpoint(eager=True)
-    uncounted = files.where("records IS NULL AND path IS NOT NULL AND exception IS NULL")
     by_format: dict[str, list[str]] = {}
-    for fmt, directory in uncounted.select("fmt", "dir").distinct().orderBy("fmt", "dir").toLocalIterator():
-        by_format.setdefault(fmt, []).append(directory)
+    default = default_store(spark)
+    if any(loc.fmt.lower() not in FOOTERS or not by_tasks(qualified(loc.root, default)) for loc in locations):
+        uncounted = files.where("records IS NULL AND path IS NOT NULL AND exception IS NULL")
+        for fmt, directory in sorted(uncounted.select("fmt", "dir").distinct().collect()):
+            by_format.setdefault(fmt, []).append(directory)
     counts, bad = [], []
     for fmt, dirs in by_format.items():
         good, failed = _read_by_spark(spark, fmt, dirs)
