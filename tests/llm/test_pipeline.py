@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_queries_with_sql_agree(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations", "labels", "pages"):
+    for t in ("documents", "conversations", "embeddings", "labels", "pages"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     got = queries.QUERIES[name](spark, SF)
     cursor = con.execute(queries.ORACLES[name])
