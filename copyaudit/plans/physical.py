@@ -8,6 +8,8 @@ for each (db, table, role). The audit then reads them back like any store.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, replace
 
 from pyspark.sql import SparkSession
@@ -47,25 +49,64 @@ def three_way_layout(spark: SparkSession, name: str, params: ThreeWayParams) ->
         storage_staging_dir=f"{base}/staging/storage", ctrl_path=f"{base}/control"))
 
 
+# Files that a writing task holds open before it sorts the rest of its rows by partition.
+OPEN_FILES = 40
+
+
 def write_copies(spark: SparkSession, sf_dir: str, layout: Layout, partitions,
                  tables: list[recipes.Recipe], only_roles: list[str] | None = None) -> None:
-    """Write every copy of the given tables where the audit will look for it."""
+    """Write every copy of the given tables where the audit will look for it.
+
+    All copies of a table are one write: the table is shuffled once by its partition column, so each copy has a file per
+    partition, and the copies' folders are then renamed to their roots.
+    """
     if layout.two_way is not None:
         work = two_way_work_list(spark, layout.two_way, partitions)
         roles = ["source", "target"]
     else:
         work = three_way_work_list(spark, layout.three_way, partitions)
         roles = ["source", "staging", "target"]
-    by_key = {(r.db, r.name): r for r in tables}
-    for loc in copy_locations(work.tables, roles):
-        recipe = by_key.get((loc.db, loc.table))
-        if recipe is None or loc.role not in recipe.weights or (only_roles and loc.role not in only_roles):
+    locations = copy_locations(work.tables, roles)
+    for recipe in tables:
+        copies = {loc.role: loc for loc in locations if (loc.db, loc.table) == (recipe.db, recipe.name)
+                  and loc.role in recipe.weights and (not only_roles or loc.role in only_roles)}
+        if not copies:
             continue
-        rows = recipes.copy_rows(spark, sf_dir, recipe, loc.role).repartition(recipe.partition_col)   # a file each
-        (rows.write.mode("overwrite").partitionBy(recipe.partition_col)
-         .format(reader_format(loc.fmt)).save(loc.root))
-        if loc.role == ROLE_STAGING:
-            add_empty_files(spark, loc, recipes.EXTRA_STAGING_FILE_MONTH)
+        together = f"{layout.base}/together/{recipe.db}/{recipe.name}"
+        rows = recipes.rows_of_copies(spark, sf_dir, recipe, list(copies))
+        with open_files(spark, OPEN_FILES):
+            (rows.write.partitionBy("copy_role", recipe.partition_col)
+             .format(reader_format(next(iter(copies.values())).fmt)).save(together))
+        for role, loc in copies.items():
+            move_folder(spark, f"{together}/copy_role={role}", loc.root)
+            if role == ROLE_STAGING:
+                add_empty_files(spark, loc, recipes.EXTRA_STAGING_FILE_MONTH)
+
+
+@contextmanager
+def open_files(spark: SparkSession, number: int) -> Iterator[None]:
+    """Writes inside hold up to ``number`` files open a task instead of sorting all rows by partition, which spills."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, number)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def move_folder(spark: SparkSession, folder: str, root: str) -> None:
+    """Renames ``folder`` to ``root``, in place of what is there; without ``folder``, ``root`` is an empty folder."""
+    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    at, to = Path(folder), Path(root)
+    store = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    store.delete(to, True)
+    if not store.exists(at):
+        store.mkdirs(to)
+        return
+    store.mkdirs(to.getParent())
+    if not store.rename(at, to):
+        raise OSError(f"cannot rename {folder} to {root}")
 
 
 def add_empty_files(spark: SparkSession, loc: CopyLocation, month: str) -> None:

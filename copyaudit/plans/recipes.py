@@ -97,6 +97,14 @@ def copy_rows(spark: SparkSession, sf_dir: str, recipe: Recipe, role: str) -> Da
             .drop("_w", "_n"))
 
 
+def rows_of_copies(spark: SparkSession, sf_dir: str, recipe: Recipe, roles: list[str], role_col: str = "copy_role") -> DataFrame:
+    """Rows of several copies, each with its role, every partition in one task: one shuffle of the table serves all copies."""
+    base = (base_table(spark, sf_dir, recipe.name).withColumn(recipe.partition_col, recipe.partition())
+            .repartition(recipe.partition_col))
+    times = [F.array_repeat(F.lit(r), F.coalesce(recipe.weights[r](), F.lit(0))) for r in roles]
+    return base.withColumn(role_col, F.explode(F.flatten(F.array(*times))))
+
+
 def recipe_counts(spark: SparkSession, sf_dir: str, recipe: Recipe) -> DataFrame:
     """Records per (role, partition) of every copy of one table, one scan."""
     base = base_table(spark, sf_dir, recipe.name)
