@@ -3,8 +3,9 @@
 Equal lines with a word are one node, whatever their length; two different lines of ``MIN_CHARS`` characters or more link
 when their edit distance is at most ``MAX_EDITS``. The join stores each distinct line under its ``MAX_EDITS + 1`` segments
 (length, segment number, segment text) and looks up, for every length it may match, only the substrings whose place is
-possible for that length. A line within the distance shares at least one of them. Pairs whose letter counts differ in more
-letters than the edits allow are refused inside the join; the others are verified by a banded bit-parallel edit distance. Linked
+possible for that length. A line within the distance shares at least one of them. Lines none of whose keys another line has
+end there, after one aggregate over the keys. The letters of the others are counted, and pairs whose counts differ by more
+than the edits allow are refused inside the join; the rest are verified by a banded bit-parallel edit distance. Linked
 lines form classes (connected components), named by their first line in order of document and line number.
 
 All of it is DataFrame code. Texts are shuffled once (the distinct lines); keys are hashes.
@@ -23,10 +24,9 @@ from copyaudit.llm.common import WORD, components, kept, let, table, written
 
 MAX_EDITS = 2
 MIN_CHARS = 24
-# Frequent in the languages at hand, the most frequent first: whether their counts are odd refuses most false candidates.
-LETTERS = " enatirohsdlu.wbc"
-MORE_LETTERS = "fgmpvyk,é"            # looked at where the two lines of a pair meet
-TABLE_BITS = 22                       # bits, as a power of two, of the table of lines in candidate pairs
+# Counted in lines that share a key, the most frequent first, so that each step reads a shorter rest of the line.
+LETTERS = " enatirohsdlu.wbcfgmpvyk,éjqxz0123456789ABDEHILMOSTW"
+TABLE_BITS = 24                       # bits, as a power of two, of the table of lines that share a key
 
 
 def taking_part(line: Column, least_chars: int = MIN_CHARS) -> Column:
@@ -50,33 +50,36 @@ def long_lines(documents: DataFrame) -> DataFrame:
 
 
 def with_letters(lines: DataFrame) -> DataFrame:
-    """Adds ``letters``, one bit per letter of ``LETTERS``: whether the line holds it an odd number of times.
+    """Adds ``letters`` and ``twos``, the two low bits of the number of times that the line holds each letter of ``LETTERS``.
 
-    An edit changes two bits at most. Letters are counted by removing them one after the other, so that each step reads a
-    shorter rest of the line.
+    Letters are counted by removing them one after the other.
     """
-    rest = "line"
-    columns = lines.columns
-    for k, letter in enumerate(LETTERS):
-        shorter = F.replace(F.col(rest), F.lit(letter), F.lit(""))
-        lines = lines.select(*columns, (F.lit(0) if k == 0 else F.col("letters")).alias("before"), F.col(rest).alias("longer"),
-                             shorter.alias("rest"))
-        odd = (F.length("longer") - F.length("rest")) % 2 * (1 << k)
-        lines = lines.select(*columns, (F.col("before") + odd).alias("letters"), "rest")
-        rest = "rest"
-    return lines.select(*columns, "letters")
+    names = F.array(*[F.lit(x) for x in LETTERS])
 
+    def step(state, i):
+        def counted(shorter):
+            n = (F.length(state["rest"]) - F.length(shorter)).cast("long")
+            bits = [F.call_function("shiftleft", F.shiftright(n, k).bitwiseAND(F.lit(1).cast("long")), i) for k in (0, 1)]
+            return F.struct(shorter.alias("rest"), (state["letters"] + bits[0]).alias("letters"),
+                            (state["twos"] + bits[1]).alias("twos"))
 
-def _parities(line: Column, letters: str) -> Column:
-    """One bit per letter: whether the line holds it an odd number of times."""
-    bits = F.lit(0)
-    for k, letter in enumerate(letters):
-        bits = bits + (F.length(line) - F.length(F.replace(line, F.lit(letter), F.lit("")))) % 2 * (1 << k)
-    return bits
+        return let(F.replace(state["rest"], F.get(names, i), F.lit("")), counted)
 
+    zero = F.lit(0).cast("long")
+    start = F.struct(F.col("line").alias("rest"), zero.alias("letters"), zero.alias("twos"))
+    counts = F.aggregate(F.sequence(F.lit(0), F.lit(len(LETTERS) - 1)), start, step)
+    return lines.withColumn("counts", counts).select(*lines.columns, "counts.letters", "counts.twos")
 
-def _letters_fit(a: Column, b: Column, edits: int) -> Column:
-    return F.bit_count(a.bitwiseXOR(b).bitwiseAND(F.lit(LOOKED - 1))) <= 2 * edits
+
+def _letters_fit(edits: int) -> Column:
+    """Whether the letter counts of lines a and b allow ``edits`` edits.
+
+    An edit that changes the length changes one count by one, another edit two; so with a difference d in length the counts
+    differ by ``2 * edits - d`` at most. Of each difference the two low bits are known, which give its least size.
+    """
+    odd = F.col("letters_a").bitwiseXOR(F.col("letters_b"))
+    two = F.col("twos_a").bitwiseXOR(F.col("twos_b")).bitwiseAND(F.bitwise_not(odd))
+    return F.bit_count(odd) + 2 * F.bit_count(two) <= 2 * edits - F.abs(F.col("n_a") - F.col("n_b"))
 
 
 def _segments(n: Column, count: int) -> list[tuple[Column, Column]]:
@@ -94,28 +97,25 @@ def _key(n: Column, i: int, line: Column, start: Column, length: Column) -> Colu
     return F.xxhash64(n, F.lit(i), F.substring(line, start, length))
 
 
-def line_keys(line: Column, n: Column, letters: Column, edits: int) -> Column:
+def line_keys(line: Column, n: Column, edits: int) -> Column:
     """The segments of a line, and the substrings that can equal a segment of a line up to ``edits`` shorter, as numbers.
 
-    The upper bits are the key, a hash; the lower ``TAIL`` ones are the letters and the kind.
-
-    With d the difference in length, segment i (from 0) can only have moved by i to either side as seen from the left end
-    and by ``edits - i`` as seen from the right end. ``LOOKED`` (d is 0) or ``SHORTER`` added to the letters tells the kinds
-    apart; a line's own segments stand for its lookups that have not moved, too.
+    The upper bits are the key, a hash; the lower ``TAIL`` ones are the kind. With d the difference in length, segment i
+    (from 0) can only have moved by i to either side as seen from the left end and by ``edits - i`` as seen from the right
+    end. A line's own segments stand for its lookups that have not moved, too.
     """
     keys = []
     for d in range(edits + 1):
         for i, (start, length) in enumerate(_segments(n - d, edits + 1)):
             for move in range(max(-i, d - (edits - i)), min(i, d + (edits - i)) + 1):
-                kind = SHORTER if d else LOOKED if move else 0
+                kind = SHORTER if d else LOOKED if move else OWN
                 key = _key(n - d, i, line, start + move, length)
-                keys.append(F.shiftleft(F.shiftright(key, TAIL), TAIL) + (letters + kind).cast("long"))
+                keys.append(F.shiftleft(F.shiftright(key, TAIL), TAIL) + F.lit(kind).cast("long"))
     return F.array(*keys)
 
 
-LOOKED = 1 << len(LETTERS)            # marks a lookup among lines of equal length
-SHORTER = LOOKED << 1                 # marks a lookup among shorter lines
-TAIL = len(LETTERS) + 2
+OWN, LOOKED, SHORTER = 0, 1, 2        # a line's own segment, a lookup among lines of equal length, one among shorter lines
+TAIL = 2
 
 
 def without_common_ends(a: Column, b: Column) -> Column:
@@ -188,22 +188,32 @@ def banded_distance(a: Column, b: Column, edits: int = MAX_EDITS) -> Column:
             run))
 
 
-def candidate_pairs(lines: DataFrame, edits: int = MAX_EDITS) -> DataFrame:
-    """Pairs ``(a, b)`` of ids that share a segment and have fitting letter counts; a below b, each pair once."""
-    measured = with_letters(lines).withColumn("n", F.length("line"))
-    keys = measured.select("id", F.explode(line_keys(F.col("line"), F.col("n"), F.col("letters"), edits)).alias("k")) \
+def _kind(key: str) -> Column:
+    return F.col(key).bitwiseAND(F.lit((1 << TAIL) - 1))
+
+
+def shared_keys(lines: DataFrame, edits: int = MAX_EDITS) -> DataFrame:
+    """Rows ``(id, k)`` of the keys that different lines have, one of them as its own segment; linear in the keys."""
+    keys = lines.select("id", F.explode(line_keys(F.col("line"), F.length("line"), edits)).alias("k")) \
         .repartition(F.shiftright("k", TAIL))
+    # one shuffle serves both sides
+    met = keys.groupBy(F.shiftright("k", TAIL).alias("key")) \
+        .agg(F.min("id").alias("least"), F.max("id").alias("most"), F.min(_kind("k")).alias("kind")) \
+        .where((F.col("least") != F.col("most")) & (F.col("kind") == OWN)).select("key")
+    return keys.join(met.hint("shuffle_hash"), F.shiftright("k", TAIL) == F.col("key")).select("id", "k")
+
+
+def candidate_pairs(shared: DataFrame, measured: DataFrame, edits: int = MAX_EDITS) -> DataFrame:
+    """Pairs ``(a, b)`` of ids that share a key and have fitting letter counts; a below b, each pair once."""
+    rows = kept(shared.join(measured.select("id", "n", "letters", "twos"), "id"))
 
-    def tail(k: str) -> Column:
-        return F.col(k).bitwiseAND(F.lit((1 << TAIL) - 1)).cast("int")
+    def side(x: str) -> DataFrame:
+        return rows.select(*[F.col(c).alias(f"{c}_{x}") for c in ("id", "k", "n", "letters", "twos")])
 
-    # one shuffle serves both sides: the condition that picks the stored segments is one that Spark leaves above it
-    stored = keys.where(tail("k") + F.rand() < LOOKED).select(F.col("id").alias("b"), F.col("k").alias("kb"))
-    looked = keys.select(F.col("id").alias("a"), F.col("k").alias("ka"))
-    possible = ((tail("ka") >= SHORTER) | (F.col("a") < F.col("b"))) & (F.col("a") != F.col("b")) \
-        & _letters_fit(tail("ka"), tail("kb"), edits)
-    return looked.join(stored, F.shiftright("ka", TAIL) == F.shiftright("kb", TAIL)).where(possible) \
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    a, b = F.col("id_a"), F.col("id_b")
+    possible = ((_kind("k_a") == SHORTER) | (a < b)) & (a != b) & _letters_fit(edits)
+    return side("a").join(side("b").where(_kind("k_b") == OWN), F.shiftright("k_a", TAIL) == F.shiftright("k_b", TAIL)) \
+        .where(possible).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
 
 
 def perhaps_in(lines: DataFrame, ids: DataFrame) -> DataFrame:
@@ -222,11 +232,14 @@ def perhaps_in(lines: DataFrame, ids: DataFrame) -> DataFrame:
 def near_lines(lines: DataFrame, edits: int = MAX_EDITS) -> DataFrame:
     """Pairs ``(a, b)``, a below b, of ids of lines (as of ``long_lines``) within ``edits`` edits."""
     # a distinct without an aggregate function hashes the rows instead of sorting them
-    both = kept(candidate_pairs(lines.distinct(), edits)).select("a", "b", F.explode(F.array("a", "b")).alias("id"))
-    sides = [F.max(F.when(F.col("id") == F.col(x), F.col("line"))).alias(f"line_{x}") for x in "ab"]
-    texts = both.join(perhaps_in(lines, both.select("id")).distinct(), "id").groupBy("a", "b").agg(*sides)
-    more = _letters_fit(_parities(F.col("line_a"), MORE_LETTERS), _parities(F.col("line_b"), MORE_LETTERS), edits)
-    return texts.where(more & (banded_distance(F.col("line_a"), F.col("line_b"), edits) <= edits)).select("a", "b")
+    shared = kept(shared_keys(lines.distinct(), edits))
+    ids = shared.select("id").distinct()
+    found = perhaps_in(lines, ids).distinct().join(ids, "id", "left_semi")
+    measured = written(with_letters(found).withColumn("n", F.length("line")), "shared-lines")
+    pairs = candidate_pairs(shared, measured, edits)
+    for x in "ab":
+        pairs = pairs.join(measured.select(F.col("id").alias(x), F.col("line").alias(f"line_{x}")), x)
+    return pairs.where(banded_distance(F.col("line_a"), F.col("line_b"), edits) <= edits).select("a", "b")
 
 
 def line_classes(documents: DataFrame, edits: int = MAX_EDITS, least_chars: int = MIN_CHARS) -> DataFrame:
